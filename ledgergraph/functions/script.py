@@ -57,18 +57,18 @@ def _slice(script: Column, pos: int, length: Column) -> Column:
     return F.substring(script, F.lit(pos), length)
 
 
-def classify_script(script: Column, pubkey_digest: str = "hash160") -> Column:
-    """Struct ``(address STRING, kind STRING)`` for an output script (BINARY)."""
-    kind = script_kind(script)
-    n = F.length(script)
-    pubkey = F.when(kind == "p2pk", _slice(script, 2, n - 2))
+def _pubkey_digest(pubkey: Column, pubkey_digest: str) -> Column:
     if pubkey_digest == "hash160":
-        digest = hash160_hex(pubkey)
-    elif pubkey_digest == "sha256":
-        digest = sha256_hex(pubkey)
-    else:
-        raise ValueError(f"unknown pubkey_digest {pubkey_digest!r}")
-    address = (
+        return hash160_hex(pubkey)
+    if pubkey_digest == "sha256":
+        return sha256_hex(pubkey)
+    raise ValueError(f"unknown pubkey_digest {pubkey_digest!r}")
+
+
+def _address_from_kind(script: Column, kind: Column, pubkey_digest: str) -> Column:
+    n = F.length(script)
+    digest = _pubkey_digest(F.when(kind == "p2pk", pubkey_bytes(script)), pubkey_digest)
+    return (
         F.when(kind == "p2pkh", F.hex(F.substring(script, 4, 20)))
         .when(kind == "p2pk", digest)
         .when(kind == "puzzle", F.concat(F.lit(PUZZLE_PREFIX), F.hex(_slice(script, 2, n - 3))))
@@ -76,16 +76,24 @@ def classify_script(script: Column, pubkey_digest: str = "hash160") -> Column:
         .when(kind == "unspendable", F.lit(UNSPENDABLE))
         .otherwise(F.lit(UNKNOWN))
     )
-    return F.struct(address.alias("address"), kind.alias("kind"))
+
+
+def classify_script(script: Column, pubkey_digest: str = "hash160") -> Column:
+    """Struct ``(address STRING, kind STRING)`` for an output script (BINARY), as one expression.
+
+    For whole tables prefer ``with_address``, which computes ``kind`` once and refers to it.
+    """
+    kind = script_kind(script)
+    return F.struct(_address_from_kind(script, kind, pubkey_digest).alias("address"),
+                    kind.alias("kind"))
 
 
 def with_address(outputs, pubkey_digest: str = "hash160", script_col: str = "script"):
-    """Add ``address`` and ``kind`` to an outputs frame (the script column is kept)."""
-    cls = classify_script(F.col(script_col), pubkey_digest)
-    return (outputs.withColumn("_cls", cls)
-            .withColumn("address", F.col("_cls.address"))
-            .withColumn("kind", F.col("_cls.kind"))
-            .drop("_cls"))
+    """Add ``kind`` then ``address`` to an outputs frame (two projections: the kind CASE is
+    evaluated once per row and referenced, not re-inlined into every address branch)."""
+    s = F.col(script_col)
+    staged = outputs.withColumn("kind", script_kind(s))
+    return staged.withColumn("address", _address_from_kind(s, F.col("kind"), pubkey_digest))
 
 
 def strip_legacy_prefix(address: Column) -> Column:

@@ -16,6 +16,7 @@ from ledgergraph.functions.hashing import hash160_hex, hash160_to_address
 from ledgergraph.operators import edges as E
 from ledgergraph.operators import ledger as L
 from ledgergraph.schemas import Ledger
+from ledgergraph.session import cut_lineage
 from ledgergraph.sources.star import ledger_from_dir
 
 ORACLE_DIGEST = "sha256"
@@ -23,7 +24,7 @@ ORACLE_DIGEST = "sha256"
 
 def _ledger(spark: SparkSession, sf_dir: str, digest: str = ORACLE_DIGEST) -> tuple[Ledger, DataFrame]:
     ledger = ledger_from_dir(spark, sf_dir)
-    return ledger, L.classified_outputs(ledger, digest)
+    return ledger, cut_lineage(L.classified_outputs(ledger, digest))
 
 
 def q_balances(spark, sf_dir):

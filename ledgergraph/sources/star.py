@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from ledgergraph.functions.hashing import tagged_hash
 from ledgergraph.operators.ids import with_row_number
 from ledgergraph.schemas import COINBASE_ORD, ZERO_HASH, Ledger
+from ledgergraph.session import cut_lineage
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -122,15 +123,21 @@ def _inputs(rows: DataFrame, chain: DataFrame) -> DataFrame:
     return spends.unionByName(coinbase)
 
 
-def derive_ledger(orders: DataFrame, lineitem: DataFrame) -> Ledger:
+def derive_ledger(orders: DataFrame, lineitem: DataFrame, materialize: bool = True) -> Ledger:
+    """The four ledger tables. With ``materialize`` each is written once to the checkpoint
+    folder — the analogue of the ingest job's Parquet output — so later plans scan stored
+    columns instead of re-deriving hashes and scripts in every branch."""
     rows = _output_rows(lineitem)
     chain = _order_chain(orders)
-    return Ledger(
+    ledger = Ledger(
         blocks=derive_blocks(orders),
         transactions=derive_transactions(orders),
         outputs=_outputs_from_rows(rows),
         inputs=_inputs(rows, chain),
     )
+    if materialize:
+        ledger = Ledger(*(cut_lineage(t) for t in ledger))
+    return ledger
 
 
 def ledger_from_dir(spark: SparkSession, sf_dir: str) -> Ledger:
