@@ -99,8 +99,9 @@ pay_w AS (
 """
 
 
-def with_ledger(body: str) -> str:
-    return f"WITH {LEDGER_CTES.strip()}\n{body}"
+def with_ledger(body: str, recursive: bool = False) -> str:
+    head = "WITH RECURSIVE" if recursive else "WITH"
+    return f"{head} {LEDGER_CTES.strip()}\n{body}"
 
 
 ORACLES: dict[str, str] = {
@@ -179,5 +180,141 @@ SELECT src, dst FROM pay_w, range(n) r"""),
 })
 
 
+_TOTALS = """
+, money AS (
+  SELECT address, CAST(sum(value) AS BIGINT) AS total_received,
+         CAST(coalesce(sum(CASE WHEN spent_by IS NOT NULL THEN value END), 0) AS BIGINT) AS total_sent
+  FROM spent GROUP BY address),
+txs AS (
+  SELECT address, count(DISTINCT tx) AS n_tx FROM (
+    SELECT address, tx_hash AS tx FROM spent
+    UNION ALL SELECT address, spent_by FROM spent WHERE spent_by IS NOT NULL) GROUP BY address),
+totals AS (
+  SELECT m.address, total_received, total_sent, total_received - total_sent AS final_balance, n_tx
+  FROM money m JOIN txs t ON m.address = t.address)
+""".lstrip()
+
+# delta PageRank (reset 0.15, tol 0.001) as a recursive CTE carrying (rank, delta, active)
+_PAGERANK = """
+, deg AS (SELECT src, sum(n) AS deg FROM pay_w GROUP BY src),
+ew AS (SELECT p.src, p.dst, p.n / d.deg AS wn FROM pay_w p JOIN deg d ON p.src = d.src),
+pv AS (SELECT id FROM address_ids UNION SELECT src FROM pay_w UNION SELECT dst FROM pay_w),
+pr(it, id, rank, delta, active, nmsg) AS (
+  SELECT 0, id, CAST(0.15 AS DOUBLE), CAST(0.15 AS DOUBLE), true, CAST(1 AS BIGINT) FROM pv
+  UNION ALL
+  SELECT s.it + 1, s.id,
+         s.rank + coalesce(0.85 * m.msum, 0),
+         coalesce(0.85 * m.msum, 0),
+         m.msum IS NOT NULL,
+         count(m.msum) OVER ()
+  FROM pr s LEFT JOIN (
+      SELECT e.dst, sum(p.delta * e.wn) AS msum
+      FROM pr p JOIN ew e ON e.src = p.id
+      WHERE p.active AND p.delta > 0.001
+      GROUP BY e.dst) m ON m.dst = s.id
+  WHERE s.nmsg > 0),
+fin AS (SELECT id, rank FROM pr WHERE it = (SELECT max(it) FROM pr)),
+ranks AS (SELECT id, rank * (SELECT count(*) FROM fin) / (SELECT sum(rank) FROM fin) AS rank FROM fin),
+top10 AS (
+  SELECT a.address, round(r.rank, 6) AS rank FROM ranks r JOIN address_ids a ON a.id = r.id
+  ORDER BY rank DESC, a.address LIMIT 10)
+""".lstrip()
+
+_CHAIN = """
+, chain_h(hash, height) AS (
+  SELECT hash, CAST(0 AS BIGINT) FROM blocks WHERE prev_hash NOT IN (SELECT hash FROM blocks)
+  UNION ALL
+  SELECT b.hash, c.height + 1 FROM blocks b JOIN chain_h c ON b.prev_hash = c.hash)
+""".lstrip()
+
+_NEIGHBOURS = _TOTALS + """
+, seed AS (
+  SELECT a.id FROM (SELECT address FROM totals ORDER BY total_received DESC, address LIMIT 1) m
+  JOIN address_ids a ON a.address = m.address),
+nb AS (SELECT dst AS id FROM pay_w WHERE src IN (SELECT id FROM seed)
+       UNION SELECT src FROM pay_w WHERE dst IN (SELECT id FROM seed)),
+kept AS (SELECT id, 'seed' AS role FROM seed
+         UNION ALL SELECT id, 'neighbour' FROM nb WHERE id NOT IN (SELECT id FROM seed))
+"""
+
+
+def _money(x: str) -> str:
+    usd = f"(CAST({x} AS DOUBLE) / 1.0e8 * 4279.92)"
+    return f"(CASE WHEN {usd} < 0 THEN '-' ELSE '' END || '$' || format('{{:,.2f}}', abs({usd})))"
+
+
+def _year(t: str) -> str:
+    return f"CAST(year(CAST(epoch_ms(CAST({t} AS BIGINT) * 1000) AS DATE)) AS INTEGER)"
+
+
+def _ts_text(t: str) -> str:
+    return f"strftime(epoch_ms(CAST({t} AS BIGINT) * 1000), '%Y-%m-%d %H:%M:%S')"
+
+
+ORACLES.update({
+    "pagerank": with_ledger(_PAGERANK + """
+SELECT r.id, a.address, round(r.rank, 6) AS rank FROM ranks r LEFT JOIN address_ids a ON a.id = r.id""",
+                            recursive=True),
+    "top_addresses": with_ledger(_PAGERANK + "SELECT address, rank FROM top10", recursive=True),
+    "address_report": with_ledger(_PAGERANK + _TOTALS.replace("money AS", "money AS", 1) + f"""
+SELECT t.address, t.rank, {_money('total_received')} AS received, {_money('total_sent')} AS sent,
+       {_money('final_balance')} AS balance, n_tx AS transactions
+FROM top10 t JOIN totals s ON s.address = t.address""", recursive=True),
+    "usd_format": with_ledger(_TOTALS + f"""
+SELECT address, CAST(final_balance AS DOUBLE) / 1.0e8 AS balance_btc,
+       CAST(final_balance AS DOUBLE) / 1.0e8 * 4279.92 AS balance_usd,
+       {_money('final_balance')} AS balance_text
+FROM totals"""),
+    "json_fields": """
+SELECT event_id, user_id,
+       CASE WHEN json_valid(props) THEN TRY_CAST(json_extract(props, '$.k') AS BIGINT) END AS k
+FROM events""",
+    "tx_text": with_ledger(f"""
+SELECT hash, 'txId:    ' || hash || chr(10) || 'time:    ' || {_ts_text('time')} || chr(10)
+       || 'block:   ' || block_hash || chr(10) AS text
+FROM transactions"""),
+    "chain_height": with_ledger(_CHAIN + "SELECT hash, height FROM chain_h", recursive=True),
+    "block_listing": with_ledger(_CHAIN + "SELECT height, hash FROM chain_h", recursive=True),
+    "block_drilldown": with_ledger(_CHAIN + """
+, first_blocks AS (SELECT hash AS block_hash, height FROM chain_h WHERE height < 3),
+dtx AS (SELECT t.block_hash, f.height, t.hash AS tx_hash, t.time
+        FROM transactions t JOIN first_blocks f ON t.block_hash = f.block_hash),
+vin AS (SELECT i.tx_hash, list({'ref_hash': i.ref_hash, 'ref_ord': i.ref_ord} ORDER BY i.ref_hash, i.ref_ord) AS vin
+        FROM inputs i JOIN dtx d ON d.tx_hash = i.tx_hash GROUP BY i.tx_hash),
+vout AS (SELECT o.tx_hash, list({'n': o.ord, 'value': o.value, 'address': o.address} ORDER BY o.ord, o.value, o.address) AS vout
+         FROM outputs o JOIN dtx d ON d.tx_hash = o.tx_hash GROUP BY o.tx_hash)
+SELECT d.block_hash, d.height, d.tx_hash,
+       CAST(to_json({'txid': d.tx_hash, 'time': d.time,
+                     'vin': coalesce(vin.vin, CAST([] AS STRUCT(ref_hash VARCHAR, ref_ord BIGINT)[])),
+                     'vout': coalesce(vout.vout, CAST([] AS STRUCT(n BIGINT, value BIGINT, address VARCHAR)[]))})
+            AS VARCHAR) AS tx_json
+FROM dtx d LEFT JOIN vin ON vin.tx_hash = d.tx_hash LEFT JOIN vout ON vout.tx_hash = d.tx_hash""",
+                                   recursive=True),
+    "neighbourhood": with_ledger(_NEIGHBOURS + """
+SELECT k.id, a.address, k.role FROM kept k JOIN address_ids a ON a.id = k.id"""),
+    "graph_json": with_ledger(_NEIGHBOURS + """
+SELECT 'node' AS element,
+       CAST(to_json({'id': a.id, 'color': CASE WHEN k.id IS NOT NULL THEN '#ec5148' ELSE '#eee' END}) AS VARCHAR) AS json
+FROM address_ids a LEFT JOIN kept k ON k.id = a.id
+UNION ALL
+SELECT 'edge',
+       CAST(to_json({'source': p.src, 'target': p.dst,
+                     'color': CASE WHEN ks.id IS NOT NULL AND kd.id IS NOT NULL THEN '#999' ELSE '#eee' END}) AS VARCHAR)
+FROM pay_w p LEFT JOIN kept ks ON ks.id = p.src LEFT JOIN kept kd ON kd.id = p.dst"""),
+    "clean_nodes": with_ledger("SELECT id, address FROM address_ids"),
+    "snapshot_counts": with_ledger(f"""
+, stx AS (SELECT hash AS tx_hash, {_year('time')} AS snapshot FROM transactions),
+bs AS (SELECT {_year('time')} AS snapshot, count(*) AS n_blocks FROM blocks GROUP BY 1),
+ts AS (SELECT snapshot, count(*) AS n_tx FROM stx GROUP BY 1),
+os AS (SELECT snapshot, count(*) AS n_outputs, CAST(sum(value) AS BIGINT) AS value_out
+       FROM outputs o JOIN stx ON stx.tx_hash = o.tx_hash GROUP BY 1),
+ins AS (SELECT snapshot, count(*) AS n_inputs FROM inputs i JOIN stx ON stx.tx_hash = i.tx_hash GROUP BY 1)
+SELECT snapshot, coalesce(n_blocks, 0) AS n_blocks, coalesce(n_tx, 0) AS n_tx,
+       coalesce(n_outputs, 0) AS n_outputs, coalesce(n_inputs, 0) AS n_inputs,
+       coalesce(value_out, 0) AS value_out
+FROM bs FULL JOIN ts USING (snapshot) FULL JOIN os USING (snapshot) FULL JOIN ins USING (snapshot)"""),
+})
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

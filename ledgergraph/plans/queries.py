@@ -11,13 +11,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgergraph.functions.hashing import hash160_hex, hash160_to_address
 from ledgergraph.operators import edges as E
 from ledgergraph.operators import ledger as L
 from ledgergraph.schemas import Ledger
 from ledgergraph.session import cut_lineage
-from ledgergraph.sources.star import ledger_from_dir
+from ledgergraph.functions.text import json_fields, tx_record_text
+from ledgergraph.operators.chain import block_drilldown, block_listing, chain_height
+from ledgergraph.operators.neighbours import graph_elements, neighbourhood
+from ledgergraph.operators.pagerank import graph_vertices, pagerank, top_k
+from ledgergraph.operators.report import address_report, usd_columns
+from ledgergraph.operators.sampling import clean_nodes, sample_rows
+from ledgergraph.operators.snapshots import snapshot_counts
+from ledgergraph.sources.star import ledger_from_dir, read_table
 
 ORACLE_DIGEST = "sha256"
 
@@ -145,6 +153,114 @@ def q_p2pk_addresses(spark, sf_dir):
                     hash160_to_address(F.col("hash160")).alias("base58")))
 
 
+def _address_ids_cached(outs: DataFrame) -> DataFrame:
+    return cut_lineage(_address_ids(outs))
+
+
+def _payment_graph(spark, sf_dir):
+    ledger, outs = _ledger(spark, sf_dir)
+    addr = _address_ids_cached(outs)
+    w = cut_lineage(E.payment_edges_weighted(ledger, outs, addr))
+    return ledger, outs, addr, w
+
+
+def _ranks(addr: DataFrame, w: DataFrame) -> DataFrame:
+    return pagerank(graph_vertices(addr, w), w)
+
+
+def q_pagerank(spark, sf_dir):
+    """G5 on the address payment graph (tolerance 0.001); rank rounded to 6 decimals."""
+    _, _, addr, w = _payment_graph(spark, sf_dir)
+    return (_ranks(addr, w).join(addr, "id", "left")
+            .select("id", "address", F.round("rank", 6).alias("rank")))
+
+
+def q_top_addresses(spark, sf_dir):
+    """The ten highest-ranked addresses."""
+    _, _, addr, w = _payment_graph(spark, sf_dir)
+    return top_k(_ranks(addr, w), addr, k=10)
+
+
+def q_address_report(spark, sf_dir):
+    """Top ten by rank with received / sent / balance as dollar text and tx count."""
+    ledger, outs, addr, w = _payment_graph(spark, sf_dir)
+    return address_report(top_k(_ranks(addr, w), addr, k=10), L.address_totals(outs, ledger.inputs))
+
+
+def q_usd_format(spark, sf_dir):
+    """F15–F17 over every address balance."""
+    ledger, outs = _ledger(spark, sf_dir)
+    return usd_columns(L.address_totals(outs, ledger.inputs))
+
+
+def q_json_fields(spark, sf_dir):
+    """a field of the JSON ``props`` object of every event (null when unparsable)."""
+    ev = read_table(spark, sf_dir, "events")
+    return ev.select("event_id", "user_id",
+                     json_fields(F.col("props"), {"k": T.LongType()}).getField("k").alias("k"))
+
+
+def q_tx_text(spark, sf_dir):
+    """every transaction rendered as the converter's record text (UTC times)."""
+    t = ledger_from_dir(spark, sf_dir).transactions
+    return t.select("hash", tx_record_text(F.col("hash"), F.col("time"), F.col("block_hash")).alias("text"))
+
+
+def q_chain_height(spark, sf_dir):
+    """Height of every block along the prev-hash chain (pointer doubling)."""
+    return chain_height(ledger_from_dir(spark, sf_dir).blocks)
+
+
+def q_block_listing(spark, sf_dir):
+    """The height-ordered hash listing."""
+    return block_listing(chain_height(ledger_from_dir(spark, sf_dir).blocks))
+
+
+def q_block_drilldown(spark, sf_dir):
+    """Transactions of the first three listed blocks with their inputs and outputs."""
+    ledger, outs = _ledger(spark, sf_dir)
+    heights = cut_lineage(chain_height(ledger.blocks))
+    return block_drilldown(heights, ledger.transactions, outs, ledger.inputs, k=3)
+
+
+def _seeds(ledger, outs, addr):
+    top = (L.address_totals(outs, ledger.inputs)
+           .orderBy(F.desc("total_received"), F.asc("address")).limit(1))
+    return addr.join(F.broadcast(top.select("address")), "address").select("id")
+
+
+def q_neighbourhood(spark, sf_dir):
+    """The top-receiving address and all its payment-graph neighbours."""
+    ledger, outs, addr, w = _payment_graph(spark, sf_dir)
+    kept = neighbourhood(w, _seeds(ledger, outs, addr))
+    return kept.join(addr, "id").select("id", "address", "role")
+
+
+def q_graph_json(spark, sf_dir):
+    """node/edge JSON documents of the payment graph, neighbourhood highlighted."""
+    ledger, outs, addr, w = _payment_graph(spark, sf_dir)
+    kept = cut_lineage(neighbourhood(w, _seeds(ledger, outs, addr)))
+    return graph_elements(addr, w, kept)
+
+
+def q_clean_nodes(spark, sf_dir):
+    """Positional node table cleaned to (id, address)."""
+    _, outs = _ledger(spark, sf_dir)
+    raw = _address_ids(outs).select("id", "address").toDF("_1", "_2")
+    return clean_nodes(raw)
+
+
+def q_sample_outputs(spark, sf_dir):
+    """Sample with replacement, then the first 20 rows (no SQL twin: sampling)."""
+    _, outs = _ledger(spark, sf_dir)
+    return sample_rows(outs, fraction=0.01, n=20, seed=42)
+
+
+def q_snapshot_counts(spark, sf_dir):
+    """Per snapshot (block year): blocks, transactions, outputs, inputs, value."""
+    return snapshot_counts(ledger_from_dir(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "balances": q_balances,
     "blocks": q_blocks,
@@ -168,6 +284,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "payment_edges_weighted": q_payment_edges_weighted,
     "payment_edges": q_payment_edges,
     "p2pk_addresses": q_p2pk_addresses,
+    "pagerank": q_pagerank,
+    "top_addresses": q_top_addresses,
+    "address_report": q_address_report,
+    "usd_format": q_usd_format,
+    "json_fields": q_json_fields,
+    "tx_text": q_tx_text,
+    "chain_height": q_chain_height,
+    "block_listing": q_block_listing,
+    "block_drilldown": q_block_drilldown,
+    "neighbourhood": q_neighbourhood,
+    "graph_json": q_graph_json,
+    "clean_nodes": q_clean_nodes,
+    "sample_outputs": q_sample_outputs,
+    "snapshot_counts": q_snapshot_counts,
 }
 
 
