@@ -30,9 +30,16 @@ from ledgergraph.sources.star import ledger_from_dir, read_table
 ORACLE_DIGEST = "sha256"
 
 
+_CLASSIFIED: dict[tuple, DataFrame] = {}
+
+
 def _ledger(spark: SparkSession, sf_dir: str, digest: str = ORACLE_DIGEST) -> tuple[Ledger, DataFrame]:
+    """The materialised ledger and its classified outputs (classified once per ledger)."""
     ledger = ledger_from_dir(spark, sf_dir)
-    return ledger, cut_lineage(L.classified_outputs(ledger, digest))
+    key = (id(ledger.outputs), digest)
+    if key not in _CLASSIFIED:
+        _CLASSIFIED[key] = cut_lineage(L.classified_outputs(ledger, digest))
+    return ledger, _CLASSIFIED[key]
 
 
 def q_balances(spark, sf_dir):

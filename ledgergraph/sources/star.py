@@ -140,5 +140,28 @@ def derive_ledger(orders: DataFrame, lineitem: DataFrame, materialize: bool = Tr
     return ledger
 
 
-def ledger_from_dir(spark: SparkSession, sf_dir: str) -> Ledger:
-    return derive_ledger(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem"))
+_MEMO: dict[tuple, Ledger] = {}
+
+
+def _fingerprint(sf_dir: str) -> tuple:
+    import os
+    out = []
+    for name in ("orders", "lineitem"):
+        path = f"{sf_dir}/{name}.parquet"
+        try:
+            st = os.stat(path)
+            out.append((path, st.st_size, st.st_mtime_ns))
+        except OSError:       # not a local path (object store): key on the path alone
+            out.append((path,))
+    return tuple(out)
+
+
+def ledger_from_dir(spark: SparkSession, sf_dir: str, reuse: bool = True) -> Ledger:
+    """Derive (once per session and input version) and materialise the ledger of ``sf_dir``."""
+    key = (spark.sparkContext.applicationId, spark.sparkContext.getCheckpointDir(), _fingerprint(sf_dir))
+    if reuse and key in _MEMO:
+        return _MEMO[key]
+    ledger = derive_ledger(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem"))
+    if reuse:
+        _MEMO[key] = ledger
+    return ledger
