@@ -164,15 +164,25 @@ def _address_ids_cached(outs: DataFrame) -> DataFrame:
     return cut_lineage(_address_ids(outs))
 
 
+_GRAPHS: dict[int, tuple] = {}
+_RANKS: dict[int, DataFrame] = {}
+
+
 def _payment_graph(spark, sf_dir):
+    """Address ids and the weighted payment graph, built once per materialised ledger."""
     ledger, outs = _ledger(spark, sf_dir)
-    addr = _address_ids_cached(outs)
-    w = cut_lineage(E.payment_edges_weighted(ledger, outs, addr))
+    if id(outs) not in _GRAPHS:
+        addr = _address_ids_cached(outs)
+        w = cut_lineage(E.payment_edges_weighted(ledger, outs, addr))
+        _GRAPHS[id(outs)] = (addr, w)
+    addr, w = _GRAPHS[id(outs)]
     return ledger, outs, addr, w
 
 
 def _ranks(addr: DataFrame, w: DataFrame) -> DataFrame:
-    return pagerank(graph_vertices(addr, w), w)
+    if id(w) not in _RANKS:
+        _RANKS[id(w)] = cut_lineage(pagerank(graph_vertices(addr, w), w))
+    return _RANKS[id(w)]
 
 
 def q_pagerank(spark, sf_dir):
