@@ -10,6 +10,9 @@ without ``g``, the whole table — into a single task. Here the rows are range-p
    That is ``n`` tiny rows on the driver, independent of the data size.
 3. Per-partition offsets (global) and carries (rows of the partition's first group that sit in
    earlier partitions) are computed from the summaries and applied in a second vectorised pass.
+
+Global ids (no groups) need no Python at all: per-partition counts and
+``monotonically_increasing_id`` on the checkpointed partitions give the position.
 """
 
 from __future__ import annotations
@@ -63,6 +66,9 @@ def with_row_number(df: DataFrame, order_by: Sequence[str], partition_by: Sequen
         .withColumn(_PID, F.spark_partition_id())
     )
 
+    if not group_cols:
+        return _global_ids(staged, id_col, offset)
+
     summary_schema = T.StructType([
         T.StructField("pid", T.IntegerType()),
         T.StructField("n", T.LongType()),
@@ -77,8 +83,8 @@ def with_row_number(df: DataFrame, order_by: Sequence[str], partition_by: Sequen
             if pdf.empty:
                 continue
             pid = int(pdf[_PID].iloc[0])
-            head = _key_json(pdf[group_cols].iloc[0]) if group_cols else "[]"
-            tail = _key_json(pdf[group_cols].iloc[-1]) if group_cols else "[]"
+            head = _key_json(pdf[group_cols].iloc[0])
+            tail = _key_json(pdf[group_cols].iloc[-1])
             starts = _group_starts(pdf, group_cols)
             starts.iloc[0] = head != last_key
             gid = starts.cumsum()              # 0 = the group continuing from the last batch
@@ -95,12 +101,10 @@ def with_row_number(df: DataFrame, order_by: Sequence[str], partition_by: Sequen
     rows = sorted(staged.select(_PID, *keys).mapInPandas(summarize, summary_schema).collect(),
                   key=lambda r: r["pid"])
 
-    offsets: dict[int, int] = {}
     carries: dict[int, int] = {}
     firsts: dict[int, str] = {}
     total, cur_key, cur_run = 0, None, 0
     for r in rows:
-        offsets[r.pid] = total
         firsts[r.pid] = r.first_key
         carry = cur_run if r.first_key == cur_key else 0
         carries[r.pid] = carry
@@ -113,32 +117,25 @@ def with_row_number(df: DataFrame, order_by: Sequence[str], partition_by: Sequen
 
     out_schema = T.StructType([f for f in staged.schema.fields if f.name != _PID]
                               + [T.StructField(id_col, T.LongType(), False)])
-    base = offset
-
     def assign(batches):
-        state = {"pid": None, "pos": 0, "run": 0, "key": None}
+        state = {"pid": None, "run": 0, "key": None}
         for pdf in batches:
             if pdf.empty:
                 continue
             pid = int(pdf[_PID].iloc[0])
             if state["pid"] != pid:
-                state.update(pid=pid, pos=0, run=carries.get(pid, 0), key=firsts.get(pid))
-            m = len(pdf)
-            if group_cols:
-                starts = _group_starts(pdf, group_cols)
-                head = _key_json(pdf[group_cols].iloc[0])
-                starts.iloc[0] = head != state["key"]
-                gid = starts.cumsum()
-                within = pdf.groupby(gid.values, sort=False).cumcount().to_numpy()
-                first_group = (gid == 0).to_numpy()
-                values = within + first_group * state["run"]
-                last_gid = gid.iloc[-1]
-                tail_rows = int((gid == last_gid).sum())
-                state["run"] = (state["run"] + tail_rows) if last_gid == 0 else tail_rows
-                state["key"] = _key_json(pdf[group_cols].iloc[-1])
-            else:
-                values = base + offsets.get(pid, 0) + state["pos"] + pd.RangeIndex(m).to_numpy()
-            state["pos"] += m
+                state.update(pid=pid, run=carries.get(pid, 0), key=firsts.get(pid))
+            starts = _group_starts(pdf, group_cols)
+            head = _key_json(pdf[group_cols].iloc[0])
+            starts.iloc[0] = head != state["key"]
+            gid = starts.cumsum()              # 0 = the group continuing from before
+            within = pdf.groupby(gid.values, sort=False).cumcount().to_numpy()
+            first_group = (gid == 0).to_numpy()
+            values = within + first_group * state["run"]
+            last_gid = gid.iloc[-1]
+            tail_rows = int((gid == last_gid).sum())
+            state["run"] = (state["run"] + tail_rows) if last_gid == 0 else tail_rows
+            state["key"] = _key_json(pdf[group_cols].iloc[-1])
             out = pdf.drop(columns=[_PID])
             out[id_col] = values.astype("int64")
             yield out
@@ -146,6 +143,25 @@ def with_row_number(df: DataFrame, order_by: Sequence[str], partition_by: Sequen
     return staged.mapInPandas(assign, out_schema), total
 
 
+def _global_ids(staged: DataFrame, id_col: str, offset: int) -> tuple[DataFrame, int]:
+    """Global ordinals without Python: per-partition counts (n small rows) give each
+    partition's offset; within a partition ``monotonically_increasing_id`` is
+    ``(partition << 33) + position``, evaluated directly on the checkpointed partitions."""
+    spark = staged.sparkSession
+    counts = sorted((r[_PID], r["count"]) for r in staged.groupBy(_PID).count().collect())
+    rows, total = [], 0
+    for pid, c in counts:
+        rows.append((pid, total))
+        total += c
+    offsets = spark.createDataFrame(rows or [(0, 0)], f"{_PID} int, _lg_off long")
+    pos = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)
+    with_pos = staged.withColumn("_lg_pos", pos)
+    out = (with_pos.join(F.broadcast(offsets), _PID)          # ≤ one row per partition
+           .withColumn(id_col, F.col("_lg_off") + F.col("_lg_pos") + F.lit(offset))
+           .drop(_PID, "_lg_off", "_lg_pos"))
+    return out, total
+
+
 def dense_ids(df: DataFrame, key: str | Sequence[str], id_col: str = "id",
               offset: int = 0) -> tuple[DataFrame, int]:
     """Dense ids ``offset .. offset+n-1`` by the natural key (the deterministic ``zipWithIndex``)."""

@@ -302,6 +302,8 @@ SELECT 'edge',
                      'color': CASE WHEN ks.id IS NOT NULL AND kd.id IS NOT NULL THEN '#999' ELSE '#eee' END}) AS VARCHAR)
 FROM pay_w p LEFT JOIN kept ks ON ks.id = p.src LEFT JOIN kept kd ON kd.id = p.dst"""),
     "clean_nodes": with_ledger("SELECT id, address FROM address_ids"),
+    "nonstandard_addresses": with_ledger("""
+SELECT address, count(*) AS n_outputs FROM outputs WHERE contains(address, '_') GROUP BY address"""),
     "snapshot_counts": with_ledger(f"""
 , stx AS (SELECT hash AS tx_hash, {_year('time')} AS snapshot FROM transactions),
 bs AS (SELECT {_year('time')} AS snapshot, count(*) AS n_blocks FROM blocks GROUP BY 1),

@@ -278,6 +278,13 @@ def q_snapshot_counts(spark, sf_dir):
     return snapshot_counts(ledger_from_dir(spark, sf_dir))
 
 
+def q_nonstandard_addresses(spark, sf_dir):
+    """P9/A7 debug profile: addresses carrying a ``_`` (the puzzle_ prefix) with their outputs."""
+    _, outs = _ledger(spark, sf_dir)
+    return (outs.filter(F.col("address").contains("_"))
+            .groupBy("address").agg(F.count(F.lit(1)).alias("n_outputs")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "balances": q_balances,
     "blocks": q_blocks,
@@ -315,6 +322,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_nodes": q_clean_nodes,
     "sample_outputs": q_sample_outputs,
     "snapshot_counts": q_snapshot_counts,
+    "nonstandard_addresses": q_nonstandard_addresses,
 }
 
 

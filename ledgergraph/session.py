@@ -88,5 +88,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def bucketed_table(df: DataFrame, prefix: str, keys: list[str], buckets: int) -> tuple[DataFrame, str]:
+    """Write ``df`` as a table bucketed on ``keys`` under the shared checkpoint folder and
+    return (the table, its name). Joins on ``keys`` then read it pre-partitioned — no
+    exchange on this side — which a checkpointed frame cannot promise (it loses its
+    partitioning). One file per bucket: the rows are hash-partitioned the same way first."""
+    import uuid
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark)
+    name = f"{prefix}_{uuid.uuid4().hex[:12]}"
+    (df.repartition(buckets, *keys).write.bucketBy(buckets, *keys)
+     .option("path", f"{root}/tables/{name}").saveAsTable(name))
+    return spark.table(name), name
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
