@@ -74,15 +74,17 @@ def address_totals(outputs: DataFrame, inputs: DataFrame) -> DataFrame:
     its outputs.
     """
     so = spent_outputs(outputs.select("tx_hash", "ord", "value", "address"), inputs)
-    money = so.groupBy("address").agg(
-        F.sum("value").alias("total_received"),
-        F.coalesce(F.sum(F.when(F.col("spent_by").isNotNull(), F.col("value"))), F.lit(0))
-        .cast("long").alias("total_sent"))
-    txs = (so.select("address", F.col("tx_hash").alias("tx"))
-           .unionByName(so.filter(F.col("spent_by").isNotNull())
-                        .select("address", F.col("spent_by").alias("tx")))
-           .groupBy("address").agg(F.countDistinct("tx").alias("n_tx")))
-    return (money.join(txs, "address")
+    # one pass: each output contributes (paying tx, value received, value sent) and
+    # (spending tx, 0, 0); the distinct count is planned as (address, tx) then address —
+    # both partially aggregated, so a hot address is combined before the shuffle
+    zero = F.lit(0).cast("long")
+    legs = so.select("address", F.explode(F.array(
+        F.struct(F.col("tx_hash").alias("tx"), F.col("value").alias("recv"),
+                 F.when(F.col("spent_by").isNotNull(), F.col("value")).otherwise(zero).alias("sent")),
+        F.struct(F.col("spent_by").alias("tx"), zero.alias("recv"), zero.alias("sent")))).alias("leg"))
+    return (legs.groupBy("address")
+            .agg(F.sum("leg.recv").alias("total_received"), F.sum("leg.sent").alias("total_sent"),
+                 F.countDistinct("leg.tx").alias("n_tx"))
             .select("address", "total_received", "total_sent",
                     (F.col("total_received") - F.col("total_sent")).alias("final_balance"), "n_tx"))
 
