@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ledgergraph.operators.ids import dense_ids
 from ledgergraph.operators.ledger import spends
 from ledgergraph.schemas import Ledger
+from ledgergraph.session import cut_lineage
 
 EDGE_KINDS = ("block_tx", "address_tx", "tx_address", "block_prev")
 
@@ -62,8 +63,10 @@ def vertex_ids(ledger: Ledger, outputs: DataFrame) -> VertexIds:
     addr, n_addr = dense_ids(outputs.select("address").distinct(), "address")
     blk, n_blk = dense_ids(ledger.blocks.select("hash", "time"), "hash", offset=n_addr)
     txs, _ = dense_ids(ledger.transactions.select("hash"), "hash", offset=n_addr + n_blk)
-    return VertexIds(addr.select("id", "address"), blk.select("id", "hash", "time"),
-                     txs.select("id", "hash"))
+    # each id table is joined several times: materialise once (vertex-sized)
+    return VertexIds(cut_lineage(addr.select("id", "address")),
+                     cut_lineage(blk.select("id", "hash", "time")),
+                     cut_lineage(txs.select("id", "hash")))
 
 
 def edges_indexed(ledger: Ledger, outputs: DataFrame, ids: VertexIds | None = None,

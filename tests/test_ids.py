@@ -32,3 +32,26 @@ def test_string_keys_and_empty_partitions(spark):
     df = spark.createDataFrame([("b", 2), ("a", 1), ("a", 3), ("c", 0)], "s string, x long")
     ours, _ = with_row_number(df, ["x"], partition_by=["s"], num_partitions=16)
     assert sorted((r.s, r.x, r.rn) for r in ours.collect()) == [("a", 1, 0), ("a", 3, 1), ("b", 2, 0), ("c", 0, 0)]
+
+
+def test_order_chain_with_hot_customer(spark):
+    """One customer holds a third of all orders: the chain (next order per customer) equals
+    the window definition, although that customer's orders span many partitions."""
+    import datetime as dt
+
+    from pyspark.sql import Window
+
+    from ledgergraph.sources.star import _order_chain
+    base = dt.datetime(1995, 1, 1)
+    rows = [(k, 7 if k % 3 == 0 else k % 50, base + dt.timedelta(days=(k * 37) % 400))
+            for k in range(3000)]
+    orders = spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        got = {(r.o_orderkey, r.next_orderkey, r.seq) for r in _order_chain(orders).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    ref = orders.select("o_orderkey", F.lead("o_orderkey").over(w).alias("next_orderkey"),
+                        (F.row_number().over(w) - 1).alias("seq"))
+    assert got == {(r.o_orderkey, r.next_orderkey, r.seq) for r in ref.collect()}
