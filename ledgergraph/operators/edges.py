@@ -131,7 +131,14 @@ def payment_edges_weighted(ledger: Ledger, outputs: DataFrame, address_ids: Data
     return out.select(F.col("payee_id").alias("src"), F.col("payer_id").alias("dst"), "n")
 
 
-def expand_multigraph(weighted: DataFrame) -> DataFrame:
-    """(src, dst, n) → n rows of (src, dst): the v1 multigraph with parallel edges."""
-    return weighted.select("src", "dst", F.explode(F.array_repeat(F.lit(1), F.col("n").cast("int")))
-                           .alias("_k")).drop("_k")
+def expand_multigraph(weighted: DataFrame, chunk: int = 4096) -> DataFrame:
+    """(src, dst, n) → n rows of (src, dst): the v1 multigraph with parallel edges.
+
+    Two-level expansion — ⌈n / chunk⌉ chunks, then up to ``chunk`` rows each — so no single
+    generated array exceeds a few thousand elements even for a very heavy pair.
+    """
+    n = F.col("n").cast("long")
+    chunks = weighted.select("src", "dst", "n", F.explode(
+        F.sequence(F.lit(0).cast("long"), F.ceil(n / chunk).cast("long") - 1)).alias("_c"))
+    size = F.least(F.lit(chunk).cast("long"), n - F.col("_c") * chunk)
+    return chunks.select("src", "dst", F.explode(F.sequence(F.lit(1).cast("long"), size)).alias("_k")).drop("_k")

@@ -66,3 +66,9 @@ def test_legacy_direction(ledger, outs):
     doc = E.edges_named(ledger, outs).filter(F.col("edge_kind") == "block_tx").select("src", "dst")
     leg = E.edges_named(ledger, outs, direction="legacy").filter(F.col("edge_kind") == "block_tx")
     assert doc.exceptAll(leg.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).count() == 0
+
+
+def test_expand_multigraph_chunks(spark):
+    w = spark.createDataFrame([(1, 2, 10001), (3, 4, 1), (5, 6, 4096)], "src long, dst long, n long")
+    got = E.expand_multigraph(w, chunk=4096).groupBy("src", "dst").count().collect()
+    assert {(r.src, r.dst): r["count"] for r in got} == {(1, 2): 10001, (3, 4): 1, (5, 6): 4096}
