@@ -1,6 +1,9 @@
 """Named queries: ``(spark, sf_dir) -> DataFrame``, one per operator of the inventory.
 
 Every query derives the ledger from the star tables in ``sf_dir`` and runs over whole tables.
+Within one session the derived tables a query needs (the materialised ledger, classified
+outputs, vertex ids, the payment graph, ranks, chain heights) are built once and shared by
+the queries that need them, as a user session would reuse them.
 Queries whose output shows P2PK addresses classify with ``pubkey_digest="sha256"`` so the
 SQL oracle can reproduce them; ``p2pk_addresses`` exercises the real hash160/Base58 path.
 """
@@ -14,17 +17,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgergraph.functions.hashing import hash160_hex, hash160_to_address
+from ledgergraph.functions.script import pubkey_bytes, script_kind, with_address
+from ledgergraph.functions.text import json_fields, tx_record_text
 from ledgergraph.operators import edges as E
 from ledgergraph.operators import ledger as L
-from ledgergraph.schemas import Ledger
-from ledgergraph.session import cut_lineage
-from ledgergraph.functions.text import json_fields, tx_record_text
 from ledgergraph.operators.chain import block_drilldown, block_listing, chain_height
 from ledgergraph.operators.neighbours import graph_elements, neighbourhood
 from ledgergraph.operators.pagerank import graph_vertices, pagerank, top_k
 from ledgergraph.operators.report import address_report, usd_columns
 from ledgergraph.operators.sampling import clean_nodes, sample_rows
 from ledgergraph.operators.snapshots import snapshot_counts
+from ledgergraph.schemas import Ledger
+from ledgergraph.session import cut_lineage
 from ledgergraph.sources.star import ledger_from_dir, read_table
 
 ORACLE_DIGEST = "sha256"
@@ -57,7 +61,6 @@ def q_transactions(spark, sf_dir):
 
 def q_outputs(spark, sf_dir):
     ledger = ledger_from_dir(spark, sf_dir)
-    from ledgergraph.functions.script import with_address
     return (with_address(ledger.outputs, ORACLE_DIGEST)
             .select("tx_hash", "ord", "value", F.hex("script").alias("script_hex"), "address", "kind"))
 
@@ -113,44 +116,43 @@ def q_edge_counts(spark, sf_dir):
     return E.edge_counts(E.edges_named(ledger, outs))
 
 
-def q_address_ids(spark, sf_dir):
+_VERTEX_IDS: dict[int, E.VertexIds] = {}
+
+
+def _vertex_ids(spark, sf_dir) -> tuple[Ledger, DataFrame, E.VertexIds]:
     ledger, outs = _ledger(spark, sf_dir)
-    return E.vertex_ids(ledger, outs).addresses
+    if id(outs) not in _VERTEX_IDS:
+        _VERTEX_IDS[id(outs)] = E.vertex_ids(ledger, outs)
+    return ledger, outs, _VERTEX_IDS[id(outs)]
+
+
+def q_address_ids(spark, sf_dir):
+    return _vertex_ids(spark, sf_dir)[2].addresses
 
 
 def q_block_ids(spark, sf_dir):
-    ledger, outs = _ledger(spark, sf_dir)
-    return E.vertex_ids(ledger, outs).blocks
+    return _vertex_ids(spark, sf_dir)[2].blocks
 
 
 def q_tx_ids(spark, sf_dir):
-    ledger, outs = _ledger(spark, sf_dir)
-    return E.vertex_ids(ledger, outs).transactions
+    return _vertex_ids(spark, sf_dir)[2].transactions
 
 
 def q_edges_indexed(spark, sf_dir):
-    ledger, outs = _ledger(spark, sf_dir)
-    return E.edges_indexed(ledger, outs)
-
-
-def _address_ids(outs: DataFrame) -> DataFrame:
-    from ledgergraph.operators.ids import dense_ids
-    return dense_ids(outs.select("address").distinct(), "address")[0]
+    ledger, outs, ids = _vertex_ids(spark, sf_dir)
+    return E.edges_indexed(ledger, outs, ids)
 
 
 def q_payment_edges_weighted(spark, sf_dir):
-    ledger, outs = _ledger(spark, sf_dir)
-    return E.payment_edges_weighted(ledger, outs, _address_ids(outs))
+    return _payment_graph(spark, sf_dir)[3]
 
 
 def q_payment_edges(spark, sf_dir):
-    ledger, outs = _ledger(spark, sf_dir)
-    return E.expand_multigraph(E.payment_edges_weighted(ledger, outs, _address_ids(outs)))
+    return E.expand_multigraph(_payment_graph(spark, sf_dir)[3])
 
 
 def q_p2pk_addresses(spark, sf_dir):
     """Real hash160 of every distinct P2PK pubkey and its Base58Check address (no SQL twin)."""
-    from ledgergraph.functions.script import pubkey_bytes, script_kind
     ledger = ledger_from_dir(spark, sf_dir)
     s = F.col("script")
     keys = (ledger.outputs.filter(script_kind(s) == "p2pk")
@@ -160,19 +162,15 @@ def q_p2pk_addresses(spark, sf_dir):
                     hash160_to_address(F.col("hash160")).alias("base58")))
 
 
-def _address_ids_cached(outs: DataFrame) -> DataFrame:
-    return cut_lineage(_address_ids(outs))
-
-
 _GRAPHS: dict[int, tuple] = {}
 _RANKS: dict[int, DataFrame] = {}
 
 
 def _payment_graph(spark, sf_dir):
     """Address ids and the weighted payment graph, built once per materialised ledger."""
-    ledger, outs = _ledger(spark, sf_dir)
+    ledger, outs, ids = _vertex_ids(spark, sf_dir)
     if id(outs) not in _GRAPHS:
-        addr = _address_ids_cached(outs)
+        addr = ids.addresses
         w = cut_lineage(E.payment_edges_weighted(ledger, outs, addr))
         _GRAPHS[id(outs)] = (addr, w)
     addr, w = _GRAPHS[id(outs)]
@@ -223,21 +221,29 @@ def q_tx_text(spark, sf_dir):
     return t.select("hash", tx_record_text(F.col("hash"), F.col("time"), F.col("block_hash")).alias("text"))
 
 
+_HEIGHTS: dict[int, DataFrame] = {}
+
+
+def _heights(ledger: Ledger) -> DataFrame:
+    if id(ledger.blocks) not in _HEIGHTS:
+        _HEIGHTS[id(ledger.blocks)] = cut_lineage(chain_height(ledger.blocks))
+    return _HEIGHTS[id(ledger.blocks)]
+
+
 def q_chain_height(spark, sf_dir):
     """Height of every block along the prev-hash chain (pointer doubling)."""
-    return chain_height(ledger_from_dir(spark, sf_dir).blocks)
+    return _heights(ledger_from_dir(spark, sf_dir))
 
 
 def q_block_listing(spark, sf_dir):
     """The height-ordered hash listing."""
-    return block_listing(chain_height(ledger_from_dir(spark, sf_dir).blocks))
+    return block_listing(_heights(ledger_from_dir(spark, sf_dir)))
 
 
 def q_block_drilldown(spark, sf_dir):
     """Transactions of the first three listed blocks with their inputs and outputs."""
     ledger, outs = _ledger(spark, sf_dir)
-    heights = cut_lineage(chain_height(ledger.blocks))
-    return block_drilldown(heights, ledger.transactions, outs, ledger.inputs, k=3)
+    return block_drilldown(_heights(ledger), ledger.transactions, outs, ledger.inputs, k=3)
 
 
 def _seeds(ledger, outs, addr):
@@ -262,8 +268,7 @@ def q_graph_json(spark, sf_dir):
 
 def q_clean_nodes(spark, sf_dir):
     """Positional node table cleaned to (id, address)."""
-    _, outs = _ledger(spark, sf_dir)
-    raw = _address_ids(outs).select("id", "address").toDF("_1", "_2")
+    raw = _vertex_ids(spark, sf_dir)[2].addresses.select("id", "address").toDF("_1", "_2")
     return clean_nodes(raw)
 
 

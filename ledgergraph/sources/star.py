@@ -129,6 +129,8 @@ def derive_ledger(orders: DataFrame, lineitem: DataFrame, materialize: bool = Tr
     columns instead of re-deriving hashes and scripts in every branch."""
     rows = _output_rows(lineitem)
     chain = _order_chain(orders)
+    if materialize:   # each feeds two tables: run the ordinal pass once
+        rows, chain = cut_lineage(rows), cut_lineage(chain)
     ledger = Ledger(
         blocks=derive_blocks(orders),
         transactions=derive_transactions(orders),
