@@ -2,13 +2,77 @@
 
 Each oracle re-derives the ledger from ``orders``/``lineitem`` with plain window functions
 (``row_number``/``lead``/``lag``) — the straightforward single-node formulation the Spark plans
-avoid — and then computes the query. P2PK addresses use the SQL-reproducible digest
-(upper hex SHA-256 of the pubkey), matching the queries registered with
-``pubkey_digest="sha256"``.
+avoid — and then computes the query.
+
+DuckDB has no RIPEMD-160, so the oracle computes hash160 of P2PK public keys itself:
+SHA-256 (built in) followed by RIPEMD-160 of the 32-byte digest — a single 64-byte block —
+as an 80-step recursive CTE over 32-bit words, with the specification's constants taken from
+``functions.hashing``. It is checked against ``hashlib`` in the tests.
 """
 
 from __future__ import annotations
 
+from ledgergraph.functions.hashing import (RMD_H0, RMD_K1, RMD_K2, RMD_R1, RMD_R2, RMD_S1,
+                                           RMD_S2)
+
+_MASK32 = "4294967295"
+
+
+def _rmd_f(jexpr: str, x: str, y: str, z: str) -> str:
+    """The five RIPEMD-160 boolean functions, chosen by step number (SQL on 32-bit words)."""
+    nx, ny, nz = (f"(~{v} & {_MASK32})" for v in (x, y, z))
+    return (f"(CASE WHEN {jexpr} < 16 THEN xor(xor({x}, {y}), {z}) "
+            f"WHEN {jexpr} < 32 THEN (({x} & {y}) | ({nx} & {z})) "
+            f"WHEN {jexpr} < 48 THEN xor(({x} | {ny}), {z}) "
+            f"WHEN {jexpr} < 64 THEN (({x} & {z}) | ({y} & {nz})) "
+            f"ELSE xor({x}, ({y} | {nz})) END)")
+
+
+def _rol(v: str, s: str) -> str:
+    return f"((({v}) << ({s})) | (({v}) >> (32 - ({s})))) & {_MASK32}"
+
+
+def hash160_ctes(src: str, col: str) -> str:
+    """CTEs ending in ``hash160(k, h160)``: upper-hex hash160 of the hex keys ``src.col``.
+
+    RIPEMD-160 runs on the 32-byte SHA-256 digest: one padded 64-byte block whose 16
+    little-endian words are the digest's 8 words, 0x80, zeros and the bit length 256.
+    """
+    steps = ", ".join(
+        f"({j}, {RMD_R1[j]}, {RMD_S1[j]}, {RMD_K1[j // 16]}, {RMD_R2[j]}, {RMD_S2[j]}, {RMD_K2[j // 16]})"
+        for j in range(80))
+
+    def word(i: int) -> str:   # little-endian word i of the digest (hex text d)
+        b = [f"substr(d, {8 * i + 2 * k + 1}, 2)" for k in range(4)]
+        return f"CAST('0x' || {b[3]} || {b[2]} || {b[1]} || {b[0]} AS BIGINT)"
+
+    block = "[" + ", ".join([word(i) for i in range(8)] + ["128", "0", "0", "0", "0", "0", "256", "0"]) + "]"
+    h = RMD_H0
+    start = ", ".join(f"CAST({v} AS BIGINT)" for v in list(h) + list(h))
+    left = f"((r.al + {_rmd_f('r.j', 'r.bl', 'r.cl', 'r.dl')} + r.x[c.r1 + 1] + c.k1) & {_MASK32})"
+    right = f"((r.ar + {_rmd_f('79 - r.j', 'r.br', 'r.cr', 'r.dr')} + r.x[c.r2 + 1] + c.k2) & {_MASK32})"
+    hexed = " || ".join(
+        f"printf('%02X%02X%02X%02X', (h{i} & 255), ((h{i} >> 8) & 255), ((h{i} >> 16) & 255), ((h{i} >> 24) & 255))"
+        for i in range(5))
+    return f"""
+rmd_c(j, r1, s1, k1, r2, s2, k2) AS (VALUES {steps}),
+rmd_x AS (SELECT {col} AS k, {block} AS x FROM (SELECT {col}, sha256(unhex({col})) AS d FROM {src})),
+rmd(k, j, x, al, bl, cl, dl, el, ar, br, cr, dr, er) AS (
+  SELECT k, 0, x, {start} FROM rmd_x
+  UNION ALL
+  SELECT k, j + 1, x,
+         el, ((({_rol('tl', 's1')}) + el) & {_MASK32}), bl, ({_rol('cl', '10')}), dl,
+         er, ((({_rol('tr', 's2')}) + er) & {_MASK32}), br, ({_rol('cr', '10')}), dr
+  FROM (SELECT r.*, c.s1, c.s2, {left} AS tl, {right} AS tr
+        FROM rmd r JOIN rmd_c c ON c.j = r.j WHERE r.j < 80)),
+rmd_h AS (
+  SELECT k, (({h[1]} + cl + dr) & {_MASK32}) AS h0, (({h[2]} + dl + er) & {_MASK32}) AS h1,
+         (({h[3]} + el + ar) & {_MASK32}) AS h2, (({h[4]} + al + br) & {_MASK32}) AS h3,
+         (({h[0]} + bl + cr) & {_MASK32}) AS h4
+  FROM rmd WHERE j = 80),
+hash160 AS (SELECT k, {hexed} AS h160 FROM rmd_h)"""
+
+
 _KIND = """CASE
       WHEN script_hex IS NULL THEN 'unknown'
       WHEN script_hex = '' THEN 'anyone'
@@ -20,7 +84,7 @@ _KIND = """CASE
 
 _ADDRESS = """CASE kind
       WHEN 'p2pkh' THEN substr(script_hex, 7, 40)
-      WHEN 'p2pk' THEN upper(sha256(unhex(substr(script_hex, 3, length(script_hex) - 4))))
+      WHEN 'p2pk' THEN (SELECT h160 FROM hash160 WHERE k = substr(script_hex, 3, length(script_hex) - 4))
       WHEN 'puzzle' THEN 'puzzle_' || substr(script_hex, 3, length(script_hex) - 6)
       WHEN 'anyone' THEN 'anyone'
       WHEN 'unspendable' THEN 'unspendable'
@@ -60,6 +124,8 @@ outputs_raw AS (
          l_orderkey, l_returnflag
   FROM li),
 outputs_k AS (SELECT *, {_KIND} AS kind FROM outputs_raw),
+p2pk_keys AS (SELECT DISTINCT substr(script_hex, 3, length(script_hex) - 4) AS pubkey_hex
+              FROM outputs_k WHERE kind = 'p2pk'),{hash160_ctes('p2pk_keys', 'pubkey_hex').rstrip()},
 outputs AS (SELECT *, {_ADDRESS} AS address FROM outputs_k),
 chain AS (
   SELECT o_orderkey,
@@ -99,7 +165,8 @@ pay_w AS (
 """
 
 
-def with_ledger(body: str, recursive: bool = False) -> str:
+def with_ledger(body: str, recursive: bool = True) -> str:
+    # the ledger CTEs contain the recursive hash160 computation, so every oracle recurses
     head = "WITH RECURSIVE" if recursive else "WITH"
     return f"{head} {LEDGER_CTES.strip()}\n{body}"
 

@@ -4,8 +4,8 @@ Every query derives the ledger from the star tables in ``sf_dir`` and runs over
 Within one session the derived tables a query needs (the materialised ledger, classified
 outputs, vertex ids, the payment graph, ranks, chain heights) are built once and shared by
 the queries that need them, as a user session would reuse them.
-Queries whose output shows P2PK addresses classify with ``pubkey_digest="sha256"`` so the
-SQL oracle can reproduce them; ``p2pk_addresses`` exercises the real hash160/Base58 path.
+P2PK addresses are hash160 (RIPEMD-160 of SHA-256) of the public key, as in the reference;
+the SQL oracle computes the same digest itself.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from ledgergraph.schemas import Ledger
 from ledgergraph.session import cut_lineage
 from ledgergraph.sources.star import ledger_from_dir, read_table
 
-ORACLE_DIGEST = "sha256"
+ORACLE_DIGEST = "hash160"
 
 
 _CLASSIFIED: dict[tuple, DataFrame] = {}

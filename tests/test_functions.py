@@ -92,3 +92,17 @@ def test_text_and_money(spark):
     assert r.js.k == 5 and r.bad.k is None
     assert r.ids == ["ab", "cd"]
     assert r.s == "1AB"
+
+
+def test_sql_hash160_matches_hashlib():
+    import os
+
+    import duckdb
+
+    from ledgergraph.plans.oracle import hash160_ctes
+    keys = [os.urandom(n).hex().upper() for n in (65, 33, 1, 0, 200)] + [PUBKEY]
+    vals = ", ".join(f"('{k}')" for k in keys)
+    sql = f"WITH RECURSIVE keys(pk) AS (VALUES {vals}), {hash160_ctes('keys', 'pk').strip()} SELECT k, h160 FROM hash160"
+    got = dict(duckdb.sql(sql).fetchall())
+    for k in keys:
+        assert got[k] == H.hash160_bytes(bytes.fromhex(k)).hex().upper()
