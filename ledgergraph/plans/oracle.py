@@ -12,8 +12,8 @@ as an 80-step recursive CTE over 32-bit words, with the specification's constant
 
 from __future__ import annotations
 
-from ledgergraph.functions.hashing import (RMD_H0, RMD_K1, RMD_K2, RMD_R1, RMD_R2, RMD_S1,
-                                           RMD_S2)
+from ledgergraph.functions.hashing import (B58_ALPHABET, RMD_H0, RMD_K1, RMD_K2, RMD_R1, RMD_R2,
+                                           RMD_S1, RMD_S2)
 
 _MASK32 = "4294967295"
 
@@ -73,6 +73,35 @@ rmd_h AS (
 hash160 AS (SELECT k, {hexed} AS h160 FROM rmd_h)"""
 
 
+def base58check_ctes(src: str, col: str) -> str:
+    """CTEs ending in ``b58(k, address)``: Base58Check (version 0x00) of the hex hash160 keys.
+
+    The 25-byte payload (version, hash, 4-byte double-SHA-256 checksum) is held as five
+    40-bit limbs; each recursive step divides it by 58 (long division across the limbs) and
+    prepends the remainder's character; leading zero bytes become '1's.
+    """
+    limb = 1 << 40
+    limbs = ", ".join(f"CAST('0x' || substr(p, {10 * i + 1}, 10) AS BIGINT) AS l{i}" for i in range(5))
+    return f"""
+b58_in AS (
+  SELECT k, {limbs}, CAST(length(regexp_extract(p, '^(00)*', 0)) / 2 AS INTEGER) AS zeros
+  FROM (SELECT k, v || substr(upper(sha256(unhex(sha256(unhex(v))))), 1, 8) AS p
+        FROM (SELECT {col} AS k, '00' || {col} AS v FROM {src}))),
+b58_div(k, l0, l1, l2, l3, l4, s) AS (
+  SELECT k, l0, l1, l2, l3, l4, '' FROM b58_in
+  UNION ALL
+  SELECT k, q0, q1, q2, q3, c4 // 58, substr('{B58_ALPHABET}', CAST(c4 % 58 AS INTEGER) + 1, 1) || s FROM (
+    SELECT *, (c3 % 58) * {limb} + l4 AS c4, c3 // 58 AS q3 FROM (
+      SELECT *, (c2 % 58) * {limb} + l3 AS c3, c2 // 58 AS q2 FROM (
+        SELECT *, (c1 % 58) * {limb} + l2 AS c2, c1 // 58 AS q1 FROM (
+          SELECT *, (l0 % 58) * {limb} + l1 AS c1, l0 // 58 AS q0 FROM b58_div
+          WHERE l0 <> 0 OR l1 <> 0 OR l2 <> 0 OR l3 <> 0 OR l4 <> 0))))),
+b58 AS (
+  SELECT d.k, repeat('1', i.zeros) || d.s AS address
+  FROM b58_div d JOIN b58_in i ON i.k = d.k
+  WHERE d.l0 = 0 AND d.l1 = 0 AND d.l2 = 0 AND d.l3 = 0 AND d.l4 = 0)"""
+
+
 _KIND = """CASE
       WHEN script_hex IS NULL THEN 'unknown'
       WHEN script_hex = '' THEN 'anyone'
@@ -369,6 +398,9 @@ SELECT 'edge',
                      'color': CASE WHEN ks.id IS NOT NULL AND kd.id IS NOT NULL THEN '#999' ELSE '#eee' END}) AS VARCHAR)
 FROM pay_w p LEFT JOIN kept ks ON ks.id = p.src LEFT JOIN kept kd ON kd.id = p.dst"""),
     "clean_nodes": with_ledger("SELECT id, address FROM address_ids"),
+    "p2pk_addresses": with_ledger(", " + base58check_ctes("hash160", "h160").strip() + """
+SELECT k.pubkey_hex, h.h160 AS hash160, b.address AS base58
+FROM p2pk_keys k JOIN hash160 h ON h.k = k.pubkey_hex JOIN b58 b ON b.k = h.h160"""),
     "nonstandard_addresses": with_ledger("""
 SELECT address, count(*) AS n_outputs FROM outputs WHERE contains(address, '_') GROUP BY address"""),
     "snapshot_counts": with_ledger(f"""

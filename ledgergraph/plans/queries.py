@@ -152,7 +152,7 @@ def q_payment_edges(spark, sf_dir):
 
 
 def q_p2pk_addresses(spark, sf_dir):
-    """Real hash160 of every distinct P2PK pubkey and its Base58Check address (no SQL twin)."""
+    """hash160 of every distinct P2PK public key and its Base58Check address."""
     ledger = ledger_from_dir(spark, sf_dir)
     s = F.col("script")
     keys = (ledger.outputs.filter(script_kind(s) == "p2pk")

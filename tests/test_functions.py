@@ -106,3 +106,17 @@ def test_sql_hash160_matches_hashlib():
     got = dict(duckdb.sql(sql).fetchall())
     for k in keys:
         assert got[k] == H.hash160_bytes(bytes.fromhex(k)).hex().upper()
+
+
+def test_sql_base58_matches_python():
+    import os
+
+    import duckdb
+
+    from ledgergraph.plans.oracle import base58check_ctes
+    keys = [os.urandom(20).hex().upper() for _ in range(20)] + ["00" * 20, "0000" + "FF" * 18, PUBKEY_HASH160]
+    vals = ", ".join(f"('{k}')" for k in keys)
+    sql = f"WITH RECURSIVE keys(h) AS (VALUES {vals}), {base58check_ctes('keys', 'h').strip()} SELECT k, address FROM b58"
+    got = dict(duckdb.sql(sql).fetchall())
+    for k in keys:
+        assert got[k] == H.base58check(bytes.fromhex(k)), k
