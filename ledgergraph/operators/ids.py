@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgergraph.session import cut_lineage, shuffle_partitions
+from ledgergraph.session import cut_lineage
 
 _PID = "_lg_pid"
 
@@ -57,14 +57,13 @@ def with_row_number(df: DataFrame, order_by: Sequence[str], partition_by: Sequen
     Returns ``(frame, total_rows)``. Ties in ``order_by`` are numbered in an arbitrary order, as
     with SQL ``row_number``; give a unique key for reproducible ids.
     """
-    spark = df.sparkSession
     group_cols = list(partition_by)
     keys = group_cols + list(order_by)
-    n = num_partitions or shuffle_partitions(spark)
-    staged = cut_lineage(
-        df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-        .withColumn(_PID, F.spark_partition_id())
-    )
+    # without an explicit count, AQE sizes the range shuffle from the data (coalescing only
+    # merges adjacent ranges, so partition order is still key order)
+    ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions
+              else df.repartitionByRange(*keys))
+    staged = cut_lineage(ranged.sortWithinPartitions(*keys).withColumn(_PID, F.spark_partition_id()))
 
     if not group_cols:
         return _global_ids(staged, id_col, offset)
