@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgergraph.functions.hashing import tagged_hash
 from ledgergraph.operators.ids import with_row_number
@@ -34,16 +35,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _day(ts: Column) -> Column:
-    return F.to_date(ts).cast("string")
-
-
-def _epoch_seconds(ts: Column) -> Column:
-    """Epoch seconds of a TIMESTAMP_NTZ/TIMESTAMP wall clock, independent of the session zone."""
+def _epoch_seconds(df: DataFrame, name: str) -> Column:
+    """Epoch seconds of a timestamp column, independent of the session time zone: a
+    TIMESTAMP_NTZ is read as a UTC wall clock, a TIMESTAMP is an instant already."""
+    ts = F.col(name)
+    if isinstance(df.schema[name].dataType, T.TimestampType):
+        return F.unix_seconds(ts).cast("int")
     return (F.unix_date(F.to_date(ts)).cast("long") * 86400
             + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)).cast("int")
 
 
+def _day(epoch: Column) -> Column:
+    """'yyyy-MM-dd' (UTC) of epoch seconds."""
+    return F.date_from_unix_date(F.floor(epoch / 86400).cast("int")).cast("string")
+
+
 def script_hex(partkey: Column) -> Column:
     a = tagged_hash("A", partkey)
     x = tagged_hash("X", partkey)
@@ -61,8 +67,8 @@ def script_hex(partkey: Column) -> Column:
 
 
 def derive_blocks(orders: DataFrame) -> DataFrame:
-    days = orders.select(_day(F.col("o_orderdate")).alias("day"),
-                         _epoch_seconds(F.col("o_orderdate")).alias("time")).distinct()
+    epoch = _epoch_seconds(orders, "o_orderdate")
+    days = orders.select(_day(epoch).alias("day"), epoch.alias("time")).distinct()
     ranked, _ = with_row_number(days, ["day"], id_col="seq")
     ranked = ranked.withColumn("hash", tagged_hash("B", F.col("day")))
     prev = ranked.select((F.col("seq") + 1).alias("seq"), F.col("hash").alias("prev_hash"))
@@ -72,10 +78,11 @@ def derive_blocks(orders: DataFrame) -> DataFrame:
 
 
 def derive_transactions(orders: DataFrame) -> DataFrame:
+    epoch = _epoch_seconds(orders, "o_orderdate")
     return orders.select(
         tagged_hash("T", F.col("o_orderkey")).alias("hash"),
-        tagged_hash("B", _day(F.col("o_orderdate"))).alias("block_hash"),
-        _epoch_seconds(F.col("o_orderdate")).alias("time"),
+        tagged_hash("B", _day(epoch)).alias("block_hash"),
+        epoch.alias("time"),
     )
 
 

@@ -55,3 +55,22 @@ def test_order_chain_with_hot_customer(spark):
     ref = orders.select("o_orderkey", F.lead("o_orderkey").over(w).alias("next_orderkey"),
                         (F.row_number().over(w) - 1).alias("seq"))
     assert got == {(r.o_orderkey, r.next_orderkey, r.seq) for r in ref.collect()}
+
+
+def test_blocks_independent_of_time_zone_and_timestamp_type(spark):
+    import datetime as dt
+
+    from ledgergraph.sources.star import derive_blocks
+    rows = [(1, dt.datetime(1995, 1, 1)), (2, dt.datetime(1995, 1, 2)), (3, dt.datetime(1995, 1, 1))]
+    ntz = spark.createDataFrame(rows, "o_orderkey long, o_orderdate timestamp_ntz")
+    # the same instants as a zone-aware TIMESTAMP column (cast while the session is UTC)
+    ltz = ntz.select("o_orderkey", F.col("o_orderdate").cast("timestamp").alias("o_orderdate")).cache()
+    ltz.count()
+    want = sorted(tuple(r) for r in derive_blocks(ntz).collect())
+    assert sorted(r[2] for r in want) == [788918400, 789004800]
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        assert sorted(tuple(r) for r in derive_blocks(ntz).collect()) == want
+        assert sorted(tuple(r) for r in derive_blocks(ltz).collect()) == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
