@@ -106,3 +106,10 @@ def flat_size(transactions: DataFrame, outputs: DataFrame, inputs: DataFrame) ->
                       .alias("flat")))
     return per_tx.groupBy("block_hash").agg(F.sum("flat").cast("long").alias("flat_size"),
                                            F.count(F.lit(1)).alias("n_tx"))
+
+
+def duplicate_hashes(transactions: DataFrame) -> DataFrame:
+    """Quality check: transaction hashes occurring more than once (they would fan out every
+    hash join). Empty on a clean ledger."""
+    return (transactions.groupBy("hash").agg(F.count(F.lit(1)).alias("copies"))
+            .filter(F.col("copies") > 1))

@@ -401,6 +401,8 @@ FROM pay_w p LEFT JOIN kept ks ON ks.id = p.src LEFT JOIN kept kd ON kd.id = p.d
     "p2pk_addresses": with_ledger(", " + base58check_ctes("hash160", "h160").strip() + """
 SELECT k.pubkey_hex, h.h160 AS hash160, b.address AS base58
 FROM p2pk_keys k JOIN hash160 h ON h.k = k.pubkey_hex JOIN b58 b ON b.k = h.h160"""),
+    "duplicate_tx_hashes": with_ledger("""
+SELECT hash, count(*) AS copies FROM transactions GROUP BY hash HAVING count(*) > 1"""),
     "nonstandard_addresses": with_ledger("""
 SELECT address, count(*) AS n_outputs FROM outputs WHERE contains(address, '_') GROUP BY address"""),
     "snapshot_counts": with_ledger(f"""

@@ -290,6 +290,11 @@ def q_nonstandard_addresses(spark, sf_dir):
             .groupBy("address").agg(F.count(F.lit(1)).alias("n_outputs")))
 
 
+def q_duplicate_tx_hashes(spark, sf_dir):
+    """Quality check: repeated transaction hashes (none expected)."""
+    return L.duplicate_hashes(ledger_from_dir(spark, sf_dir).transactions)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "balances": q_balances,
     "blocks": q_blocks,
@@ -328,6 +333,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sample_outputs": q_sample_outputs,
     "snapshot_counts": q_snapshot_counts,
     "nonstandard_addresses": q_nonstandard_addresses,
+    "duplicate_tx_hashes": q_duplicate_tx_hashes,
 }
 
 
