@@ -1,6 +1,6 @@
 """The conversion job — block files → ledger tables, vertex-id tables and edge tables.
 
-    spark-submit --py-files ledgergraph.zip -m ledgergraph.plans.job <input> <output> [debug]
+    spark-submit --py-files ledgergraph.zip convert_job.py <input> <output> [debug]
 
 Output folders (Parquet, gzip, overwrite so a re-run is idempotent):
 
