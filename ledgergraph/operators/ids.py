@@ -116,6 +116,7 @@ def with_row_number(df: DataFrame, order_by: Sequence[str], partition_by: Sequen
 
     out_schema = T.StructType([f for f in staged.schema.fields if f.name != _PID]
                               + [T.StructField(id_col, T.LongType(), False)])
+
     def assign(batches):
         state = {"pid": None, "run": 0, "key": None}
         for pdf in batches:

@@ -121,8 +121,8 @@ _ADDRESS = """CASE kind
 
 LEDGER_CTES = f"""
 days AS (
-  SELECT DISTINCT strftime(o_orderdate, '%Y-%m-%d') AS day, CAST(epoch(o_orderdate) AS INTEGER) AS time
-  FROM orders),
+  SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, CAST(min(epoch(o_orderdate)) AS INTEGER) AS time
+  FROM orders GROUP BY 1),
 blocks AS (
   SELECT upper(sha256('B' || day)) AS hash,
          coalesce(upper(sha256('B' || lag(day) OVER (ORDER BY day))), repeat('0', 64)) AS prev_hash,

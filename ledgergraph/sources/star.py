@@ -68,7 +68,8 @@ def script_hex(partkey: Column) -> Column:
 
 def derive_blocks(orders: DataFrame) -> DataFrame:
     epoch = _epoch_seconds(orders, "o_orderdate")
-    days = orders.select(_day(epoch).alias("day"), epoch.alias("time")).distinct()
+    days = (orders.select(_day(epoch).alias("day"), epoch.alias("t"))
+            .groupBy("day").agg(F.min("t").alias("time")))      # one block per date
     ranked, _ = with_row_number(days, ["day"], id_col="seq")
     ranked = ranked.withColumn("hash", tagged_hash("B", F.col("day")))
     prev = ranked.select((F.col("seq") + 1).alias("seq"), F.col("hash").alias("prev_hash"))
