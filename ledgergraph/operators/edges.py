@@ -59,14 +59,21 @@ class VertexIds(NamedTuple):
 
 
 def vertex_ids(ledger: Ledger, outputs: DataFrame) -> VertexIds:
-    """W1 for the three vertex kinds: addresses [0, A), blocks [A, A+B), txs [A+B, A+B+T)."""
-    addr, n_addr = dense_ids(outputs.select("address").distinct(), "address")
-    blk, n_blk = dense_ids(ledger.blocks.select("hash", "time"), "hash", offset=n_addr)
-    txs, _ = dense_ids(ledger.transactions.select("hash"), "hash", offset=n_addr + n_blk)
+    """W1 for the three vertex kinds: addresses [0, A), blocks [A, A+B), txs [A+B, A+B+T).
+
+    One dense numbering of the union ordered by (kind, key) — the same ids as three
+    numberings with offsets, in a single range shuffle.
+    """
+    keyed = (outputs.select(F.lit(0).alias("kind"), F.col("address").alias("key"),
+                            F.lit(None).cast("int").alias("time")).distinct()
+             .unionByName(ledger.blocks.select(F.lit(1).alias("kind"), F.col("hash").alias("key"), "time"))
+             .unionByName(ledger.transactions.select(F.lit(2).alias("kind"), F.col("hash").alias("key"),
+                                                     F.lit(None).cast("int").alias("time"))))
+    ids = cut_lineage(dense_ids(keyed, ["kind", "key"])[0])
     # each id table is joined several times: materialise once (vertex-sized)
-    return VertexIds(cut_lineage(addr.select("id", "address")),
-                     cut_lineage(blk.select("id", "hash", "time")),
-                     cut_lineage(txs.select("id", "hash")))
+    return VertexIds(cut_lineage(ids.filter(F.col("kind") == 0).select("id", F.col("key").alias("address"))),
+                     cut_lineage(ids.filter(F.col("kind") == 1).select("id", F.col("key").alias("hash"), "time")),
+                     cut_lineage(ids.filter(F.col("kind") == 2).select("id", F.col("key").alias("hash"))))
 
 
 def edges_indexed(ledger: Ledger, outputs: DataFrame, ids: VertexIds | None = None,
