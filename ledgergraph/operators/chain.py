@@ -47,8 +47,11 @@ def block_drilldown(heights: DataFrame, transactions: DataFrame, outputs: DataFr
     """The transactions of the first ``k`` listed blocks, each as a JSON document of
     its inputs and outputs (the per-transaction lookup of the CLI tool)."""
     first = heights.filter(F.col("height") < k).select(F.col("hash").alias("block_hash"), "height")
+    # bound: k heights (times the width of a fork at those heights)
     txs = transactions.join(F.broadcast(first), "block_hash").select(
         "block_hash", "height", F.col("hash").alias("tx_hash"), "time")
+    # one document per transaction: the lists are that transaction's inputs and outputs, whose
+    # number the block size limits — the document is the output format itself
     vin = (inputs.join(txs.select("tx_hash"), "tx_hash")
            .groupBy("tx_hash")
            .agg(F.array_sort(F.collect_list(F.struct("ref_hash", "ref_ord"))).alias("vin")))

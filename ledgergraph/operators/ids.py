@@ -97,6 +97,7 @@ def with_row_number(df: DataFrame, order_by: Sequence[str], partition_by: Sequen
             yield pd.DataFrame({"pid": [pid], "n": [count], "first_key": [first_key],
                                 "last_key": [last_key], "last_run": [last_run]})
 
+    # bound: one summary row per partition
     rows = sorted(staged.select(_PID, *keys).mapInPandas(summarize, summary_schema).collect(),
                   key=lambda r: r["pid"])
 
@@ -148,6 +149,7 @@ def _global_ids(staged: DataFrame, id_col: str, offset: int) -> tuple[DataFrame,
     partition's offset; within a partition ``monotonically_increasing_id`` is
     ``(partition << 33) + position``, evaluated directly on the checkpointed partitions."""
     spark = staged.sparkSession
+    # bound: one count per partition
     counts = sorted((r[_PID], r["count"]) for r in staged.groupBy(_PID).count().collect())
     rows, total = [], 0
     for pid, c in counts:

@@ -59,6 +59,7 @@ def convert(spark: SparkSession, input_path: str, output_dir: str, glob: str = "
     stats: dict[str, int] = {}
     if debug >= 1:
         edges = spark.read.parquet(f"{output_dir}/edges_named")
+        # bound: four edge classes, six script kinds
         stats.update({f"edges_{r.edge_kind}": r.n for r in E.edge_counts(edges).collect()})
         stats.update({f"kind_{r.kind}": r.n_outputs for r in L.address_profile(outs).collect()})
         stats["nonstandard_addresses"] = (spark.read.parquet(f"{output_dir}/addresses")

@@ -249,7 +249,7 @@ def q_block_drilldown(spark, sf_dir):
 def _seeds(ledger, outs, addr):
     top = (L.address_totals(outs, ledger.inputs)
            .orderBy(F.desc("total_received"), F.asc("address")).limit(1))
-    return addr.join(F.broadcast(top.select("address")), "address").select("id")
+    return addr.join(F.broadcast(top.select("address")), "address").select("id")   # bound: 1 row
 
 
 def q_neighbourhood(spark, sf_dir):
