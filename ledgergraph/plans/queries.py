@@ -199,7 +199,11 @@ def q_top_addresses(spark, sf_dir):
 def q_address_report(spark, sf_dir):
     """Top ten by rank with received / sent / balance as dollar text and tx count."""
     ledger, outs, addr, w = _payment_graph(spark, sf_dir)
-    return address_report(top_k(_ranks(addr, w), addr, k=10), L.address_totals(outs, ledger.inputs))
+    top = top_k(_ranks(addr, w), addr, k=10)
+    # totals only for the ten reported addresses: restrict their outputs first (semi-join
+    # against a k-row table) instead of aggregating every address and joining afterwards
+    mine = outs.join(F.broadcast(top.select("address")), "address", "left_semi")   # bound: k rows
+    return address_report(top, L.address_totals(mine, ledger.inputs))
 
 
 def q_usd_format(spark, sf_dir):
@@ -247,7 +251,8 @@ def q_block_drilldown(spark, sf_dir):
 
 
 def _seeds(ledger, outs, addr):
-    top = (L.address_totals(outs, ledger.inputs)
+    # the address that received most: a plain per-address sum, no spend join needed
+    top = (outs.groupBy("address").agg(F.sum("value").alias("total_received"))
            .orderBy(F.desc("total_received"), F.asc("address")).limit(1))
     return addr.join(F.broadcast(top.select("address")), "address").select("id")   # bound: 1 row
 
