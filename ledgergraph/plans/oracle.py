@@ -352,6 +352,11 @@ ORACLES.update({
 SELECT r.id, a.address, round(r.rank, 6) AS rank FROM ranks r LEFT JOIN address_ids a ON a.id = r.id""",
                             recursive=True),
     "top_addresses": with_ledger(_PAGERANK + "SELECT address, rank FROM top10", recursive=True),
+    "graph_counts": with_ledger("""
+, gv AS (SELECT id FROM address_ids UNION SELECT src FROM pay_w UNION SELECT dst FROM pay_w)
+SELECT 'vertices' AS measure, count(*) AS n FROM gv
+UNION ALL SELECT 'distinct_edges', count(*) FROM pay_w
+UNION ALL SELECT 'edges', CAST(sum(n) AS BIGINT) FROM pay_w"""),
     "address_report": with_ledger(_PAGERANK + _TOTALS.replace("money AS", "money AS", 1) + f"""
 SELECT t.address, t.rank, {_money('total_received')} AS received, {_money('total_sent')} AS sent,
        {_money('final_balance')} AS balance, n_tx AS transactions

@@ -23,7 +23,7 @@ from ledgergraph.operators import edges as E
 from ledgergraph.operators import ledger as L
 from ledgergraph.operators.chain import block_drilldown, block_listing, chain_height
 from ledgergraph.operators.neighbours import graph_elements, neighbourhood
-from ledgergraph.operators.pagerank import graph_vertices, pagerank, top_k
+from ledgergraph.operators.pagerank import graph_counts, graph_vertices, pagerank, top_k
 from ledgergraph.operators.report import address_report, usd_columns
 from ledgergraph.operators.sampling import clean_nodes, sample_rows
 from ledgergraph.operators.snapshots import snapshot_counts
@@ -190,6 +190,12 @@ def q_pagerank(spark, sf_dir):
             .select("id", "address", F.round("rank", 6).alias("rank")))
 
 
+def q_graph_counts(spark, sf_dir):
+    """Vertex and edge counts of the payment graph PageRank runs on."""
+    _, _, addr, w = _payment_graph(spark, sf_dir)
+    return graph_counts(graph_vertices(addr, w), w)
+
+
 def q_top_addresses(spark, sf_dir):
     """The ten highest-ranked addresses."""
     _, _, addr, w = _payment_graph(spark, sf_dir)
@@ -325,6 +331,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2pk_addresses": q_p2pk_addresses,
     "pagerank": q_pagerank,
     "top_addresses": q_top_addresses,
+    "graph_counts": q_graph_counts,
     "address_report": q_address_report,
     "usd_format": q_usd_format,
     "json_fields": q_json_fields,
