@@ -69,11 +69,12 @@ def vertex_ids(ledger: Ledger, outputs: DataFrame) -> VertexIds:
              .unionByName(ledger.blocks.select(F.lit(1).alias("kind"), F.col("hash").alias("key"), "time"))
              .unionByName(ledger.transactions.select(F.lit(2).alias("kind"), F.col("hash").alias("key"),
                                                      F.lit(None).cast("int").alias("time"))))
+    # the ids are joined several times: materialise once (vertex-sized); each kind is a
+    # filtered scan of that one table
     ids = cut_lineage(dense_ids(keyed, ["kind", "key"])[0])
-    # each id table is joined several times: materialise once (vertex-sized)
-    return VertexIds(cut_lineage(ids.filter(F.col("kind") == 0).select("id", F.col("key").alias("address"))),
-                     cut_lineage(ids.filter(F.col("kind") == 1).select("id", F.col("key").alias("hash"), "time")),
-                     cut_lineage(ids.filter(F.col("kind") == 2).select("id", F.col("key").alias("hash"))))
+    return VertexIds(ids.filter(F.col("kind") == 0).select("id", F.col("key").alias("address")),
+                     ids.filter(F.col("kind") == 1).select("id", F.col("key").alias("hash"), "time"),
+                     ids.filter(F.col("kind") == 2).select("id", F.col("key").alias("hash")))
 
 
 def edges_indexed(ledger: Ledger, outputs: DataFrame, ids: VertexIds | None = None,
