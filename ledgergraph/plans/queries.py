@@ -28,7 +28,7 @@ from ledgergraph.operators.report import address_report, usd_columns
 from ledgergraph.operators.sampling import clean_nodes, sample_rows
 from ledgergraph.operators.snapshots import snapshot_counts
 from ledgergraph.schemas import Ledger
-from ledgergraph.session import cut_lineage
+from ledgergraph.session import bucketed_table, cut_lineage, shuffle_partitions
 from ledgergraph.sources.star import ledger_from_dir, read_table
 
 ORACLE_DIGEST = "hash160"
@@ -42,7 +42,9 @@ def _ledger(spark: SparkSession, sf_dir: str, digest: str = ORACLE_DIGEST) -> tu
     ledger = ledger_from_dir(spark, sf_dir)
     key = (id(ledger.outputs), digest)
     if key not in _CLASSIFIED:
-        _CLASSIFIED[key] = cut_lineage(L.classified_outputs(ledger, digest))
+        # kept bucketed on the outpoint like the ledger's outputs: spend joins stay shuffle-free
+        _CLASSIFIED[key] = bucketed_table(L.classified_outputs(ledger, digest), "lg_classified",
+                                          ["tx_hash", "ord"], shuffle_partitions(spark))[0]
     return ledger, _CLASSIFIED[key]
 
 

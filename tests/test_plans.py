@@ -73,3 +73,19 @@ def test_pagerank_round_streams_bucketed_edges(spark):
         assert "Exchange" not in lines[i - 1]
     finally:
         drop_table(spark, name)
+
+
+def test_spend_join_reads_bucketed_tables_in_place(spark, ledger):
+    """Outputs and inputs are bucketed on the outpoint: without a broadcast (as at scale) the
+    anti join of balances shuffles neither side — only the aggregation by address shuffles."""
+    from ledgergraph.functions.script import with_address
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        outs = with_address(ledger.outputs, "sha256").drop("script")
+        p = plan(L.balances(outs, ledger.inputs))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in p or "ShuffledHashJoin" in p
+    assert p.count("Bucketed: true") == 2
+    exchanges = [l for l in p.splitlines() if "Exchange" in l]
+    assert len(exchanges) == 1 and "hashpartitioning(address" in exchanges[0]
