@@ -28,8 +28,8 @@ from ledgergraph.operators.report import address_report, usd_columns
 from ledgergraph.operators.sampling import clean_nodes, sample_rows
 from ledgergraph.operators.snapshots import snapshot_counts
 from ledgergraph.schemas import Ledger
-from ledgergraph.session import bucketed_table, cut_lineage, shuffle_partitions
-from ledgergraph.sources.star import ledger_from_dir, read_table
+from ledgergraph.session import bucketed_table, cut_lineage
+from ledgergraph.sources.star import ledger_buckets, ledger_from_dir, read_table
 
 ORACLE_DIGEST = "hash160"
 
@@ -43,8 +43,9 @@ def _ledger(spark: SparkSession, sf_dir: str, digest: str = ORACLE_DIGEST) -> tu
     key = (id(ledger.outputs), digest)
     if key not in _CLASSIFIED:
         # kept bucketed on the outpoint like the ledger's outputs: spend joins stay shuffle-free
+        n = ledger_buckets(spark, ledger.outputs.count())      # same count as the ledger's
         _CLASSIFIED[key] = bucketed_table(L.classified_outputs(ledger, digest), "lg_classified",
-                                          ["tx_hash", "ord"], shuffle_partitions(spark))[0]
+                                          ["tx_hash", "ord"], n)[0]
     return ledger, _CLASSIFIED[key]
 
 

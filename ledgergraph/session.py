@@ -125,5 +125,13 @@ def scoped_conf(spark: SparkSession, settings: dict[str, str]):
                 spark.conf.set(k, v)
 
 
+def buckets_for(spark: SparkSession, rows: int, rows_per_bucket: int) -> int:
+    """Bucket / partition count sized by data: ~``rows_per_bucket`` rows each, at least the
+    default parallelism, at most ``spark.sql.shuffle.partitions`` (the cluster's setting)."""
+    import math
+    want = max(spark.sparkContext.defaultParallelism, math.ceil(rows / rows_per_bucket))
+    return max(1, min(shuffle_partitions(spark), want))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from ledgergraph.functions.hashing import tagged_hash
 from ledgergraph.operators.ids import with_row_number
 from ledgergraph.schemas import COINBASE_ORD, ZERO_HASH, Ledger
-from ledgergraph.session import bucketed_table, cut_lineage, shuffle_partitions
+from ledgergraph.session import bucketed_table, buckets_for, cut_lineage
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -146,16 +146,24 @@ def derive_ledger(orders: DataFrame, lineitem: DataFrame, materialize: bool = Tr
         inputs=_inputs(rows, chain),
     )
     if materialize:
+        n = ledger_buckets(lineitem.sparkSession, rows.count())   # rows = outputs, one each
         ledger = Ledger(cut_lineage(ledger.blocks), cut_lineage(ledger.transactions),
-                        *outpoint_bucketed(ledger.outputs, ledger.inputs))
+                        *outpoint_bucketed(ledger.outputs, ledger.inputs, n))
     return ledger
 
 
-def outpoint_bucketed(outputs: DataFrame, inputs: DataFrame) -> tuple[DataFrame, DataFrame]:
+ROWS_PER_BUCKET = 1_000_000
+
+
+def ledger_buckets(spark: SparkSession, n_outputs: int) -> int:
+    """Bucket count of the outpoint-bucketed tables, sized by the number of outputs."""
+    return buckets_for(spark, n_outputs, ROWS_PER_BUCKET)
+
+
+def outpoint_bucketed(outputs: DataFrame, inputs: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
     """Materialise outputs and inputs as tables bucketed on the outpoint — (tx_hash, ord) and
-    (ref_hash, ref_ord), same bucket count — so the spend join that most queries start from
-    reads both sides in place instead of shuffling the two largest tables."""
-    n = shuffle_partitions(outputs.sparkSession)
+    (ref_hash, ref_ord), same bucket count ``n`` — so the spend join that most queries start
+    from reads both sides in place instead of shuffling the two largest tables."""
     outs, _ = bucketed_table(outputs, "lg_outputs", ["tx_hash", "ord"], n)
     ins, _ = bucketed_table(inputs, "lg_inputs", ["ref_hash", "ref_ord"], n)
     return outs, ins
