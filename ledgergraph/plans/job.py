@@ -34,7 +34,11 @@ from ledgergraph.sources.io import write_ledger, write_table
 
 def convert(spark: SparkSession, input_path: str, output_dir: str, glob: str = "blk*.dat",
             debug: int = 0, direction: str = "documented", compression: str = "gzip",
-            edge_files: int | None = None) -> dict[str, int]:
+            edge_files: int | None = None, table_db: str | None = None) -> dict[str, int]:
+    """Run the conversion. With ``table_db`` the outputs and inputs are also registered in that
+    metastore database as tables bucketed on the outpoint (``ledger_outputs`` on
+    (tx_hash, ord), ``ledger_inputs`` on (ref_hash, ref_ord), same bucket count), so later
+    sessions sharing the metastore join spends without shuffling either table."""
     ensure_checkpoint_dir(spark)
     ship_package(spark)
     nested = cut_lineage(read_block_files(spark, input_path, glob))
@@ -43,6 +47,9 @@ def convert(spark: SparkSession, input_path: str, output_dir: str, glob: str = "
     ledger = Ledger(flat.blocks, flat.transactions, outputs, flat.inputs)
     write_ledger(ledger, f"{output_dir}/ledger", compression=compression)
 
+    if table_db:
+        write_outpoint_tables(spark, ledger, output_dir, table_db)
+
     outs = outputs.drop("script")
     ids = E.vertex_ids(ledger, outs)
     write_table(ids.addresses, f"{output_dir}/addresses", compression=compression)
@@ -70,6 +77,16 @@ def convert(spark: SparkSession, input_path: str, output_dir: str, glob: str = "
     return stats
 
 
+def write_outpoint_tables(spark: SparkSession, ledger: Ledger, output_dir: str, db: str) -> None:
+    from ledgergraph.sources.star import ledger_buckets
+    n = ledger_buckets(spark, ledger.outputs.count())
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    for name, df, keys in (("ledger_outputs", ledger.outputs, ["tx_hash", "ord"]),
+                           ("ledger_inputs", ledger.inputs, ["ref_hash", "ref_ord"])):
+        (df.repartition(n, *keys).write.mode("overwrite").bucketBy(n, *keys)
+         .option("path", f"{output_dir}/tables/{name}").saveAsTable(f"{db}.{name}"))
+
+
 def main(argv: list[str] | None = None) -> None:
     args = list(sys.argv[1:] if argv is None else argv)
     if len(args) < 2:

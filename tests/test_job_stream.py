@@ -26,6 +26,23 @@ def test_convert_job(spark):
     assert spark.read.parquet(f"{out}/ledger/outputs").count() == 6
 
 
+def test_convert_registers_outpoint_bucketed_tables(spark):
+    src = tempfile.mkdtemp(prefix="lg-src2-")
+    out = tempfile.mkdtemp(prefix="lg-out2-")
+    _fixture(src)
+    convert(spark, src, out, table_db="lg_test_ledger")
+    outs = spark.table("lg_test_ledger.ledger_outputs")
+    ins = spark.table("lg_test_ledger.ledger_inputs")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = outs.join(ins, (outs.tx_hash == ins.ref_hash) & (outs.ord == ins.ref_ord), "left_anti")
+        p = j._jdf.queryExecution().executedPlan().toString()
+        assert j.count() == 6 - 1 and p.count("Bucketed: true") == 2
+        assert not [l for l in p.splitlines() if "Exchange" in l]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_stream_appends_new_files(spark):
     src = tempfile.mkdtemp(prefix="lg-ssrc-")
     out = tempfile.mkdtemp(prefix="lg-sout-")
