@@ -187,7 +187,8 @@ def _fingerprint(sf_dir: str) -> tuple:
 
 def ledger_from_dir(spark: SparkSession, sf_dir: str, reuse: bool = True) -> Ledger:
     """Derive (once per session and input version) and materialise the ledger of ``sf_dir``."""
-    key = (spark.sparkContext.applicationId, spark.sparkContext.getCheckpointDir(), _fingerprint(sf_dir))
+    key = (spark.sparkContext.applicationId, spark._jsparkSession.sessionUUID(),
+           spark.sparkContext.getCheckpointDir(), _fingerprint(sf_dir))
     if reuse and key in _MEMO:
         return _MEMO[key]
     ledger = derive_ledger(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem"))

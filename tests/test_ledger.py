@@ -72,3 +72,12 @@ def test_expand_multigraph_chunks(spark):
     w = spark.createDataFrame([(1, 2, 10001), (3, 4, 1), (5, 6, 4096)], "src long, dst long, n long")
     got = E.expand_multigraph(w, chunk=4096).groupBy("src", "dst").count().collect()
     assert {(r.src, r.dst): r["count"] for r in got} == {(1, 2): 10001, (3, 4): 1, (5, 6): 4096}
+
+
+def test_ledger_memo_is_per_session(spark):
+    other = spark.newSession()
+    a = ledger_from_dir(spark, SF0001)
+    b = ledger_from_dir(other, SF0001)
+    assert a is ledger_from_dir(spark, SF0001)
+    assert a is not b and b.outputs.sparkSession is other
+    assert b.outputs.count() == 6000
