@@ -28,8 +28,9 @@ def get_spark(master: str = "local[8]", app: str = "ledgergraph", shuffle_partit
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
-        # remove checkpoint files of frames that are no longer referenced
+        # remove checkpoint files of frames that are no longer referenced; compress the rest
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.checkpoint.compress", "true")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
