@@ -98,16 +98,23 @@ def bucketed_table(df: DataFrame, prefix: str, keys: list[str], buckets: int) ->
     exchange on this side — which a checkpointed frame cannot promise (it loses its
     partitioning). One file per bucket: the rows are hash-partitioned the same way first."""
     import uuid
+    import warnings
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark)
     name = f"{prefix}_{uuid.uuid4().hex[:12]}"
-    (df.repartition(buckets, *keys).write.bucketBy(buckets, *keys)
-     .option("path", f"{root}/tables/{name}").saveAsTable(name))
+    try:
+        (df.repartition(buckets, *keys).write.bucketBy(buckets, *keys)
+         .option("path", f"{root}/tables/{name}").saveAsTable(name))
+    except Exception as e:  # noqa: BLE001 — a catalog without bucketed tables
+        warnings.warn(f"bucketed table unavailable ({type(e).__name__}); using a checkpoint: "
+                      "same result, joins on these keys will shuffle", stacklevel=2)
+        return cut_lineage(df.repartition(buckets, *keys)), ""
     return spark.table(name), name
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if name:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 @contextmanager

@@ -89,3 +89,17 @@ def test_spend_join_reads_bucketed_tables_in_place(spark, ledger):
     assert p.count("Bucketed: true") == 2
     exchanges = [l for l in p.splitlines() if "Exchange" in l]
     assert len(exchanges) == 1 and "hashpartitioning(address" in exchanges[0]
+
+
+def test_bucketed_table_falls_back_to_checkpoint(spark, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from ledgergraph.session import bucketed_table
+
+    def refuse(self, *a, **k):
+        raise RuntimeError("catalog refuses bucketed tables")
+    monkeypatch.setattr(DataFrameWriter, "saveAsTable", refuse)
+    df = spark.range(0, 100).withColumn("k", F.col("id") % 7)
+    with pytest.warns(UserWarning):
+        t, name = bucketed_table(df, "lg_fallback", ["k"], 4)
+    assert name == "" and t.count() == 100
