@@ -291,30 +291,55 @@ totals AS (
 """.lstrip()
 
 # delta PageRank (reset 0.15, tol 0.001) as a recursive CTE carrying (rank, delta, active)
-_PAGERANK = """
-, deg AS (SELECT src, sum(n) AS deg FROM pay_w GROUP BY src),
-ew AS (SELECT p.src, p.dst, p.n / d.deg AS wn FROM pay_w p JOIN deg d ON p.src = d.src),
-pv AS (SELECT id FROM address_ids UNION SELECT src FROM pay_w UNION SELECT dst FROM pay_w),
-pr(it, id, rank, delta, active, nmsg) AS (
-  SELECT 0, id, CAST(0.15 AS DOUBLE), CAST(0.15 AS DOUBLE), true, CAST(1 AS BIGINT) FROM pv
+def _pagerank_ctes(edges: str, vertices: str, prefix: str = "") -> str:
+    """Delta PageRank (reset 0.15, tol 0.001) as a recursive CTE carrying (rank, delta, active)
+    over a weighted edge table ``edges(src, dst, n)`` and a vertex table ``vertices(id)``;
+    ends in ``{prefix}ranks(id, rank)`` scaled to sum to the vertex count."""
+    p = prefix
+    return f"""
+, {p}deg AS (SELECT src, sum(n) AS deg FROM {edges} GROUP BY src),
+{p}ew AS (SELECT e.src, e.dst, e.n / d.deg AS wn FROM {edges} e JOIN {p}deg d ON e.src = d.src),
+{p}pv AS (SELECT id FROM {vertices} UNION SELECT src FROM {edges} UNION SELECT dst FROM {edges}),
+{p}pr(it, id, rank, delta, active, nmsg) AS (
+  SELECT 0, id, CAST(0.15 AS DOUBLE), CAST(0.15 AS DOUBLE), true, CAST(1 AS BIGINT) FROM {p}pv
   UNION ALL
   SELECT s.it + 1, s.id,
          s.rank + coalesce(0.85 * m.msum, 0),
          coalesce(0.85 * m.msum, 0),
          m.msum IS NOT NULL,
          count(m.msum) OVER ()
-  FROM pr s LEFT JOIN (
-      SELECT e.dst, sum(p.delta * e.wn) AS msum
-      FROM pr p JOIN ew e ON e.src = p.id
-      WHERE p.active AND p.delta > 0.001
+  FROM {p}pr s LEFT JOIN (
+      SELECT e.dst, sum(q.delta * e.wn) AS msum
+      FROM {p}pr q JOIN {p}ew e ON e.src = q.id
+      WHERE q.active AND q.delta > 0.001
       GROUP BY e.dst) m ON m.dst = s.id
   WHERE s.nmsg > 0),
-fin AS (SELECT id, rank FROM pr WHERE it = (SELECT max(it) FROM pr)),
-ranks AS (SELECT id, rank * (SELECT count(*) FROM fin) / (SELECT sum(rank) FROM fin) AS rank FROM fin),
+{p}fin AS (SELECT id, rank FROM {p}pr WHERE it = (SELECT max(it) FROM {p}pr)),
+{p}ranks AS (SELECT id, rank * (SELECT count(*) FROM {p}fin) / (SELECT sum(rank) FROM {p}fin) AS rank
+             FROM {p}fin)
+"""
+
+
+_PAGERANK = _pagerank_ctes("pay_w", "address_ids").lstrip() + """,
 top10 AS (
   SELECT a.address, round(r.rank, 6) AS rank FROM ranks r JOIN address_ids a ON a.id = r.id
   ORDER BY rank DESC, a.address LIMIT 10)
-""".lstrip()
+"""
+
+# customer → supplier → part graph of the star tables (ids: kind × 10^9 + key)
+_STAR_GRAPH = """
+WITH RECURSIVE
+li AS (SELECT o.o_custkey, l.l_suppkey, l.l_partkey
+       FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey),
+star_e AS (
+  SELECT o_custkey AS src, 1000000000 + l_suppkey AS dst, count(*) AS n FROM li GROUP BY 1, 2
+  UNION ALL
+  SELECT 1000000000 + l_suppkey, 2000000000 + l_partkey, count(*) FROM li GROUP BY 1, 2),
+star_v AS (
+  SELECT c_custkey AS id FROM customer
+  UNION SELECT 1000000000 + s_suppkey FROM supplier
+  UNION SELECT 2000000000 + p_partkey FROM part)"""
+
 
 _CHAIN = """
 , chain_h(hash, height) AS (
@@ -352,6 +377,8 @@ ORACLES.update({
 SELECT r.id, a.address, round(r.rank, 6) AS rank FROM ranks r LEFT JOIN address_ids a ON a.id = r.id""",
                             recursive=True),
     "top_addresses": with_ledger(_PAGERANK + "SELECT address, rank FROM top10", recursive=True),
+    "star_pagerank": _STAR_GRAPH + _pagerank_ctes("star_e", "star_v") + """
+SELECT id, round(rank, 6) AS rank FROM ranks""",
     "graph_counts": with_ledger("""
 , gv AS (SELECT id FROM address_ids UNION SELECT src FROM pay_w UNION SELECT dst FROM pay_w)
 SELECT 'vertices' AS measure, count(*) AS n FROM gv
