@@ -10,7 +10,7 @@ from tools.oracle_check import TABLES, digest
 FAST = ["balances", "outputs", "inputs", "address_totals", "edges_indexed",
         "payment_edges_weighted", "chain_height", "block_drilldown", "graph_json",
         "snapshot_counts", "top_addresses", "p2pk_addresses", "graph_counts", "address_report",
-        "duplicate_tx_hashes"]
+        "duplicate_tx_hashes", "star_pagerank"]
 
 
 @pytest.fixture(scope="module")
