@@ -193,9 +193,9 @@ def q_pagerank(spark, sf_dir):
             .select("id", "address", F.round("rank", 6).alias("rank")))
 
 
-def q_star_pagerank(spark, sf_dir):
-    """G4/G5 on the customer → supplier → part graph of the star tables (edges weighted by
-    line items; ids: kind × 10^9 + key), rank rounded to 6 decimals."""
+def star_graph(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """(nodes, weighted edges) of the customer → supplier → part graph of the star tables:
+    edges weighted by line items; ids are kind × 10^9 + key."""
     li = (read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_partkey")
           .join(read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"),
                                                            "o_custkey"), "l_orderkey"))
@@ -209,7 +209,12 @@ def q_star_pagerank(spark, sf_dir):
                           .select((F.lit(1_000_000_000) + F.col("s_suppkey")).alias("id")))
              .unionByName(read_table(spark, sf_dir, "part")
                           .select((F.lit(2_000_000_000) + F.col("p_partkey")).alias("id"))))
-    edges = cut_lineage(edges)
+    return nodes, cut_lineage(edges)
+
+
+def q_star_pagerank(spark, sf_dir):
+    """G4/G5 on the customer → supplier → part graph of the star tables; rank rounded to 6."""
+    nodes, edges = star_graph(spark, sf_dir)
     return (pagerank(graph_vertices(nodes, edges), edges)
             .select("id", F.round("rank", 6).alias("rank")))
 
