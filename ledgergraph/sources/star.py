@@ -105,16 +105,25 @@ def _outputs_from_rows(rows: DataFrame) -> DataFrame:
     )
 
 
-def _order_chain(orders: DataFrame) -> DataFrame:
-    """(o_orderkey, next_orderkey or null, seq) per order within its customer."""
+def _ranked_orders(orders: DataFrame) -> DataFrame:
+    """Orders with ``seq``, their 0-based rank within the customer by (date, key)."""
     o = orders.select("o_custkey", "o_orderdate", "o_orderkey")
-    ranked, _ = with_row_number(o, ["o_orderdate", "o_orderkey"], partition_by=["o_custkey"],
-                                id_col="seq")
+    return with_row_number(o, ["o_orderdate", "o_orderkey"], partition_by=["o_custkey"],
+                           id_col="seq")[0]
+
+
+def _chain_of(ranked: DataFrame) -> DataFrame:
+    """(o_orderkey, next_orderkey or null, seq): the next order is the one at seq + 1."""
     nxt = ranked.select("o_custkey", (F.col("seq") - 1).alias("seq"),
                         F.col("o_orderkey").alias("next_orderkey"))
     return ranked.join(nxt, ["o_custkey", "seq"], "left").select("o_orderkey", "next_orderkey", "seq")
 
 
+def _order_chain(orders: DataFrame) -> DataFrame:
+    """(o_orderkey, next_orderkey or null, seq) per order within its customer."""
+    return _chain_of(_ranked_orders(orders))
+
+
 def _inputs(rows: DataFrame, chain: DataFrame) -> DataFrame:
     spends = (rows.filter(F.col("l_returnflag") != "N")
               .select("l_orderkey", "ord")
@@ -136,12 +145,15 @@ def derive_ledger(orders: DataFrame, lineitem: DataFrame, materialize: bool = Tr
     folder — the analogue of the ingest job's Parquet output — so later plans scan stored
     columns instead of re-deriving hashes and scripts in every branch."""
     rows = _output_rows(lineitem)
-    chain = _order_chain(orders)
-    if materialize:   # each feeds two tables: run the ordinal pass once
-        rows, chain = cut_lineage(rows), cut_lineage(chain)
+    ranked = _ranked_orders(orders)
+    if materialize:   # each feeds several tables: run the ordinal passes once
+        rows, ranked = cut_lineage(rows), cut_lineage(ranked)
+    chain = _chain_of(ranked)
+    # blocks and transactions read the ranked orders (already spread over many partitions)
+    # rather than scanning the orders table again
     ledger = Ledger(
-        blocks=derive_blocks(orders),
-        transactions=derive_transactions(orders),
+        blocks=derive_blocks(ranked),
+        transactions=derive_transactions(ranked),
         outputs=_outputs_from_rows(rows),
         inputs=_inputs(rows, chain),
     )
