@@ -51,3 +51,19 @@ def test_ingest_round_trip(spark):
     outs_c = with_address(ledger.outputs).drop("script")
     bal = {r.address: r.balance for r in L.balances(outs_c, ledger.inputs).collect()}
     assert bal == {"AB" * 20: 1999, "CD" * 20: 8000, "anyone": 7, "unspendable": 50}
+
+
+def test_parse_file_stops_at_malformed_block():
+    from blkencode import MAGIC
+    import struct
+
+    from ledgergraph.sources.blockfile import parse_file
+    cb, _ = encode_tx([(ZERO, 0xFFFFFFFF, b"")], [(1, b"")])
+    good, h_good = encode_block(ZERO, 1, [cb])
+    bad = good[:80] + b"\x05" + cb                       # claims 5 txs, holds 1
+    after, _ = encode_block(h_good, 2, [cb])
+    data = frame(good) + MAGIC + struct.pack("<I", len(bad)) + bad + frame(after)
+    batch = parse_file(data, "f")
+    assert batch.num_rows == 1
+    assert batch.column("block").to_pylist()[0]["hash"] == h_good
+    assert parse_file(b"", "f").num_rows == 0
