@@ -45,11 +45,14 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``ledgergraph`` importable in Python workers (what ``--py-files`` does): the
-    per-partition helpers of mapInPandas are pickled by reference to this package."""
+    """Make ``ledgergraph`` importable in Python workers: the per-partition helpers of
+    mapInPandas are pickled by reference to this package.
+
+    Local mode only: the package is zipped and added with ``addPyFile``. On a cluster it is
+    shipped with ``spark-submit --py-files ledgergraph.zip`` (no driver-local files are made)."""
     sc = spark.sparkContext
     app = sc.applicationId
-    if app in _SHIPPED:
+    if app in _SHIPPED or not sc.master.startswith("local"):
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     out = os.path.join(tempfile.mkdtemp(prefix="ledgergraph-pyfiles-"), "ledgergraph.zip")
