@@ -9,6 +9,8 @@ Forks are fine (every block has one parent).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,16 +26,20 @@ def chain_height(blocks: DataFrame, max_rounds: int = 64) -> DataFrame:
         .select("hash",
                 F.when(F.col("_known"), F.col("prev_hash")).alias("ptr"),
                 F.when(F.col("_known"), F.lit(1)).otherwise(F.lit(0)).cast("long").alias("d")))
-    for _ in range(max_rounds):
-        if state.filter(F.col("ptr").isNotNull()).limit(1).count() == 0:
-            break
+    # a pointer spans 2^r ancestors after r rounds, and no chain is deeper than the number of
+    # blocks: ⌈log2 n⌉ rounds always suffice, so no per-round termination job is needed
+    n = state.count()
+    rounds = max(1, math.ceil(math.log2(max(n, 2))))
+    if rounds > max_rounds:
+        raise RuntimeError("chain deeper than 2**max_rounds blocks")
+    for _ in range(rounds):
         nxt = state.select(F.col("hash").alias("ptr"), F.col("ptr").alias("ptr2"), F.col("d").alias("d2"))
         state = cut_lineage(
             state.join(nxt, "ptr", "left")
             .select("hash", F.col("ptr2").alias("ptr"),
                     (F.col("d") + F.coalesce("d2", F.lit(0))).alias("d")))
-    else:
-        raise RuntimeError("chain deeper than 2**max_rounds blocks")
+    if state.filter(F.col("ptr").isNotNull()).limit(1).count():
+        raise AssertionError("pointer doubling did not reach the chain roots")
     return state.select("hash", F.col("d").alias("height"))
 
 
