@@ -74,3 +74,23 @@ def test_blocks_independent_of_time_zone_and_timestamp_type(spark):
         assert sorted(tuple(r) for r in derive_blocks(ltz).collect()) == want
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_row_number_property(spark):
+    """Random skewed groups, random partition counts: equal to the window definition."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", "hot", "hot", "hot"]),
+                              st.integers(0, 50)), min_size=1, max_size=300),
+           st.integers(1, 12))
+    def check(rows, parts):
+        data = [(g, v, i) for i, (g, v) in enumerate(rows)]     # i makes the order key unique
+        df = spark.createDataFrame(data, "g string, v long, i long")
+        ours, total = with_row_number(df, ["v", "i"], partition_by=["g"], num_partitions=parts)
+        ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("v", "i")) - 1)
+        assert total == len(data)
+        assert sorted(ours.collect()) == sorted(ref.collect())
+
+    check()
