@@ -94,3 +94,46 @@ def test_salted_run_equals_unsalted_on_star_graph(spark, monkeypatch):
     assert set(salted) == set(plain)
     for k, v in plain.items():
         assert salted[k] == pytest.approx(v, abs=1e-9)
+
+
+def _brute_force(edges, vertices, tol, reset=0.15):
+    import collections
+    out = collections.defaultdict(list)
+    for s, d in edges:
+        out[s].append(d)
+    rank = {v: reset for v in vertices}
+    delta = dict(rank)
+    active = set(vertices)
+    while True:
+        msg = collections.defaultdict(float)
+        for v in active:
+            if delta[v] > tol:
+                for d in out[v]:
+                    msg[d] += delta[v] / len(out[v])
+        if not msg:
+            break
+        active = set(msg)
+        for v, m in msg.items():
+            delta[v] = (1 - reset) * m
+            rank[v] += delta[v]
+    total = sum(rank.values())
+    return {v: r * len(vertices) / total for v, r in rank.items()}
+
+
+def test_pagerank_property_random_multigraphs(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(st.tuples(st.integers(0, 15), st.integers(0, 15)), min_size=1, max_size=60))
+    def check(edges):
+        vertices = sorted({v for e in edges for v in e} | {99})         # 99: isolated vertex
+        df = spark.createDataFrame(edges, "src long, dst long")
+        nodes = spark.createDataFrame([(v,) for v in vertices], "id long")
+        got = {r.id: r.rank for r in pagerank(graph_vertices(nodes, df), df, tol=0.05).collect()}
+        want = _brute_force(edges, vertices, tol=0.05)
+        assert set(got) == set(want)
+        for v in want:
+            assert got[v] == pytest.approx(want[v], abs=1e-9)
+
+    check()
