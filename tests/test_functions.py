@@ -120,3 +120,42 @@ def test_sql_base58_matches_python():
     got = dict(duckdb.sql(sql).fetchall())
     for k in keys:
         assert got[k] == H.base58check(bytes.fromhex(k)), k
+
+
+def _spec_address(script):
+    """The classification rules, stated directly in Python (first match wins)."""
+    if script is None:
+        return "unknown", "unknown"
+    n = len(script)
+    if n == 0:
+        return "anyone", "anyone"
+    if n == 25 and script[:3] == b"\x76\xa9\x14" and script[23:] == b"\x88\xac":
+        return script[3:23].hex().upper(), "p2pkh"
+    if n >= 2 and script[-1] == 0xAC:
+        return H.hash160_bytes(script[1:-1]).hex().upper(), "p2pk"
+    if n >= 3 and script[0] == 0xAA and script[-1] == 0x87:
+        return "puzzle_" + script[1:-2].hex().upper(), "puzzle"
+    if script[0] == 0x6A:
+        return "unspendable", "unspendable"
+    return "unknown", "unknown"
+
+
+def test_classifier_property(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    heads = st.sampled_from([b"", b"\x76\xa9\x14", b"\xaa", b"\x6a", b"\x41", b"\xa9\x14"])
+    tails = st.sampled_from([b"", b"\x88\xac", b"\xac", b"\x87"])
+    scripts = st.one_of(st.none(), st.binary(max_size=40),
+                        st.builds(lambda h, m, t: h + m + t, heads, st.binary(max_size=30), tails),
+                        st.builds(lambda m: b"\x76\xa9\x14" + m + b"\x88\xac", st.binary(min_size=20, max_size=20)))
+
+    @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(scripts, min_size=1, max_size=80))
+    def check(batch):
+        df = spark.createDataFrame(list(enumerate(batch)), "i int, script binary")
+        got = {r.i: (r.address, r.kind) for r in with_address(df, "hash160").collect()}
+        for i, s in enumerate(batch):
+            assert got[i] == _spec_address(s), s
+
+    check()

@@ -67,3 +67,41 @@ def test_parse_file_stops_at_malformed_block():
     assert batch.num_rows == 1
     assert batch.column("block").to_pylist()[0]["hash"] == h_good
     assert parse_file(b"", "f").num_rows == 0
+
+
+def test_parser_round_trip_property():
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from ledgergraph.sources.blockfile import parse_file
+    tx_in = st.tuples(st.binary(min_size=32, max_size=32).map(lambda b: b.hex().upper()),
+                      st.integers(0, 2**32 - 1), st.binary(max_size=300))
+    tx_out = st.tuples(st.integers(0, 2**62), st.binary(max_size=300))
+    txs = st.lists(st.tuples(st.lists(tx_in, min_size=1, max_size=4),
+                             st.lists(tx_out, min_size=0, max_size=4), st.booleans()),
+                   min_size=1, max_size=6)
+
+    @settings(max_examples=30, deadline=None)
+    @given(st.lists(txs, min_size=1, max_size=4))
+    def check(blocks):
+        data, prev, want = b"", ZERO, []
+        for i, block_txs in enumerate(blocks):
+            raws, hashes = [], []
+            for ins, outs, seg in block_txs:
+                raw, h = encode_tx(ins, outs, witness=[[b"\x01" * 3] for _ in ins] if seg else None)
+                raws.append(raw)
+                hashes.append((h, ins, outs))
+            blk, bh = encode_block(prev, 1000 + i, raws)
+            data += frame(blk)
+            want.append((bh, prev.upper(), hashes))
+            prev = bh
+        got = parse_file(data + b"\x00" * 16, "f").to_pylist()
+        assert len(got) == len(want)
+        for row, (bh, ph, hashes) in zip(got, want):
+            assert row["block"]["hash"] == bh and row["block"]["prev_hash"] == ph
+            for tx, (h, ins, outs) in zip(row["transactions"], hashes):
+                assert tx["hash"] == h
+                assert [(i["ref_hash"], i["ref_ord"], i["script_sig"]) for i in tx["inputs"]] == ins
+                assert [(o["value"], o["script"]) for o in tx["outputs"]] == outs
+
+    check()
