@@ -81,3 +81,62 @@ def test_ledger_memo_is_per_session(spark):
     assert a is ledger_from_dir(spark, SF0001)
     assert a is not b and b.outputs.sparkSession is other
     assert b.outputs.count() == 6000
+
+
+def test_payment_graph_equals_literal_flattening(spark):
+    """G3 against the literal v1 construction: per transaction, every (input, output) pair is a
+    row keyed twice — by the spent outpoint and by the transaction's own outpoint; the edges
+    are the key-equal pairs (payee of the spending tx → owner of the spent output)."""
+    import collections
+    import random
+
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    from ledgergraph.schemas import Ledger
+
+    @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.integers(0, 10_000))
+    def check(seed):
+        rnd = random.Random(seed)
+        pool = [f"A{i}" for i in range(5)]
+        outputs, inputs, live = [], [], []
+        for t in range(12):
+            tx = f"T{t}"
+            for _ in range(rnd.randint(0, 3)):               # inputs: spend live outputs or coinbase
+                if live and rnd.random() < 0.8:
+                    ref = live.pop(rnd.randrange(len(live)))
+                else:
+                    ref = ("0" * 64, 4294967295)
+                inputs.append((tx, ref[0], ref[1]))
+            for k in range(rnd.randint(0, 3)):
+                outputs.append((tx, k, rnd.randint(1, 9), rnd.choice(pool)))
+                live.append((tx, k))
+        # literal flattening
+        addr = {(t, k): a for t, k, _, a in outputs}
+        outs_of = collections.defaultdict(list)
+        for t, k, _, a in outputs:
+            outs_of[t].append(k)
+        ins_of = collections.defaultdict(list)
+        for t, rh, ro in inputs:
+            ins_of[t].append((rh, ro))
+        rows = [(addr[(t, k)], (rh, ro), (t, k)) for t in outs_of for (rh, ro) in ins_of[t] for k in outs_of[t]]
+        by_prev = collections.defaultdict(list)
+        by_own = collections.defaultdict(list)
+        for a, prev, own in rows:
+            by_prev[prev].append(a)
+            by_own[own].append(a)
+        want = collections.Counter()
+        for key, payees in by_prev.items():
+            for payee in payees:
+                for payer in by_own.get(key, []):
+                    want[(payee, payer)] += 1
+
+        o = spark.createDataFrame(outputs, "tx_hash string, ord long, value long, address string")
+        i = spark.createDataFrame(inputs, "tx_hash string, ref_hash string, ref_ord long")
+        ids = spark.createDataFrame([(n, a) for n, a in enumerate(pool)], "id long, address string")
+        ledger = Ledger(None, None, o, i)
+        got = {(pool[r.src], pool[r.dst]): r.n for r in E.payment_edges_weighted(ledger, o, ids).collect()}
+        assert got == dict(want)
+
+    check()
