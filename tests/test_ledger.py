@@ -140,3 +140,51 @@ def test_payment_graph_equals_literal_flattening(spark):
         assert got == dict(want)
 
     check()
+
+
+def test_aggregates_equal_brute_force(spark):
+    """Balances and totals (received, sent, balance, distinct transactions) on random ledgers
+    against plain Python."""
+    import collections
+    import random
+
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.integers(0, 10_000))
+    def check(seed):
+        rnd = random.Random(seed)
+        pool = ["unknown", "anyone", "B1", "B2", "B3"]
+        outputs, inputs, live = [], [], []
+        for t in range(15):
+            tx = f"T{t}"
+            for _ in range(rnd.randint(0, 3)):
+                if live:
+                    ref = live.pop(rnd.randrange(len(live)))
+                    inputs.append((tx, ref[0], ref[1]))
+            for k in range(rnd.randint(0, 4)):
+                outputs.append((tx, k, rnd.randint(1, 100), rnd.choice(pool)))
+                live.append((tx, k))
+        spent_by = {(rh, ro): t for t, rh, ro in inputs}
+        recv, sent, txs, bal = (collections.Counter(), collections.Counter(),
+                                collections.defaultdict(set), collections.Counter())
+        for t, k, v, a in outputs:
+            recv[a] += v
+            txs[a].add(t)
+            if (t, k) in spent_by:
+                sent[a] += v
+                txs[a].add(spent_by[(t, k)])
+            else:
+                bal[a] += v
+        o = spark.createDataFrame(outputs, "tx_hash string, ord long, value long, address string")
+        i = spark.createDataFrame(inputs or [("x", "y", -1)], "tx_hash string, ref_hash string, ref_ord long")
+        got_t = {r.address: (r.total_received, r.total_sent, r.final_balance, r.n_tx)
+                 for r in L.address_totals(o, i).collect()}
+        want_t = {a: (recv[a], sent[a], recv[a] - sent[a], len(txs[a])) for a in recv}
+        assert got_t == want_t
+        got_b = {r.address: r.balance for r in L.balances(o, i).collect()}
+        assert got_b == {a: v for a, v in bal.items() if any(
+            a == oa and (t, k) not in spent_by for t, k, _, oa in outputs)}
+
+    check()
