@@ -49,3 +49,29 @@ def test_snapshot_partitioned_write(spark):
         raise AssertionError("expected failure")
     except Exception as e:  # noqa: BLE001
         assert "already exists" in str(e).lower() or "path_already_exists" in str(e).lower()
+
+
+def test_chain_height_property_random_forests(spark):
+    import random
+
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.integers(0, 10_000), st.integers(1, 200))
+    def check(seed, n):
+        rnd = random.Random(seed)
+        parent = {}
+        for b in range(n):      # each block's parent is an earlier block, or outside the data
+            parent[f"b{b}"] = f"b{rnd.randrange(b)}" if b and rnd.random() < 0.9 else f"ext{b}"
+        want = {}
+        for b in parent:
+            d, p = 0, parent[b]
+            while p in parent:
+                d, p = d + 1, parent[p]
+            want[b] = d
+        blocks = spark.createDataFrame([(b, p, 0) for b, p in parent.items()],
+                                       "hash string, prev_hash string, time int")
+        assert {r.hash: r.height for r in chain_height(blocks).collect()} == want
+
+    check()
