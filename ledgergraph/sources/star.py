@@ -87,13 +87,12 @@ def derive_transactions(orders: DataFrame) -> DataFrame:
     )
 
 
-def _output_rows(lineitem: DataFrame) -> DataFrame:
-    """Line items with their 0-based output ordinal (``ord``) within the order."""
+def _output_rows(lineitem: DataFrame) -> tuple[DataFrame, int]:
+    """Line items with their 0-based output ordinal (``ord``) within the order, and their count."""
     li = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                          "l_extendedprice", "l_returnflag")
-    ranked, _ = with_row_number(li, ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"],
-                                partition_by=["l_orderkey"], id_col="ord")
-    return ranked
+    return with_row_number(li, ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"],
+                           partition_by=["l_orderkey"], id_col="ord")
 
 
 def _outputs_from_rows(rows: DataFrame) -> DataFrame:
@@ -144,7 +143,7 @@ def derive_ledger(orders: DataFrame, lineitem: DataFrame, materialize: bool = Tr
     """The four ledger tables. With ``materialize`` each is written once to the checkpoint
     folder — the analogue of the ingest job's Parquet output — so later plans scan stored
     columns instead of re-deriving hashes and scripts in every branch."""
-    rows = _output_rows(lineitem)
+    rows, n_outputs = _output_rows(lineitem)
     ranked = _ranked_orders(orders)
     if materialize:   # each feeds several tables: run the ordinal passes once
         rows, ranked = cut_lineage(rows), cut_lineage(ranked)
@@ -158,7 +157,7 @@ def derive_ledger(orders: DataFrame, lineitem: DataFrame, materialize: bool = Tr
         inputs=_inputs(rows, chain),
     )
     if materialize:
-        n = ledger_buckets(lineitem.sparkSession, rows.count())   # rows = outputs, one each
+        n = ledger_buckets(lineitem.sparkSession, n_outputs)      # one output per line item
         ledger = Ledger(cut_lineage(ledger.blocks), cut_lineage(ledger.transactions),
                         *outpoint_bucketed(ledger.outputs, ledger.inputs, n))
     return ledger
