@@ -10,4 +10,11 @@ Subpackages:
 
 from ledgergraph.schemas import Ledger
 
-__all__ = ["Ledger"]
+__all__ = ["Ledger", "LedgerGraph"]
+
+
+def __getattr__(name):
+    if name == "LedgerGraph":        # lazy: importing the package stays light
+        from ledgergraph.api import LedgerGraph
+        return LedgerGraph
+    raise AttributeError(name)
