@@ -437,6 +437,10 @@ FROM p2pk_keys k JOIN hash160 h ON h.k = k.pubkey_hex JOIN b58 b ON b.k = h.h160
 SELECT hash, count(*) AS copies FROM transactions GROUP BY hash HAVING count(*) > 1"""),
     "nonstandard_addresses": with_ledger("""
 SELECT address, count(*) AS n_outputs FROM outputs WHERE contains(address, '_') GROUP BY address"""),
+    "balances_by_snapshot": with_ledger(f"""
+SELECT {_year('t.time')} AS snapshot, s.address, CAST(sum(s.value) AS BIGINT) AS balance
+FROM spent s JOIN transactions t ON t.hash = s.tx_hash
+WHERE s.spent_by IS NULL GROUP BY 1, 2"""),
     "snapshot_counts": with_ledger(f"""
 , stx AS (SELECT hash AS tx_hash, {_year('time')} AS snapshot FROM transactions),
 bs AS (SELECT {_year('time')} AS snapshot, count(*) AS n_blocks FROM blocks GROUP BY 1),

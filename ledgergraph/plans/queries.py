@@ -26,7 +26,7 @@ from ledgergraph.operators.neighbours import graph_elements, neighbourhood
 from ledgergraph.operators.pagerank import graph_counts, graph_vertices, pagerank, top_k
 from ledgergraph.operators.report import address_report, usd_columns
 from ledgergraph.operators.sampling import clean_nodes, sample_rows
-from ledgergraph.operators.snapshots import snapshot_counts
+from ledgergraph.operators.snapshots import balances_by_snapshot, snapshot_counts
 from ledgergraph.schemas import Ledger
 from ledgergraph.session import bucketed_table, cut_lineage
 from ledgergraph.sources.star import ledger_buckets, ledger_from_dir, read_table
@@ -318,6 +318,12 @@ def q_sample_outputs(spark, sf_dir):
     return sample_rows(outs, fraction=0.01, n=20, seed=42)
 
 
+def q_balances_by_snapshot(spark, sf_dir):
+    """Unspent balance per snapshot (year of the paying transaction) and address."""
+    ledger, outs = _ledger(spark, sf_dir)
+    return balances_by_snapshot(outs, ledger.inputs, ledger.transactions)
+
+
 def q_snapshot_counts(spark, sf_dir):
     """Per snapshot (block year): blocks, transactions, outputs, inputs, value."""
     return snapshot_counts(ledger_from_dir(spark, sf_dir))
@@ -374,6 +380,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_nodes": q_clean_nodes,
     "sample_outputs": q_sample_outputs,
     "snapshot_counts": q_snapshot_counts,
+    "balances_by_snapshot": q_balances_by_snapshot,
     "nonstandard_addresses": q_nonstandard_addresses,
     "duplicate_tx_hashes": q_duplicate_tx_hashes,
 }
