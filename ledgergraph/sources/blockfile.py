@@ -6,8 +6,13 @@ transactions nested (the "nested ingest frame"); ``explode``/``posexplode``/``in
 flatten it into the four ledger tables. Parsing is the only Python step and runs per file in
 parallel; hashing of headers and transactions uses ``hashlib`` on the exact serialised bytes.
 
-File layout: repeated ``magic (4) | size (4, LE) | block (size bytes)``; a zero magic (the
-pre-allocated tail of a block file) or a block running past the end of the file ends the file.
+File layout: repeated ``magic (4) | size (4, LE) | block (size bytes)``. No byte is passed over in
+silence: whatever is not a whole, well-formed block becomes a reject row (file, offset, length,
+reason), and parsing goes on at the next magic. Reasons: ``junk`` (foreign bytes between blocks),
+``malformed`` (a block whose transactions do not fill it exactly), ``oversized`` (a size that runs
+past the end of the file although another block follows), ``tail`` (the last block is cut off: the file
+is still being written) and ``padding`` (zeros up to the end: a pre-allocated file). The first three
+are damage; readers fail on them unless told to go on (``on_damage="keep"``).
 Transactions may carry the segregated-witness marker; the txid hashes the stripped form.
 Hashes are shown the customary way: double SHA-256, byte-reversed, upper-case hex.
 
@@ -20,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -55,6 +61,14 @@ NESTED = T.StructType([
     T.StructField("block", BLOCK_T),
     T.StructField("transactions", T.ArrayType(TX_T)),
 ])
+# a scan has the blocks and, with a reason and without a block, the rejects
+SCAN = T.StructType(NESTED.fields + [
+    T.StructField("offset", T.LongType()),
+    T.StructField("length", T.LongType()),
+    T.StructField("reason", T.StringType()),
+])
+DAMAGE = ("junk", "malformed", "oversized")
+BATCH_BLOCKS, BATCH_BYTES = 256, 16 << 20
 
 _ARROW_INPUT = pa.struct([("ref_hash", pa.string()), ("ref_ord", pa.int64()), ("script_sig", pa.binary())])
 _ARROW_OUTPUT = pa.struct([("value", pa.int64()), ("script", pa.binary())])
@@ -64,6 +78,9 @@ _ARROW_SCHEMA = pa.schema([
     ("file", pa.string()),
     ("block", pa.struct([("hash", pa.string()), ("prev_hash", pa.string()), ("time", pa.int32())])),
     ("transactions", pa.list_(_ARROW_TX)),
+    ("offset", pa.int64()),
+    ("length", pa.int64()),
+    ("reason", pa.string()),
 ])
 
 
@@ -95,6 +112,7 @@ class _Columns:
 
     def __init__(self):
         self.file, self.bhash, self.bprev, self.btime = [], [], [], []
+        self.offset, self.length, self.reason = [], [], []
         self.tx_off, self.thash = [0], []
         self.in_off, self.iref, self.iord, self.isig = [0], [], [], []
         self.out_off, self.oval, self.oscr = [0], [], []
@@ -115,6 +133,16 @@ class _Columns:
         self.oval.extend(blk.oval)
         self.oscr.extend(blk.oscr)
 
+    def add_reject(self, path: str, offset: int, length: int, reason: str) -> None:
+        self.add_block(path, None, None, None, _Columns())
+        self.at(offset, length, reason)
+
+    def at(self, offset: int, length: int, reason: str | None = None) -> None:
+        """Where the row added last stands in its file."""
+        self.offset.append(offset)
+        self.length.append(length)
+        self.reason.append(reason)
+
     def batch(self) -> pa.RecordBatch:
         inputs = pa.StructArray.from_arrays(
             [pa.array(self.iref, pa.string()), pa.array(self.iord, pa.int64()),
@@ -129,10 +157,13 @@ class _Columns:
             fields=list(_ARROW_TX))
         block = pa.StructArray.from_arrays(
             [pa.array(self.bhash, pa.string()), pa.array(self.bprev, pa.string()),
-             pa.array(self.btime, pa.int32())], fields=list(_ARROW_SCHEMA.field("block").type))
+             pa.array(self.btime, pa.int32())], fields=list(_ARROW_SCHEMA.field("block").type),
+            mask=pa.array([r is not None for r in self.reason], pa.bool_()))
         return pa.RecordBatch.from_arrays(
             [pa.array(self.file, pa.string()), block,
-             pa.ListArray.from_arrays(pa.array(self.tx_off, pa.int32()), txs)],
+             pa.ListArray.from_arrays(pa.array(self.tx_off, pa.int32()), txs),
+             pa.array(self.offset, pa.int64()), pa.array(self.length, pa.int64()),
+             pa.array(self.reason, pa.string())],
             schema=_ARROW_SCHEMA)
 
 
@@ -189,6 +220,8 @@ def _parse_block(block: bytes, path: str, cols: _Columns) -> None:
     n_tx, pos = _varint(block, 80)
     for _ in range(n_tx):
         pos = _parse_tx(block, pos, blk)
+    if pos != len(block):
+        raise ValueError("bytes after the last transaction")
     header = block[:80]
     time = _U32(header, 68)[0]
     if time >= 2 ** 31:
@@ -196,46 +229,124 @@ def _parse_block(block: bytes, path: str, cols: _Columns) -> None:
     cols.add_block(path, _display(_dsha(header)), _display(header[4:36]), time, blk)
 
 
-def _frames(content: bytes, magic: bytes):
-    """Raw blocks of one file; stops at zero padding, a foreign magic or a truncated block."""
-    pos, n = 0, len(content)
-    while pos + 8 <= n:
-        if content[pos:pos + 4] != magic:
-            return
-        size = _U32(content, pos + 4)[0]
-        if pos + 8 + size > n:
-            return
-        yield content[pos + 8:pos + 8 + size]
-        pos += 8 + size
+def _reject_junk(content: bytes, pos: int, end: int, path: str, cols: _Columns) -> None:
+    """Reject the bytes between two blocks; zeros around them are padding and no damage."""
+    start = end - len(content[pos:end].lstrip(b"\0"))
+    stop = start + len(content[start:end].rstrip(b"\0"))
+    if start < stop:
+        cols.add_reject(path, start, stop - start, "junk")
+
+
+def parse_batches(content: bytes, path: str = "", magic: bytes = MAINNET_MAGIC, start: int = 0) -> Iterator[pa.RecordBatch]:
+    """The blocks and rejects of one block file from byte ``start`` on, a few hundred blocks at a time."""
+    content, cols, held = content or b"", _Columns(), 0
+    pos, n = start, len(content)
+    while pos < n:
+        follow = content.find(magic, pos)
+        if follow != pos:                               # no block starts here
+            end = n if follow < 0 else follow
+            rest = content[pos:end]
+            if follow < 0 and not rest.strip(b"\0"):
+                cols.add_reject(path, pos, end - pos, "padding")
+            elif follow < 0 and magic.startswith(rest):
+                cols.add_reject(path, pos, end - pos, "tail")
+            else:
+                _reject_junk(content, pos, end, path, cols)
+                zeros = len(rest) - len(rest.rstrip(b"\0"))
+                if follow < 0 and zeros:
+                    cols.add_reject(path, end - zeros, zeros, "padding")
+            pos = end
+            continue
+        size = _U32(content, pos + 4)[0] if pos + 8 <= n else n
+        end = pos + 8 + size
+        if end <= n:
+            try:
+                _parse_block(content[pos + 8:end], path, cols)
+                cols.at(pos, end - pos)
+                held, pos = held + size, end
+                if len(cols.file) >= BATCH_BLOCKS or held >= BATCH_BYTES:
+                    yield cols.batch()
+                    cols, held = _Columns(), 0
+                continue
+            except (ValueError, IndexError, struct.error):
+                reason = "malformed"
+        else:
+            reason = "oversized"
+        # the size cannot be trusted: go on at the next magic, wherever that is
+        follow = content.find(magic, pos + 4)
+        if follow < 0 and reason == "oversized":
+            cols.add_reject(path, pos, n - pos, "tail")
+            pos = n
+        else:
+            stop = follow if follow >= 0 else n if end > n else end
+            cols.add_reject(path, pos, stop - pos, reason)
+            pos = stop
+    if cols.file:
+        yield cols.batch()
 
 
 def parse_file(content: bytes, path: str = "", magic: bytes = MAINNET_MAGIC) -> pa.RecordBatch:
-    """All complete blocks of one block file as a nested Arrow batch (one row per block)."""
-    cols = _Columns()
-    for block in _frames(content or b"", magic):
-        try:
-            _parse_block(block, path, cols)
-        except (ValueError, IndexError, struct.error):
-            break                                       # a malformed block ends the file
-    return cols.batch()
+    """The blocks and rejects of one block file in one nested Arrow batch."""
+    table = pa.Table.from_batches(parse_batches(content, path, magic), schema=_ARROW_SCHEMA).combine_chunks()
+    batches = table.to_batches()
+    return batches[0] if batches else _Columns().batch()
+
 
+class DamagedBlockFile(RuntimeError):
+    """A block file has bytes that are neither blocks nor padding."""
 
-def _parse_batches(magic: bytes):
+
+def parser(magic: bytes, starts: dict[str, int] | None = None, fail: bool = False):
+    """Arrow batches (path, content) -> scan rows. ``starts``: where to begin in a file, by path.
+    With ``fail`` the first damage is an error."""
     def parse(batches):
         for batch in batches:
-            for path, content in zip(batch.column("path").to_pylist(),
-                                     batch.column("content").to_pylist()):
-                yield parse_file(content, path, magic)
+            for path, content in zip(batch.column("path"), batch.column("content")):
+                path = path.as_py()
+                for out in parse_batches(content.as_py(), path, magic, (starts or {}).get(path, 0)):
+                    if fail:
+                        for row in out.select(["offset", "length", "reason"]).to_pylist():
+                            if row["reason"] in DAMAGE:
+                                raise DamagedBlockFile(f"{path}: {row['reason']}, {row['length']} bytes at {row['offset']}; "
+                                                       "read with on_damage='keep' to get the blocks around it")
+                    yield out
     return parse
 
 
+def scan_block_files(spark: SparkSession, path: str | list[str], glob: str = "blk*.dat",
+                     magic: bytes = MAINNET_MAGIC, starts: dict[str, int] | None = None) -> DataFrame:
+    """S1 with rejects: one row per block or reject: (file, block, transactions, offset, length, reason)."""
+    reader = spark.read.format("binaryFile")
+    if isinstance(path, str):
+        reader = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+    return reader.load(path).select("path", "content").mapInArrow(parser(magic, starts), SCAN)
+
+
+def blocks_of(scan: DataFrame) -> DataFrame:
+    """The nested frame of a scan's blocks."""
+    return scan.filter(F.col("reason").isNull()).select("file", "block", "transactions")
+
+
+def rejects_of(scan: DataFrame) -> DataFrame:
+    """What a scan could not read: (file, offset, length, reason)."""
+    return scan.filter(F.col("reason").isNotNull()).select("file", "offset", "length", "reason")
+
+
+def damage_of(scan: DataFrame) -> DataFrame:
+    return rejects_of(scan).filter(F.col("reason").isin(*DAMAGE))
+
+
 def read_block_files(spark: SparkSession, path: str, glob: str = "blk*.dat",
-                     magic: bytes = MAINNET_MAGIC) -> DataFrame:
-    """Nested frame, one row per block: (file, block struct, transactions array)."""
+                     magic: bytes = MAINNET_MAGIC, on_damage: str = "fail") -> DataFrame:
+    """Nested frame, one row per block: (file, block struct, transactions array).
+
+    Damaged bytes make the read fail; ``on_damage="keep"`` returns every good block around them
+    (``rejects_of(scan_block_files(...))`` tells what was left out)."""
+    if on_damage not in ("fail", "keep"):
+        raise ValueError(f"unknown on_damage {on_damage!r}")
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-             .option("recursiveFileLookup", "true").load(path)
-             .select("path", "content"))
-    return files.mapInArrow(_parse_batches(magic), NESTED)
+             .option("recursiveFileLookup", "true").load(path).select("path", "content"))
+    return blocks_of(files.mapInArrow(parser(magic, fail=on_damage == "fail"), SCAN))
 
 
 def flatten(nested: DataFrame) -> Ledger:

@@ -53,20 +53,80 @@ def test_ingest_round_trip(spark):
     assert bal == {"AB" * 20: 1999, "CD" * 20: 8000, "anyone": 7, "unspendable": 50}
 
 
-def test_parse_file_stops_at_malformed_block():
-    from blkencode import MAGIC
-    import struct
-
+def _blocks(n):
+    """``n`` chained blocks: (serialised, hash)."""
+    out, prev = [], ZERO
+    for i in range(n):
+        cb, _ = encode_tx([(ZERO, 0xFFFFFFFF, bytes([i]))], [(1 + i, b"")])
+        raw, prev = encode_block(prev, 1 + i, [cb])
+        out.append((raw, prev))
+    return out
+
+
+def _read(data):
+    """(hashes of the blocks, (reason, offset, length) of the rejects) that a parse of ``data`` gives."""
     from ledgergraph.sources.blockfile import parse_file
-    cb, _ = encode_tx([(ZERO, 0xFFFFFFFF, b"")], [(1, b"")])
-    good, h_good = encode_block(ZERO, 1, [cb])
-    bad = good[:80] + b"\x05" + cb                       # claims 5 txs, holds 1
-    after, _ = encode_block(h_good, 2, [cb])
-    data = frame(good) + MAGIC + struct.pack("<I", len(bad)) + bad + frame(after)
-    batch = parse_file(data, "f")
-    assert batch.num_rows == 1
-    assert batch.column("block").to_pylist()[0]["hash"] == h_good
-    assert parse_file(b"", "f").num_rows == 0
+    rows = parse_file(data, "f").to_pylist()
+    return ([r["block"]["hash"] for r in rows if r["reason"] is None],
+            [(r["reason"], r["offset"], r["length"]) for r in rows if r["reason"] is not None])
+
+
+def test_damage_loses_no_good_block():
+    (a, ha), (b, hb), (c, hc) = _blocks(3)
+    fa, fb, fc = frame(a), frame(b), frame(c)
+    cut = b[:80] + b"\x05" + b[81:]                       # claims 5 transactions, holds 1
+    wrong_size = fb[:4] + (len(b) + 9).to_bytes(4, "little") + b
+    huge = fb[:4] + b"\xff\xff\xff\x7f" + b
+    n = len(fa)
+    assert _read(fa + fb + fc) == ([ha, hb, hc], [])
+    # a malformed block at the start, in the middle, at the end
+    assert _read(frame(cut) + fa + fc) == ([ha, hc], [("malformed", 0, len(fb))])
+    assert _read(fa + frame(cut) + fc) == ([ha, hc], [("malformed", n, len(fb))])
+    assert _read(fa + fc + frame(cut)) == ([ha, hc], [("malformed", n + len(fc), len(fb))])
+    # sizes that can't be right
+    assert _read(fa + wrong_size + fc) == ([ha, hc], [("malformed", n, len(wrong_size))])
+    assert _read(fa + huge + fc) == ([ha, hc], [("oversized", n, len(huge))])
+    # foreign bytes, one or many, and a foreign magic
+    for junk in (b"\x07", b"junk" * 50, b"\xfa\xbf\xb5\xda" + fb[4:] + b"\x01"):
+        assert _read(junk + fa + junk + fc + junk) == ([ha, hc], [
+            ("junk", 0, len(junk)), ("junk", len(junk) + n, len(junk)), ("junk", 2 * len(junk) + n + len(fc), len(junk))])
+    # zeros between blocks are padding and no damage; so are zeros at the end
+    assert _read(fa + b"\0" * 64 + fc) == ([ha, hc], [])
+    assert _read(fa + b"\0" * 64) == ([ha], [("padding", n, 64)])
+    # a block that is still being written
+    for k in (1, 4, 7, 8, 60, len(fb) - 1):
+        assert _read(fa + fb[:k]) == ([ha], [("tail", n, k)])
+    assert _read(b"") == ([], [])
+
+
+def test_damage_fails_a_read_unless_kept(spark, tmp_path):
+    import pytest
+
+    from ledgergraph.plans.job import convert
+    from ledgergraph.sources.blockfile import DamagedBlockFile, damage_of, scan_block_files
+    (a, ha), (b, hb), (c, hc) = _blocks(3)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/blk00000.dat").write_bytes(frame(a) + b"\x01" + frame(b))
+    (tmp_path / "in/blk00001.dat").write_bytes(frame(c)[:-3])
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    with pytest.raises(Exception, match="junk, 1 bytes"):
+        read_block_files(spark, src).count()
+    assert {r.block.hash for r in read_block_files(spark, src, on_damage="keep").collect()} == {ha, hb}
+    assert [(r.reason, r.length) for r in damage_of(scan_block_files(spark, src)).collect()] == [("junk", 1)]
+    with pytest.raises(DamagedBlockFile):
+        convert(spark, src, out)
+    assert not (tmp_path / "out").exists()
+    assert convert(spark, src, out, on_damage="keep")["damaged"] == 1
+    assert {r.reason for r in spark.read.parquet(out + "/rejects").collect()} == {"junk", "tail"}
+    assert spark.read.parquet(out + "/ledger/blocks").count() == 2
+
+
+def test_long_files_come_in_several_batches():
+    from ledgergraph.sources.blockfile import BATCH_BLOCKS, parse_batches
+    blocks = _blocks(200)
+    data = b"".join(frame(b) for b, _ in blocks) * 4
+    batches = list(parse_batches(data, "f"))
+    assert [b.num_rows for b in batches] == [BATCH_BLOCKS] * 3 + [800 - 3 * BATCH_BLOCKS]
 
 
 def test_parser_round_trip_property():
@@ -96,6 +156,7 @@ def test_parser_round_trip_property():
             want.append((bh, prev.upper(), hashes))
             prev = bh
         got = parse_file(data + b"\x00" * 16, "f").to_pylist()
+        assert got.pop()["reason"] == "padding"
         assert len(got) == len(want)
         for row, (bh, ph, hashes) in zip(got, want):
             assert row["block"]["hash"] == bh and row["block"]["prev_hash"] == ph
