@@ -1,22 +1,28 @@
 """Session construction and lineage cutting.
 
-Lineage is cut with reliable ``DataFrame.checkpoint()`` into the folder the cluster names in
+Lineage is cut with reliable ``DataFrame.checkpoint()`` or with scratch tables in the folder the cluster names in
 ``spark.checkpoint.dir``. Only a local-mode session (tests, bench) without that setting gets a
 scratch folder of its own; a cluster session without it is an error, never a machine-local folder.
 """
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
+import uuid
+import warnings
 import zipfile
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str = "local[8]", app: str = "ledgergraph", shuffle_partitions: int = 8,
-              extra: dict | None = None) -> SparkSession:
+              extra: dict | None = None, driver_memory: str | None = None) -> SparkSession:
+    """A session with the settings the library is measured with. ``driver_memory`` is left to the caller:
+    in local mode the driver is the whole of Spark."""
     builder = (
         SparkSession.builder.master(master)
         .appName(app)
@@ -27,11 +33,12 @@ def get_spark(master: str = "local[8]", app: str = "ledgergraph", shuffle_partit
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "16g")
         # remove checkpoint files of frames that are no longer referenced; compress the rest
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.checkpoint.compress", "true")
     )
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -88,36 +95,94 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` into the shared checkpoint folder and return a frame reading it back.
 
-    Survives executor loss (unlike a local checkpoint) and keeps the output partitioning, so a
-    later join on the same keys does not shuffle this side again.
-    """
+    Survives executor loss, unlike a local checkpoint, and keeps rows in the partitions they were in;
+    the planner does not know how they are partitioned, though, so a later join or aggregation on the
+    same keys shuffles them again. Rows are stored whole: for tables that later plans filter or read in
+    part use ``staged``."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+# --- scratch tables -------------------------------------------------------------------------------
+# What a session has written under the checkpoint folder: (path, table name or ""), by application.
+_SCRATCH: dict[str, dict[str, str]] = {}
+
+
+def _scratch_path(spark: SparkSession, tag: str, table: str = "") -> str:
+    path = f"{ensure_checkpoint_dir(spark)}/tables/{table or f'{tag}_{uuid.uuid4().hex[:12]}'}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, {})[path] = table
+    return path
+
+
+def write_scratch(df: DataFrame, tag: str, partition_by: list[str] | None = None) -> str:
+    """Write ``df`` as Parquet under the checkpoint folder; the path. Deleted by ``release_scratch``."""
+    path = _scratch_path(df.sparkSession, tag)
+    writer = df.write
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    return path
+
+
+def scratch_folder(spark: SparkSession, tag: str) -> str:
+    """A folder of the caller's own under the checkpoint folder. Deleted by ``release_scratch``."""
+    return _scratch_path(spark, tag)
+
+
+def staged(df: DataFrame, tag: str, partition_by: list[str] | None = None) -> DataFrame:
+    """``df`` written once as a scratch table and read back: later plans prune columns and partitions
+    and push filters into it."""
+    return df.sparkSession.read.schema(df.schema).parquet(write_scratch(df, tag, partition_by))
+
+
 def bucketed_table(df: DataFrame, prefix: str, keys: list[str], buckets: int) -> tuple[DataFrame, str]:
     """Write ``df`` as a table bucketed on ``keys`` under the shared checkpoint folder and
-    return (the table, its name). Joins on ``keys`` then read it pre-partitioned — no
-    exchange on this side — which a checkpointed frame cannot promise (it loses its
-    partitioning). One file per bucket: the rows are hash-partitioned the same way first."""
-    import uuid
-    import warnings
+    return (the table, its name). Joins on ``keys`` then read it pre-partitioned, without an
+    exchange on this side. One file per bucket: the rows are hash-partitioned the same way first.
+
+    A catalog that refuses such tables gets a staged table instead (name ""): same rows, but joins
+    shuffle. Any other failure is an error."""
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark)
     name = f"{prefix}_{uuid.uuid4().hex[:12]}"
+    path = _scratch_path(spark, prefix, name)
     try:
-        (df.repartition(buckets, *keys).write.bucketBy(buckets, *keys)
-         .option("path", f"{root}/tables/{name}").saveAsTable(name))
-    except Exception as e:  # noqa: BLE001 — a catalog without bucketed tables
-        warnings.warn(f"bucketed table unavailable ({type(e).__name__}); using a checkpoint: "
+        (df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).option("path", path).saveAsTable(name))
+    except AnalysisException as e:
+        warnings.warn(f"bucketed table refused ({str(e).splitlines()[0]}); staging without buckets: "
                       "same result, joins on these keys will shuffle", stacklevel=2)
-        return cut_lineage(df.repartition(buckets, *keys)), ""
+        _delete(spark, path)
+        return staged(df, prefix), ""
     return spark.table(name), name
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    """Remove a scratch table: its catalog entry and its files (an external table keeps them)."""
+    known = _SCRATCH.get(spark.sparkContext.applicationId, {})
+    if name := known.pop(path, ""):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def drop_table(spark: SparkSession, name: str) -> None:
+    """Drop a table made by ``bucketed_table``, files included."""
     if name:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        _delete(spark, f"{ensure_checkpoint_dir(spark)}/tables/{name}")
+
+
+def scratch_tables(spark: SparkSession) -> list[str]:
+    """Paths of the scratch tables that exist."""
+    return list(_SCRATCH.get(spark.sparkContext.applicationId, {}))
+
+
+def release_scratch(spark: SparkSession, since: list[str] = ()) -> None:
+    """Delete this session's scratch tables, or those that are not in ``since`` (an earlier
+    ``scratch_tables``). Frames that read them must not be used afterwards; the caches of the query
+    registry are emptied with ``plans.queries.release``."""
+    keep = set(since)
+    for path in scratch_tables(spark):
+        if path not in keep:
+            _delete(spark, path)
 
 
 @contextmanager
@@ -137,11 +202,9 @@ def scoped_conf(spark: SparkSession, settings: dict[str, str]):
 
 
 def buckets_for(spark: SparkSession, rows: int, rows_per_bucket: int) -> int:
-    """Bucket / partition count sized by data: ~``rows_per_bucket`` rows each, at least the
-    default parallelism, at most ``spark.sql.shuffle.partitions`` (the cluster's setting)."""
-    import math
-    want = max(spark.sparkContext.defaultParallelism, math.ceil(rows / rows_per_bucket))
-    return max(1, min(shuffle_partitions(spark), want))
+    """Bucket count sized by the data alone: ~``rows_per_bucket`` rows each, at least the default
+    parallelism."""
+    return max(1, spark.sparkContext.defaultParallelism, math.ceil(rows / rows_per_bucket))
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
