@@ -77,19 +77,14 @@ def test_salted_run_equals_unsalted_on_star_graph(spark, monkeypatch):
     nodes, edges = star_graph(spark, SF0001)
     plain = {r.id: r.rank for r in pagerank(graph_vertices(nodes, edges), edges).collect()}
     seen = {}
-    real_salts = P._salt_table
-
-    def spy(w, parts, total):
-        degrees, salts = real_salts(w, parts, total)
-        seen["salted"] = salts.count()
-        return degrees, salts
-    monkeypatch.setattr(P, "_salt_table", spy)
-    monkeypatch.setattr(P, "EDGES_PER_BUCKET", 10)
-    spark.conf.set("spark.sql.shuffle.partitions", "64")
-    try:
-        salted = {r.id: r.rank for r in pagerank(graph_vertices(nodes, edges), edges).collect()}
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    real = P._salted_edges
+
+    def spy(w, hubs):
+        seen["salted"] = hubs.count()
+        return real(w, hubs)
+    monkeypatch.setattr(P, "_salted_edges", spy)
+    monkeypatch.setattr(P, "_buckets", lambda spark, n: 64)
+    salted = {r.id: r.rank for r in pagerank(graph_vertices(nodes, edges), edges).collect()}
     assert seen["salted"] > 0
     assert set(salted) == set(plain)
     for k, v in plain.items():
@@ -137,3 +132,18 @@ def test_pagerank_property_random_multigraphs(spark):
             assert got[v] == pytest.approx(want[v], abs=1e-9)
 
     check()
+
+
+def test_max_iter_is_an_error_not_an_answer(spark):
+    edges = spark.createDataFrame(EDGES, "src long, dst long")
+    nodes = spark.createDataFrame([(i,) for i in range(1, 7)], "id long")
+    with pytest.raises(RuntimeError, match="not converged"):
+        pagerank(graph_vertices(nodes, edges), edges, max_iter=2)
+
+
+def test_session_settings_stay(spark):
+    edges = spark.createDataFrame(EDGES, "src long, dst long")
+    before = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    pagerank(graph_vertices(edges.select(edges.src.alias("id")), edges), edges).count()
+    assert before == (spark.conf.get("spark.sql.shuffle.partitions"),
+                      spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled"))
