@@ -5,49 +5,27 @@ without ``g``, the whole table — into a single task. Here the rows are range-p
 ``(g, k)`` instead, so a group holding a third of all rows is spread over many tasks:
 
 1. ``repartitionByRange(n, g, k)`` + ``sortWithinPartitions`` and a reliable checkpoint (range
-   bounds come from sampling; both passes below must see the same partitions).
-2. One summary row per partition (row count, first/last group, length of the trailing run).
-   That is ``n`` tiny rows on the driver, independent of the data size.
-3. Per-partition offsets (global) and carries (rows of the partition's first group that sit in
-   earlier partitions) are computed from the summaries and applied in a second vectorised pass.
-
-Global ids (no groups) need no Python at all: per-partition counts and
-``monotonically_increasing_id`` on the checkpointed partitions give the position.
+   bounds come from sampling; what follows must see the same partitions).
+2. Global numbers: one count per partition (``n`` rows on the driver) gives each partition's offset,
+   and ``monotonically_increasing_id`` on the checkpointed partitions the place in it.
+3. Numbers within groups: a window numbers the rows of each (partition, group), so the largest
+   window is one range partition's share of a group; counts per (partition, group), summed over
+   the lower partitions of the same group, are added to it. Both are joined on the window's own
+   partitioning. Everything runs in the JVM.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgergraph.session import cut_lineage
 
 _PID = "_lg_pid"
 
 
-def _key_json(row: pd.Series | tuple) -> str:
-    return json.dumps([None if pd.isna(v) else (v.item() if hasattr(v, "item") else v) for v in row],
-                      default=str)
-
-
-def _group_starts(pdf: pd.DataFrame, group_cols: list[str]) -> pd.Series:
-    """Boolean Series: True where a row starts a new group (relative to the previous row)."""
-    if not group_cols:
-        s = pd.Series(False, index=pdf.index)
-        return s
-    g = pdf[group_cols]
-    prev = g.shift(1)
-    same = pd.Series(True, index=pdf.index)
-    for c in group_cols:
-        same &= (g[c] == prev[c]) | (g[c].isna() & prev[c].isna())
-    return ~same
-
-
 def with_row_number(df: DataFrame, order_by: Sequence[str], partition_by: Sequence[str] = (),
                     id_col: str = "rn", offset: int = 0,
                     num_partitions: int | None = None) -> tuple[DataFrame, int]:
@@ -68,80 +46,19 @@ def with_row_number(df: DataFrame, order_by: Sequence[str], partition_by: Sequen
     if not group_cols:
         return _global_ids(staged, id_col, offset)
 
-    summary_schema = T.StructType([
-        T.StructField("pid", T.IntegerType()),
-        T.StructField("n", T.LongType()),
-        T.StructField("first_key", T.StringType()),
-        T.StructField("last_key", T.StringType()),
-        T.StructField("last_run", T.LongType()),
-    ])
-
-    def summarize(batches):
-        pid, count, first_key, last_key, last_run = None, 0, None, None, 0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pid = int(pdf[_PID].iloc[0])
-            head = _key_json(pdf[group_cols].iloc[0])
-            tail = _key_json(pdf[group_cols].iloc[-1])
-            starts = _group_starts(pdf, group_cols)
-            starts.iloc[0] = head != last_key
-            gid = starts.cumsum()              # 0 = the group continuing from the last batch
-            if first_key is None:
-                first_key = head
-            tail_rows = int((gid == gid.iloc[-1]).sum())
-            last_run = last_run + tail_rows if int(gid.iloc[-1]) == 0 else tail_rows
-            last_key = tail
-            count += len(pdf)
-        if pid is not None:
-            yield pd.DataFrame({"pid": [pid], "n": [count], "first_key": [first_key],
-                                "last_key": [last_key], "last_run": [last_run]})
-
-    # bound: one summary row per partition
-    rows = sorted(staged.select(_PID, *keys).mapInPandas(summarize, summary_schema).collect(),
-                  key=lambda r: r["pid"])
-
-    carries: dict[int, int] = {}
-    firsts: dict[int, str] = {}
-    total, cur_key, cur_run = 0, None, 0
-    for r in rows:
-        firsts[r.pid] = r.first_key
-        carry = cur_run if r.first_key == cur_key else 0
-        carries[r.pid] = carry
-        if r.first_key == r.last_key:      # the whole partition is one group
-            cur_run = carry + r.n
-        else:
-            cur_run = r.last_run
-        cur_key = r.last_key
-        total += r.n
-
-    out_schema = T.StructType([f for f in staged.schema.fields if f.name != _PID]
-                              + [T.StructField(id_col, T.LongType(), False)])
-
-    def assign(batches):
-        state = {"pid": None, "run": 0, "key": None}
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pid = int(pdf[_PID].iloc[0])
-            if state["pid"] != pid:
-                state.update(pid=pid, run=carries.get(pid, 0), key=firsts.get(pid))
-            starts = _group_starts(pdf, group_cols)
-            head = _key_json(pdf[group_cols].iloc[0])
-            starts.iloc[0] = head != state["key"]
-            gid = starts.cumsum()              # 0 = the group continuing from before
-            within = pdf.groupby(gid.values, sort=False).cumcount().to_numpy()
-            first_group = (gid == 0).to_numpy()
-            values = within + first_group * state["run"]
-            last_gid = gid.iloc[-1]
-            tail_rows = int((gid == last_gid).sum())
-            state["run"] = (state["run"] + tail_rows) if last_gid == 0 else tail_rows
-            state["key"] = _key_json(pdf[group_cols].iloc[-1])
-            out = pdf.drop(columns=[_PID])
-            out[id_col] = values.astype("int64")
-            yield out
-
-    return staged.mapInPandas(assign, out_schema), total
+    counts = staged.groupBy(_PID, *group_cols).agg(F.count(F.lit(1)).alias("_lg_n"))
+    # a group has at most one row per partition here
+    lower = Window.partitionBy(*group_cols).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    carry = (counts.withColumn("_lg_carry", F.coalesce(F.sum("_lg_n").over(lower), F.lit(0)))
+             .select(F.col(_PID).alias("_lg_p"), *[F.col(c).alias(f"_lg_g{i}") for i, c in enumerate(group_cols)],
+                     "_lg_carry"))
+    same = F.col(_PID) == F.col("_lg_p")
+    for i, c in enumerate(group_cols):
+        same &= F.col(c).eqNullSafe(F.col(f"_lg_g{i}"))
+    place = F.row_number().over(Window.partitionBy(_PID, *group_cols).orderBy(*order_by))
+    out = (staged.withColumn("_lg_place", place).join(carry, same)
+           .withColumn(id_col, F.col("_lg_carry") + F.col("_lg_place") - 1))
+    return out.select(*df.columns, id_col), staged.count()
 
 
 def _global_ids(staged: DataFrame, id_col: str, offset: int) -> tuple[DataFrame, int]:

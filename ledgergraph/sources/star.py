@@ -14,21 +14,23 @@ given tables; its size grows with them. Rules (``H(x)`` = upper hex SHA-256 of t
                output of this order whose l_returnflag is not 'N'; each customer's first order
                gets a coinbase input
 
-Ordinals come from ``operators.ids.with_row_number`` (range-partitioned, never one group per
+An output's ordinal is a window over its order, whose size the block size bounds. Ordinals of orders
+within a customer come from ``operators.ids.with_row_number`` (range-partitioned, never one group per
 task), and "next order" / "previous block" are equi-joins on (key, ordinal ± 1), so a customer
 holding a third of all orders is still spread over many tasks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgergraph.functions.hashing import tagged_hash
 from ledgergraph.operators.ids import with_row_number
 from ledgergraph.schemas import COINBASE_ORD, ZERO_HASH, Ledger
-from ledgergraph.session import bucketed_table, buckets_for, cut_lineage
+from ledgergraph.session import bucketed_table, buckets_for, staged
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,12 +89,11 @@ def derive_transactions(orders: DataFrame) -> DataFrame:
     )
 
 
-def _output_rows(lineitem: DataFrame) -> tuple[DataFrame, int]:
-    """Line items with their 0-based output ordinal (``ord``) within the order, and their count."""
-    li = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                         "l_extendedprice", "l_returnflag")
-    return with_row_number(li, ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"],
-                           partition_by=["l_orderkey"], id_col="ord")
+def _output_rows(lineitem: DataFrame) -> DataFrame:
+    """Line items with their 0-based output ordinal (``ord``) within the order."""
+    in_order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    return lineitem.select("l_orderkey", "l_partkey", "l_extendedprice", "l_returnflag",
+                           (F.row_number().over(in_order) - 1).cast("long").alias("ord"))
 
 
 def _outputs_from_rows(rows: DataFrame) -> DataFrame:
@@ -140,27 +141,27 @@ def _inputs(rows: DataFrame, chain: DataFrame) -> DataFrame:
 
 
 def derive_ledger(orders: DataFrame, lineitem: DataFrame, materialize: bool = True) -> Ledger:
-    """The four ledger tables. With ``materialize`` each is written once to the checkpoint
-    folder — the analogue of the ingest job's Parquet output — so later plans scan stored
+    """The four ledger tables. With ``materialize`` each is written once under the checkpoint
+    folder, the analogue of the ingest job's Parquet output, so later plans scan stored
     columns instead of re-deriving hashes and scripts in every branch."""
-    rows, n_outputs = _output_rows(lineitem)
-    ranked = _ranked_orders(orders)
-    if materialize:   # each feeds several tables: run the ordinal passes once
-        rows, ranked = cut_lineage(rows), cut_lineage(ranked)
-    chain = _chain_of(ranked)
-    # blocks and transactions read the ranked orders (already spread over many partitions)
-    # rather than scanning the orders table again
-    ledger = Ledger(
-        blocks=derive_blocks(ranked),
-        transactions=derive_transactions(ranked),
-        outputs=_outputs_from_rows(rows),
-        inputs=_inputs(rows, chain),
-    )
+    rows, ranked = _output_rows(lineitem), _ranked_orders(orders)
     if materialize:
-        n = ledger_buckets(lineitem.sparkSession, n_outputs)      # one output per line item
-        ledger = Ledger(cut_lineage(ledger.blocks), cut_lineage(ledger.transactions),
-                        *outpoint_bucketed(ledger.outputs, ledger.inputs, n))
-    return ledger
+        # outputs and inputs both come from the numbered line items: shuffled and sorted once
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        ranked = staged(ranked, "lg_orders")
+    try:
+        # blocks and transactions read the ranked orders (already spread over many partitions)
+        # rather than scanning the orders table again
+        ledger = Ledger(blocks=derive_blocks(ranked), transactions=derive_transactions(ranked),
+                        outputs=_outputs_from_rows(rows), inputs=_inputs(rows, _chain_of(ranked)))
+        if materialize:
+            n = ledger_buckets(lineitem.sparkSession, lineitem.count())      # one output per line item
+            ledger = Ledger(staged(ledger.blocks, "lg_blocks"), staged(ledger.transactions, "lg_transactions"),
+                            *outpoint_bucketed(ledger.outputs, ledger.inputs, n))
+        return ledger
+    finally:
+        if materialize:
+            rows.unpersist()
 
 
 ROWS_PER_BUCKET = 1_000_000
@@ -183,6 +184,11 @@ def outpoint_bucketed(outputs: DataFrame, inputs: DataFrame, n: int) -> tuple[Da
 _MEMO: dict[tuple, Ledger] = {}
 
 
+def release_ledgers() -> None:
+    """Forget the ledgers derived so far; their tables go with ``session.release_scratch``."""
+    _MEMO.clear()
+
+
 def _fingerprint(sf_dir: str) -> tuple:
     import os
     out = []
@@ -196,10 +202,15 @@ def _fingerprint(sf_dir: str) -> tuple:
     return tuple(out)
 
 
+def ledger_key(spark: SparkSession, sf_dir: str) -> tuple:
+    """What a derived ledger belongs to: session, checkpoint folder and version of the input."""
+    return (spark.sparkContext.applicationId, spark._jsparkSession.sessionUUID(),
+            spark.sparkContext.getCheckpointDir(), _fingerprint(sf_dir))
+
+
 def ledger_from_dir(spark: SparkSession, sf_dir: str, reuse: bool = True) -> Ledger:
     """Derive (once per session and input version) and materialise the ledger of ``sf_dir``."""
-    key = (spark.sparkContext.applicationId, spark._jsparkSession.sessionUUID(),
-           spark.sparkContext.getCheckpointDir(), _fingerprint(sf_dir))
+    key = ledger_key(spark, sf_dir)
     if reuse and key in _MEMO:
         return _MEMO[key]
     ledger = derive_ledger(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem"))
