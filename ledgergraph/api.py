@@ -24,7 +24,7 @@ from ledgergraph.operators.pagerank import graph_counts, graph_vertices, pageran
 from ledgergraph.operators.report import address_report, usd_columns
 from ledgergraph.operators.snapshots import snapshot_counts
 from ledgergraph.schemas import Ledger
-from ledgergraph.session import bucketed_table, cut_lineage, ensure_checkpoint_dir, ship_package
+from ledgergraph.session import bucketed_table, ensure_checkpoint_dir, ship_package, staged
 from ledgergraph.sources.blockfile import flatten, read_block_files
 from ledgergraph.sources.io import read_ledger, write_graph_json
 from ledgergraph.sources.star import ledger_buckets, ledger_from_dir
@@ -41,11 +41,12 @@ class LedgerGraph:
 
     # --- construction ---------------------------------------------------------------------
     @classmethod
-    def from_block_files(cls, spark: SparkSession, path: str, glob: str = "blk*.dat", **kw) -> LedgerGraph:
-        """Parse block files once (checkpointed) and flatten them into the ledger tables."""
+    def from_block_files(cls, spark: SparkSession, path: str, glob: str = "blk*.dat", on_damage: str = "fail",
+                         **kw) -> LedgerGraph:
+        """Parse block files once (staged) and flatten them into the ledger tables."""
         ensure_checkpoint_dir(spark)
         ship_package(spark)
-        return cls(flatten(cut_lineage(read_block_files(spark, path, glob))), **kw)
+        return cls(flatten(staged(read_block_files(spark, path, glob, on_damage=on_damage), "lg_blocks")), **kw)
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str, **kw) -> LedgerGraph:
@@ -74,20 +75,27 @@ class LedgerGraph:
     def ids(self) -> E.VertexIds:
         return E.vertex_ids(self.ledger, self.outputs)
 
+    @cached_property
+    def resolved(self) -> DataFrame:
+        """Outputs with the ids of their addresses, bucketed like the inputs."""
+        n = ledger_buckets(self.spark, self.ledger.outputs.count())
+        return bucketed_table(E.resolve_addresses(self.outputs, self.ids.addresses), "lg_api_resolved",
+                              ["tx_hash", "ord"], n)[0]
+
     @cached_property
     def payment_graph(self) -> DataFrame:
         """Weighted address → address multigraph (src, dst, n)."""
         ledger = Ledger(self.ledger.blocks, self.ledger.transactions, self.outputs, self.inputs)
-        return cut_lineage(E.payment_edges_weighted(ledger, self.outputs, self.ids.addresses))
+        return staged(E.payment_edges_weighted(ledger, self.resolved), "lg_api_payments")
 
     @cached_property
     def ranks(self) -> DataFrame:
         w = self.payment_graph
-        return cut_lineage(pagerank(graph_vertices(self.ids.addresses, w), w, tol=self.tol))
+        return pagerank(graph_vertices(self.ids.addresses, w), w, tol=self.tol, distinct_pairs=True)
 
     @cached_property
     def heights(self) -> DataFrame:
-        return cut_lineage(chain_height(self.ledger.blocks))
+        return chain_height(self.ledger.blocks)
 
     # --- results -------------------------------------------------------------------------
     def balances(self) -> DataFrame:
@@ -115,7 +123,7 @@ class LedgerGraph:
         return E.edges_named(self._spend_ledger(), self.outputs, direction)
 
     def edges_indexed(self, direction: str = "documented") -> DataFrame:
-        return E.edges_indexed(self._spend_ledger(), self.outputs, self.ids, direction)
+        return E.edges_indexed(self._spend_ledger(), self.resolved, self.ids, direction)
 
     def payment_edges(self, expanded: bool = False) -> DataFrame:
         return E.expand_multigraph(self.payment_graph) if expanded else self.payment_graph
@@ -128,7 +136,7 @@ class LedgerGraph:
 
     def report(self, k: int = 10) -> DataFrame:
         top = self.top_addresses(k)
-        mine = self.outputs.join(F.broadcast(top.select("address")), "address", "left_semi")  # k rows
+        mine = self.outputs.join(top.select("address"), "address", "left_semi")
         return address_report(top, L.address_totals(mine, self.inputs))
 
     def usd(self) -> DataFrame:
@@ -147,7 +155,7 @@ class LedgerGraph:
         return neighbourhood(self.payment_graph, seeds).join(self.ids.addresses, "id")
 
     def export_graph(self, path: str, seeds: DataFrame) -> None:
-        kept = cut_lineage(self.neighbourhood(seeds).select("id"))
+        kept = staged(self.neighbourhood(seeds).select("id"), "lg_api_kept")
         write_graph_json(graph_elements(self.ids.addresses, self.payment_graph, kept), path)
 
     def snapshot_counts(self) -> DataFrame:

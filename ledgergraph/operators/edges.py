@@ -8,6 +8,9 @@
                       (src, dst) with its multiplicity; the expanded multigraph is derived
                       from the aggregate, never from a per-transaction inputs × outputs product.
 
+Addresses are swapped for their ids once, on the outputs (``resolve_addresses``); both graphs on ids are
+built from that, so the joins and aggregations after it carry longs.
+
 ``direction="legacy"`` reproduces the reversed block→tx and block→block order of the
 long-key converter; the default is the documented direction.
 """
@@ -19,10 +22,11 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgergraph.functions.script import ANYONE, UNKNOWN, UNSPENDABLE
 from ledgergraph.operators.ids import dense_ids
 from ledgergraph.operators.ledger import spends
 from ledgergraph.schemas import Ledger
-from ledgergraph.session import cut_lineage
+from ledgergraph.session import staged
 
 EDGE_KINDS = ("block_tx", "address_tx", "tx_address", "block_prev")
 
@@ -69,19 +73,36 @@ def vertex_ids(ledger: Ledger, outputs: DataFrame) -> VertexIds:
              .unionByName(ledger.blocks.select(F.lit(1).alias("kind"), F.col("hash").alias("key"), "time"))
              .unionByName(ledger.transactions.select(F.lit(2).alias("kind"), F.col("hash").alias("key"),
                                                      F.lit(None).cast("int").alias("time"))))
-    # the ids are joined several times: materialise once (vertex-sized); each kind is a
-    # filtered scan of that one table
-    ids = cut_lineage(dense_ids(keyed, ["kind", "key"])[0])
+    # the ids are joined several times: materialise once (vertex-sized), each kind a partition
+    ids = staged(dense_ids(keyed, ["kind", "key"])[0], "lg_vertex_ids", ["kind"])
     return VertexIds(ids.filter(F.col("kind") == 0).select("id", F.col("key").alias("address")),
                      ids.filter(F.col("kind") == 1).select("id", F.col("key").alias("hash"), "time"),
                      ids.filter(F.col("kind") == 2).select("id", F.col("key").alias("hash")))
 
 
+def resolve_addresses(outputs: DataFrame, addresses: DataFrame) -> DataFrame:
+    """(tx_hash, ord, value, aid): outputs with their address's id.
+
+    The pseudo-addresses that very many outputs share (at most three ids, looked up first) are no join
+    keys; the others join evenly."""
+    labels = [ANYONE, UNSPENDABLE, UNKNOWN]
+    known = {r.address: r.id for r in addresses.filter(F.col("address").isin(labels)).collect()}     # at most three
+    rows = outputs.select("tx_hash", "ord", "value", "address")
+    shared = rows.filter(F.col("address").isin(labels))
+    aid = F.lit(None).cast("long")
+    for address, i in known.items():
+        aid = F.when(F.col("address") == address, F.lit(i).cast("long")).otherwise(aid)
+    own = rows.filter(~F.col("address").isin(labels)).join(
+        addresses.select("address", F.col("id").alias("aid")), "address")
+    return (own.select("tx_hash", "ord", "value", "aid")
+            .unionByName(shared.select("tx_hash", "ord", "value", aid.alias("aid")).filter("aid IS NOT NULL")))
+
+
 def edges_indexed(ledger: Ledger, outputs: DataFrame, ids: VertexIds | None = None,
                   direction: str = "documented") -> DataFrame:
-    """The ledger graph on dense ids; references outside the data are dropped."""
+    """The ledger graph on dense ids; references outside the data are dropped. ``outputs`` may
+    be resolved already (``resolve_addresses``)."""
     ids = ids or vertex_ids(ledger, outputs)
-    a = ids.addresses
     tx = ids.transactions
     bk = ids.blocks.select("id", "hash")
 
@@ -94,8 +115,7 @@ def edges_indexed(ledger: Ledger, outputs: DataFrame, ids: VertexIds | None = No
     block_prev = (ledger.blocks.select("hash", "prev_hash")
                   .join(bk.select("hash", F.col("id").alias("bid")), "hash")
                   .join(bk.select(F.col("hash").alias("prev_hash"), F.col("id").alias("pid")), "prev_hash"))
-    o = outputs.select("tx_hash", "ord", "value", "address").join(
-        a.select("address", F.col("id").alias("aid")), "address")
+    o = outputs if "aid" in outputs.columns else resolve_addresses(outputs, ids.addresses)
     tx_address = o.join(tx_id("tx_hash", "tid"), "tx_hash")
     sp = (spends(o.select("tx_hash", "ord", "value", "aid"), ledger.inputs)
           .join(tx_id("spent_by", "sid"), "spent_by"))
@@ -113,30 +133,26 @@ def edges_indexed(ledger: Ledger, outputs: DataFrame, ids: VertexIds | None = No
             .unionByName(e_block_prev))
 
 
-def payment_edges_weighted(ledger: Ledger, outputs: DataFrame, address_ids: DataFrame,
+def payment_edges_weighted(ledger: Ledger, outputs: DataFrame, address_ids: DataFrame | None = None,
                            flow: str = "payee_to_payer") -> DataFrame:
     """G3 aggregated: (src, dst, n) with n = multiplicity of the v1 address multigraph.
 
     For an output of tx T1 (payer address) spent in tx T2, every output of T2 (payee) gets one
-    edge per input of T1. Both sides are pre-aggregated per (T2, address) before the only
+    edge per input of T1. Both sides are pre-aggregated per (T2, address id) before the only
     per-transaction join, so its size is distinct payers × distinct payees per transaction,
-    which is the size of the result itself.
+    which is the size of the result itself. ``outputs`` are resolved, or are resolved here.
     """
+    o = outputs if "aid" in outputs.columns else resolve_addresses(outputs, address_ids)
     n_in = ledger.inputs.groupBy("tx_hash").agg(F.count(F.lit(1)).alias("n_in"))
-    payer = (spends(outputs.select("tx_hash", "ord", "address"), ledger.inputs)
+    payer = (spends(o.select("tx_hash", "ord", "aid"), ledger.inputs)
              .join(n_in, "tx_hash")                       # T1 must have inputs (v1 flattening)
-             .groupBy(F.col("spent_by").alias("t2"), F.col("address").alias("payer"))
+             .groupBy(F.col("spent_by").alias("t2"), F.col("aid").alias("payer"))
              .agg(F.sum("n_in").alias("w")))
-    payee = (outputs.groupBy(F.col("tx_hash").alias("t2"), F.col("address").alias("payee"))
+    payee = (o.groupBy(F.col("tx_hash").alias("t2"), F.col("aid").alias("payee"))
              .agg(F.count(F.lit(1)).alias("c")))
-    pairs = (payer.join(payee, "t2")
-             .groupBy("payee", "payer").agg(F.sum(F.col("w") * F.col("c")).cast("long").alias("n")))
-    ids = address_ids.select("id", "address")
-    out = (pairs.join(ids.select(F.col("address").alias("payee"), F.col("id").alias("payee_id")), "payee")
-           .join(ids.select(F.col("address").alias("payer"), F.col("id").alias("payer_id")), "payer"))
-    if flow == "money":
-        return out.select(F.col("payer_id").alias("src"), F.col("payee_id").alias("dst"), "n")
-    return out.select(F.col("payee_id").alias("src"), F.col("payer_id").alias("dst"), "n")
+    src, dst = ("payer", "payee") if flow == "money" else ("payee", "payer")
+    return (payer.join(payee, "t2").groupBy(F.col(src).alias("src"), F.col(dst).alias("dst"))
+            .agg(F.sum(F.col("w") * F.col("c")).cast("long").alias("n")))
 
 
 def expand_multigraph(weighted: DataFrame, chunk: int = 4096) -> DataFrame:

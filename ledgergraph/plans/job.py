@@ -1,6 +1,6 @@
 """The conversion job — block files → ledger tables, vertex-id tables and edge tables.
 
-    spark-submit --py-files ledgergraph.zip convert_job.py <input> <output> [debug]
+    spark-submit --py-files ledgergraph.zip convert_job.py <input> <output> [debug] [keep]
 
 Output folders (Parquet, gzip, overwrite so a re-run is idempotent):
 
@@ -8,11 +8,16 @@ Output folders (Parquet, gzip, overwrite so a re-run is idempotent):
   addresses, blocks, transactions               (id, address) / (id, hash, time) / (id, hash)
   edges                                         indexed ledger graph (src, dst, value, edge_kind)
   edges_named                                   the same graph on readable keys
-  nodes, payment_edges                          address ids and the weighted payment graph
+  payment_edges                                 the weighted payment graph on the ids in addresses
 
-The parsed blocks are checkpointed once (reliable, in ``spark.checkpoint.dir``) and every
-table is derived from that copy — files are never parsed twice and a lost executor re-reads
-the checkpoint instead of re-parsing.
+  rejects                                       (file, offset, length, reason) of unread bytes
+
+Damaged block files end the job before a table is written; ``on_damage="keep"`` (fourth argument
+``keep``) converts every good block and reports the number of rejects.
+
+The parsed blocks are staged once as Parquet (in ``spark.checkpoint.dir``) and every table is derived
+from that copy, reading only the columns it needs: files are never parsed twice and a lost executor
+re-reads the copy instead of re-parsing. Scratch tables are deleted when the job ends.
 """
 
 from __future__ import annotations
@@ -27,23 +32,40 @@ from ledgergraph.operators import edges as E
 from ledgergraph.operators import ledger as L
 from ledgergraph.operators.sampling import sample_rows
 from ledgergraph.schemas import Ledger
-from ledgergraph.session import cut_lineage, ensure_checkpoint_dir, ship_package
-from ledgergraph.sources.blockfile import flatten, read_block_files
+from ledgergraph.session import ensure_checkpoint_dir, release_scratch, scratch_tables, ship_package, staged
+from ledgergraph.sources.blockfile import DamagedBlockFile, blocks_of, damage_of, flatten, rejects_of, scan_block_files
 from ledgergraph.sources.io import write_ledger, write_table
 
 
 def convert(spark: SparkSession, input_path: str, output_dir: str, glob: str = "blk*.dat",
             debug: int = 0, direction: str = "documented", compression: str = "gzip",
-            edge_files: int | None = None, table_db: str | None = None) -> dict[str, int]:
+            edge_files: int | None = None, table_db: str | None = None,
+            on_damage: str = "fail") -> dict[str, int]:
     """Run the conversion. With ``table_db`` the outputs and inputs are also registered in that
     metastore database as tables bucketed on the outpoint (``ledger_outputs`` on
     (tx_hash, ord), ``ledger_inputs`` on (ref_hash, ref_ord), same bucket count), so later
     sessions sharing the metastore join spends without shuffling either table."""
     ensure_checkpoint_dir(spark)
     ship_package(spark)
-    nested = cut_lineage(read_block_files(spark, input_path, glob))
-    flat = flatten(nested)
-    outputs = cut_lineage(with_address(flat.outputs))
+    before = scratch_tables(spark)
+    try:
+        return _convert(spark, input_path, output_dir, glob, debug, direction, compression, edge_files, table_db,
+                        on_damage)
+    finally:
+        release_scratch(spark, since=before)
+
+
+def _convert(spark: SparkSession, input_path: str, output_dir: str, glob: str, debug: int, direction: str,
+             compression: str, edge_files: int | None, table_db: str | None, on_damage: str) -> dict[str, int]:
+    scan = staged(scan_block_files(spark, input_path, glob), "lg_scan")
+    damaged = damage_of(scan).count()
+    if damaged and on_damage != "keep":
+        first = damage_of(scan).orderBy("file", "offset").first()
+        raise DamagedBlockFile(f"{damaged} damaged places, the first in {first.file}: {first.reason}, {first.length} bytes "
+                               f"at {first.offset}; on_damage='keep' converts the blocks around them")
+    write_table(rejects_of(scan), f"{output_dir}/rejects", compression=compression)
+    flat = flatten(blocks_of(scan))
+    outputs = staged(with_address(flat.outputs), "lg_classified")
     ledger = Ledger(flat.blocks, flat.transactions, outputs, flat.inputs)
     write_ledger(ledger, f"{output_dir}/ledger", compression=compression)
 
@@ -55,15 +77,15 @@ def convert(spark: SparkSession, input_path: str, output_dir: str, glob: str = "
     write_table(ids.addresses, f"{output_dir}/addresses", compression=compression)
     write_table(ids.blocks, f"{output_dir}/blocks", compression=compression)
     write_table(ids.transactions, f"{output_dir}/transactions", compression=compression)
-    write_table(E.edges_indexed(ledger, outs, ids, direction=direction), f"{output_dir}/edges",
+    resolved = staged(E.resolve_addresses(outs, ids.addresses), "lg_resolved")
+    write_table(E.edges_indexed(ledger, resolved, ids, direction=direction), f"{output_dir}/edges",
                 compression=compression, num_files=edge_files)
     write_table(E.edges_named(ledger, outs, direction=direction), f"{output_dir}/edges_named",
                 compression=compression, num_files=edge_files)
-    write_table(ids.addresses, f"{output_dir}/nodes", compression=compression)
-    write_table(E.payment_edges_weighted(ledger, outs, ids.addresses), f"{output_dir}/payment_edges",
+    write_table(E.payment_edges_weighted(ledger, resolved), f"{output_dir}/payment_edges",
                 compression=compression)
 
-    stats: dict[str, int] = {}
+    stats: dict[str, int] = {"damaged": damaged} if damaged else {}
     if debug >= 1:
         edges = spark.read.parquet(f"{output_dir}/edges_named")
         # bound: four edge classes, six script kinds
@@ -90,9 +112,10 @@ def write_outpoint_tables(spark: SparkSession, ledger: Ledger, output_dir: str,
 def main(argv: list[str] | None = None) -> None:
     args = list(sys.argv[1:] if argv is None else argv)
     if len(args) < 2:
-        raise SystemExit("usage: job <input path> <output dir> [debug]")
+        raise SystemExit("usage: job <input path> <output dir> [debug] [keep]")
     spark = SparkSession.builder.appName("ledgergraph-convert").getOrCreate()
-    convert(spark, args[0], args[1], debug=int(args[2]) if len(args) > 2 else 0)
+    convert(spark, args[0], args[1], debug=int(args[2]) if len(args) > 2 else 0,
+            on_damage="keep" if "keep" in args[3:] else "fail")
     spark.stop()
 
 

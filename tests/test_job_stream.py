@@ -62,3 +62,51 @@ def test_stream_appends_new_files(spark):
     assert blocks.count() == 4
     assert blocks.select("batch").distinct().count() == 2
     assert spark.read.parquet(f"{out}/outputs").filter(F.col("value") == 1).count() == 1
+
+
+def _chain(n):
+    out, prev = [], "00" * 32
+    for i in range(n):
+        cb, _ = encode_tx([("00" * 32, 0xFFFFFFFF, bytes([i]))], [(1 + i, b"")])
+        raw, prev = encode_block(prev, 1 + i, [cb])
+        out.append((frame(raw), prev))
+    return out
+
+
+def test_stream_resumes_a_growing_file(spark, tmp_path):
+    """The node's last file grows, first block by block, then into zeros it was padded with."""
+    src, out, ckpt = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
+    os.mkdir(src)
+    blocks = _chain(6)
+    path = os.path.join(src, "blk00000.dat")
+
+    def run(data, when):
+        with open(path, "wb") as f:
+            f.write(data)
+        os.utime(path, (when, when))
+        start_stream(spark, src, out, ckpt).awaitTermination(120)
+        return sorted(r.hash for r in spark.read.parquet(f"{out}/blocks").collect())
+    raw = [b for b, _ in blocks]
+    want = [h for _, h in blocks]
+    assert run(raw[0] + raw[1][:50], 1_000_000) == want[:1]
+    assert run(raw[0] + raw[1] + raw[2] + raw[3][:9], 1_000_010) == sorted(want[:3])
+    size = sum(map(len, raw)) + 100
+    pad = lambda n: b"".join(raw[:n]).ljust(size, b"\0")
+    assert run(pad(5), 1_000_020) == sorted(want[:5])
+    assert run(pad(6), 1_000_030) == sorted(want)          # same length as before, other bytes
+    assert run(pad(6), 1_000_030) == sorted(want)          # nothing new: nothing twice
+    assert spark.read.parquet(f"{out}/rejects").count() == 0
+
+
+def test_stream_fails_on_damage(spark, tmp_path):
+    import pytest
+    src, out, ckpt = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
+    os.mkdir(src)
+    (a, ha), (b, hb) = _chain(2)
+    with open(os.path.join(src, "blk00000.dat"), "wb") as f:
+        f.write(a + b"x" + b)
+    with pytest.raises(Exception, match="junk"):
+        start_stream(spark, src, out, ckpt).awaitTermination(120)
+    start_stream(spark, src, out, ckpt, on_damage="keep").awaitTermination(120)
+    assert sorted(r.hash for r in spark.read.parquet(f"{out}/blocks").collect()) == sorted([ha, hb])
+    assert [r.reason for r in spark.read.parquet(f"{out}/rejects").collect()] == ["junk"]
