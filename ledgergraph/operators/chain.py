@@ -4,7 +4,8 @@ drill-down into the first listed blocks.
 Height is found by pointer doubling: each block holds (pointer, distance), starting with its
 parent at distance 1; every round replaces the pointer by the pointer's pointer and adds the
 distances, so a chain of n blocks needs ⌈log2 n⌉ equi-join rounds rather than n recursive steps.
-Forks are fine (every block has one parent).
+Forks are fine (every block has one parent). A row whose pointer has passed the chain's root is finished
+and takes no further part in the joins' left side, so no null key is ever shuffled.
 """
 
 from __future__ import annotations
@@ -14,31 +15,32 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgergraph.session import cut_lineage
+from ledgergraph.session import staged
 
 
 def chain_height(blocks: DataFrame, max_rounds: int = 64) -> DataFrame:
     """(hash, height) — the number of ancestors of each block present in ``blocks``."""
     b = blocks.select("hash", "prev_hash")
     known = blocks.select(F.col("hash").alias("prev_hash"), F.lit(True).alias("_known"))
-    state = cut_lineage(
+    state = staged(
         b.join(known, "prev_hash", "left")
         .select("hash",
                 F.when(F.col("_known"), F.col("prev_hash")).alias("ptr"),
-                F.when(F.col("_known"), F.lit(1)).otherwise(F.lit(0)).cast("long").alias("d")))
+                F.when(F.col("_known"), F.lit(1)).otherwise(F.lit(0)).cast("long").alias("d")), "lg_heights")
     # a pointer spans 2^r ancestors after r rounds, and no chain is deeper than the number of
-    # blocks: ⌈log2 n⌉ rounds always suffice, so no per-round termination job is needed
+    # blocks: ⌈log2 n⌉ rounds always suffice
     n = state.count()
     rounds = max(1, math.ceil(math.log2(max(n, 2))))
     if rounds > max_rounds:
         raise RuntimeError("chain deeper than 2**max_rounds blocks")
     for _ in range(rounds):
-        nxt = state.select(F.col("hash").alias("ptr"), F.col("ptr").alias("ptr2"), F.col("d").alias("d2"))
-        state = cut_lineage(
-            state.join(nxt, "ptr", "left")
-            .select("hash", F.col("ptr2").alias("ptr"),
-                    (F.col("d") + F.coalesce("d2", F.lit(0))).alias("d")))
-    if state.filter(F.col("ptr").isNotNull()).limit(1).count():
+        live = state.filter(F.col("ptr").isNotNull())
+        if live.isEmpty():
+            break
+        at = state.select(F.col("hash").alias("ptr"), F.col("ptr").alias("ptr2"), F.col("d").alias("d2"))
+        moved = live.join(at, "ptr").select("hash", F.col("ptr2").alias("ptr"), (F.col("d") + F.col("d2")).alias("d"))
+        state = staged(moved.unionByName(state.filter(F.col("ptr").isNull())), "lg_heights")
+    if not state.filter(F.col("ptr").isNotNull()).isEmpty():
         raise AssertionError("pointer doubling did not reach the chain roots")
     return state.select("hash", F.col("d").alias("height"))
 
@@ -53,8 +55,7 @@ def block_drilldown(heights: DataFrame, transactions: DataFrame, outputs: DataFr
     """The transactions of the first ``k`` listed blocks, each as a JSON document of
     its inputs and outputs (the per-transaction lookup of the CLI tool)."""
     first = heights.filter(F.col("height") < k).select(F.col("hash").alias("block_hash"), "height")
-    # bound: k heights (times the width of a fork at those heights)
-    txs = transactions.join(F.broadcast(first), "block_hash").select(
+    txs = transactions.join(first, "block_hash").select(
         "block_hash", "height", F.col("hash").alias("tx_hash"), "time")
     # one document per transaction: the lists are that transaction's inputs and outputs, whose
     # number the block size limits — the document is the output format itself
