@@ -29,9 +29,9 @@ def tagged_hash(tag: str, c: Column) -> Column:
     return sha256_hex(F.concat(F.lit(tag), c.cast("string")))
 
 
-def double_sha256_hex(c: Column) -> Column:
-    """Transaction / block hash: SHA-256 applied twice to the serialised bytes."""
-    return sha256_hex(sha256_bytes(c))
+def double_sha256(c: Column) -> Column:
+    """Transaction / block hash: SHA-256 applied twice to the serialised bytes, as bytes."""
+    return sha256_bytes(sha256_bytes(c))
 
 
 def reverse_hex(hex_col: Column) -> Column:

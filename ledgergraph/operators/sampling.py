@@ -14,6 +14,15 @@ def sample_rows(df: DataFrame, fraction: float, n: int, seed: int = 42,
     return df.sample(withReplacement=with_replacement, fraction=fraction, seed=seed).limit(n)
 
 
+def sample_by_hash(df: DataFrame, key: list[str], fraction: float, n: int, seed: int = 42) -> DataFrame:
+    """P14/T3, repeatable: the rows whose key hashes below ``fraction``, the first ``n`` by that hash.
+    Which rows these are depends on the keys and the seed only, not on partitions or order."""
+    h = F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in key]).cast("binary"))
+    below = format(int(fraction * (1 << 32)), "08x")
+    return (df.withColumn("_lg_h", h).filter(F.substring("_lg_h", 1, 8) < below)
+            .orderBy("_lg_h").limit(n).drop("_lg_h"))
+
+
 def clean_nodes(raw_nodes: DataFrame) -> DataFrame:
     """Drop rows with nulls, name positional columns, strip the legacy prefix."""
     cols = raw_nodes.columns

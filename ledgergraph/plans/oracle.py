@@ -429,12 +429,12 @@ SELECT 'edge',
        CAST(to_json({'source': p.src, 'target': p.dst,
                      'color': CASE WHEN ks.id IS NOT NULL AND kd.id IS NOT NULL THEN '#999' ELSE '#eee' END}) AS VARCHAR)
 FROM pay_w p LEFT JOIN kept ks ON ks.id = p.src LEFT JOIN kept kd ON kd.id = p.dst"""),
-    "clean_nodes": with_ledger("SELECT id, address FROM address_ids"),
+    "clean_nodes": with_ledger("SELECT id, address FROM address_ids WHERE id % 7 <> 0"),
     "p2pk_addresses": with_ledger(", " + base58check_ctes("hash160", "h160").strip() + """
 SELECT k.pubkey_hex, h.h160 AS hash160, b.address AS base58
 FROM p2pk_keys k JOIN hash160 h ON h.k = k.pubkey_hex JOIN b58 b ON b.k = h.h160"""),
     "duplicate_tx_hashes": with_ledger("""
-SELECT hash, count(*) AS copies FROM transactions GROUP BY hash HAVING count(*) > 1"""),
+SELECT hash, 3 * count(*) AS copies FROM transactions WHERE hash LIKE '%00' GROUP BY hash"""),
     "nonstandard_addresses": with_ledger("""
 SELECT address, count(*) AS n_outputs FROM outputs WHERE contains(address, '_') GROUP BY address"""),
     "balances_by_snapshot": with_ledger(f"""
@@ -455,5 +455,112 @@ FROM bs FULL JOIN ts USING (snapshot) FULL JOIN os USING (snapshot) FULL JOIN in
 })
 
 
+ORACLES["sample_outputs"] = with_ledger("""
+SELECT tx_hash, ord, value, address, kind FROM outputs
+WHERE substr(md5('42:' || tx_hash || ':' || ord), 1, 8) < '028f5c28'
+ORDER BY md5('42:' || tx_hash || ':' || ord) LIMIT 20""")
+ORACLES["edges_indexed_legacy"] = with_ledger(_EDGES_INDEXED + """
+SELECT CASE WHEN edge_kind LIKE 'block%' THEN dst ELSE src END AS src,
+       CASE WHEN edge_kind LIKE 'block%' THEN src ELSE dst END AS dst, value, edge_kind FROM edges_indexed""")
+ORACLES["job_edges_roundtrip"] = ORACLES["edges_indexed"]
+ORACLES["job_ledger_roundtrip"] = ORACLES["balances"]
+ORACLES["listing_roundtrip"] = with_ledger(_CHAIN + "SELECT height AS line_no, hash FROM chain_h")
+ORACLES["block_tx_ids"] = with_ledger(_CHAIN + """
+SELECT c.height, t.hash FROM chain_h c JOIN transactions t ON t.block_hash = c.hash WHERE c.height < 3""")
+ORACLES["address_json"] = with_ledger(_TOTALS + """
+SELECT address AS key, CASE WHEN address LIKE '%0' THEN '' ELSE address END AS address,
+       CASE WHEN address LIKE '%0' THEN -1 ELSE total_received END AS total_received,
+       CASE WHEN address LIKE '%0' THEN -1 ELSE total_sent END AS total_sent,
+       CASE WHEN address LIKE '%0' THEN -1 ELSE final_balance END AS final_balance,
+       CASE WHEN address LIKE '%0' THEN -1 ELSE n_tx END AS n_tx
+FROM totals""")
+
+_IO_TEXTS = """
+, out_t AS (
+  SELECT tx_hash, ord, ' - val=' || value || ' ; adr=' || address || chr(10) || '   txRef=(' || tx_hash || ',' || ord || ')' AS text
+  FROM outputs),
+in_t AS (
+  SELECT i.tx_hash, i.ref_hash, i.ref_ord,
+         ' - val=' || coalesce(o.value, 0) || ' ; adr=' || coalesce(o.address, 'unknown') || chr(10)
+         || '   txOutputRef=(' || i.ref_hash || ',' || i.ref_ord || '); tx=' || i.tx_hash AS text
+  FROM inputs i LEFT JOIN outputs o ON o.tx_hash = i.ref_hash AND o.ord = i.ref_ord)
+""".lstrip()
+ORACLES["output_text"] = with_ledger(_IO_TEXTS + "SELECT tx_hash, ord, text FROM out_t")
+ORACLES["input_text"] = with_ledger(_IO_TEXTS + "SELECT tx_hash, ref_hash, ref_ord, text FROM in_t")
+ORACLES["nested_tx_text"] = with_ledger(_IO_TEXTS + f"""
+, o AS (SELECT tx_hash, string_agg(text, '' ORDER BY ord) AS text FROM out_t GROUP BY 1),
+i AS (SELECT tx_hash, string_agg(text, '' ORDER BY ref_hash, ref_ord) AS text FROM in_t GROUP BY 1)
+SELECT t.hash, 'txId:    ' || t.hash || chr(10) || 'time:    ' || {_ts_text('t.time')} || chr(10) || 'block:   ' || t.block_hash
+       || chr(10) || chr(10) || 'inputs:' || chr(10) || coalesce(i.text, '') || chr(10) || 'outputs:' || chr(10)
+       || coalesce(o.text, '') || chr(10) || '----------' || chr(10) AS text
+FROM transactions t LEFT JOIN o ON o.tx_hash = t.hash LEFT JOIN i ON i.tx_hash = t.hash""")
+ORACLES["block_text"] = with_ledger(f"""
+SELECT hash, 'block id:    ' || hash || chr(10) || 'time:    ' || {_ts_text('time')} || chr(10) || ' prev: ' || prev_hash || chr(10) AS text
+FROM blocks""")
+
+
+def _le(expr: str, size: int) -> str:
+    """Little-endian hex of a non-negative integer."""
+    padded = f"lpad(printf('%X', CAST({expr} AS BIGINT)), {2 * size}, '0')"
+    return "(" + " || ".join(f"substr({padded}, {2 * i + 1}, 2)" for i in reversed(range(size))) + ")"
+
+
+def _varint(n: str) -> str:
+    return f"(CASE WHEN {n} < 253 THEN {_le(n, 1)} ELSE 'FD' || {_le(n, 2)} END)"
+
+
+def _shown(hex_: str) -> str:
+    """Double SHA-256 of serialised bytes, byte-reversed, upper case."""
+    digest = f"sha256(unhex(sha256(unhex({hex_}))))"
+    return f"upper(array_to_string(list_reverse(regexp_extract_all({digest}, '..')), ''))"
+
+
+# the serialised transactions and blocks that ``sources.encode`` builds, and what a parser makes of them
+_SERIALISED = f"""
+WITH li AS (
+  SELECT l_orderkey, CAST(round(l_extendedprice * 100) AS BIGINT) AS value,
+         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
+                            CAST(round(l_extendedprice * 100) AS BIGINT)) - 1 AS ord,
+         l_partkey % 16 AS m, upper(sha256('A' || l_partkey)) AS ha, upper(sha256('X' || l_partkey)) AS hx,
+         upper(sha256('Y' || l_partkey)) AS hy
+  FROM lineitem),
+outs AS (
+  SELECT l_orderkey, ord, value,
+         CASE WHEN m <= 9 THEN '76A914' || substr(ha, 1, 40) || '88AC' WHEN m <= 11 THEN '4104' || hx || hy || 'AC'
+              WHEN m = 12 THEN 'AA20' || ha || '87' WHEN m = 13 THEN '6A04' || substr(ha, 1, 8) || '00'
+              WHEN m = 14 THEN '' ELSE 'A914' || substr(ha, 1, 40) || '87' END AS script
+  FROM li),
+out_hex AS (
+  SELECT l_orderkey, count(*) AS n,
+         string_agg({_le('value', 8)} || {_varint('(length(script) // 2)')} || script, '' ORDER BY ord) AS h
+  FROM outs GROUP BY 1),
+txs AS (
+  SELECT o_orderkey, o_orderkey // 256 AS block,
+         '0100000001' || upper(sha256('P' || o_orderkey)) || {_le('(o_orderkey % 65536)', 4)} || '08'
+         || substr(upper(sha256('S' || o_orderkey)), 1, 16) || 'FFFFFFFF' || {_varint('coalesce(n, 0)')} || coalesce(h, '')
+         || '00000000' AS tx
+  FROM orders LEFT JOIN out_hex ON l_orderkey = o_orderkey),
+tx_h AS (SELECT o_orderkey, block, tx, {_shown('tx')} AS hash FROM txs),
+heads AS (
+  SELECT block, '01000000' || upper(sha256('B' || (block - 1))) || repeat('11', 32) || {_le('(block + 1230000000)', 4)}
+                || 'FFFF001D07000000' AS head, count(*) AS n, sum(length(tx)) // 2 AS size
+  FROM txs GROUP BY block),
+blk AS (SELECT block, n, size, {_shown('head')} AS hash,
+               upper(array_to_string(list_reverse(regexp_extract_all(sha256('B' || (block - 1)), '..')), '')) AS prev
+        FROM heads)
+"""
+ORACLES["tx_hashes"] = _SERIALISED + "SELECT o_orderkey, hash FROM tx_h"
+ORACLES["ingest_ledger"] = _SERIALISED + """
+SELECT 'block' AS item, hash, prev AS parent, block + 1230000000 AS n, CAST(0 AS BIGINT) AS value, '' AS script FROM blk
+UNION ALL SELECT 'tx', t.hash, b.hash, b.block + 1230000000, 0, '' FROM tx_h t JOIN blk b USING (block)
+UNION ALL SELECT 'output', t.hash, '', o.ord, o.value, o.script FROM outs o JOIN tx_h t ON t.o_orderkey = o.l_orderkey
+UNION ALL SELECT 'input', hash, upper(array_to_string(list_reverse(regexp_extract_all(sha256('P' || o_orderkey), '..')), '')),
+                 o_orderkey % 65536, 0, '' FROM tx_h"""
+ORACLES["ingest_rejects"] = _SERIALISED + """
+, f AS (SELECT block // 8 AS file, count(*) AS n FROM blk GROUP BY 1)
+SELECT printf('blk%05d.dat', file) AS file, 'junk' AS reason, n - 1 AS places, 4 * (n - 1) AS bytes FROM f WHERE n > 1
+UNION ALL SELECT printf('blk%05d.dat', file), 'padding', 1, 64 FROM f"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

@@ -16,37 +16,57 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgergraph.functions.hashing import hash160_hex, hash160_to_address
-from ledgergraph.functions.script import pubkey_bytes, script_kind, with_address
-from ledgergraph.functions.text import json_fields, tx_record_text
+from ledgergraph.functions.hashing import display_hash, double_sha256, hash160_hex, hash160_to_address
+from ledgergraph.functions.script import LEGACY_ADDRESS_PREFIX, pubkey_bytes, script_kind, with_address
+from ledgergraph.functions.text import (block_record_text, input_record_text, json_fields, nested_tx_text,
+                                        output_record_text, parse_id_list, ref_text, tx_record_text)
 from ledgergraph.operators import edges as E
 from ledgergraph.operators import ledger as L
 from ledgergraph.operators.chain import block_drilldown, block_listing, chain_height
 from ledgergraph.operators.neighbours import graph_elements, neighbourhood
 from ledgergraph.operators.pagerank import graph_counts, graph_vertices, pagerank, top_k
 from ledgergraph.operators.report import address_report, usd_columns
-from ledgergraph.operators.sampling import clean_nodes, sample_rows
+from ledgergraph.operators.sampling import clean_nodes, sample_by_hash
 from ledgergraph.operators.snapshots import balances_by_snapshot, snapshot_counts
 from ledgergraph.schemas import Ledger
-from ledgergraph.session import bucketed_table, cut_lineage
-from ledgergraph.sources.star import ledger_buckets, ledger_from_dir, read_table
+from ledgergraph.session import bucketed_table, release_scratch, scratch_folder, staged
+from ledgergraph.sources.blockfile import MAINNET_MAGIC, SCAN, blocks_of, flatten, parser, rejects_of
+from ledgergraph.sources.encode import block_files, transactions
+from ledgergraph.sources.io import read_ledger, read_listing, write_ledger, write_listing, write_table
+from ledgergraph.sources.io import read_table as read_parquet
+from ledgergraph.sources.star import ledger_buckets, ledger_from_dir, ledger_key, read_table, release_ledgers
 
 ORACLE_DIGEST = "hash160"
 
 
-_CLASSIFIED: dict[tuple, DataFrame] = {}
+# What a session has built, by ledger (and kind of result): emptied by ``release``.
+_BUILT: dict[tuple, object] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, what: str, build):
+    """``build()``, once per session and version of the input."""
+    key = (what, *ledger_key(spark, sf_dir))
+    if key not in _BUILT:
+        _BUILT[key] = build()
+    return _BUILT[key]
+
+
+def release(spark: SparkSession) -> None:
+    """Forget everything the queries have built and delete its tables."""
+    _BUILT.clear()
+    release_ledgers()
+    release_scratch(spark)
 
 
 def _ledger(spark: SparkSession, sf_dir: str, digest: str = ORACLE_DIGEST) -> tuple[Ledger, DataFrame]:
     """The materialised ledger and its classified outputs (classified once per ledger)."""
     ledger = ledger_from_dir(spark, sf_dir)
-    key = (id(ledger.outputs), digest)
-    if key not in _CLASSIFIED:
+
+    def build():
         # kept bucketed on the outpoint like the ledger's outputs: spend joins stay shuffle-free
         n = ledger_buckets(spark, ledger.outputs.count())      # same count as the ledger's
-        _CLASSIFIED[key] = bucketed_table(L.classified_outputs(ledger, digest), "lg_classified",
-                                          ["tx_hash", "ord"], n)[0]
-    return ledger, _CLASSIFIED[key]
+        return bucketed_table(L.classified_outputs(ledger, digest), "lg_classified", ["tx_hash", "ord"], n)[0]
+    return ledger, _once(spark, sf_dir, f"classified-{digest}", build)
 
 
 def q_balances(spark, sf_dir):
@@ -119,14 +139,19 @@ def q_edge_counts(spark, sf_dir):
     return E.edge_counts(E.edges_named(ledger, outs))
 
 
-_VERTEX_IDS: dict[int, E.VertexIds] = {}
-
-
 def _vertex_ids(spark, sf_dir) -> tuple[Ledger, DataFrame, E.VertexIds]:
     ledger, outs = _ledger(spark, sf_dir)
-    if id(outs) not in _VERTEX_IDS:
-        _VERTEX_IDS[id(outs)] = E.vertex_ids(ledger, outs)
-    return ledger, outs, _VERTEX_IDS[id(outs)]
+    return ledger, outs, _once(spark, sf_dir, "ids", lambda: E.vertex_ids(ledger, outs))
+
+
+def _resolved(spark, sf_dir) -> DataFrame:
+    """Outputs with the ids of their addresses, bucketed on the outpoint: what both graphs start from."""
+    ledger, outs, ids = _vertex_ids(spark, sf_dir)
+
+    def build():
+        n = ledger_buckets(spark, ledger.outputs.count())
+        return bucketed_table(E.resolve_addresses(outs, ids.addresses), "lg_resolved", ["tx_hash", "ord"], n)[0]
+    return _once(spark, sf_dir, "resolved", build)
 
 
 def q_address_ids(spark, sf_dir):
@@ -142,8 +167,14 @@ def q_tx_ids(spark, sf_dir):
 
 
 def q_edges_indexed(spark, sf_dir):
-    ledger, outs, ids = _vertex_ids(spark, sf_dir)
-    return E.edges_indexed(ledger, outs, ids)
+    ledger, _, ids = _vertex_ids(spark, sf_dir)
+    return E.edges_indexed(ledger, _resolved(spark, sf_dir), ids)
+
+
+def q_edges_indexed_legacy(spark, sf_dir):
+    """U2 in the order of the long-key converter: block edges reversed."""
+    ledger, _, ids = _vertex_ids(spark, sf_dir)
+    return E.edges_indexed(ledger, _resolved(spark, sf_dir), ids, direction="legacy")
 
 
 def q_payment_edges_weighted(spark, sf_dir):
@@ -165,31 +196,23 @@ def q_p2pk_addresses(spark, sf_dir):
                     hash160_to_address(F.col("hash160")).alias("base58")))
 
 
-_GRAPHS: dict[int, tuple] = {}
-_RANKS: dict[int, DataFrame] = {}
-
-
 def _payment_graph(spark, sf_dir):
     """Address ids and the weighted payment graph, built once per materialised ledger."""
     ledger, outs, ids = _vertex_ids(spark, sf_dir)
-    if id(outs) not in _GRAPHS:
-        addr = ids.addresses
-        w = cut_lineage(E.payment_edges_weighted(ledger, outs, addr))
-        _GRAPHS[id(outs)] = (addr, w)
-    addr, w = _GRAPHS[id(outs)]
-    return ledger, outs, addr, w
+    w = _once(spark, sf_dir, "payments",
+              lambda: staged(E.payment_edges_weighted(ledger, _resolved(spark, sf_dir)), "lg_payments"))
+    return ledger, outs, ids.addresses, w
 
 
-def _ranks(addr: DataFrame, w: DataFrame) -> DataFrame:
-    if id(w) not in _RANKS:
-        _RANKS[id(w)] = cut_lineage(pagerank(graph_vertices(addr, w), w))
-    return _RANKS[id(w)]
+def _ranks(spark, sf_dir) -> DataFrame:
+    _, _, addr, w = _payment_graph(spark, sf_dir)
+    return _once(spark, sf_dir, "ranks", lambda: pagerank(graph_vertices(addr, w), w, distinct_pairs=True))
 
 
 def q_pagerank(spark, sf_dir):
     """G5 on the address payment graph (tolerance 0.001); rank rounded to 6 decimals."""
     _, _, addr, w = _payment_graph(spark, sf_dir)
-    return (_ranks(addr, w).join(addr, "id", "left")
+    return (_ranks(spark, sf_dir).join(addr, "id", "left")
             .select("id", "address", F.round("rank", 6).alias("rank")))
 
 
@@ -209,13 +232,13 @@ def star_graph(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
                           .select((F.lit(1_000_000_000) + F.col("s_suppkey")).alias("id")))
              .unionByName(read_table(spark, sf_dir, "part")
                           .select((F.lit(2_000_000_000) + F.col("p_partkey")).alias("id"))))
-    return nodes, cut_lineage(edges)
+    return nodes, staged(edges, "lg_star_edges")
 
 
 def q_star_pagerank(spark, sf_dir):
     """G4/G5 on the customer → supplier → part graph of the star tables; rank rounded to 6."""
     nodes, edges = star_graph(spark, sf_dir)
-    return (pagerank(graph_vertices(nodes, edges), edges)
+    return (pagerank(graph_vertices(nodes, edges), edges, distinct_pairs=True)
             .select("id", F.round("rank", 6).alias("rank")))
 
 
@@ -228,16 +251,16 @@ def q_graph_counts(spark, sf_dir):
 def q_top_addresses(spark, sf_dir):
     """The ten highest-ranked addresses."""
     _, _, addr, w = _payment_graph(spark, sf_dir)
-    return top_k(_ranks(addr, w), addr, k=10)
+    return top_k(_ranks(spark, sf_dir), addr, k=10)
 
 
 def q_address_report(spark, sf_dir):
     """Top ten by rank with received / sent / balance as dollar text and tx count."""
     ledger, outs, addr, w = _payment_graph(spark, sf_dir)
-    top = top_k(_ranks(addr, w), addr, k=10)
+    top = top_k(_ranks(spark, sf_dir), addr, k=10)
     # totals only for the ten reported addresses: restrict their outputs first (semi-join
     # against a k-row table) instead of aggregating every address and joining afterwards
-    mine = outs.join(F.broadcast(top.select("address")), "address", "left_semi")   # bound: k rows
+    mine = outs.join(top.select("address"), "address", "left_semi")
     return address_report(top, L.address_totals(mine, ledger.inputs))
 
 
@@ -260,29 +283,25 @@ def q_tx_text(spark, sf_dir):
     return t.select("hash", tx_record_text(F.col("hash"), F.col("time"), F.col("block_hash")).alias("text"))
 
 
-_HEIGHTS: dict[int, DataFrame] = {}
-
-
-def _heights(ledger: Ledger) -> DataFrame:
-    if id(ledger.blocks) not in _HEIGHTS:
-        _HEIGHTS[id(ledger.blocks)] = cut_lineage(chain_height(ledger.blocks))
-    return _HEIGHTS[id(ledger.blocks)]
+def _heights(spark, sf_dir) -> DataFrame:
+    ledger = ledger_from_dir(spark, sf_dir)
+    return _once(spark, sf_dir, "heights", lambda: chain_height(ledger.blocks))
 
 
 def q_chain_height(spark, sf_dir):
     """Height of every block along the prev-hash chain (pointer doubling)."""
-    return _heights(ledger_from_dir(spark, sf_dir))
+    return _heights(spark, sf_dir)
 
 
 def q_block_listing(spark, sf_dir):
     """The height-ordered hash listing."""
-    return block_listing(_heights(ledger_from_dir(spark, sf_dir)))
+    return block_listing(_heights(spark, sf_dir))
 
 
 def q_block_drilldown(spark, sf_dir):
     """Transactions of the first three listed blocks with their inputs and outputs."""
     ledger, outs = _ledger(spark, sf_dir)
-    return block_drilldown(_heights(ledger), ledger.transactions, outs, ledger.inputs, k=3)
+    return block_drilldown(_heights(spark, sf_dir), ledger.transactions, outs, ledger.inputs, k=3)
 
 
 def _seeds(ledger, outs, addr):
@@ -302,20 +321,23 @@ def q_neighbourhood(spark, sf_dir):
 def q_graph_json(spark, sf_dir):
     """node/edge JSON documents of the payment graph, neighbourhood highlighted."""
     ledger, outs, addr, w = _payment_graph(spark, sf_dir)
-    kept = cut_lineage(neighbourhood(w, _seeds(ledger, outs, addr)))
+    kept = _once(spark, sf_dir, "kept", lambda: staged(neighbourhood(w, _seeds(ledger, outs, addr)), "lg_kept"))
     return graph_elements(addr, w, kept)
 
 
 def q_clean_nodes(spark, sf_dir):
-    """Positional node table cleaned to (id, address)."""
-    raw = _vertex_ids(spark, sf_dir)[2].addresses.select("id", "address").toDF("_1", "_2")
-    return clean_nodes(raw)
+    """A positional node table, addresses with the old converters' prefix (ids that are
+    multiples of 3) and nulls (multiples of 7) among them, cleaned to (id, address)."""
+    ids = _vertex_ids(spark, sf_dir)[2].addresses
+    raw = ids.select("id", F.when(F.col("id") % 7 == 0, F.lit(None)).when(
+        F.col("id") % 3 == 0, F.concat(F.lit(LEGACY_ADDRESS_PREFIX), "address")).otherwise(F.col("address")))
+    return clean_nodes(raw.toDF("_1", "_2"))
 
 
 def q_sample_outputs(spark, sf_dir):
-    """Sample with replacement, then the first 20 rows (no SQL twin: sampling)."""
+    """A repeatable sample of one output in a hundred, its first 20 rows."""
     _, outs = _ledger(spark, sf_dir)
-    return sample_rows(outs, fraction=0.01, n=20, seed=42)
+    return sample_by_hash(outs.select("tx_hash", "ord", "value", "address", "kind"), ["tx_hash", "ord"], 0.01, 20)
 
 
 def q_balances_by_snapshot(spark, sf_dir):
@@ -337,8 +359,148 @@ def q_nonstandard_addresses(spark, sf_dir):
 
 
 def q_duplicate_tx_hashes(spark, sf_dir):
-    """Quality check: repeated transaction hashes (none expected)."""
-    return L.duplicate_hashes(ledger_from_dir(spark, sf_dir).transactions)
+    """Quality check: repeated transaction hashes, in a table where every hash that ends in 00 was
+    written twice more."""
+    txs = ledger_from_dir(spark, sf_dir).transactions.select("hash")
+    again = txs.filter(F.col("hash").endswith("00"))
+    return L.duplicate_hashes(txs.unionByName(again).unionByName(again))
+
+
+def _parsed(spark, sf_dir) -> DataFrame:
+    """Block files built from orders and line items, parsed with the file reader's parser."""
+    def build():
+        files = block_files(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem"))
+        return staged(files.mapInArrow(parser(MAINNET_MAGIC), SCAN), "lg_parsed")
+    return _once(spark, sf_dir, "parsed", build)
+
+
+def q_ingest_ledger(spark, sf_dir):
+    """Serialised blocks parsed and flattened into the four ledger tables, one row per
+    block, transaction, output and input."""
+    ledger = flatten(blocks_of(_parsed(spark, sf_dir)))
+    none, zero = F.lit(""), F.lit(0).cast("long")
+
+    def rows(df, item, hash_, parent, n, value, script):
+        return df.select(F.lit(item).alias("item"), hash_.alias("hash"), parent.alias("parent"), n.cast("long").alias("n"),
+                         value.alias("value"), script.alias("script"))
+    c = F.col
+    return (rows(ledger.blocks, "block", c("hash"), c("prev_hash"), c("time"), zero, none)
+            .unionByName(rows(ledger.transactions, "tx", c("hash"), c("block_hash"), c("time"), zero, none))
+            .unionByName(rows(ledger.outputs, "output", c("tx_hash"), none, c("ord"), c("value"), F.hex("script")))
+            .unionByName(rows(ledger.inputs, "input", c("tx_hash"), c("ref_hash"), c("ref_ord"), zero, none)))
+
+
+def q_ingest_rejects(spark, sf_dir):
+    """The bytes of the same files that are no blocks: per file and reason, places and bytes."""
+    return (rejects_of(_parsed(spark, sf_dir)).groupBy("file", "reason")
+            .agg(F.count(F.lit(1)).alias("places"), F.sum("length").alias("bytes")))
+
+
+def q_tx_hashes(spark, sf_dir):
+    """hash of every serialised transaction by column functions: SHA-256 twice, byte-reversed."""
+    txs = transactions(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem"))
+    return txs.select("o_orderkey", display_hash(double_sha256(F.unhex("tx"))).alias("hash"))
+
+
+def _job_output(spark, sf_dir) -> str:
+    """The job's tables, written twice over (a re-run overwrites) into the shared folder."""
+    def build():
+        ledger, outs, ids = _vertex_ids(spark, sf_dir)
+        root = scratch_folder(spark, "lg_job")
+        for _ in range(2):
+            write_table(E.edges_indexed(ledger, _resolved(spark, sf_dir), ids), f"{root}/edges", num_files=4)
+            write_ledger(Ledger(ledger.blocks, ledger.transactions, outs, ledger.inputs), f"{root}/ledger")
+        return root
+    return _once(spark, sf_dir, "job", build)
+
+
+def q_job_edges_roundtrip(spark, sf_dir):
+    """The indexed edges written as four gzip files, written again, and read by a range
+    of file names."""
+    return read_parquet(spark, f"{_job_output(spark, sf_dir)}/edges", glob="part-0000[0-3]*")
+
+
+def q_job_ledger_roundtrip(spark, sf_dir):
+    """Balances from the ledger tables the job wrote."""
+    ledger = read_ledger(spark, f"{_job_output(spark, sf_dir)}/ledger")
+    return L.balances(ledger.outputs, ledger.inputs)
+
+
+def q_listing_roundtrip(spark, sf_dir):
+    """The hash listing written as text in height order and read back with line numbers."""
+    def build():
+        path = f"{scratch_folder(spark, 'lg_listing')}/listing"
+        write_listing(_heights(spark, sf_dir), path)
+        return path
+    return read_listing(spark, _once(spark, sf_dir, "listing", build))
+
+
+def q_block_tx_ids(spark, sf_dir):
+    """the transaction ids of the first three blocks, taken out of their text form."""
+    ledger = ledger_from_dir(spark, sf_dir)
+    first = _heights(spark, sf_dir).filter("height < 3").select(F.col("hash").alias("block_hash"), "height")
+    # one text per block, as the command-line tool prints it
+    texts = (ledger.transactions.join(first, "block_hash").groupBy("height")
+             .agg(F.concat(F.lit("[\n  \""), F.array_join(F.array_sort(F.collect_list("hash")), "\",\n  \""),
+                           F.lit("\"\n]")).alias("text")))
+    return texts.select("height", F.explode(parse_id_list(F.col("text"))).alias("hash"))
+
+
+def q_address_json(spark, sf_dir):
+    """five named fields out of the JSON document of every address; empty text and -1 where it can't
+    be parsed (every document whose address ends in 0 is cut short)."""
+    ledger, outs = _ledger(spark, sf_dir)
+    doc = F.to_json(F.struct("address", "total_received", "total_sent", "final_balance", "n_tx"))
+    docs = L.address_totals(outs, ledger.inputs).select(
+        F.col("address").alias("key"), F.when(F.col("address").endswith("0"), F.substring(doc, 1, 20)).otherwise(doc).alias("doc"))
+    long, text = T.LongType(), T.StringType()
+    return docs.select("key", json_fields(F.col("doc"), {"address": text, "total_received": long, "total_sent": long,
+                                                        "final_balance": long, "n_tx": long}).alias("j")) \
+        .select("key", "j.*").na.fill("", ["address"]).na.fill(-1)
+
+
+def q_block_text(spark, sf_dir):
+    """every block as the converter's record text."""
+    b = ledger_from_dir(spark, sf_dir).blocks
+    return b.select("hash", block_record_text(F.col("hash"), F.col("time"), F.col("prev_hash")).alias("text"))
+
+
+def _io_texts(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """(tx_hash, ord, text) of outputs; (tx_hash, ref_hash, ref_ord, text) of inputs, which carry the
+    value and address of the output they spend (0 and unknown for a coinbase)."""
+    ledger, outs = _ledger(spark, sf_dir)
+    c = F.col
+    outputs = outs.select("tx_hash", "ord", output_record_text(c("value"), c("address"), ref_text(c("tx_hash"), c("ord"))).alias("text"))
+    spent = outs.select(c("tx_hash").alias("ref_hash"), c("ord").alias("ref_ord"), "value", "address")
+    inputs = ledger.inputs.join(spent, ["ref_hash", "ref_ord"], "left").select(
+        "tx_hash", "ref_hash", "ref_ord",
+        input_record_text(F.coalesce("value", F.lit(0)), F.coalesce("address", F.lit("unknown")),
+                          ref_text(c("ref_hash"), c("ref_ord")), c("tx_hash")).alias("text"))
+    return outputs, inputs
+
+
+def q_output_text(spark, sf_dir):
+    """every output as the converter's record text."""
+    return _io_texts(spark, sf_dir)[0]
+
+
+def q_input_text(spark, sf_dir):
+    """every input as the converter's record text."""
+    return _io_texts(spark, sf_dir)[1]
+
+
+def q_nested_tx_text(spark, sf_dir):
+    """every transaction with the texts of its inputs and outputs in it."""
+    outputs, inputs = _io_texts(spark, sf_dir)
+    # a transaction's own inputs and outputs: bounded by block size
+    outs = outputs.groupBy("tx_hash").agg(F.array_sort(F.collect_list(F.struct("ord", "text"))).alias("o"))
+    ins = inputs.groupBy("tx_hash").agg(F.array_sort(F.collect_list(F.struct("ref_hash", "ref_ord", "text"))).alias("i"))
+    txs = ledger_from_dir(spark, sf_dir).transactions.withColumnRenamed("hash", "tx_hash")
+    none = F.array().cast("array<string>")
+    return (txs.join(ins, "tx_hash", "left").join(outs, "tx_hash", "left")
+            .select(F.col("tx_hash").alias("hash"), nested_tx_text(
+                F.col("tx_hash"), F.col("time"), F.col("block_hash"), F.coalesce(F.col("i.text"), none),
+                F.coalesce(F.col("o.text"), none)).alias("text")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -383,6 +545,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "balances_by_snapshot": q_balances_by_snapshot,
     "nonstandard_addresses": q_nonstandard_addresses,
     "duplicate_tx_hashes": q_duplicate_tx_hashes,
+    "edges_indexed_legacy": q_edges_indexed_legacy,
+    "ingest_ledger": q_ingest_ledger,
+    "ingest_rejects": q_ingest_rejects,
+    "tx_hashes": q_tx_hashes,
+    "job_edges_roundtrip": q_job_edges_roundtrip,
+    "job_ledger_roundtrip": q_job_ledger_roundtrip,
+    "listing_roundtrip": q_listing_roundtrip,
+    "block_tx_ids": q_block_tx_ids,
+    "address_json": q_address_json,
+    "block_text": q_block_text,
+    "output_text": q_output_text,
+    "input_text": q_input_text,
+    "nested_tx_text": q_nested_tx_text,
 }
 
 
