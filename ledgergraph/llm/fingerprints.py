@@ -44,14 +44,14 @@ def sketch(text: Column, shingle: int = SHINGLE, scale: int = SCALE) -> Column:
     blank = "\t\n\x0b\x0c\r "
     words = F.split(F.btrim(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"),
                             F.lit(blank)), SPACE)
-    below = -(1 << 63) + (1 << 64) // scale
+    below = -(1 << 63) + (1 << 64) // scale - 1
 
     def hashes(h: Column) -> Column:
         runs = F.transform(F.sequence(F.lit(0), F.size(h) - shingle),
                            lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(shingle)]))
         return F.when(F.size(h) >= shingle, runs).otherwise(F.array(F.xxhash64(h)))
 
-    kept = F.filter(let(F.transform(words, lambda w: F.xxhash64(w)), hashes), lambda x: x < F.lit(below))
+    kept = F.filter(let(F.transform(words, lambda w: F.xxhash64(w)), hashes), lambda x: x <= F.lit(below))
     return F.when(F.btrim(text, F.lit(blank)) == "", F.array().cast("array<bigint>")) \
         .otherwise(F.array_sort(F.array_distinct(kept)))
 
