@@ -110,8 +110,9 @@ def shard(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: s
         "id", "size", "crc", (F.col("rows_before") + F.col("nth") - 1).alias("place"),
         F.least(F.lit(shards - 1), F.floor((F.col("bytes_before") + middle) / share)).cast("int").alias("shard")),
         "shard-places")
-    first = at.groupBy("shard").agg(F.min("place").alias("first"))      # at most ``shards`` rows
-    return at.join(first, "shard").select(
+    first = at.groupBy("shard").agg(F.min("place").alias("first"))
+    # at most ``shards`` rows are broadcast: a shuffle by shard would give a shard's rows to one task
+    return at.join(F.broadcast(first), "shard").select(
         F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard",
         (F.col("place") - F.col("first")).alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
