@@ -59,12 +59,15 @@ BOILERPLATE_TAGS = frozenset("nav footer aside form button menu dialog fieldset"
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu "
                               "menubar toolbar".split())
 BOILERPLATE_NAMES = frozenset(
-    "ad ads advert advertisement advertising adsense adbox sponsor sponsored promo promotion banner nav navbar navigation "
-    "menu submenu breadcrumb breadcrumbs footer sidebar side aside rail widget comment comments reply replies respond "
-    "disqus discussion notice notices cookie cookies consent gdpr popup modal overlay alert warning newsletter subscribe "
-    "subscription signup signin login register share sharing social follow related recommended recommendations "
-    "trending popular pagination pager skip search toolbar copyright legal disclaimer".split())
+    "ad ads advert advertisement advertising adsense adbox sponsor sponsored promo promotion widget comment comments reply "
+    "replies respond disqus discussion notice notices cookie cookies consent gdpr popup modal overlay alert warning newsletter "
+    "subscribe subscription signup signin login register share sharing social follow related recommended recommendations "
+    "trending popular pagination pager skip copyright legal disclaimer".split())
+# names of the parts of a page's layout; wrappers of a whole page bear them too ("has-sidebar")
+LAYOUT_NAMES = frozenset("banner nav navbar navigation menu submenu breadcrumb breadcrumbs footer sidebar side aside rail "
+                         "search toolbar".split())
 HEADER_NAMES = frozenset("header masthead topbar".split())
+LAYOUT, HARD = 1, 2      # kinds of boilerplate: an article inside a layout part is an article all the same
 
 
 @dataclass
@@ -72,33 +75,36 @@ class Block:
     text: str
     link_chars: int
     heading: bool
-    boilerplate: bool
+    boilerplate: int       # 0, LAYOUT or HARD
     region: int            # 0 outside, 1 inside <main>, 2 inside <article>
     label: str = ""
 
 
-def _evidence(name: str, attrs: str, region: int) -> tuple[bool, int]:
-    """(is boilerplate, region) that a start tag gives to what it contains."""
+def _evidence(name: str, attrs: str, region: int) -> tuple[int, int]:
+    """(kind of boilerplate or 0, region) that a start tag gives to what it contains."""
     found = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attrs)} if attrs.strip(" /") else {}
     words = set(re.split(r"[^a-z0-9]+", (found.get("class", "") + " " + found.get("id", "")).lower()))
     role = found.get("role", "").lower()
-    bad = (name in BOILERPLATE_TAGS or bool(words & BOILERPLATE_NAMES) or role in BOILERPLATE_ROLES or "hidden" in found
-           or found.get("aria-hidden", "").lower() == "true"
-           or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", "").lower()) is not None
-           or (not region and (name == "header" or bool(words & HEADER_NAMES))))
-    if bad and name in ("html", "body", "main"):
-        bad = False
+    kind = 0
+    if name not in ("html", "body", "main"):
+        if (words & BOILERPLATE_NAMES or name in ("form", "button", "dialog", "fieldset") or "hidden" in found
+                or role in BOILERPLATE_ROLES or found.get("aria-hidden", "").lower() == "true"
+                or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", "").lower())):
+            kind = HARD
+        elif (name in BOILERPLATE_TAGS or words & LAYOUT_NAMES
+              or not region and (name == "header" or words & HEADER_NAMES)):
+            kind = LAYOUT
     if name == "article" or found.get("itemprop", "").lower() == "articlebody":
         region = 2
     elif name == "main" or role == "main":
         region = max(region, 1)
-    return bad, region
+    return kind, region
 
 
 def blocks_of(page: str) -> list[Block]:
     """The blocks of a page in order, with what markup tells of them."""
     blocks: list[Block] = []
-    stack: list[tuple[str, bool, int]] = []      # (tag, boilerplate, region) of open elements
+    stack: list[tuple[str, int, int]] = []       # (tag, boilerplate, region) of open elements
     text: list[str] = []
     links = link_chars = 0
     heading = False
@@ -107,7 +113,7 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal link_chars
         line = " ".join("".join(text).split())
         if line:
-            _, bad, region = stack[-1] if stack else ("", False, 0)
+            _, bad, region = stack[-1] if stack else ("", 0, 0)
             blocks.append(Block(line, min(link_chars, len(line)), heading, bad, region))
         text.clear()
         link_chars = 0
@@ -146,10 +152,10 @@ def blocks_of(page: str) -> list[Block]:
                         flush()
                         close("span")
                 else:
-                    _, bad, region = stack[-1] if stack else ("", False, 0)
+                    _, bad, region = stack[-1] if stack else ("", 0, 0)
                     if _evidence(name, m["attrs"], region)[0]:
                         flush()
-                        stack.append(("span", True, region))
+                        stack.append(("span", HARD, region))
         else:
             flush()
             links = 0
@@ -166,14 +172,11 @@ def blocks_of(page: str) -> list[Block]:
                         close("li")
                 heading = len(name) == 2 and name[0] == "h" and name[1].isdigit()
                 if name not in VOID and not heading:
-                    _, bad, region = stack[-1] if stack else ("", False, 0)
-                    if name in ("article", "main") and stack and stack[-1][0] in ("nav", "header", "p"):
-                        close(stack[-1][0])        # never closed: an article does not stand in them
-                        _, bad, region = stack[-1] if stack else ("", False, 0)
+                    _, bad, region = stack[-1] if stack else ("", 0, 0)
                     own, region = _evidence(name, m["attrs"], region)
-                    stack.append((name, bad or own, region))
-                elif heading:
-                    _, bad, region = stack[-1] if stack else ("", False, 0)
+                    if name == "main" or name == "article" and bad == LAYOUT:
+                        bad = 0
+                    stack.append((name, max(bad, own), region))
     add(page[at:])
     flush()
     return blocks
@@ -225,8 +228,6 @@ def second_pass(blocks: list[Block], region: int) -> None:
                 b.label = "good" if region and not b.link_chars else "bad"
         elif b.label == "near":
             b.label = "bad" if left == right == "bad" and not region else "good"
-        elif not region and b.label == "good":
-            pass
 
 
 def main_text(page: str | None) -> str:
