@@ -1,60 +1,23 @@
-"""Helpers shared by the operators: table reads, text expressions and scratch tables.
+"""Helpers shared by the operators: table reads and text expressions.
 
-Scratch tables are Parquet files under the session's checkpoint folder, so that lost executors
-cost a re-read and not a recomputation. ``release`` deletes those that are no longer read.
+Intermediate results are scratch tables of the session (``ledgergraph.session``): Parquet under the
+checkpoint folder, so that lost executors cost a re-read and not a recomputation. They stay until
+``release_scratch``, as the frames that operators return read them.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgergraph.session import ensure_checkpoint_dir
-
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
-_SCRATCH: dict[str, list[str]] = {}
-
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def scratch_path(spark: SparkSession, tag: str) -> str:
-    path = f"{ensure_checkpoint_dir(spark)}/llm/{tag}-{uuid.uuid4().hex}"
-    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
-    return path
-
-
-def staged(df: DataFrame, tag: str) -> DataFrame:
-    """``df`` written once to a scratch table and read back."""
-    spark = df.sparkSession
-    path = scratch_path(spark, tag)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def scratch_mark(spark: SparkSession) -> int:
-    """A mark for ``release``: how many scratch tables were made so far."""
-    return len(_SCRATCH.get(spark.sparkContext.applicationId, []))
-
-
-def release(spark: SparkSession, start: int = 0, stop: int | None = None) -> None:
-    """Delete this session's scratch tables from mark ``start`` up to mark ``stop``.
-
-    Frames that read them must not be used afterwards."""
-    paths = _SCRATCH.get(spark.sparkContext.applicationId, [])
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for i in range(start, len(paths) if stop is None else stop):
-        if paths[i]:
-            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(paths[i])
-            at.getFileSystem(conf).delete(at, True)
-            paths[i] = ""      # places keep their numbers, so that marks stay right
-
-
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

@@ -23,7 +23,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgergraph.llm.common import SPACE, pick, read, staged
+from ledgergraph.llm.common import SPACE, pick, read
+from ledgergraph.session import staged
 
 
 def normalised(text: Column) -> Column:

@@ -21,7 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgergraph.llm.common import WORD, pick, read, staged, text_or_empty
+from ledgergraph.llm.common import WORD, pick, read, text_or_empty
+from ledgergraph.session import staged
 
 MAX_SOURCES = 100_000     # rows that may come to the driver; more is an error, never a cut
 

@@ -33,7 +33,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgergraph.llm.common import pick, read, staged, text_or_empty
+from ledgergraph.llm.common import pick, read, text_or_empty
+from ledgergraph.session import staged
 
 CAPACITY = 2048
 END = 0

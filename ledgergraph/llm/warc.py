@@ -35,7 +35,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgergraph.llm.common import pick, read, scratch_path, staged, text_or_empty
+from ledgergraph.llm.common import pick, read, text_or_empty
+from ledgergraph.session import scratch_folder, staged
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 LEAST_REVISIT = 1000
@@ -304,7 +305,7 @@ def _id(urn: str | None) -> str | None:
 
 def archive(pages: DataFrame, package_bytes: int = 64 << 20) -> tuple[DataFrame, str]:
     """Write ``pages`` (page_id, url, html); (manifest of packages, their folder)."""
-    folder = scratch_path(pages.sparkSession, "wacz")
+    folder = scratch_folder(pages.sparkSession, "wacz")
     return write_packages(with_revisits(pages), folder, package_bytes), folder
 
 

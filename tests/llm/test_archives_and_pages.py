@@ -201,7 +201,7 @@ def test_eleven_queries_are_registered():
 
 def test_pipeline_stages(spark):
     """Every stage against its own input: rules by brute force, columns and rows."""
-    from ledgergraph.llm.common import staged
+    from ledgergraph.session import staged
     from test_operators import _components_brute, _norm, _simhash_brute
     docs = spark.read.parquet(f"{SF0001}/documents.parquet")
     extra = spark.createDataFrame([(-1, "12345 %%%", "en", "src0", 9), (-2, None, "en", "src0", None)], docs.schema)
@@ -238,8 +238,9 @@ def test_pipeline_stages(spark):
 
 
 def test_pipeline_runs_and_cleans_up(spark):
-    from ledgergraph.llm.common import release, scratch_mark
-    start = scratch_mark(spark)
+    from ledgergraph.session import release_scratch, scratch_tables
+    before = scratch_tables(spark)
     out = corpus_pipeline.run(spark, SF0001)
     assert out.count() > 0
-    release(spark, start)
+    assert len(set(scratch_tables(spark)) - set(before)) == 1          # the result alone
+    release_scratch(spark, since=before)
