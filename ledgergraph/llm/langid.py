@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from ledgergraph.llm.common import held_out, pick, read
 
 BUCKETS = 1 << 16
-MAX_LANGUAGES = 500
+MAX_LANGUAGES = 100     # rows of at most BUCKETS sums each that may come to the driver; more is an error
 PIECE = 1 << 18        # code points counted at a time
 
 _LETTER: np.ndarray | None = None
@@ -90,23 +90,23 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                 if got is not None:
                     sums.setdefault(lang, np.zeros(BUCKETS, np.int64))[got[0]] += got[1]
         for lang, counts in sums.items():
-            yield pd.DataFrame({"lang": lang, "counts": [counts.tobytes()]})
-
-    def added(key, pdf):
-        total = sum(np.frombuffer(c, np.int64) for c in pdf["counts"])
-        return pd.DataFrame({"lang": [key[0]], "counts": [total.tobytes()]})
-
-    # one row per language and task, added up per language: at most MAX_LANGUAGES rows come here
-    sums = (rows.select("lang", "text").mapInPandas(counted, "lang string, counts binary")
-            .groupBy("lang").applyInPandas(added, "lang string, counts binary").limit(MAX_LANGUAGES + 1).collect())
+            at = np.flatnonzero(counts)
+            yield pd.DataFrame({"lang": lang, "bucket": at.astype(np.int32), "n": counts[at]})
+
+    # counts are added up per language and bucket; a language comes here as one row of sums
+    sums = (rows.select("lang", "text").mapInPandas(counted, "lang string, bucket int, n long")
+            .groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+            .groupBy("lang").agg(F.collect_list("bucket").alias("at"), F.collect_list("n").alias("n"))
+            .limit(MAX_LANGUAGES + 1).collect())
     if len(sums) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    sums = sorted((r[0], np.frombuffer(r[1], np.int64)) for r in sums)
     if not sums:
         return [], np.zeros((BUCKETS, 0), np.float32)
-    counts = np.stack([c for _, c in sums], axis=1).astype(np.float64)
+    names, counts = sorted(r["lang"] for r in sums), np.zeros((BUCKETS, len(sums)))
+    for r in sums:
+        counts[r["at"], names.index(r["lang"])] = r["n"]
     like = (counts + 0.05) / (counts.sum(axis=0) + 0.05 * BUCKETS)
-    return [lang for lang, _ in sums], like.astype(np.float32)
+    return names, like.astype(np.float32)
 
 
 def _mix(p: np.ndarray, n: np.ndarray, rounds: int = 40, close: float = 1e-3) -> tuple[np.ndarray, float]:
@@ -158,7 +158,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
     """``docs`` as the struct ``row`` with ``lang_pred``, ``score`` and ``languages``, the language set
     with proportions."""
     names, like = model
-    shared = docs.sparkSession.sparkContext.broadcast(like)      # BUCKETS x languages, at most 128 MB
+    shared = docs.sparkSession.sparkContext.broadcast(like)      # BUCKETS x languages, at most 26 MB
 
     @F.pandas_udf(RESULT)
     def predict(texts: pd.Series) -> pd.DataFrame:
