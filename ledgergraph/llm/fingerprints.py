@@ -101,16 +101,18 @@ def neighbours(rows: DataFrame, id_col: str, tie: Column, carried: list[str], ro
     to = F.create_map(*[F.lit(x) for pair in above.items() for x in pair]) if heads else None
     if head is None:
         return rows.withColumn("next", F.struct(*carried))
-    ranged = rows.withColumn("range", rank)
-    first = F.col(id_col).eqNullSafe(F.element_at(head, F.col("range")))
-    sent = ranged.withColumn("place", F.explode(F.when(first, F.array(
-        F.struct(F.col("range").alias("r"), F.lit(False).alias("guest")),
-        F.struct(F.element_at(to, F.col("range")).alias("r"), F.lit(True).alias("guest"))))
-        .otherwise(F.array(F.struct(F.col("range").alias("r"), F.lit(False).alias("guest"))))))
-    sent = sent.withColumn("r", F.col("place.r")).withColumn("guest", F.col("place.guest")).withColumn("tie", tie)
-    follow = Window.partitionBy("r").orderBy("guest", F.col(id_col).desc_nulls_last(), "tie")
-    return (sent.withColumn("next", F.lead(F.struct(*carried)).over(follow)).filter(~F.col("guest"))
-            .drop("range", "place", "r", "guest", "tie"))
+    # the rows travel as structs, so that no column of theirs clashes with those added here
+    row = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    ranged = rows.select(row.alias("row"), rank.alias("range"), F.col(f"`{id_col}`").alias("id"), tie.alias("tie"))
+    first = F.col("id").eqNullSafe(F.element_at(head, F.col("range")))
+    home = F.struct(F.col("range").alias("r"), F.lit(False).alias("guest"))
+    away = F.struct(F.element_at(to, F.col("range")).alias("r"), F.lit(True).alias("guest"))
+    sent = (ranged.withColumn("place", F.explode(F.when(first, F.array(home, away)).otherwise(F.array(home))))
+            .select("row", "id", "tie", "place.r", "place.guest"))
+    follow = Window.partitionBy("r").orderBy("guest", F.col("id").desc_nulls_last(), "tie")
+    after = F.struct(*[F.col(f"row.`{c}`").alias(c) for c in carried])
+    return (sent.withColumn("next", F.lead(after).over(follow)).filter(~F.col("guest"))
+            .select(*[F.col(f"row.`{c}`").alias(c) for c in rows.columns], "next"))
 
 
 def query(spark, sf_dir):

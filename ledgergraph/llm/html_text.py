@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import pandas as pd
@@ -48,7 +49,7 @@ TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(script|style|noscript|template|svg|math|iframe|object|textarea|select|canvas|audio|video|head)\b[^>]*+>"
     r".*?(?:</\1\s*+>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>"
+    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>"
     r"|<[!?/][^>]*+>", re.S | re.I)
 ATTRIBUTE = re.compile(r"([^\s\"'=<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 
@@ -105,6 +106,7 @@ def blocks_of(page: str) -> list[Block]:
     """The blocks of a page in order, with what markup tells of them."""
     blocks: list[Block] = []
     stack: list[tuple[str, int, int]] = []       # (tag, boilerplate, region) of open elements
+    opened: Counter[str] = Counter()             # how many of each tag are on it
     text: list[str] = []
     links = link_chars = 0
     heading = False
@@ -126,9 +128,16 @@ def blocks_of(page: str) -> list[Block]:
             if links:
                 link_chars += len(raw.strip())
 
+    def push(name: str, bad: int, region: int) -> None:
+        stack.append((name, bad, region))
+        opened[name] += 1
+
     def close(name: str) -> None:
+        if not opened[name]:
+            return
         for i in range(len(stack) - 1, -1, -1):
             if stack[i][0] == name:
+                opened.subtract(t[0] for t in stack[i:])
                 del stack[i:]
                 return
             if stack[i][0] in ("article", "main", "body") and name in ("p", "li", "div", "span"):
@@ -148,14 +157,14 @@ def blocks_of(page: str) -> list[Block]:
         elif name in INLINE:
             if name == "span" and (m["attrs"] or m["close"]):      # inline boilerplate, such as marked adverts
                 if m["close"]:
-                    if any(t[0] == "span" for t in stack):
+                    if opened["span"]:
                         flush()
                         close("span")
                 else:
                     _, bad, region = stack[-1] if stack else ("", 0, 0)
                     if _evidence(name, m["attrs"], region)[0]:
                         flush()
-                        stack.append(("span", HARD, region))
+                        push("span", HARD, region)
         else:
             flush()
             links = 0
@@ -165,8 +174,8 @@ def blocks_of(page: str) -> list[Block]:
             else:
                 # a paragraph or list item ends where the next block begins
                 if stack and stack[-1][0] == "p":
-                    stack.pop()
-                if name == "li" and any(t[0] == "li" for t in stack):
+                    close("p")
+                if name == "li" and opened["li"]:
                     inner = next(t[0] for t in reversed(stack) if t[0] in ("li", "ul", "ol", "menu"))
                     if inner == "li":
                         close("li")
@@ -176,7 +185,7 @@ def blocks_of(page: str) -> list[Block]:
                     own, region = _evidence(name, m["attrs"], region)
                     if name == "main" or name == "article" and bad == LAYOUT:
                         bad = 0
-                    stack.append((name, max(bad, own), region))
+                    push(name, max(bad, own), region)
     add(page[at:])
     flush()
     return blocks

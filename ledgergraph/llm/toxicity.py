@@ -54,6 +54,7 @@ MODALS = "will going gonna shall should must want i'll we'll vais veux werde wil
 
 WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
 CLAUSE_END = ".!?;\n"
+NEXT_END = re.compile(f"[{re.escape(CLAUSE_END)}]")
 
 
 class Transducer:
@@ -170,8 +171,8 @@ class Lexicon:
                 continue
             start = 1 + max(text.rfind(c, done, at) for c in CLAUSE_END) or done
             start = max(start, done)
-            stops = [i for c in CLAUSE_END if (i := text.find(c, end)) >= 0]
-            done = min(stops) if stops else len(text)
+            stop = NEXT_END.search(text, end)
+            done = stop.start() if stop else len(text)
             yield text[start:done]
 
     def features(self, text: str | None) -> list[float]:

@@ -146,6 +146,7 @@ def test_page_without_marked_article():
     ("<article><p>a<!-- x <p>b --></p><p>c</article>", "a\n\nc"), ("<article>x <script>never closed <p>y", "x"),
     ("<nav>menu<article><p>in it</p></article>", "in it"),
     ("<body class='home sidebar'><div class='wrap has-sidebar'><article>a<div class=sidebar>s</div></article></div>", "a"),
+    ('<article><p class="x>a</p><p>b</p></article>', "a\n\nb"),
     ("<article>a<div class=comments><article>said</article></div></article>", "a"), ("<article><p hidden>h</p><p>v</p></article>", "v"),
     ("<article>&#x41;&eacute;&notanentity; 1 < 2</article>", "Aé&notanentity; 1 < 2"),
     ("<article><p>a</p></div></p></section><p>b</p></article>", "a\n\nb")])

@@ -421,6 +421,18 @@ def test_toxicity_grammar():
     assert lexicon.features("not\nidiot")[0] > 0                              # clauses end at a line's end
 
 
+def test_long_texts_are_scored_in_linear_time():
+    import time
+
+    from ledgergraph.llm.html_text import main_text
+    from ledgergraph.llm.toxicity import Lexicon
+    began = time.perf_counter()
+    x = Lexicon(["idiot$"]).features("you idiot. " * 200_000)
+    assert x[1] == pytest.approx(np.log1p(1.5 * 200_000))
+    assert main_text("<article>" + "<div>a</p></b>" * 100_000).count("a") == 100_000
+    assert time.perf_counter() - began < 60
+
+
 def test_toxicity_held_out(spark):
     from ledgergraph.llm.toxicity import query
     got = {r.doc_id: r for r in query(spark, SF001).collect()}
@@ -507,6 +519,9 @@ def test_neighbours_over_many_ranges(spark):
     got = {r.id: r.next.v for r in neighbours(df, "id", F.lit(0), ["v"], rows_per_range=20).collect()}
     order = sorted(ids, reverse=True)
     assert got == dict(zip(order, order[1:] + order[:1]))
+    clash = df.select("id", "v", F.lit(1).alias("range"), F.lit(2).alias("guest"), F.lit(3).alias("row"), F.lit(4).alias("tie"))
+    found = neighbours(clash, "id", F.lit(0), ["v", "tie"]).collect()
+    assert {r.id: r.next.v for r in found} == got and {(r.range, r.guest, r.row, r.tie, r.next.tie) for r in found} == {(1, 2, 3, 4, 4)}
     one = spark.createDataFrame([(3, 3)], "id long, v long")
     assert [r.next.v for r in neighbours(one, "id", F.lit(0), ["v"]).collect()] == [3]
 
