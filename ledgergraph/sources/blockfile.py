@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgergraph.functions.script import with_address
 from ledgergraph.schemas import Ledger
 
 # fixed values: the main-network block-file magic
@@ -349,8 +350,9 @@ def read_block_files(spark: SparkSession, path: str, glob: str = "blk*.dat",
     return blocks_of(files.mapInArrow(parser(magic, fail=on_damage == "fail"), SCAN))
 
 
-def flatten(nested: DataFrame) -> Ledger:
-    """Nested blocks → (blocks, transactions, outputs, inputs)."""
+def flatten(nested: DataFrame, input_address: bool = False) -> Ledger:
+    """Nested blocks → (blocks, transactions, outputs, inputs). With ``input_address`` the inputs have
+    an ``address`` as well: what the output classifier makes of their unlocking scripts."""
     blocks = nested.select("block.hash", "block.prev_hash", "block.time")
     txs = nested.select(F.col("block.hash").alias("block_hash"), F.col("block.time").alias("time"),
                         F.explode("transactions").alias("tx"))
@@ -360,5 +362,8 @@ def flatten(nested: DataFrame) -> Ledger:
         "tx_hash", F.col("ord").cast("long").alias("ord"), F.col("o.value").alias("value"),
         F.col("o.script").alias("script"))
     inputs = txs.select(F.col("tx.hash").alias("tx_hash"), F.explode("tx.inputs").alias("i")).select(
-        "tx_hash", F.col("i.ref_hash").alias("ref_hash"), F.col("i.ref_ord").alias("ref_ord"))
+        "tx_hash", F.col("i.ref_hash").alias("ref_hash"), F.col("i.ref_ord").alias("ref_ord"),
+        F.col("i.script_sig").alias("script_sig"))
+    inputs = with_address(inputs, script_col="script_sig").drop("kind") if input_address else inputs
+    inputs = inputs.drop("script_sig")
     return Ledger(blocks, transactions, outputs, inputs)

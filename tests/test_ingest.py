@@ -47,6 +47,11 @@ def test_ingest_round_trip(spark):
     ins = {(r.tx_hash, r.ref_hash, r.ref_ord) for r in ledger.inputs.collect()}
     assert (h["h_spend"], h["h_cb1"], 0) in ins and len(ins) == 4
 
+    # the unlocking scripts through the output classifier, on request
+    sigs = {r.tx_hash: r.address for r in flatten(nested, input_address=True).inputs.collect()}
+    assert sigs[h["h_spend"]] == "unknown" and "anyone" in sigs.values()
+    assert flatten(nested).inputs.columns == ["tx_hash", "ref_hash", "ref_ord"]
+
     # downstream operators run unchanged on the ingested ledger
     outs_c = with_address(ledger.outputs).drop("script")
     bal = {r.address: r.balance for r in L.balances(outs_c, ledger.inputs).collect()}

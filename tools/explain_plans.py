@@ -13,7 +13,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-import __spark_entry__ as entry  # noqa: E402
+from ledgergraph.plans.queries import queries  # noqa: E402
 from ledgergraph.session import get_spark  # noqa: E402
 
 
@@ -27,9 +27,9 @@ def main():
     out = ["# Physical plans of the registered queries", "",
            f"Generated by `tools/explain_plans.py {sf_dir}` (local[8], 8 shuffle partitions, AQE on;",
            "initial plans — AQE may still coalesce partitions or switch a join to broadcast at run time).",
-           "Inputs of most queries are the materialised ledger tables (`Scan ExistingRDD`, i.e. checkpoints).",
+           "Inputs of most queries are the ledger's scratch tables, bucketed on the outpoint where joined on it.",
            ""]
-    for name, fn in entry.queries().items():
+    for name, fn in queries().items():
         df = fn(spark, sf_dir)
         text = plan_text(df)
         lines = text.splitlines()
