@@ -23,13 +23,28 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgergraph.llm.common import SPACE, pick, read
+from ledgergraph.llm.common import pick, read
 from ledgergraph.session import staged
 
 
+# a run of white space that is not a single space already: only these are replaced
+LONG_SPACE = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
+
+
 def normalised(text: Column) -> Column:
     """Runs of ASCII white space become one space; as UTF-8 bytes."""
-    return F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), SPACE, " ").cast("binary")
+    return F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), LONG_SPACE, " ").cast("binary")
+
+
+def digit_of(text: Column, offset: int, size: int) -> Column:
+    """Bytes ``offset`` to ``offset + size`` of the normalised text; fewer where it ends. The first digit
+    comes from the text's beginning alone, where that gives enough: what white space collapses to
+    there does not depend on the rest."""
+    whole = F.substring(normalised(text), offset + 1, size)
+    if offset:
+        return whole
+    head = normalised(F.substring(F.coalesce(text.cast("string"), F.lit("")), 1, 4 * size))
+    return F.when(F.length(head) >= size, F.substring(head, 1, size)).otherwise(whole)
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -41,23 +56,21 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     salts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if carry else F.struct(id_col, text_col)
     live = docs.select(row.alias("row"), F.lit("").alias("group"))
-    doc_id, body = F.col(f"row.`{id_col}`"), normalised(F.col(f"row.`{text_col}`"))
+    doc_id, text = F.col(f"row.`{id_col}`"), F.col(f"row.`{text_col}`")
     offset, size, decided = 0, first_bytes, []
     while True:
-        digit = F.substring(F.col("body"), offset + 1, size)
-        sha = F.sha2(F.col("body"), 256) if not decided else F.col("sha")
-        keyed = (live.withColumn("body", body)
-                 .select("row", "group", doc_id.alias("id"), digit.alias("digit"), sha.alias("sha"))
-                 .withColumn("salt", F.pmod(F.xxhash64("id", "sha"), F.lit(salts))))
+        sha = F.col("sha") if decided else F.sha2(normalised(text), 256)
+        keyed = (live.select("row", "group", doc_id.alias("id"), digit_of(text, offset, size).alias("digit"), sha.alias("sha"))
+                 .withColumn("salt", F.pmod(F.xxhash64("id", "digit"), F.lit(salts))))
         key = ["group", "digit", "salt"]
-        # a group's name: one of its members, so that no two groups of a round share it
-        name = F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("-")), "sha")
         across = Window.partitionBy("group", "digit")
-        counts = (keyed.groupBy(*key)
-                  .agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least"), F.min(name).alias("name"))
+        counts = (keyed.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least"))
                   .select(*key, F.sum("n").over(across).alias("group_size"),
-                          F.min("least").over(across).alias("keep_id"),
-                          F.min("name").over(across).alias("name")))
+                          F.min("least").over(across).alias("keep_id")))
+        # a group's name: its least id, which is in no other group; ids that are null or stand more than
+        # once are told apart by where their group came from
+        origin = F.sha2(F.concat(F.col("group").cast("binary"), F.lit(":").cast("binary"), "digit"), 256)
+        counts = counts.withColumn("name", F.concat_ws(":", F.coalesce(F.col("keep_id").cast("string"), F.lit("-")), origin))
         done = (F.col("group_size") == 1) | (F.length("digit") < size)
         keep_row = F.col("row") if carry else F.when(~done, F.col("row"))
         out = staged(keyed.join(counts, key).select(
