@@ -530,3 +530,41 @@ def test_fingerprints_use_no_python(spark):
     from ledgergraph.llm.fingerprints import query
     plan = query(spark, SF0001)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_only_texts_without_words_have_an_empty_fingerprint(spark, tmp_path):
+    from ledgergraph.llm.fingerprints import LEAST, containment, likeness, merged, query, sketch
+    texts = ["", " \t", *[" ".join(f"{w}{k}" for k in range(n)) for n in (1, 2, 3, 5, 8, 16, 19) for w in ("x", "y")]]
+    long = " ".join(f"l{k}" for k in range(400))
+    texts += [long, long + " end", " ".join(f"l{k}" for k in range(25))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    df.withColumn("n_chars", F.lit(0)).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in query(spark, str(tmp_path)).collect()}
+    assert {i for i, r in got.items() if not r.fingerprint} == {0, 1}
+    assert len({got[i].fingerprint for i in range(2, 16)}) == 14      # different short texts
+    assert got[1].near_next == 1.0 and got[2].near_next == 0.0       # both without words, one without
+
+    def shingles(x):
+        w = x.split()
+        return {tuple(w[k:k + 5]) for k in range(len(w) - 4)} or ({tuple(w)} if w else set())
+    for i, t in enumerate(texts):
+        n = len(t) // 3
+        edited = t[:len(t) - n] + texts[(i - 1) % len(texts)][:n]
+        a, b = shingles(t), shingles(edited)
+        if a and len(a | b) <= LEAST:                                # texts of few words are compared whole
+            assert got[i].near_edited == pytest.approx(len(a & b) / len(a | b))
+            assert got[i].contained_edited == pytest.approx(len(a & b) / len(a))
+
+    # sketches unite: short texts with short ones and with long ones
+    whole = df.select("doc_id", sketch(F.col("text"), least=LEAST).alias("sketch"), sketch(F.col("text"), scale=1).alias("all"))
+    rows = {r.doc_id: r for r in whole.collect()}
+    below = -(1 << 63) + (1 << 64) // 8
+    for group in ([2, 3], [12, 13, 14, 15], [4, 16], [16, 17, 18]):
+        union = sorted({h for i in group for h in rows[i].all})
+        low = [h for h in union if h < below]
+        one = merged(whole.filter(F.col("doc_id").isin(group)).withColumn("g", F.lit(1)), ["g"], least=LEAST).first()
+        assert one.sketch == (low if len(low) >= LEAST else union[:LEAST])
+    pair = whole.filter("doc_id = 16").select(F.col("sketch").alias("a")).crossJoin(
+        whole.filter("doc_id = 17").select(F.col("sketch").alias("b")))
+    r = pair.select(likeness(F.col("a"), F.col("b"), least=LEAST), containment(F.col("a"), F.col("b"), least=LEAST)).first()
+    assert r[0] > 0.9 and r[1] == 1.0
