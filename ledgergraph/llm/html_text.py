@@ -3,10 +3,13 @@
 A page is cut into blocks at its block-level tags. Pass one classifies every block by itself, by
 its length, the share of its letters inside links (link density) and the share of its words that
 are stop words: good, near good, bad or short. Markup that names its role counts as well: blocks
-in navigation, headers, footers, asides, forms, notices, adverts and comments are bad, and where
-a page marks its article, what stands outside of it is bad and what stands in it is good, or
-short. Pass two lets the ambiguous blocks, short and near good, inherit the label of their
-nearest decided neighbours before and after; a heading goes with what follows it.
+in navigation, headers, footers, asides, forms, notices, adverts and comments are bad, and inside
+a marked article a block needs less to be good: some stop words at any length; without them, or
+with many links, it is near good. Pass two lets the ambiguous blocks, short and near good, inherit
+the label of their nearest decided neighbours before and after; a heading goes with what follows
+it. A marked article (or else <main>) stands for the page, and what is outside of it is bad, only
+if it holds at least half of the text found good; a teaser does not, and then blocks are judged
+as if nothing were marked.
 
 Character references are decoded, white space inside a block becomes one space, and good blocks
 are joined in page order by an empty line. Nothing else is dropped or capped.
@@ -192,29 +195,29 @@ def blocks_of(page: str) -> list[Block]:
 
 
 def first_pass(block: Block, region: int) -> str:
-    """Label of a block by itself; ``region``: the innermost kind of region that the page's text is in."""
-    if block.boilerplate or block.region < region:
+    """Label of a block by itself; ``region``: the kind of region in which a block needs less to be good."""
+    if block.boilerplate:
         return "bad"
+    marked = 0 < region <= block.region
     size = len(block.text)
     density = block.link_chars / size
     if density > MANY_LINKS and not block.heading:
-        return "bad" if not region or density > 0.8 and size < LONG else "near"
+        return "bad" if not marked or density > 0.8 and size < LONG else "near"
     if size < SHORT:
         return "short"
-    if region:
-        return "good"
-    if "©" in block.text and size < LONG:
+    if "©" in block.text and size < LONG and not marked:
         return "bad"
     words = block.text.lower().split()
     stops = sum(w.strip(".,;:!?()\"'«»„“”") in STOP_WORDS for w in words) / len(words)
-    if stops >= MANY_STOP_WORDS:
-        return "good" if size >= LONG else "near"
-    return "near" if stops >= FEW_STOP_WORDS else "bad"
+    if stops >= (FEW_STOP_WORDS if marked else MANY_STOP_WORDS):
+        return "good" if size >= LONG or marked else "near"
+    return "near" if marked or stops >= FEW_STOP_WORDS else "bad"
 
 
 def second_pass(blocks: list[Block], region: int) -> None:
     """Ambiguous blocks inherit from their nearest decided neighbours. Inside a marked article only
-    blocks of the article are neighbours, and an article without a decided block is good."""
+    blocks of the article are neighbours, and an article without a good block is good but for its
+    bad ones."""
     inside = [b for b in blocks if not region or (b.region >= region and not b.boilerplate)]
     decided = [b.label if b.label in ("good", "bad") else "" for b in inside]
     before, last = [], ""
@@ -226,6 +229,7 @@ def second_pass(blocks: list[Block], region: int) -> None:
         last = decided[i] or last
         after[i] = last
     default = "good" if region else "bad"
+    unknown = region and "good" not in decided
     for b, left, right in zip(inside, before, after):
         if b.label == "short":
             if b.heading:
@@ -236,7 +240,18 @@ def second_pass(blocks: list[Block], region: int) -> None:
                 # between good and bad: with the article if links do not speak against it
                 b.label = "good" if region and not b.link_chars else "bad"
         elif b.label == "near":
-            b.label = "bad" if left == right == "bad" and not region else "good"
+            b.label = "bad" if left == right == "bad" and not unknown else "good"
+
+
+def classify(blocks: list[Block], region: int) -> int:
+    """Labels all blocks, those outside of ``region`` as if nothing were marked; characters found good."""
+    for b in blocks:
+        b.label = first_pass(b, region)
+    inside = [b for b in blocks if b.region >= region]
+    second_pass(inside, region)
+    if region:
+        second_pass([b for b in blocks if b.region < region], 0)
+    return sum(len(b.text) for b in inside if b.label == "good")
 
 
 def main_text(page: str | None) -> str:
@@ -244,11 +259,12 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     blocks = blocks_of(page)
-    region = max((b.region for b in blocks if not b.boilerplate), default=0)
-    for b in blocks:
-        b.label = first_pass(b, region)
-    second_pass(blocks, region)
-    return "\n\n".join(b.text for b in blocks if b.label == "good")
+    # the innermost kind of region that holds at least half of the good text; 0 is the whole page
+    for region in sorted({b.region for b in blocks if not b.boilerplate} | {0}, reverse=True):
+        good = classify(blocks, region)
+        if good and 2 * good >= sum(len(b.text) for b in blocks if b.label == "good"):
+            break
+    return "\n\n".join(b.text for b in blocks if b.label == "good" and b.region >= region)
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:

@@ -141,6 +141,30 @@ def test_page_without_marked_article():
     assert main_text(page).split("\n\n") == ["Title of it", (EN * 3).strip(), "Then.", (EN * 3).strip()]
 
 
+def test_main_text_outside_of_an_article():
+    from ledgergraph.llm.html_text import main_text
+    main, one = (EN * 3).strip(), EN.strip()
+    teaser = f"<article><h3>Read next</h3><p>{EN}</p></article>"
+    for wrap in ("div", "main", "section"):
+        for page in (f"<body><{wrap}><p>{main}</p><p>{main}</p></{wrap}>{teaser}</body>",
+                     f"<body><{wrap}>{teaser}<p>{main}</p><p>{main}</p></{wrap}></body>"):
+            assert main_text(page).split("\n\n").count(main) == 2
+    # an article with most of the text still stands for the page
+    assert main_text(f"<body><div><p>{one}</p></div><article><p>{main}</p></article></body>") == main
+
+
+def test_stop_words_count_inside_of_an_article():
+    from ledgergraph.llm.html_text import main_text
+    main = (EN * 3).strip()
+    links = "<p><a href=a>" + "Harbour boats tickets prices timetable " * 3 + "</a></p>"
+    list_of_names = "Rotterdam Hamburg Antwerp Valencia Piraeus Algeciras Bremerhaven Felixstowe Barcelona Genoa"
+    page = f"<article><p>{main}</p>{links}<p>{list_of_names}</p>{links}<p>{main}</p></article>"
+    assert main_text(page) == f"{main}\n\n{main}"
+    # next to a good block it stays, and so does an article in a language without known stop words
+    assert main_text(f"<article><p>{main}</p><p>{list_of_names}</p></article>") == f"{main}\n\n{list_of_names}"
+    assert main_text(f"<article>{links}<p>{list_of_names}</p>{links}</article>") == list_of_names
+
+
 @pytest.mark.parametrize("page,text", [
     (None, ""), ("", ""), ("plain", ""), ("<article>tiny</article>", "tiny"), ("<article><p>a<br>b\n c</article>", "a b c"),
     ("<article><p>a<!-- x <p>b --></p><p>c</article>", "a\n\nc"), ("<article>x <script>never closed <p>y", "x"),
