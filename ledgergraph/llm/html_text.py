@@ -11,6 +11,11 @@ it. A marked article (or else <main>) stands for the page, and what is outside o
 if it holds at least half of the text found good; a teaser does not, and then blocks are judged
 as if nothing were marked.
 
+Class and id names mark small parts only. A name is a whole token ("ad") or one made of such names
+and words for parts ("social-share", "comment-list"), so that "category-legal" is none. Names do not
+count on an article, nor on an element that holds more than half of the page's good text; an
+element named after comments must hold all text that is not boilerplate otherwise.
+
 Character references are decoded, white space inside a block becomes one space, and good blocks
 are joined in page order by an empty line. Nothing else is dropped or capped.
 
@@ -71,9 +76,26 @@ BOILERPLATE_NAMES = frozenset(
 LAYOUT_NAMES = frozenset("banner nav navbar navigation menu submenu breadcrumb breadcrumbs footer sidebar side aside rail "
                          "search toolbar".split())
 HEADER_NAMES = frozenset("header masthead topbar".split())
+COMMENT_NAMES = frozenset("comment comments reply replies respond disqus discussion".split())
+# words for a part that may stand beside a name in one token ("comment-list")
+PART_WORDS = frozenset("area banner bar block box button buttons container form icons inner links list message posts section "
+                       "wrapper".split())
 LAYOUT, HARD = 1, 2      # kinds of boilerplate: an article inside a layout part is an article all the same
 
 
+NO_ELEMENT = ("", 0, 0, None)
+
+
+@dataclass(eq=False)
+class Named:
+    """An element that its class or id names boilerplate; or an article in one, which no LAYOUT name marks."""
+    kind: int                      # LAYOUT or HARD; 0: an article
+    comments: bool = False
+    outer: Named | None = None     # the next one around it
+    depth: int = 0
+    marks: int = 0                 # kind of boilerplate that names make of its text
+
+
 @dataclass
 class Block:
     text: str
@@ -81,34 +103,52 @@ class Block:
     heading: bool
     boilerplate: int       # 0, LAYOUT or HARD
     region: int            # 0 outside, 1 inside <main>, 2 inside <article>
+    named: Named | None = None     # innermost element around it that its name makes boilerplate
     label: str = ""
+    stops: float | None = None     # share of its words that are stop words
+
 
+def _names(found: dict[str, str]) -> set[str]:
+    """The boilerplate names among an element's class and id tokens."""
+    names: set[str] = set()
+    for token in (found.get("class", "") + " " + found.get("id", "")).lower().split():
+        pieces = re.split(r"[^a-z0-9]+", token)
+        own = {x for x in pieces if x in BOILERPLATE_NAMES or x in LAYOUT_NAMES or x in HEADER_NAMES}
+        if own and all(x in own or x in PART_WORDS or not x for x in pieces):
+            names |= own
+    return names
 
-def _evidence(name: str, attrs: str, region: int) -> tuple[int, int]:
-    """(kind of boilerplate or 0, region) that a start tag gives to what it contains."""
+
+def _evidence(name: str, attrs: str, region: int) -> tuple[int, Named | None, int]:
+    """(kind of boilerplate or 0, what names alone make of it, region) that a start tag gives to what it
+    contains."""
     found = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attrs)} if attrs.strip(" /") else {}
-    words = set(re.split(r"[^a-z0-9]+", (found.get("class", "") + " " + found.get("id", "")).lower()))
     role = found.get("role", "").lower()
-    kind = 0
+    article = name == "article" or found.get("itemprop", "").lower() == "articlebody"
+    kind, named = 0, None
     if name not in ("html", "body", "main"):
-        if (words & BOILERPLATE_NAMES or name in ("form", "button", "dialog", "fieldset") or "hidden" in found
+        if (name in ("form", "button", "dialog", "fieldset") or "hidden" in found
                 or role in BOILERPLATE_ROLES or found.get("aria-hidden", "").lower() == "true"
                 or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", "").lower())):
             kind = HARD
-        elif (name in BOILERPLATE_TAGS or words & LAYOUT_NAMES
-              or not region and (name == "header" or words & HEADER_NAMES)):
+        elif name in BOILERPLATE_TAGS or not region and name == "header":
             kind = LAYOUT
-    if name == "article" or found.get("itemprop", "").lower() == "articlebody":
+        if kind < HARD and not article and (names := _names(found)):
+            if names & BOILERPLATE_NAMES:
+                named = Named(HARD, bool(names & COMMENT_NAMES))
+            elif names & LAYOUT_NAMES or not region:
+                named = Named(LAYOUT)
+    if article:
         region = 2
     elif name == "main" or role == "main":
         region = max(region, 1)
-    return kind, region
+    return kind, named, region
 
 
 def blocks_of(page: str) -> list[Block]:
     """The blocks of a page in order, with what markup tells of them."""
     blocks: list[Block] = []
-    stack: list[tuple[str, int, int]] = []       # (tag, boilerplate, region) of open elements
+    stack: list[tuple[str, int, int, Named | None]] = []      # (tag, boilerplate, region, named) of open elements
     opened: Counter[str] = Counter()             # how many of each tag are on it
     text: list[str] = []
     links = link_chars = 0
@@ -118,8 +158,8 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal link_chars
         line = " ".join("".join(text).split())
         if line:
-            _, bad, region = stack[-1] if stack else ("", 0, 0)
-            blocks.append(Block(line, min(link_chars, len(line)), heading, bad, region))
+            _, bad, region, named = stack[-1] if stack else NO_ELEMENT
+            blocks.append(Block(line, min(link_chars, len(line)), heading, bad, region, named))
         text.clear()
         link_chars = 0
 
@@ -131,10 +171,14 @@ def blocks_of(page: str) -> list[Block]:
             if links:
                 link_chars += len(raw.strip())
 
-    def push(name: str, bad: int, region: int) -> None:
-        stack.append((name, bad, region))
+    def push(name: str, bad: int, region: int, named: Named | None) -> None:
+        stack.append((name, bad, region, named))
         opened[name] += 1
 
+    def within(outer: Named | None, named: Named) -> Named:
+        named.outer, named.depth = outer, outer.depth + 1 if outer else 0
+        return named
+
     def close(name: str) -> None:
         if not opened[name]:
             return
@@ -164,10 +208,14 @@ def blocks_of(page: str) -> list[Block]:
                         flush()
                         close("span")
                 else:
-                    _, bad, region = stack[-1] if stack else ("", 0, 0)
-                    if _evidence(name, m["attrs"], region)[0]:
+                    _, bad, region, named = stack[-1] if stack else NO_ELEMENT
+                    own, by_name, _ = _evidence(name, m["attrs"], region)
+                    if own or by_name:
                         flush()
-                        push("span", HARD, region)
+                        if not own:
+                            by_name.kind = HARD
+                            named = within(named, by_name)
+                        push("span", HARD if own else bad, region, named)
         else:
             flush()
             links = 0
@@ -184,11 +232,13 @@ def blocks_of(page: str) -> list[Block]:
                         close("li")
                 heading = len(name) == 2 and name[0] == "h" and name[1].isdigit()
                 if name not in VOID and not heading:
-                    _, bad, region = stack[-1] if stack else ("", 0, 0)
-                    own, region = _evidence(name, m["attrs"], region)
-                    if name == "main" or name == "article" and bad == LAYOUT:
-                        bad = 0
-                    push(name, max(bad, own), region)
+                    _, bad, region, named = stack[-1] if stack else NO_ELEMENT
+                    own, by_name, region = _evidence(name, m["attrs"], region)
+                    if name == "main":
+                        bad, named = 0, None
+                    elif name == "article":
+                        bad, named = bad if bad == HARD else 0, named and within(named, Named(0))
+                    push(name, max(bad, own), region, within(named, by_name) if by_name else named)
     add(page[at:])
     flush()
     return blocks
@@ -207,8 +257,10 @@ def first_pass(block: Block, region: int) -> str:
         return "short"
     if "©" in block.text and size < LONG and not marked:
         return "bad"
-    words = block.text.lower().split()
-    stops = sum(w.strip(".,;:!?()\"'«»„“”") in STOP_WORDS for w in words) / len(words)
+    if block.stops is None:      # counted once, however often a block is judged
+        words = block.text.lower().split()
+        block.stops = sum(w.strip(".,;:!?()\"'«»„“”") in STOP_WORDS for w in words) / len(words)
+    stops = block.stops
     if stops >= (FEW_STOP_WORDS if marked else MANY_STOP_WORDS):
         return "good" if size >= LONG or marked else "near"
     return "near" if marked or stops >= FEW_STOP_WORDS else "bad"
@@ -254,11 +306,61 @@ def classify(blocks: list[Block], region: int) -> int:
     return sum(len(b.text) for b in inside if b.label == "good")
 
 
+def spare_wrappers(blocks: list[Block]) -> None:
+    """Takes the names off elements that hold the larger share of the page's good text, and makes
+    boilerplate of what the other names mark."""
+    seen: set[Named] = set()
+    for b in blocks:
+        e = b.named
+        while e and e not in seen:
+            seen.add(e)
+            e = e.outer
+    if not seen:
+        return
+    elements = sorted(seen, key=lambda e: e.depth)
+    region = max((b.region for b in blocks if not b.boilerplate), default=0)
+
+    def mark(parts: list[Block], comments: bool) -> None:
+        held: Counter[Named] = Counter()       # characters of good blocks in an element
+        stands: Counter[Named] = Counter()     # blocks in it
+        good = 0
+        for b in parts:
+            n = len(b.text) if first_pass(b, region) == "good" else 0
+            good += n
+            if b.named:
+                held[b.named] += n
+                stands[b.named] += 1
+        for e in reversed(elements):
+            if e.outer:
+                held[e.outer] += held[e]
+                stands[e.outer] += stands[e]
+        for e in elements:
+            e.marks = e.outer.marks if e.outer else 0
+            if not e.kind:
+                e.marks = e.marks if e.marks == HARD else 0
+            elif e.comments == comments and (stands[e] < len(parts) if comments else 2 * held[e] <= good):
+                e.marks = max(e.marks, e.kind)
+        for b in blocks:
+            if b.named:
+                b.boilerplate = max(b.boilerplate, b.named.marks)
+
+    # comments are no part of the text that the other names are held against, unless they are all of it
+    said: set[Named] = set()
+    for e in elements:
+        if e.comments or e.outer in said:
+            said.add(e)
+    own = [b for b in blocks if not b.boilerplate]
+    beside = [b for b in own if b.named not in said]
+    mark(beside if any(first_pass(b, region) == "good" for b in beside) else own, False)
+    mark([b for b in blocks if not b.boilerplate], True)
+
+
 def main_text(page: str | None) -> str:
     """The main text of one page."""
     if not page:
         return ""
     blocks = blocks_of(page)
+    spare_wrappers(blocks)
     # the innermost kind of region that holds at least half of the good text; 0 is the whole page
     for region in sorted({b.region for b in blocks if not b.boilerplate} | {0}, reverse=True):
         good = classify(blocks, region)

@@ -165,6 +165,28 @@ def test_stop_words_count_inside_of_an_article():
     assert main_text(f"<article>{links}<p>{list_of_names}</p>{links}</article>") == list_of_names
 
 
+@pytest.mark.parametrize("wrap,end", [
+    ("<article class='post category-legal'>", "</article>"), ("<article class='post comments-open'>", "</article>"),
+    ("<article class='ad related'>", "</article>"), ("<div class='elementor-widget'><article>", "</article></div>"),
+    ("<div class='widget'><article>", "</article></div>"), ("<div id=page class='sharing-enabled'><article>", "</article></div>"),
+    ("<div class='social'><div class='search-wrapper'>", "</div></div>"), ("<div class='comments'><article>", "</article></div>")])
+def test_names_on_wrappers_hide_nothing(wrap, end):
+    from ledgergraph.llm.html_text import main_text
+    main = (EN * 3).strip()
+    part = f"<div class='social-share'>{EN}</div><div class=ad>{EN}</div>"
+    assert main_text(f"<body>{wrap}<p>{main}</p>{part}<p>{main}</p>{end}<div class='newsletter'>{EN}</div></body>") == f"{main}\n\n{main}"
+
+
+def test_names_still_mark_parts():
+    from ledgergraph.llm.html_text import main_text
+    main = (EN * 3).strip()
+    for name in ("ad", "related", "cookie-notice", "comment-list", "share_buttons", "sidebar", "search-box"):
+        assert main_text(f"<body><div><p>{main}</p><div class='{name}'>{EN * 2}</div><p>{main}</p></div></body>") == f"{main}\n\n{main}"
+    # more comments than article
+    page = f"<body><article><p>{main}</p></article><section id=comments><p>{EN * 6}</p><p>{EN * 6}</p></section></body>"
+    assert main_text(page) == main
+
+
 @pytest.mark.parametrize("page,text", [
     (None, ""), ("", ""), ("plain", ""), ("<article>tiny</article>", "tiny"), ("<article><p>a<br>b\n c</article>", "a b c"),
     ("<article><p>a<!-- x <p>b --></p><p>c</article>", "a\n\nc"), ("<article>x <script>never closed <p>y", "x"),
