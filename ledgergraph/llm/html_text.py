@@ -55,13 +55,14 @@ STOP_WORDS = frozenset((
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|math|iframe|object|textarea|select|canvas|audio|video|head)\b[^>]*+>"
-    r".*?(?:</\1\s*+>|\Z)"
+    r"|<((svg|math)|script|style|noscript|template|iframe|object|textarea|select|canvas|audio|video|title|noframes)"
+    r"(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+>(?:(?(2)(?<=/>)|(?!))|.*?(?:</\1\s*+>|\Z))"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>"
     r"|<[!?/][^>]*+>", re.S | re.I)
 ATTRIBUTE = re.compile(r"([^\s\"'=<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+# <head> is no element here: what may stand in it has no text of the page, and what may not ends it
+VOID = frozenset("head area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt "
                    "ruby s samp small span strike strong sub sup time tt u var wbr img input".split())
 BOILERPLATE_TAGS = frozenset("nav footer aside form button menu dialog fieldset".split())

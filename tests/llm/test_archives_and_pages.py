@@ -187,6 +187,19 @@ def test_names_still_mark_parts():
     assert main_text(page) == main
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<html><head><title>T</title><meta charset=utf-8><body><article><p>a</article></body></html>", "a"),
+    ("<head><title>T</title><link rel=x href=y><style>p{}</style><article><p>a</article>", "a"),
+    ("<head class=sidebar><title>T<b></title><script>'<p>x'</script></head><article>a</article>", "a"),
+    ("<article>a<svg viewBox='0 0 1 1'/><p>b</p><math />c</article>", "a\n\nb\n\nc"),
+    ("<article>a<svg aria-label='x/>y'/>b<svg href=u/v><text>t</text></svg>c</article>", "abc"),
+    ("<article>a<svg><path d=x /><text>t</text></svg><p>b</p></article>", "a\n\nb"),
+    ("<article>a<video-player>b</video-player><p>c</article>", "a\n\nb\n\nc")])
+def test_unclosed_head_and_self_closed_drawings(page, text):
+    from ledgergraph.llm.html_text import main_text
+    assert main_text(page) == text
+
+
 @pytest.mark.parametrize("page,text", [
     (None, ""), ("", ""), ("plain", ""), ("<article>tiny</article>", "tiny"), ("<article><p>a<br>b\n c</article>", "a b c"),
     ("<article><p>a<!-- x <p>b --></p><p>c</article>", "a\n\nc"), ("<article>x <script>never closed <p>y", "x"),
