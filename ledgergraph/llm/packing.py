@@ -7,7 +7,8 @@ multiset of lengths that fits into one sequence. The covering program (fewest se
 every length's count is covered) is solved by multiplicative weights: lengths carry prices,
 knapsack dynamic programming finds the most valuable configuration, and the prices of the
 lengths it covers fall. The fractional solution is rounded down and what is left of the histogram
-is packed best-fit, longest first. No length in the result is dropped or capped.
+is packed best-fit, longest first, by whole counts of equal sequences, so the driver's work and memory
+depend on the lengths and not on the pieces. No length in the result is dropped or capped.
 
 The packing is a table of slot ranges: for a length, ranks r0 to r1 go to sequences s0, s0 + 1, ...
 at a fixed offset. Pieces are ranked within their length by counts per (length, slice of a hash),
@@ -180,31 +181,40 @@ def rounded_plan(counts: np.ndarray, capacity: int, rate: float, fill: float) ->
             times = min(int(times), int((left[lengths - 1] // per).min()))
             if times and sum(items) >= fill * capacity:
                 place(list(items), times)
-    # the rest, longest first, each into the fullest sequence that still has room
-    bins: list[list[list[int]]] = [[] for _ in range(capacity + 1)]     # by free room
+    # the rest, longest first, each into the fullest sequence that still has room. Open sequences are
+    # counted per configuration, so the steps depend on lengths and configurations, not on pieces
+    bins: list[dict[tuple[int, ...], int]] = [{} for _ in range(capacity + 1)]     # by free room
+
+    def put(items: tuple[int, ...], length: int, per: int, room: int, times: int) -> None:
+        """``times`` sequences of ``room`` get ``per`` pieces of ``length`` each."""
+        if times and per:
+            at, items = bins[room - per * length], items + (length,) * per
+            at[items] = at.get(items, 0) + times
+
     for length in range(capacity, 0, -1):
-        todo = int(left[length - 1])
+        todo, room = int(left[length - 1]), length
         while todo:
-            room = next((r for r in range(length, capacity + 1) if bins[r]), None)
-            if room is None:
-                # new sequences, as many as the remaining pieces of this length fill
-                per = capacity // length
-                n, extra = divmod(todo, per)
-                bins[capacity - per * length] += [[length] * per for _ in range(n)]
-                if extra:
-                    bins[capacity - extra * length].append([length] * extra)
+            while room < capacity and not bins[room]:
+                room += 1
+            # as many pieces of this length as one sequence takes, new sequences at last
+            per = room // length
+            full, extra = divmod(todo, per)
+            if room == capacity:
+                put((), length, per, room, full)
+                put((), length, extra, room, 1)
+                break
+            items, n = bins[room].popitem()
+            put(items, length, per, room, min(n, full))
+            todo -= min(n, full) * per
+            if n > full:
+                put(items, length, extra, room, 1)
                 todo = 0
-            else:
-                items = bins[room].pop()
-                items.append(length)
-                bins[room - length].append(items)
-                todo -= 1
-    same: dict[tuple[int, ...], int] = {}
+                n -= full + (extra > 0)
+                if n:
+                    bins[room][items] = n
     for group in bins:
-        for items in group:
-            same[tuple(items)] = same.get(tuple(items), 0) + 1
-    for items, times in same.items():
-        place(list(items), times)
+        for items, times in group.items():
+            place(list(items), times)
     return np.array(sorted(slots), np.int64).reshape(-1, 5), sequences
 
 

@@ -532,6 +532,54 @@ def test_fingerprints_use_no_python(spark):
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
+# ---- op7, driver ----------------------------------------------------------------------------
+
+def _best_fit_brute(counts, capacity):
+    """Sequences that best-fit needs, piece by piece."""
+    free = []
+    for length in range(capacity, 0, -1):
+        for _ in range(counts[length - 1]):
+            fits = [r for r in free if r >= length]
+            if fits:
+                free.remove(min(fits))
+                free.append(min(fits) - length)
+            else:
+                free.append(capacity - length)
+    return len(free)
+
+
+def _places_every_piece(slots, n, counts, capacity):
+    assert np.array_equal(np.bincount(slots[:, 0], slots[:, 2], capacity + 1)[1:], counts)
+    for length, rank, times, *_ in slots:      # ranks of a length are given away once, without gaps
+        below = slots[(slots[:, 0] == length) & (slots[:, 1] < rank)]
+        assert below[:, 2].sum() == rank
+    # a slot range's sequences start together, so a configuration is never over full
+    starts, which = np.unique(slots[:, 3], return_inverse=True)
+    assert (np.bincount(which, slots[:, 0]) <= capacity).all()
+    times = np.array([slots[which == i][:, 2].max() for i in range(len(starts))])
+    assert np.array_equal(starts[1:], starts[:-1] + times[:-1]) and starts[-1] + times[-1] == n
+
+
+def test_rest_of_a_packing_equals_best_fit():
+    from ledgergraph.llm.packing import rounded_plan
+    rng = np.random.default_rng(11)
+    for _ in range(60):
+        capacity = int(rng.integers(3, 40))
+        counts = rng.integers(0, 12, capacity) * rng.integers(0, 2, capacity)
+        counts[rng.integers(capacity)] += 1
+        slots, n = rounded_plan(counts, capacity, 1.0, 2.0)
+        _places_every_piece(slots, n, counts, capacity)
+        assert n == _best_fit_brute(counts, capacity)
+
+
+def test_packing_plan_does_not_grow_with_the_pieces():
+    from ledgergraph.llm.packing import plan, rounded_plan
+    counts = np.random.default_rng(4).integers(10 ** 9, 10 ** 10, 48)
+    slots, n = rounded_plan(counts, 48, 1.0, 2.0)
+    _places_every_piece(slots, n, counts, 48)
+    assert plan(counts, 48)[1] <= n
+
+
 def test_only_texts_without_words_have_an_empty_fingerprint(spark, tmp_path):
     from ledgergraph.llm.fingerprints import LEAST, containment, likeness, merged, query, sketch
     texts = ["", " \t", *[" ".join(f"{w}{k}" for k in range(n)) for n in (1, 2, 3, 5, 8, 16, 19) for w in ("x", "y")]]
