@@ -9,8 +9,9 @@ largest proportion and the score is that proportion, discounted by how far the t
 the learned ones.
 
 Training counts hashed trigrams per language on Spark, over at most ``max_train`` labelled rows
-(a uniform hash sample of the rows that may be learned from, whole texts); the counts are
-``BUCKETS`` numbers per language. Prediction reads every whole text in Arrow batches; a long text
+(a hash sample per language of the rows that may be learned from, whole texts: the bound is shared
+among the languages, and one with fewer rows than its share keeps them all, so the languages learned
+are the same at every size); the counts are ``BUCKETS`` numbers per language. Prediction reads every whole text in Arrow batches; a long text
 is counted piece by piece. Neither lang, source nor doc_id is an input of a prediction.
 
 Defined results: null text or one without letters: ``und``, score 0; no learned language: ``und``
@@ -70,17 +71,40 @@ def trigram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
     return at, total[at]
 
 
+def fair_share(sizes: list[int], most: int) -> float:
+    """The number of rows up to which each language may be learned from, so that ``most`` rows are: what
+    small languages leave of their share goes to the others."""
+    left = float(most)
+    for i, n in enumerate(sorted(sizes)):
+        share = left / (len(sizes) - i)
+        if n > share:
+            return share
+        left -= n
+    return float(max(sizes, default=0))
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           max_train: int = 20_000) -> tuple[list[str], np.ndarray]:
     """(languages, trigram likelihoods [BUCKETS, languages]) from rows with a lang that are not held
-    out. ``max_train`` bounds the rows learned from in expectation (a seeded hash sample)."""
+    out. ``max_train`` bounds the rows learned from in expectation (a seeded hash sample per language)."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"),
                        F.col(text_col).cast("string").alias("text"))
     rows = rows.filter(F.col("lang").isNotNull() & ~held_out(F.col("id")))
-    n = rows.count()
-    if n > max_train:
-        share = F.pmod(F.xxhash64(F.col("id"), F.lit(10)), F.lit(1 << 40)) / float(1 << 40)
-        rows = rows.filter(share < max_train / n)
+    def sizes(rows: DataFrame) -> dict[str, int]:
+        found = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()
+        return {r["lang"]: r["n"] for r in found}
+
+    by_lang = sizes(rows)
+    if len(by_lang) > MAX_LANGUAGES:      # labels of texts without letters are no languages
+        rows = rows.filter(F.col("text").rlike(r"\p{L}"))
+        by_lang = sizes(rows)
+        if len(by_lang) > MAX_LANGUAGES:
+            raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    if sum(by_lang.values()) > max_train:
+        share = fair_share(list(by_lang.values()), max_train)
+        rate = F.create_map(*[F.lit(x) for lang, n in sorted(by_lang.items()) for x in (lang, min(1.0, share / n))])
+        draw = F.pmod(F.xxhash64(F.col("id"), F.lit(10)), F.lit(1 << 40)) / float(1 << 40)
+        rows = rows.filter(draw < F.element_at(rate, F.col("lang")))
 
     def counted(batches):
         sums: dict[str, np.ndarray] = {}

@@ -392,6 +392,19 @@ def test_long_texts_are_counted_whole():
     assert set(at1) <= set(at) and abs(n.sum() / n1.sum() - 60) < 0.1
 
 
+def test_rare_languages_are_learned_at_every_size(spark):
+    from ledgergraph.llm.langid import fair_share, identify, train
+    rows = [(i, "the harbour and the boats of the town", "en") for i in range(4000)]
+    rows += [(10_000 + i, "żółta łódka płynie przez jezioro", "pl") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for most in (20_000, 100, 40):
+        model = train(docs, max_train=most)
+        assert model[0] == ["en", "pl"]
+        ask = spark.createDataFrame([("łódka przez jezioro",), ("the boats and the harbour",)], "text string")
+        assert [r.lang_pred for r in identify(ask, model).collect()] == ["pl", "en"]
+    assert fair_share([8, 3200], 100) == 92 and fair_share([50, 60, 70], 90) == 30 and fair_share([], 5) == 0
+
+
 # ---- op1 ------------------------------------------------------------------------------------
 
 def test_toxicity_grammar():
