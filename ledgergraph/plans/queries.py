@@ -32,10 +32,12 @@ from ledgergraph.schemas import Ledger
 from ledgergraph.session import bucketed_table, release_scratch, scratch_folder, staged
 from ledgergraph.sources.blockfile import MAINNET_MAGIC, SCAN, blocks_of, flatten, parser, rejects_of
 from ledgergraph.sources.encode import block_files, transactions
-from ledgergraph.sources.io import read_ledger, read_listing, write_ledger, write_listing, write_table
+from ledgergraph.sources.io import part_range, read_ledger, read_listing, write_ledger, write_listing, write_table
 from ledgergraph.sources.io import read_table as read_parquet
 from ledgergraph.sources.star import ledger_buckets, ledger_from_dir, ledger_key, read_table, release_ledgers
 
+EDGES_PER_FILE = 4_000_000
+
 ORACLE_DIGEST = "hash160"
 
 
@@ -402,22 +404,29 @@ def q_tx_hashes(spark, sf_dir):
     return txs.select("o_orderkey", display_hash(double_sha256(F.unhex("tx"))).alias("hash"))
 
 
+def _edge_files(spark, sf_dir) -> int:
+    """Files of the job's edges. A transaction, output, input or block makes one edge at most."""
+    ledger = _vertex_ids(spark, sf_dir)[0]
+    return max(4, -(-sum(t.count() for t in ledger) // EDGES_PER_FILE))
+
+
 def _job_output(spark, sf_dir) -> str:
     """The job's tables, written twice over (a re-run overwrites) into the shared folder."""
     def build():
         ledger, outs, ids = _vertex_ids(spark, sf_dir)
         root = scratch_folder(spark, "lg_job")
+        files = _edge_files(spark, sf_dir)
         for _ in range(2):
-            write_table(E.edges_indexed(ledger, _resolved(spark, sf_dir), ids), f"{root}/edges", num_files=4)
+            write_table(E.edges_indexed(ledger, _resolved(spark, sf_dir), ids), f"{root}/edges", num_files=files)
             write_ledger(Ledger(ledger.blocks, ledger.transactions, outs, ledger.inputs), f"{root}/ledger")
         return root
     return _once(spark, sf_dir, "job", build)
 
 
 def q_job_edges_roundtrip(spark, sf_dir):
-    """The indexed edges written as four gzip files, written again, and read by a range
-    of file names."""
-    return read_parquet(spark, f"{_job_output(spark, sf_dir)}/edges", glob="part-0000[0-3]*")
+    """The indexed edges written as gzip files, four at least and more with the edges,
+    written again, and read by a range of file names."""
+    return read_parquet(spark, f"{_job_output(spark, sf_dir)}/edges", glob=part_range(_edge_files(spark, sf_dir)))
 
 
 def q_job_ledger_roundtrip(spark, sf_dir):

@@ -75,3 +75,25 @@ def test_chain_height_property_random_forests(spark):
         assert {r.hash: r.height for r in chain_height(blocks).collect()} == want
 
     check()
+
+
+def test_part_range_names_the_first_files():
+    import fnmatch
+
+    from ledgergraph.sources.io import part_range
+    for files in (1, 4, 10, 12, 100, 1005, 100_000, 100_234):
+        names = part_range(files).removeprefix("part-{").removesuffix("}-*").split(",")
+        for k in {0, 3, files // 2, files - 2, files - 1, files, files + 1, 10 * files, 99_999, 100_000}:
+            if k >= 0:
+                assert any(fnmatch.fnmatch(f"{k:05d}", x) for x in names) == (k < files), (files, k)
+
+
+def test_job_edge_files_grow_with_the_edges(spark, monkeypatch):
+    from ledgergraph.plans import queries as Q
+    Q.release(spark)
+    monkeypatch.setattr(Q, "EDGES_PER_FILE", 1000)
+    got = Q.q_job_edges_roundtrip(spark, SF0001)
+    files = Q._edge_files(spark, SF0001)
+    assert files > 10 and len(got.inputFiles()) == files
+    assert got.count() == Q.QUERIES["edges_indexed"](spark, SF0001).count()
+    Q.release(spark)
