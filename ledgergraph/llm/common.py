@@ -31,3 +31,16 @@ def pick(df: DataFrame, names: list[str]) -> DataFrame:
     """The named columns alone, missing ones as null: frees a frame from clashing extra columns."""
     have = set(df.columns)
     return df.select(*[F.col(f"`{n}`") if n in have else F.lit(None).alias(n) for n in names])
+
+
+def finite(vector: Column) -> Column:
+    """Neither null nor with a null or non-finite component."""
+    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
+    return vector.isNotNull() & ~F.coalesce(bad, F.lit(False))
+
+
+def integers(vector: Column, scale: int, width: int, most: int) -> Column:
+    """floor(scale * x) per component as longs between -most and most, followed by zeros up to ``width``."""
+    q = F.transform(vector, lambda x: F.greatest(F.least(F.floor(x * scale), F.lit(most)), F.lit(-most)).cast("bigint"))
+    return F.when(F.size(vector) == width, q).otherwise(
+        F.concat(q, F.array_repeat(F.lit(0).cast("bigint"), F.lit(width) - F.size(vector))))

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from ledgergraph.llm import (exact_dedup, fingerprints, html_text, langid, mixing, packing, sharding, simhash,
-                             toxicity, vector_codes, warc)
+from ledgergraph.llm import (exact_dedup, fingerprints, hard_negatives, html_text, langid, mixing, packing, sharding,
+                             simhash, toxicity, vector_codes, warc)
 
 _MODULES = {
     "op1_toxicity": toxicity,
@@ -16,6 +16,7 @@ _MODULES = {
     "op8_warc": warc,
     "op9_mixing": mixing,
     "op10_langid": langid,
+    "op11_hard_negatives": hard_negatives,
     "op13_vector_codes": vector_codes,
 }
 

@@ -34,19 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgergraph.llm.common import pick, read
+from ledgergraph.llm.common import finite, integers, pick, read
 from ledgergraph.session import staged
 
 PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
 CHUNK = 1024
 
 
-def finite(vector) -> F.Column:
-    """Neither null nor with a null or non-finite component."""
-    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
-    return vector.isNotNull() & ~F.coalesce(bad, F.lit(False))
-
-
 def squared(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """Squared distances, exact while they are below 2^52."""
     p, c = points.astype(np.float64), centres.astype(np.float64)
@@ -169,7 +163,7 @@ def _sums(books: list[np.ndarray]):
     return run
 
 
-def _codes(books: list[np.ndarray], schema: pa.Schema):
+def _codes(books: list[np.ndarray]):
     """Chunks -> (id, label, code, error)."""
     def run(batches):
         for batch in batches:
@@ -182,7 +176,8 @@ def _codes(books: list[np.ndarray], schema: pa.Schema):
                     code.append(label[tree.place])
                     error = error + off[tree.place]
                 text = ["".join(f"{e:02x}" for e in row) for row in np.stack(code, axis=1).tolist()]
-                yield pa.RecordBatch.from_arrays([ids.values, labels.values, pa.array(text), pa.array(error)], schema=schema)
+                yield pa.RecordBatch.from_arrays([ids.values, labels.values, pa.array(text), pa.array(error)],
+                                                 names=["id", "label", "code", "error"])
     return run
 
 
@@ -209,13 +204,10 @@ def compress(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embe
     whole = {n: "bigint" if (t := vectors.schema[n].dataType.simpleString()) == "void" else t for n in (id_col, label_col)}
     kept = vectors.select(F.col(id_col).cast(whole[id_col]).alias("id"), F.col(label_col).cast(whole[label_col]).alias("label"),
                           F.col(vector_col).cast("array<double>").alias("v")).filter(finite(F.col("v")))
-    longest, shortest = kept.agg(F.max(F.size("v")), F.min(F.size("v"))).first()
+    longest = kept.agg(F.max(F.size("v"))).first()[0]
     width = max(1, -(-(longest or 0) // parts)) * parts
     most = int((2 ** 52 / (width // parts)) ** 0.5 / 2)
-    q = F.transform("v", lambda x: F.greatest(F.least(F.floor(x * scale), F.lit(most)), F.lit(-most)).cast("bigint"))
-    if shortest != width:
-        q = F.concat(q, F.array_repeat(F.lit(0).cast("bigint"), F.lit(width) - F.size("v")))
-    rows = kept.select("id", "label", q.alias("q"))
+    rows = kept.select("id", "label", integers(F.col("v"), scale, width, most).alias("q"))
     start = rows.orderBy(F.col("id").asc_nulls_last(), "q").limit(entries).collect()
     if not start:
         out = rows.select(F.col("id").alias(id_col), F.lit("").alias("code"), F.lit(0).cast("long").alias("error"),
@@ -225,9 +217,7 @@ def compress(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embe
     trees = staged(cover_trees(rows, parts, width, chunk), "cover-trees")
     books = learn(trees, [first[:, k] for k in range(parts)], rounds)
     schema = f"id {whole[id_col]}, label {whole[label_col]}, code string, error long"
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-    coded = staged(trees.mapInArrow(_codes(books, to_arrow_schema(_parse_datatype_string(schema))), schema), "codes")
+    coded = staged(trees.mapInArrow(_codes(books), schema), "codes")
     total = coded.groupBy("label").agg(F.sum("error").alias("label_error")).withColumnRenamed("label", "of")
     return (coded.join(total, F.col("label").eqNullSafe(F.col("of")))
             .select(F.col("id").alias(id_col), "code", "error", "label_error", F.lit(digest(books)).alias("codebooks_sha256")))
