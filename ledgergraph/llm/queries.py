@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from ledgergraph.llm import (exact_dedup, fingerprints, hard_negatives, html_text, langid, mixing, packing, sharding,
-                             simhash, toxicity, vector_codes, warc)
+from ledgergraph.llm import (exact_dedup, fingerprints, hard_negatives, html_text, jaccard_join, langid, mixing,
+                             packing, sharding, simhash, toxicity, vector_codes, warc)
 
 _MODULES = {
     "op1_toxicity": toxicity,
@@ -17,6 +17,7 @@ _MODULES = {
     "op9_mixing": mixing,
     "op10_langid": langid,
     "op11_hard_negatives": hard_negatives,
+    "op12_jaccard_join": jaccard_join,
     "op13_vector_codes": vector_codes,
 }
 
