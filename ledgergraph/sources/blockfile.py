@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -70,6 +70,9 @@ SCAN = T.StructType(NESTED.fields + [
 ])
 DAMAGE = ("junk", "malformed", "oversized")
 BATCH_BLOCKS, BATCH_BYTES = 256, 16 << 20
+GAP_BYTES = 1 << 20
+#: a block that claims more is malformed and never read whole
+MOST_BLOCK_BYTES = 64 << 20
 
 _ARROW_INPUT = pa.struct([("ref_hash", pa.string()), ("ref_ord", pa.int64()), ("script_sig", pa.binary())])
 _ARROW_OUTPUT = pa.struct([("value", pa.int64()), ("script", pa.binary())])
@@ -168,7 +171,7 @@ class _Columns:
             schema=_ARROW_SCHEMA)
 
 
-def _parse_tx(b: bytes, pos: int, c: _Columns) -> int:
+def _parse_tx(b: bytes, pos: int, c: _Columns, scripts: str = "all") -> int:
     """Parse one transaction at ``pos`` into ``c``; returns the position after it."""
     n = len(b)
     start = pos
@@ -186,7 +189,7 @@ def _parse_tx(b: bytes, pos: int, c: _Columns) -> int:
         size, pos = _varint(b, pos + 36)
         if pos + size + 4 > n:
             raise ValueError("truncated")
-        c.isig.append(b[pos:pos + size])
+        c.isig.append(b[pos:pos + size] if scripts == "all" else None)
         pos += size + 4                                 # script, sequence
     n_out, pos = _varint(b, pos)
     for _ in range(n_out):
@@ -194,7 +197,7 @@ def _parse_tx(b: bytes, pos: int, c: _Columns) -> int:
         size, pos = _varint(b, pos + 8)
         if pos + size > n:
             raise ValueError("truncated")
-        c.oscr.append(b[pos:pos + size])
+        c.oscr.append(b[pos:pos + size] if scripts != "none" else None)
         pos += size
     body_end = pos
     if segwit:                                          # witness stacks, one per input
@@ -213,14 +216,14 @@ def _parse_tx(b: bytes, pos: int, c: _Columns) -> int:
     return end
 
 
-def _parse_block(block: bytes, path: str, cols: _Columns) -> None:
+def _parse_block(block: bytes, path: str, cols: _Columns, scripts: str = "all") -> None:
     """Parse a whole block, then append it: a malformed block adds nothing."""
     if len(block) < 81:
         raise ValueError("truncated")
     blk = _Columns()
     n_tx, pos = _varint(block, 80)
     for _ in range(n_tx):
-        pos = _parse_tx(block, pos, blk)
+        pos = _parse_tx(block, pos, blk, scripts)
     if pos != len(block):
         raise ValueError("bytes after the last transaction")
     header = block[:80]
@@ -230,60 +233,112 @@ def _parse_block(block: bytes, path: str, cols: _Columns) -> None:
     cols.add_block(path, _display(_dsha(header)), _display(header[4:36]), time, blk)
 
 
-def _reject_junk(content: bytes, pos: int, end: int, path: str, cols: _Columns) -> None:
-    """Reject the bytes between two blocks; zeros around them are padding and no damage."""
-    start = end - len(content[pos:end].lstrip(b"\0"))
-    stop = start + len(content[start:end].rstrip(b"\0"))
-    if start < stop:
-        cols.add_reject(path, start, stop - start, "junk")
-
-
-def parse_batches(content: bytes, path: str = "", magic: bytes = MAINNET_MAGIC, start: int = 0) -> Iterator[pa.RecordBatch]:
-    """The blocks and rejects of one block file from byte ``start`` on, a few hundred blocks at a time."""
-    content, cols, held = content or b"", _Columns(), 0
-    pos, n = start, len(content)
+class Bytes:
+    """The bytes of a file that is in memory; other sources of bytes have the same two members."""
+
+    def __init__(self, content: bytes | None):
+        self.content = content or b""
+        self.size = len(self.content)
+
+    def get(self, start: int, stop: int) -> bytes:
+        return self.content[start:stop]
+
+
+def gap(src, pos: int, magic: bytes) -> tuple[int, int, int]:
+    """(place of the next magic from ``pos`` on or -1, first and one past the last byte before it that is
+    not zero, both -1 if there is none), a piece at a time."""
+    first = last = -1
+    while pos < src.size:
+        piece = src.get(pos, min(pos + GAP_BYTES, src.size))
+        at_end = pos + len(piece) >= src.size
+        found = piece.find(magic)
+        # a magic may begin in the last bytes of a piece
+        stop = found if found >= 0 else len(piece) if at_end else len(piece) - len(magic) + 1
+        body = piece[:stop]
+        if left := len(body.lstrip(b"\0")):
+            first = pos + len(body) - left if first < 0 else first
+            last = pos + len(body.rstrip(b"\0"))
+        if found >= 0:
+            return pos + found, first, last
+        if at_end:
+            break
+        pos += stop
+    return -1, first, last
+
+
+def block_end(src, pos: int) -> int:
+    """Where the block at ``pos`` ends by its size; past the file if that can't be."""
+    if pos + 8 > src.size:
+        return src.size + 1
+    return pos + 8 + _U32(src.get(pos + 4, pos + 8), 0)[0]
+
+
+def holds_block(src, pos: int, magic: bytes) -> bool:
+    """A whole, well-formed block starts at ``pos``."""
+    if src.get(pos, pos + len(magic)) != magic or (end := block_end(src, pos)) > src.size or end - pos > MOST_BLOCK_BYTES:
+        return False
+    try:
+        _parse_block(src.get(pos + 8, end), "", _Columns(), "none")
+        return True
+    except (ValueError, IndexError, struct.error):
+        return False
+
+
+def parse_source(src, path: str, magic: bytes, start: int, stop: int | None = None,
+                 scripts: str = "all") -> Generator[pa.RecordBatch, None, int]:
+    """The blocks and rejects from byte ``start`` on, a few hundred blocks at a time. With ``stop`` the first
+    block that starts there or later is not read any more; damage before it is. Returns the place where
+    reading ended."""
+    cols, held, pos, n = _Columns(), 0, start, src.size
     while pos < n:
-        follow = content.find(magic, pos)
-        if follow != pos:                               # no block starts here
+        if stop is not None and pos >= stop and holds_block(src, pos, magic):
+            break
+        if src.get(pos, pos + len(magic)) != magic:     # no block starts here
+            follow, first, last = gap(src, pos, magic)
             end = n if follow < 0 else follow
-            rest = content[pos:end]
-            if follow < 0 and not rest.strip(b"\0"):
+            if follow < 0 and first < 0:
                 cols.add_reject(path, pos, end - pos, "padding")
-            elif follow < 0 and magic.startswith(rest):
+            elif follow < 0 and magic.startswith(src.get(pos, min(end, pos + len(magic)))):
                 cols.add_reject(path, pos, end - pos, "tail")
-            else:
-                _reject_junk(content, pos, end, path, cols)
-                zeros = len(rest) - len(rest.rstrip(b"\0"))
-                if follow < 0 and zeros:
-                    cols.add_reject(path, end - zeros, zeros, "padding")
+            elif first >= 0:                            # zeros around foreign bytes are padding and no damage
+                cols.add_reject(path, first, last - first, "junk")
+                if follow < 0 and last < end:
+                    cols.add_reject(path, last, end - last, "padding")
             pos = end
             continue
-        size = _U32(content, pos + 4)[0] if pos + 8 <= n else n
-        end = pos + 8 + size
+        end = block_end(src, pos)
         if end <= n:
-            try:
-                _parse_block(content[pos + 8:end], path, cols)
-                cols.at(pos, end - pos)
-                held, pos = held + size, end
-                if len(cols.file) >= BATCH_BLOCKS or held >= BATCH_BYTES:
-                    yield cols.batch()
-                    cols, held = _Columns(), 0
-                continue
-            except (ValueError, IndexError, struct.error):
-                reason = "malformed"
+            reason = "malformed"
+            if end - pos <= MOST_BLOCK_BYTES:
+                try:
+                    _parse_block(src.get(pos + 8, end), path, cols, scripts)
+                    cols.at(pos, end - pos)
+                    held, pos = held + end - pos, end
+                    if len(cols.file) >= BATCH_BLOCKS or held >= BATCH_BYTES:
+                        yield cols.batch()
+                        cols, held = _Columns(), 0
+                    continue
+                except (ValueError, IndexError, struct.error):
+                    pass
         else:
             reason = "oversized"
         # the size cannot be trusted: go on at the next magic, wherever that is
-        follow = content.find(magic, pos + 4)
+        follow = gap(src, pos + len(magic), magic)[0]
         if follow < 0 and reason == "oversized":
             cols.add_reject(path, pos, n - pos, "tail")
             pos = n
         else:
-            stop = follow if follow >= 0 else n if end > n else end
-            cols.add_reject(path, pos, stop - pos, reason)
-            pos = stop
+            upto = follow if follow >= 0 else n if end > n else end
+            cols.add_reject(path, pos, upto - pos, reason)
+            pos = upto
     if cols.file:
         yield cols.batch()
+    return pos
+
+
+def parse_batches(content: bytes, path: str = "", magic: bytes = MAINNET_MAGIC, start: int = 0) -> Iterator[pa.RecordBatch]:
+    """The blocks and rejects of one block file from byte ``start`` on, a few hundred blocks at a time."""
+    yield from parse_source(Bytes(content), path, magic, start)
 
 
 def parse_file(content: bytes, path: str = "", magic: bytes = MAINNET_MAGIC) -> pa.RecordBatch:

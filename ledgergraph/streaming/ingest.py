@@ -1,88 +1,46 @@
 """Incremental conversion: block files in a folder are parsed as they appear and as they grow, and
-appended to the flat ledger tables by a Structured Streaming query.
-
-A node appends to its last block file, so a file that was seen once is not finished. The query
-therefore does not take files from a file source, which hands out each file once; its micro-batches
-are ticks, and each tick compares the folder's listing (path, length, modification time) with a
-progress table that says how far every file has been parsed. Files that are new or changed are parsed
-from there: a cut-off last block or zero padding is left for a later tick, nothing is skipped.
-
-Each tick writes every table, the rejects and the progress into ``batch=<epoch id>`` partitions with
-``overwrite``, progress last, and reads only the progress of earlier epochs; so a replayed epoch
-rewrites the same partitions and the sink is idempotent. Readers see one table per name with ``batch``
-as a prunable partition column. Damage (see ``sources.blockfile``) fails the query unless
-``on_damage="keep"``.
+appended to the flat ledger tables by a Structured Streaming query over the ``blockfiles`` stream source
+(``sources.blockranges``), whose offsets say how far every file consists of whole blocks.
+
+A node appends to its last block file, so a file that was seen once is not finished: a cut-off last block
+or zero padding is no progress, and reading goes on there when the bytes have come. Spark keeps the
+offsets in the query's checkpoint; the sink writes every table of a micro-batch into
+``batch=<epoch id>`` with ``overwrite``, so a replayed epoch rewrites the same partitions and nothing
+comes twice. Readers see one table per name with ``batch`` as a prunable partition column. Damage (see
+``sources.blockfile``) fails the query unless ``on_damage="keep"``; it is then listed in ``rejects``.
 """
 
 from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ledgergraph.sources.blockfile import (DAMAGE, MAINNET_MAGIC, DamagedBlockFile, blocks_of, flatten, rejects_of,
-                                           scan_block_files)
+from ledgergraph.sources import blockranges
+from ledgergraph.sources.blockfile import MAINNET_MAGIC, DamagedBlockFile, blocks_of, damage_of, flatten
 from ledgergraph.sources.io import LEDGER_TABLES
 
-PROGRESS = "path string, length long, changed timestamp, parsed long"
-
-
-def _progress(spark: SparkSession, output_dir: str, before: int) -> DataFrame:
-    """How far every file has been parsed by the epochs before ``before``."""
-    path = f"{output_dir}/_progress"
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
-        return spark.createDataFrame([], PROGRESS)
-    seen = spark.read.schema(PROGRESS + ", batch long").parquet(path).filter(F.col("batch") < before)
-    return seen.groupBy("path").agg(F.max_by(F.struct("length", "changed", "parsed"), "batch").alias("p")).select("path", "p.*")
 
-
-def ingest_changes(spark: SparkSession, input_dir: str, output_dir: str, epoch_id: int, glob: str = "blk*.dat",
-                   magic: bytes = MAINNET_MAGIC, compression: str = "gzip", on_damage: str = "fail") -> int:
-    """One tick: parse what is new in ``input_dir`` and append it as ``batch=epoch_id``; the number of
-    files that changed. The changed files' names, not their contents, come to the driver."""
-    listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-               .load(input_dir).select("path", "length", F.col("modificationTime").alias("changed")))
-    seen = _progress(spark, output_dir, epoch_id).select(
-        "path", F.col("length").alias("seen"), F.col("changed").alias("seen_changed"), "parsed")
-    changed = (listing.join(seen, "path", "left")
-               .filter(F.col("seen").isNull() | (F.col("seen") != F.col("length")) | (F.col("seen_changed") != F.col("changed")))
-               .select("path", "length", "changed", F.coalesce("parsed", F.lit(0)).alias("parsed")).collect())
-    if not changed:
-        return 0
-    starts = {r.path: r.parsed for r in changed}
-    scan = scan_block_files(spark, sorted(starts), magic=magic, starts=starts).persist(StorageLevel.MEMORY_AND_DISK)
+def append_batch(scan: DataFrame, output_dir: str, epoch_id: int, compression: str = "gzip", on_damage: str = "fail") -> None:
+    """The rows of one micro-batch as ``batch=epoch_id`` of every table."""
+    scan = scan.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rejects = rejects_of(scan)
-        damaged = rejects.filter(F.col("reason").isin(*DAMAGE))
+        damaged = damage_of(scan)
         if on_damage != "keep" and (first := damaged.first()):
             raise DamagedBlockFile(f"{first.file}: {first.reason}, {first.length} bytes at {first.offset}")
-
-        def write(df: DataFrame, name: str) -> None:
+        for name, df in zip((*LEDGER_TABLES, "rejects"), (*flatten(blocks_of(scan)), damaged)):
             df.write.mode("overwrite").option("compression", compression).parquet(f"{output_dir}/{name}/batch={epoch_id}")
-        for name, df in zip(LEDGER_TABLES, flatten(blocks_of(scan))):
-            write(df, name)
-        write(damaged, "rejects")
-        # what a file has after its last whole block is read again when the file has changed
-        open_at = rejects.filter(~F.col("reason").isin(*DAMAGE)).select(F.col("file").alias("path"), F.col("offset").alias("open"))
-        # a file may have grown since it was listed: its end is where the scan's last row ends
-        ends = scan.groupBy(F.col("file").alias("path")).agg(F.max(F.col("offset") + F.col("length")).alias("end"))
-        done = (spark.createDataFrame(changed, PROGRESS).join(open_at, "path", "left").join(ends, "path", "left")
-                .select("path", "length", "changed", F.coalesce("open", "end", "parsed").alias("parsed")))
-        write(done, "_progress")
     finally:
         scan.unpersist()
-    return len(changed)
 
 
 def start_stream(spark: SparkSession, input_dir: str, output_dir: str, checkpoint_location: str,
                  glob: str = "blk*.dat", magic: bytes = MAINNET_MAGIC, compression: str = "gzip",
                  available_now: bool = True, interval: str = "30 seconds", on_damage: str = "fail"):
     """Start the conversion stream; ``available_now`` processes what is there, then stops."""
-    ticks = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).option("numPartitions", 1).load()
-
-    def tick(_: DataFrame, epoch_id: int) -> None:
-        ingest_changes(spark, input_dir, output_dir, epoch_id, glob, magic, compression, on_damage)
-    writer = ticks.writeStream.foreachBatch(tick).option("checkpointLocation", checkpoint_location)
+    blockranges.register(spark)
+    scan = (spark.readStream.format("blockfiles").option("path", input_dir).option("glob", glob)
+            .option("magic", magic.hex()).option("scripts", "outputs").load())
+    writer = scan.writeStream.foreachBatch(
+        lambda df, epoch: append_batch(df, output_dir, epoch, compression, on_damage)).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start()
