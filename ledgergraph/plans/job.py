@@ -1,6 +1,6 @@
 """The conversion job — block files → ledger tables, vertex-id tables and edge tables.
 
-    spark-submit --py-files ledgergraph.zip convert_job.py <input> <output> [debug] [keep]
+    spark-submit --py-files ledgergraph.zip convert_job.py <input> <output> [debug] [keep] [atomic]
 
 Output folders (Parquet, gzip, overwrite so a re-run is idempotent):
 
@@ -12,6 +12,11 @@ Output folders (Parquet, gzip, overwrite so a re-run is idempotent):
 
   rejects                                       (file, offset, length, reason) of unread bytes
 
+With ``atomic`` (argument ``atomic``) the folders belong to a version that readers do not know until
+one manifest, written last, names them all: whoever reads with ``sources.versions.Versions(spark, out)
+.read("edges")`` sees the tables of the last whole run, never some of this and some of that one. Older
+versions are deleted after the commit, the last ``keep_versions`` stay.
+
 Damaged block files end the job before a table is written; ``on_damage="keep"`` (fourth argument
 ``keep``) converts every good block and reports the number of rejects.
 
@@ -24,24 +29,26 @@ from __future__ import annotations
 
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgergraph.functions.script import with_address
+from ledgergraph.functions.script import KINDS, with_address
 from ledgergraph.operators import edges as E
-from ledgergraph.operators import ledger as L
 from ledgergraph.operators.sampling import sample_rows
 from ledgergraph.schemas import Ledger
 from ledgergraph.session import ensure_checkpoint_dir, release_scratch, scratch_tables, ship_package, staged
 from ledgergraph.sources.blockfile import DamagedBlockFile, blocks_of, damage_of, flatten, rejects_of, scan_block_files
-from ledgergraph.sources.io import write_ledger, write_table
+from ledgergraph.sources.blockranges import RANGE_BYTES, reachable, scan_ranges
+from ledgergraph.sources.io import LEDGER_TABLES, write_ledger, write_table
+from ledgergraph.sources.versions import Versions
 
 
 def convert(spark: SparkSession, input_path: str, output_dir: str, glob: str = "blk*.dat",
             debug: int = 0, direction: str = "documented", compression: str = "gzip",
             edge_files: int | None = None, table_db: str | None = None,
-            on_damage: str = "fail") -> dict[str, int]:
-    """Run the conversion. With ``table_db`` the outputs and inputs are also registered in that
+            on_damage: str = "fail", atomic: bool = False, keep_versions: int = 2,
+            range_bytes: int = RANGE_BYTES) -> dict[str, int]:
+    """Run the conversion, reading files as ranges of ``range_bytes``. With ``table_db`` the outputs and inputs are also registered in that
     metastore database as tables bucketed on the outpoint (``ledger_outputs`` on
     (tx_hash, ord), ``ledger_inputs`` on (ref_hash, ref_ord), same bucket count), so later
     sessions sharing the metastore join spends without shuffling either table."""
@@ -49,15 +56,36 @@ def convert(spark: SparkSession, input_path: str, output_dir: str, glob: str = "
     ship_package(spark)
     before = scratch_tables(spark)
     try:
-        return _convert(spark, input_path, output_dir, glob, debug, direction, compression, edge_files, table_db,
-                        on_damage)
+        if not atomic:
+            return _convert(spark, input_path, output_dir, glob, debug, direction, compression, edge_files, table_db,
+                            on_damage, range_bytes)
+        versions = Versions(spark, output_dir)
+        base, draft = versions.manifest()["version"], versions.draft()
+        stats = _convert(spark, input_path, f"{output_dir}/{draft}", glob, debug, direction, compression, edge_files,
+                         table_db, on_damage, range_bytes)
+        versions.publish({name: [f"{draft}/{name}"] for name in TABLES}, base)
+        versions.collect(keep_versions)
+        return stats
     finally:
         release_scratch(spark, since=before)
 
 
+#: what a run writes
+TABLES = ("rejects", *(f"ledger/{t}" for t in LEDGER_TABLES), "addresses", "blocks", "transactions", "edges", "edges_named",
+          "payment_edges")
+
+
+def _scan(spark: SparkSession, input_path: str, glob: str, range_bytes: int) -> DataFrame:
+    """The files' blocks and rejects, as ranges wherever Python reaches the file system."""
+    if reachable(input_path):
+        return scan_ranges(spark, input_path, glob, scripts="outputs", range_bytes=range_bytes)
+    return staged(scan_block_files(spark, input_path, glob), "lg_scan")
+
+
 def _convert(spark: SparkSession, input_path: str, output_dir: str, glob: str, debug: int, direction: str,
-             compression: str, edge_files: int | None, table_db: str | None, on_damage: str) -> dict[str, int]:
-    scan = staged(scan_block_files(spark, input_path, glob), "lg_scan")
+             compression: str, edge_files: int | None, table_db: str | None, on_damage: str,
+             range_bytes: int) -> dict[str, int]:
+    scan = _scan(spark, input_path, glob, range_bytes)
     damaged = damage_of(scan).count()
     if damaged and on_damage != "keep":
         first = damage_of(scan).orderBy("file", "offset").first()
@@ -65,7 +93,9 @@ def _convert(spark: SparkSession, input_path: str, output_dir: str, glob: str, d
                                f"at {first.offset}; on_damage='keep' converts the blocks around them")
     write_table(rejects_of(scan), f"{output_dir}/rejects", compression=compression)
     flat = flatten(blocks_of(scan))
-    outputs = staged(with_address(flat.outputs), "lg_classified")
+    # what the debug report counts is counted while it is written
+    kinds, edges, odd = Observation("kinds"), Observation("edges"), Observation("addresses")
+    outputs = staged(_counted(with_address(flat.outputs), kinds, "kind", KINDS), "lg_classified")
     ledger = Ledger(flat.blocks, flat.transactions, outputs, flat.inputs)
     write_ledger(ledger, f"{output_dir}/ledger", compression=compression)
 
@@ -74,31 +104,34 @@ def _convert(spark: SparkSession, input_path: str, output_dir: str, glob: str, d
 
     outs = outputs.drop("script")
     ids = E.vertex_ids(ledger, outs)
-    write_table(ids.addresses, f"{output_dir}/addresses", compression=compression)
+    write_table(ids.addresses.observe(odd, F.count(F.when(F.col("address").contains("_"), 1)).alias("n")),
+                f"{output_dir}/addresses", compression=compression)
     write_table(ids.blocks, f"{output_dir}/blocks", compression=compression)
     write_table(ids.transactions, f"{output_dir}/transactions", compression=compression)
     resolved = staged(E.resolve_addresses(outs, ids.addresses), "lg_resolved")
     write_table(E.edges_indexed(ledger, resolved, ids, direction=direction), f"{output_dir}/edges",
                 compression=compression, num_files=edge_files)
-    write_table(E.edges_named(ledger, outs, direction=direction), f"{output_dir}/edges_named",
-                compression=compression, num_files=edge_files)
+    write_table(_counted(E.edges_named(ledger, outs, direction=direction), edges, "edge_kind", E.EDGE_KINDS),
+                f"{output_dir}/edges_named", compression=compression, num_files=edge_files)
     write_table(E.payment_edges_weighted(ledger, resolved), f"{output_dir}/payment_edges",
                 compression=compression)
 
     stats: dict[str, int] = {"damaged": damaged} if damaged else {}
     if debug >= 1:
-        edges = spark.read.parquet(f"{output_dir}/edges_named")
-        # bound: four edge classes, six script kinds
-        stats.update({f"edges_{r.edge_kind}": r.n for r in E.edge_counts(edges).collect()})
-        stats.update({f"kind_{r.kind}": r.n_outputs for r in L.address_profile(outs).collect()})
-        stats["nonstandard_addresses"] = (spark.read.parquet(f"{output_dir}/addresses")
-                                          .filter(F.col("address").contains("_")).count())
+        stats.update({f"edges_{k}": n for k, n in edges.get.items() if n})
+        stats.update({f"kind_{k}": n for k, n in kinds.get.items() if n})
+        stats["nonstandard_addresses"] = odd.get["n"]
         print(stats)
     if debug >= 2:
         sample_rows(outs, 0.001, 5, seed=1).show(truncate=False)
     return stats
 
 
+def _counted(df: DataFrame, into: Observation, column: str, values: tuple[str, ...]) -> DataFrame:
+    """``df``, whose rows are counted per value of ``column`` by whatever action runs it first."""
+    return df.observe(into, *[F.count(F.when(F.col(column) == v, 1)).alias(v) for v in values])
+
+
 def write_outpoint_tables(spark: SparkSession, ledger: Ledger, output_dir: str, db: str) -> None:
     from ledgergraph.sources.star import ledger_buckets
     n = ledger_buckets(spark, ledger.outputs.count())
@@ -112,10 +145,10 @@ def write_outpoint_tables(spark: SparkSession, ledger: Ledger, output_dir: str,
 def main(argv: list[str] | None = None) -> None:
     args = list(sys.argv[1:] if argv is None else argv)
     if len(args) < 2:
-        raise SystemExit("usage: job <input path> <output dir> [debug] [keep]")
+        raise SystemExit("usage: job <input path> <output dir> [debug] [keep] [atomic]")
     spark = SparkSession.builder.appName("ledgergraph-convert").getOrCreate()
     convert(spark, args[0], args[1], debug=int(args[2]) if len(args) > 2 else 0,
-            on_damage="keep" if "keep" in args[3:] else "fail")
+            on_damage="keep" if "keep" in args[3:] else "fail", atomic="atomic" in args[3:])
     spark.stop()
 
 
