@@ -45,8 +45,31 @@ def chain_height(blocks: DataFrame, max_rounds: int = 64) -> DataFrame:
     return state.select("hash", F.col("d").alias("height"))
 
 
+def main_chain(blocks: DataFrame, max_rounds: int = 64) -> DataFrame:
+    """(hash, height, main): ``main`` marks the chain that ends at the tip, the block of the greatest height
+    (of several the one with the least hash); the others are orphans of a fork. One hash per height is main.
+
+    Pointer doubling gives, per round r, every block's ancestor 2^r blocks back. The marks go the other way:
+    from the tip, with the longest pointers first, every marked block marks its ancestor, so that after the
+    last round all ancestors are marked, each once."""
+    heights = staged(chain_height(blocks, max_rounds), "lg_heights")
+    known = blocks.select(F.col("hash").alias("ptr"))
+    back = staged(blocks.select("hash", F.col("prev_hash").alias("ptr")).join(known, "ptr", "left_semi"), "lg_back")
+    jumps = []
+    while not back.isEmpty():
+        jumps.append(back)
+        onward = back.select(F.col("hash").alias("ptr"), F.col("ptr").alias("ptr2"))
+        back = staged(back.join(onward, "ptr").select("hash", F.col("ptr2").alias("ptr")), "lg_back")
+    marked = heights.orderBy(F.desc("height"), F.asc("hash")).limit(1).select("hash")
+    for jump in reversed(jumps):
+        marked = staged(marked.unionByName(marked.join(jump, "hash").select(F.col("ptr").alias("hash"))), "lg_marked")
+    return (heights.join(marked.withColumn("main", F.lit(True)), "hash", "left")
+            .select("hash", "height", F.coalesce("main", F.lit(False)).alias("main")))
+
+
 def block_listing(heights: DataFrame) -> DataFrame:
-    """One hash per line in height order."""
+    """One hash per line in height order. Of a ledger with forks hand in the main chain only
+    (``main_chain(blocks).filter("main")``), as the command-line tool has one hash per height."""
     return heights.select("height", "hash").orderBy("height")
 
 

@@ -134,13 +134,14 @@ def edges_indexed(ledger: Ledger, outputs: DataFrame, ids: VertexIds | None = No
 
 
 def payment_edges_weighted(ledger: Ledger, outputs: DataFrame, address_ids: DataFrame | None = None,
-                           flow: str = "payee_to_payer") -> DataFrame:
+                           flow: str = "payee_to_payer", graph: DataFrame | None = None) -> DataFrame:
     """G3 aggregated: (src, dst, n) with n = multiplicity of the v1 address multigraph.
 
     For an output of tx T1 (payer address) spent in tx T2, every output of T2 (payee) gets one
     edge per input of T1. Both sides are pre-aggregated per (T2, address id) before the only
     per-transaction join, so its size is distinct payers × distinct payees per transaction,
-    which is the size of the result itself. ``outputs`` are resolved, or are resolved here.
+    which is the size of the result itself. ``outputs`` are resolved, or are resolved here. With
+    ``graph`` (t2, graph) every transaction's payments go to its graph: (graph, src, dst, n).
     """
     o = outputs if "aid" in outputs.columns else resolve_addresses(outputs, address_ids)
     n_in = ledger.inputs.groupBy("tx_hash").agg(F.count(F.lit(1)).alias("n_in"))
@@ -151,7 +152,11 @@ def payment_edges_weighted(ledger: Ledger, outputs: DataFrame, address_ids: Data
     payee = (o.groupBy(F.col("tx_hash").alias("t2"), F.col("aid").alias("payee"))
              .agg(F.count(F.lit(1)).alias("c")))
     src, dst = ("payer", "payee") if flow == "money" else ("payee", "payer")
-    return (payer.join(payee, "t2").groupBy(F.col(src).alias("src"), F.col(dst).alias("dst"))
+    pairs = payer.join(payee, "t2")
+    by = []
+    if graph is not None:
+        pairs, by = pairs.join(graph, "t2"), ["graph"]
+    return (pairs.groupBy(*by, F.col(src).alias("src"), F.col(dst).alias("dst"))
             .agg(F.sum(F.col("w") * F.col("c")).cast("long").alias("n")))
 
 

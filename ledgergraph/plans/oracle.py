@@ -421,14 +421,15 @@ FROM dtx d LEFT JOIN vin ON vin.tx_hash = d.tx_hash LEFT JOIN vout ON vout.tx_ha
     "neighbourhood": with_ledger(_NEIGHBOURS + """
 SELECT k.id, a.address, k.role FROM kept k JOIN address_ids a ON a.id = k.id"""),
     "graph_json": with_ledger(_NEIGHBOURS + """
-SELECT 'node' AS element,
-       CAST(to_json({'id': a.id, 'color': CASE WHEN k.id IS NOT NULL THEN '#ec5148' ELSE '#eee' END}) AS VARCHAR) AS json
-FROM address_ids a LEFT JOIN kept k ON k.id = a.id
-UNION ALL
-SELECT 'edge',
-       CAST(to_json({'source': p.src, 'target': p.dst,
-                     'color': CASE WHEN ks.id IS NOT NULL AND kd.id IS NOT NULL THEN '#999' ELSE '#eee' END}) AS VARCHAR)
-FROM pay_w p LEFT JOIN kept ks ON ks.id = p.src LEFT JOIN kept kd ON kd.id = p.dst"""),
+, node_docs AS (
+  SELECT 'node' AS element,
+         '{"id":' || a.id || ',"color":"' || CASE WHEN k.id IS NOT NULL THEN '#ec5148' ELSE '#eee' END || '"}' AS json
+  FROM address_ids a LEFT JOIN kept k ON k.id = a.id),
+edge_docs AS (
+  SELECT 'edge' AS element, '{"source":' || p.src || ',"target":' || p.dst || ',"color":"'
+         || CASE WHEN p.src IN (SELECT id FROM kept) AND p.dst IN (SELECT id FROM kept) THEN '#999' ELSE '#eee' END || '"}' AS json
+  FROM pay_w p)
+SELECT element, json FROM node_docs UNION ALL SELECT element, json FROM edge_docs""".lstrip()),
     "clean_nodes": with_ledger("SELECT id, address FROM address_ids WHERE id % 7 <> 0"),
     "p2pk_addresses": with_ledger(", " + base58check_ctes("hash160", "h160").strip() + """
 SELECT k.pubkey_hex, h.h160 AS hash160, b.address AS base58
@@ -466,7 +467,7 @@ ORACLES["job_edges_roundtrip"] = ORACLES["edges_indexed"]
 ORACLES["job_ledger_roundtrip"] = ORACLES["balances"]
 ORACLES["listing_roundtrip"] = with_ledger(_CHAIN + "SELECT height AS line_no, hash FROM chain_h")
 ORACLES["block_tx_ids"] = with_ledger(_CHAIN + """
-SELECT c.height, t.hash FROM chain_h c JOIN transactions t ON t.block_hash = c.hash WHERE c.height < 3""")
+SELECT c.height, t.hash FROM chain_h c JOIN transactions t ON t.block_hash = c.hash""")
 ORACLES["address_json"] = with_ledger(_TOTALS + """
 SELECT address AS key, CASE WHEN address LIKE '%0' THEN '' ELSE address END AS address,
        CASE WHEN address LIKE '%0' THEN -1 ELSE total_received END AS total_received,
@@ -562,5 +563,114 @@ SELECT printf('blk%05d.dat', file) AS file, 'junk' AS reason, n - 1 AS places, 4
 UNION ALL SELECT printf('blk%05d.dat', file), 'padding', 1, 64 FROM f"""
 
 
+ORACLES["ingest_ranges"] = ORACLES["ingest_ledger"]
+ORACLES["ingest_ranges_rejects"] = ORACLES["ingest_rejects"]
+
+
+def _job_table(name: str, source: str, columns: str) -> str:
+    row = " || '|' || ".join(f"CAST({c} AS VARCHAR)" for c in columns.split(", "))
+    return (f"SELECT '{name}' AS \"table\", count(*) AS n, "
+            f"CAST(coalesce(sum(CAST('0x' || substr(sha256({row}), 1, 8) AS BIGINT)), 0) AS BIGINT) AS checksum FROM {source}")
+
+
+# the conversion of the serialised blocks: nothing they spend is among them, and no block's parent is
+ORACLES["job_tables"] = "WITH RECURSIVE " + _SERIALISED.strip().removeprefix("WITH ") + f""",
+o_raw AS (SELECT t.hash AS tx_hash, o.ord, o.value, o.script AS script_hex FROM outs o JOIN tx_h t ON t.o_orderkey = o.l_orderkey),
+o_kind AS (SELECT *, {_KIND} AS kind FROM o_raw),
+p2pk_keys AS (SELECT DISTINCT substr(script_hex, 3, length(script_hex) - 4) AS pubkey_hex FROM o_kind WHERE kind = 'p2pk'),
+{hash160_ctes('p2pk_keys', 'pubkey_hex').strip()},
+o AS (SELECT *, {_ADDRESS} AS address FROM o_kind),
+b AS (SELECT hash, prev AS prev_hash, block + 1230000000 AS time FROM blk),
+t AS (SELECT t.hash, b.hash AS block_hash, b.block + 1230000000 AS time FROM tx_h t JOIN blk b USING (block)),
+i AS (SELECT hash AS tx_hash, upper(array_to_string(list_reverse(regexp_extract_all(sha256('P' || o_orderkey), '..')), '')) AS ref_hash,
+             o_orderkey % 65536 AS ref_ord FROM tx_h),
+a_id AS (SELECT row_number() OVER (ORDER BY address) - 1 AS id, address FROM (SELECT DISTINCT address FROM o)),
+b_id AS (SELECT row_number() OVER (ORDER BY hash) - 1 + (SELECT count(*) FROM a_id) AS id, hash, time FROM b),
+t_id AS (SELECT row_number() OVER (ORDER BY hash) - 1 + (SELECT count(*) FROM a_id) + (SELECT count(*) FROM b_id) AS id, hash FROM t),
+e AS (SELECT b_id.id AS src, t_id.id AS dst, 0 AS value, 'block_tx' AS edge_kind
+      FROM t JOIN t_id ON t_id.hash = t.hash JOIN b_id ON b_id.hash = t.block_hash
+      UNION ALL SELECT t_id.id, a_id.id, o.value, 'tx_address'
+      FROM o JOIN t_id ON t_id.hash = o.tx_hash JOIN a_id ON a_id.address = o.address),
+en AS (SELECT block_hash AS src, hash AS dst, 0 AS value, 'block_tx' AS edge_kind FROM t
+       UNION ALL SELECT tx_hash, address, value, 'tx_address' FROM o
+       UNION ALL SELECT hash, prev_hash, 0, 'block_prev' FROM b),
+files AS (SELECT block // 8 AS file, count(*) AS n FROM blk GROUP BY 1),
+r AS (SELECT 'junk' AS reason, 4 AS length FROM files, range(n - 1) UNION ALL SELECT 'padding', 64 FROM files)
+""" + " UNION ALL ".join([
+    _job_table("ledger/blocks", "b", "hash, prev_hash, time"),
+    _job_table("ledger/transactions", "t", "hash, block_hash, time"),
+    _job_table("ledger/outputs", "o", "tx_hash, ord, value, address, kind"),
+    _job_table("ledger/inputs", "i", "tx_hash, ref_hash, ref_ord"),
+    _job_table("addresses", "a_id", "id, address"), _job_table("blocks", "b_id", "id, hash, time"),
+    _job_table("transactions", "t_id", "id, hash"), _job_table("edges", "e", "src, dst, value, edge_kind"),
+    _job_table("edges_named", "en", "src, dst, value, edge_kind"),
+    "SELECT 'payment_edges', 0, 0", _job_table("rejects", "r", "reason, length"),
+    _job_table("blocks, written again", "b_id", "id, hash, time")])
+
+ORACLES["main_chain"] = with_ledger("""
+, ends AS (SELECT max(time) AS last FROM blocks),
+rivals AS (SELECT hash, prev_hash, upper(sha256('F' || hash)) AS rival, time = last AS is_last FROM blocks, ends
+           WHERE hash LIKE '0%' OR time = last),
+forked AS (
+  SELECT hash, prev_hash FROM blocks
+  UNION ALL SELECT rival, prev_hash FROM rivals
+  UNION ALL SELECT upper(sha256('G' || hash)), rival FROM rivals WHERE hash LIKE '00%' OR is_last
+  UNION ALL SELECT upper(sha256('K' || hash)), rival FROM rivals WHERE hash LIKE '00%' OR is_last),
+h(hash, prev_hash, height) AS (
+  SELECT hash, prev_hash, CAST(0 AS BIGINT) FROM forked WHERE prev_hash NOT IN (SELECT hash FROM forked)
+  UNION ALL SELECT f.hash, f.prev_hash, h.height + 1 FROM forked f JOIN h ON f.prev_hash = h.hash),
+tip AS (SELECT hash, prev_hash FROM h ORDER BY height DESC, hash LIMIT 1),
+on_main(hash, prev_hash) AS (
+  SELECT hash, prev_hash FROM tip
+  UNION ALL SELECT f.hash, f.prev_hash FROM forked f JOIN on_main m ON f.hash = m.prev_hash)
+SELECT h.hash, h.height, m.hash IS NOT NULL AS main FROM h LEFT JOIN on_main m ON m.hash = h.hash""".lstrip())
+
+_GRAPH = 1 << 40
+ORACLES["pagerank_by_snapshot"] = with_ledger(f"""
+, pay_s AS (
+  SELECT g * {_GRAPH} + src AS src, g * {_GRAPH} + dst AS dst, n FROM (
+    SELECT CAST({_year('t.time')} AS BIGINT) AS g, pa.id AS src, ra.id AS dst, CAST(sum(n.n_in) AS BIGINT) AS n
+    FROM spent s JOIN n_in n ON n.tx_hash = s.tx_hash JOIN outputs o2 ON o2.tx_hash = s.spent_by
+    JOIN transactions t ON t.hash = s.spent_by
+    JOIN address_ids pa ON pa.address = o2.address JOIN address_ids ra ON ra.address = s.address
+    WHERE s.spent_by IS NOT NULL GROUP BY 1, 2, 3)),
+ends_s AS (SELECT src AS id FROM pay_s UNION SELECT dst FROM pay_s)""".lstrip() + _pagerank_ctes("pay_s", "ends_s", "s_") + f"""
+, took AS (SELECT id // {_GRAPH} AS g, max(it) AS rounds FROM s_pr WHERE active GROUP BY 1)
+SELECT CAST(f.id // {_GRAPH} AS INTEGER) AS snapshot, f.id % {_GRAPH} AS id,
+       round(f.rank * (count(*) OVER (PARTITION BY f.id // {_GRAPH})) / (sum(f.rank) OVER (PARTITION BY f.id // {_GRAPH})), 6) AS rank,
+       CAST(t.rounds AS INTEGER) AS rounds
+FROM s_fin f JOIN took t ON t.g = f.id // {_GRAPH}""")
+ORACLES["utxo_incremental"] = ORACLES["utxo"]
+ORACLES["balances_incremental"] = ORACLES["balances"]
+
+_U = "substr(md5('42:' || tx_hash || ':' || ord), 1, 8)"
+# the Poisson distribution function of mean 0.05, as it stands in a table of it
+ORACLES["sample_with_replacement"] = with_ledger(f"""
+, term(k, p) AS (
+  SELECT 0, exp(CAST(-0.05 AS DOUBLE)) UNION ALL SELECT k + 1, p * CAST(0.05 AS DOUBLE) / (k + 1) FROM term WHERE k < 12),
+cdf AS (SELECT k, CAST(round((SELECT sum(p) FROM term t WHERE t.k <= term.k) * 4294967296) AS BIGINT) AS upto FROM term),
+steps AS (SELECT k, printf('%08x', upto) AS upto FROM cdf WHERE upto < 4294967296)
+SELECT o.tx_hash, o.ord, o.value, o.address, CAST(s.k + 1 AS INTEGER) AS copy
+FROM outputs o JOIN steps s ON {_U} >= s.upto""".lstrip())
+
+ORACLES["seed_documents"] = with_ledger("""
+, seeds AS (SELECT id AS seed FROM address_ids WHERE id % 10 = 0),
+near AS (
+  SELECT seed, id, sum(n) AS weight, max(CAST(is_out AS INTEGER)) = 1 AS outward, min(CAST(is_out AS INTEGER)) = 0 AS inward FROM (
+    SELECT s.seed, p.dst AS id, p.n, true AS is_out FROM pay_w p JOIN seeds s ON s.seed = p.src WHERE p.src <> p.dst
+    UNION ALL SELECT s.seed, p.src, p.n, false FROM pay_w p JOIN seeds s ON s.seed = p.dst WHERE p.src <> p.dst) GROUP BY seed, id),
+best AS (SELECT * FROM near QUALIFY row_number() OVER (PARTITION BY seed ORDER BY weight DESC, id) <= 50),
+docs AS (
+  SELECT seed, count(*) AS k,
+         string_agg('{"id":' || id || ',"color":"#ec5148"}', ',' ORDER BY id) AS nodes,
+         string_agg('{"source":' || seed || ',"target":' || id || ',"color":"#999"}', ',' ORDER BY id) FILTER (WHERE outward) AS outs,
+         string_agg('{"source":' || id || ',"target":' || seed || ',"color":"#999"}', ',' ORDER BY id) FILTER (WHERE inward) AS ins,
+         count(*) FILTER (WHERE outward) + count(*) FILTER (WHERE inward) AS arcs FROM best GROUP BY seed)
+SELECT s.seed, CAST(1 + coalesce(k, 0) AS INTEGER) AS n_nodes, CAST(coalesce(arcs, 0) AS INTEGER) AS n_edges,
+       '{"nodes":[{"id":' || s.seed || ',"color":"#ec5148"}' || coalesce(',' || nodes, '') || '],"edges":['
+       || concat_ws(',', outs, ins) || ']}' AS json
+FROM seeds s LEFT JOIN docs d ON d.seed = s.seed""".lstrip())
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

@@ -12,31 +12,38 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgergraph.functions.hashing import display_hash, double_sha256, hash160_hex, hash160_to_address
+from ledgergraph.functions.hashing import display_hash, double_sha256, hash160_hex, hash160_to_address, tagged_hash
 from ledgergraph.functions.script import LEGACY_ADDRESS_PREFIX, pubkey_bytes, script_kind, with_address
 from ledgergraph.functions.text import (block_record_text, input_record_text, json_fields, nested_tx_text,
                                         output_record_text, parse_id_list, ref_text, tx_record_text)
 from ledgergraph.operators import edges as E
 from ledgergraph.operators import ledger as L
-from ledgergraph.operators.chain import block_drilldown, block_listing, chain_height
+from ledgergraph.operators.chain import block_drilldown, block_listing, chain_height, main_chain
+from ledgergraph.operators.incremental import UtxoStore
 from ledgergraph.operators.neighbours import graph_elements, neighbourhood
-from ledgergraph.operators.pagerank import graph_counts, graph_vertices, pagerank, top_k
+from ledgergraph.operators.pagerank import graph_counts, graph_vertices, pagerank, pagerank_by_graph, top_k
 from ledgergraph.operators.report import address_report, usd_columns
-from ledgergraph.operators.sampling import clean_nodes, sample_by_hash
-from ledgergraph.operators.snapshots import balances_by_snapshot, snapshot_counts
+from ledgergraph.operators.sampling import clean_nodes, poisson_by_hash, sample_by_hash
+from ledgergraph.operators.snapshots import balances_by_snapshot, payment_edges_by_snapshot, snapshot_counts, snapshot_of
+from ledgergraph.operators.subgraph import seed_documents
+from ledgergraph.plans.job import convert
 from ledgergraph.schemas import Ledger
 from ledgergraph.session import bucketed_table, release_scratch, scratch_folder, staged
 from ledgergraph.sources.blockfile import MAINNET_MAGIC, SCAN, blocks_of, flatten, parser, rejects_of
-from ledgergraph.sources.encode import block_files, transactions
+from ledgergraph.sources.blockranges import scan_ranges
+from ledgergraph.sources.encode import block_files, transactions, write_block_files
 from ledgergraph.sources.io import part_range, read_ledger, read_listing, write_ledger, write_listing, write_table
 from ledgergraph.sources.io import read_table as read_parquet
 from ledgergraph.sources.star import ledger_buckets, ledger_from_dir, ledger_key, read_table, release_ledgers
+from ledgergraph.sources.versions import Versions
 
 EDGES_PER_FILE = 4_000_000
+IDS_PER_TEXT = 256
 
 ORACLE_DIGEST = "hash160"
 
@@ -376,10 +383,9 @@ def _parsed(spark, sf_dir) -> DataFrame:
     return _once(spark, sf_dir, "parsed", build)
 
 
-def q_ingest_ledger(spark, sf_dir):
-    """Serialised blocks parsed and flattened into the four ledger tables, one row per
-    block, transaction, output and input."""
-    ledger = flatten(blocks_of(_parsed(spark, sf_dir)))
+def _ledger_rows(scan: DataFrame) -> DataFrame:
+    """One row per block, transaction, output and input of a scan."""
+    ledger = flatten(blocks_of(scan))
     none, zero = F.lit(""), F.lit(0).cast("long")
 
     def rows(df, item, hash_, parent, n, value, script):
@@ -392,10 +398,87 @@ def q_ingest_ledger(spark, sf_dir):
             .unionByName(rows(ledger.inputs, "input", c("tx_hash"), c("ref_hash"), c("ref_ord"), zero, none)))
 
 
+def _reject_rows(scan: DataFrame) -> DataFrame:
+    return (rejects_of(scan).groupBy(F.regexp_extract("file", "[^/]+$", 0).alias("file"), "reason")
+            .agg(F.count(F.lit(1)).alias("places"), F.sum("length").alias("bytes")))
+
+
+def q_ingest_ledger(spark, sf_dir):
+    """Serialised blocks parsed and flattened into the four ledger tables, one row per
+    block, transaction, output and input."""
+    return _ledger_rows(_parsed(spark, sf_dir))
+
+
+def _block_folder(spark, sf_dir) -> tuple[str, int]:
+    """The block files of ``_parsed`` as files of a folder, and the size of the ranges to read them in: several
+    a file, and not more than some thousands however large the tables are."""
+    def build():
+        folder = f"{scratch_folder(spark, 'lg_files')}/blocks"
+        files = block_files(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem"))
+        return folder, max(1 << 18, write_block_files(files, folder) // 4096)
+    return _once(spark, sf_dir, "files", build)
+
+
+def _ranges(spark, sf_dir) -> DataFrame:
+    folder, size = _block_folder(spark, sf_dir)
+    return _once(spark, sf_dir, "ranges", lambda: scan_ranges(spark, folder, range_bytes=size))
+
+
+def q_ingest_ranges(spark, sf_dir):
+    """The same blocks written as files and read as byte ranges of them, several tasks a file."""
+    return _ledger_rows(_ranges(spark, sf_dir))
+
+
+def q_ingest_ranges_rejects(spark, sf_dir):
+    """What the ranges of those files report as no blocks."""
+    return _reject_rows(_ranges(spark, sf_dir))
+
+
+def _converted(spark, sf_dir) -> str:
+    """The folder of a conversion of those files, published as one version after another one (a re-run)."""
+    def build():
+        folder, size = _block_folder(spark, sf_dir)
+        out = f"{scratch_folder(spark, 'lg_converted')}/out"
+        for _ in range(2):
+            convert(spark, folder, out, on_damage="keep", atomic=True, keep_versions=1, range_bytes=size)
+        return out
+    return _once(spark, sf_dir, "converted", build)
+
+
+#: columns of the tables that a conversion writes, as the checksums read them
+JOB_COLUMNS = {"ledger/blocks": ["hash", "prev_hash", "time"], "ledger/transactions": ["hash", "block_hash", "time"],
+               "ledger/outputs": ["tx_hash", "ord", "value", "address", "kind"], "ledger/inputs": ["tx_hash", "ref_hash", "ref_ord"],
+               "addresses": ["id", "address"], "blocks": ["id", "hash", "time"], "transactions": ["id", "hash"],
+               "edges": ["src", "dst", "value", "edge_kind"], "edges_named": ["src", "dst", "value", "edge_kind"],
+               "payment_edges": ["src", "dst", "n"], "rejects": ["reason", "length"]}
+
+
+def q_job_tables(spark, sf_dir):
+    """Every table that the conversion job published from block files: rows and a checksum of all
+    their columns; then those of a table written over it with ``errorifexists``, which must be refused."""
+    root = _converted(spark, sf_dir)
+    versions = Versions(spark, root)
+
+    def summed(name, df, columns):
+        h = F.substring(F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in columns]), 256), 1, 8)
+        return df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.conv(h, 16, 10).cast("long")), F.lit(0)).alias("checksum")).select(
+            F.lit(name).alias("table"), "n", "checksum")
+    out = None
+    for name, columns in JOB_COLUMNS.items():
+        part = summed(name, versions.read(name), columns)
+        out = part if out is None else out.unionByName(part)
+    folder = versions.manifest()["tables"]["blocks"][0]
+    try:
+        write_table(versions.read("blocks").limit(0), f"{root}/{folder}", mode="errorifexists")
+        refused = "overwritten"
+    except AnalysisException:
+        refused = "blocks, written again"
+    return out.unionByName(summed(refused, versions.read("blocks"), JOB_COLUMNS["blocks"]))
+
+
 def q_ingest_rejects(spark, sf_dir):
     """The bytes of the same files that are no blocks: per file and reason, places and bytes."""
-    return (rejects_of(_parsed(spark, sf_dir)).groupBy("file", "reason")
-            .agg(F.count(F.lit(1)).alias("places"), F.sum("length").alias("bytes")))
+    return _reject_rows(_parsed(spark, sf_dir))
 
 
 def q_tx_hashes(spark, sf_dir):
@@ -411,26 +494,26 @@ def _edge_files(spark, sf_dir) -> int:
 
 
 def _job_output(spark, sf_dir) -> str:
-    """The job's tables, written twice over (a re-run overwrites) into the shared folder."""
+    """The edges and the ledger tables as the job writes them into the shared folder; the blocks
+    are written over once more (a re-run overwrites)."""
     def build():
         ledger, outs, ids = _vertex_ids(spark, sf_dir)
         root = scratch_folder(spark, "lg_job")
-        files = _edge_files(spark, sf_dir)
-        for _ in range(2):
-            write_table(E.edges_indexed(ledger, _resolved(spark, sf_dir), ids), f"{root}/edges", num_files=files)
-            write_ledger(Ledger(ledger.blocks, ledger.transactions, outs, ledger.inputs), f"{root}/ledger")
+        write_table(E.edges_indexed(ledger, _resolved(spark, sf_dir), ids), f"{root}/edges", num_files=_edge_files(spark, sf_dir))
+        write_ledger(Ledger(ledger.blocks, ledger.transactions, outs, ledger.inputs), f"{root}/ledger")
+        write_table(ledger.blocks, f"{root}/ledger/blocks")
         return root
     return _once(spark, sf_dir, "job", build)
 
 
 def q_job_edges_roundtrip(spark, sf_dir):
-    """The indexed edges written as gzip files, four at least and more with the edges,
-    written again, and read by a range of file names."""
+    """The indexed edges written as gzip files, four at least and more with the edges, and read
+    by a range of file names."""
     return read_parquet(spark, f"{_job_output(spark, sf_dir)}/edges", glob=part_range(_edge_files(spark, sf_dir)))
 
 
 def q_job_ledger_roundtrip(spark, sf_dir):
-    """Balances from the ledger tables the job wrote."""
+    """Balances from the ledger tables the job wrote."""
     ledger = read_ledger(spark, f"{_job_output(spark, sf_dir)}/ledger")
     return L.balances(ledger.outputs, ledger.inputs)
 
@@ -445,14 +528,16 @@ def q_listing_roundtrip(spark, sf_dir):
 
 
 def q_block_tx_ids(spark, sf_dir):
-    """the transaction ids of the first three blocks, taken out of their text form."""
+    """the transaction ids of every block, taken out of their text form."""
     ledger = ledger_from_dir(spark, sf_dir)
-    first = _heights(spark, sf_dir).filter("height < 3").select(F.col("hash").alias("block_hash"), "height")
-    # one text per block, as the command-line tool prints it
-    texts = (ledger.transactions.join(first, "block_hash").groupBy("height")
+    heights = _heights(spark, sf_dir).select(F.col("hash").alias("block_hash"), "height")
+    # texts as the command-line tool prints them, of about IDS_PER_TEXT ids: a block of any size is many texts
+    sizes = ledger.transactions.groupBy("block_hash").agg(F.ceil(F.count(F.lit(1)) / IDS_PER_TEXT).alias("texts"))
+    texts = (ledger.transactions.join(sizes, "block_hash")
+             .groupBy("block_hash", F.pmod(F.xxhash64("hash"), F.col("texts")).alias("text_no"))
              .agg(F.concat(F.lit("[\n  \""), F.array_join(F.array_sort(F.collect_list("hash")), "\",\n  \""),
                            F.lit("\"\n]")).alias("text")))
-    return texts.select("height", F.explode(parse_id_list(F.col("text"))).alias("hash"))
+    return texts.join(heights, "block_hash").select("height", F.explode(parse_id_list(F.col("text"))).alias("hash"))
 
 
 def q_address_json(spark, sf_dir):
@@ -512,6 +597,79 @@ def q_nested_tx_text(spark, sf_dir):
                 F.coalesce(F.col("o.text"), none)).alias("text")))
 
 
+def forked_blocks(blocks: DataFrame) -> DataFrame:
+    """The chain with forks: every block whose hash begins with 0, and the last one, has a rival on the same
+    parent; rivals of blocks that begin with 00, and the last one, have two successors each. So the last rival's
+    successors are higher than the chain, and a tie."""
+    last = blocks.agg(F.max("time")).first()[0]
+    marked = blocks.select("hash", "prev_hash", "time", (F.col("time") == F.lit(last)).alias("is_last"))
+    rivals = marked.filter(F.col("hash").startswith("0") | F.col("is_last"))
+    rival = tagged_hash("F", F.col("hash"))
+    longer = rivals.filter(F.col("hash").startswith("00") | F.col("is_last"))
+    out = blocks.select("hash", "prev_hash", "time").unionByName(rivals.select(rival.alias("hash"), "prev_hash", "time"))
+    for tag in ("G", "K"):
+        out = out.unionByName(longer.select(tagged_hash(tag, F.col("hash")).alias("hash"), rival.alias("prev_hash"), "time"))
+    return out
+
+
+def q_main_chain(spark, sf_dir):
+    """Height of every block of a chain with forks, and which of them are on the chain of the tip."""
+    return main_chain(forked_blocks(ledger_from_dir(spark, sf_dir).blocks))
+
+
+def q_pagerank_by_snapshot(spark, sf_dir):
+    """PageRank of every snapshot's payment graph (year of the transaction), all in one loop; rank
+    rounded to 6 and the rounds that the snapshot took."""
+    ledger = _vertex_ids(spark, sf_dir)[0]
+    edges = _once(spark, sf_dir, "payments-by-snapshot",
+                  lambda: staged(payment_edges_by_snapshot(ledger, _resolved(spark, sf_dir)), "lg_payments"))
+    ends = edges.select("graph", F.col("src").alias("id")).unionByName(edges.select("graph", F.col("dst").alias("id"))).distinct()
+    ranks = _once(spark, sf_dir, "ranks-by-snapshot", lambda: pagerank_by_graph(ends, edges))
+    return ranks.select(F.col("graph").alias("snapshot"), "id", F.round("rank", 6).alias("rank"), "rounds")
+
+
+#: the last year of every batch of blocks but the last one
+BATCH_YEARS = (1993, 1995, 1996)
+
+
+def _utxo_store(spark, sf_dir) -> UtxoStore:
+    """The ledger applied in four batches, by the time of its blocks."""
+    def build():
+        ledger, outs = _ledger(spark, sf_dir)
+        n = max(32, ledger_buckets(spark, outs.count()))
+        store = UtxoStore(spark, f"{scratch_folder(spark, 'lg_utxo')}/store", buckets=n)
+        batch = sum(((snapshot_of(F.col("time")) > y).cast("int") for y in BATCH_YEARS), F.lit(0))
+        when = staged(ledger.transactions.select(F.col("hash").alias("tx_hash"), batch.alias("batch")), "lg_batches")
+        made = staged(outs.select("tx_hash", "ord", "value", "address").join(when, "tx_hash"), "lg_made", ["batch"])
+        used = staged(ledger.inputs.join(when, "tx_hash").select("ref_hash", "ref_ord", "batch"), "lg_used", ["batch"])
+        for k in range(len(BATCH_YEARS) + 1):
+            store.apply(f"batch {k}", made.filter(F.col("batch") == k), used.filter(F.col("batch") == k))
+        return store
+    return _once(spark, sf_dir, "utxo-store", build)
+
+
+def q_utxo_incremental(spark, sf_dir):
+    """The unspent outputs after four batches of blocks, each merged into the ones before."""
+    return _utxo_store(spark, sf_dir).utxo()
+
+
+def q_balances_incremental(spark, sf_dir):
+    """A3: the balances after the same four batches."""
+    return _utxo_store(spark, sf_dir).balances()
+
+
+def q_sample_with_replacement(spark, sf_dir):
+    """Outputs sampled with replacement at a rate of one in twenty, repeatable."""
+    _, outs = _ledger(spark, sf_dir)
+    return poisson_by_hash(outs.select("tx_hash", "ord", "value", "address"), ["tx_hash", "ord"], 0.05)
+
+
+def q_seed_documents(spark, sf_dir):
+    """A viewer document for every tenth address, of its 50 strongest neighbours."""
+    _, _, addr, w = _payment_graph(spark, sf_dir)
+    return seed_documents(w, addr.filter("id % 10 = 0"), k=50)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "balances": q_balances,
     "blocks": q_blocks,
@@ -567,6 +725,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "output_text": q_output_text,
     "input_text": q_input_text,
     "nested_tx_text": q_nested_tx_text,
+    "ingest_ranges": q_ingest_ranges,
+    "ingest_ranges_rejects": q_ingest_ranges_rejects,
+    "job_tables": q_job_tables,
+    "main_chain": q_main_chain,
+    "pagerank_by_snapshot": q_pagerank_by_snapshot,
+    "utxo_incremental": q_utxo_incremental,
+    "balances_incremental": q_balances_incremental,
+    "sample_with_replacement": q_sample_with_replacement,
+    "seed_documents": q_seed_documents,
 }
 
 
