@@ -189,23 +189,22 @@ def release_ledgers() -> None:
     _MEMO.clear()
 
 
-def _fingerprint(sf_dir: str) -> tuple:
-    import os
+def _fingerprint(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of the input's files, on any file system that Spark reads."""
     out = []
     for name in ("orders", "lineitem"):
-        path = f"{sf_dir}/{name}.parquet"
-        try:
-            st = os.stat(path)
-            out.append((path, st.st_size, st.st_mtime_ns))
-        except OSError:       # not a local path (object store): key on the path alone
-            out.append((path,))
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        found = sorted((f.getPath().getName(), f.getLen(), f.getModificationTime())
+                       for f in (fs.listStatus(path) if fs.exists(path) else []))
+        out.append((path.toString(), *found))
     return tuple(out)
 
 
 def ledger_key(spark: SparkSession, sf_dir: str) -> tuple:
     """What a derived ledger belongs to: session, checkpoint folder and version of the input."""
     return (spark.sparkContext.applicationId, spark._jsparkSession.sessionUUID(),
-            spark.sparkContext.getCheckpointDir(), _fingerprint(sf_dir))
+            spark.sparkContext.getCheckpointDir(), _fingerprint(spark, sf_dir))
 
 
 def ledger_from_dir(spark: SparkSession, sf_dir: str, reuse: bool = True) -> Ledger:
