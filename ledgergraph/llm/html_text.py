@@ -7,10 +7,15 @@ in navigation, headers, footers, asides, forms, notices, adverts and comments ar
 a marked article a block needs less to be good: some stop words at any length; without them, or
 with many links, it is near good. Pass two lets the ambiguous blocks, short and near good, inherit
 the label of their nearest decided neighbours before and after; a heading goes with what follows
-it. A marked article (or else <main>) stands for the page, and what is outside of it is bad, only
+it, and a short block without links with the good blocks of its parent element. A page on which no block
+is decided good keeps its near good blocks, or else its short ones without links. A marked article (or else <main>) stands for the page, and what is outside of it is bad, only
 if it holds at least half of the text found good; a teaser does not, and then blocks are judged
 as if nothing were marked.
 
+Stop words are those of six languages in Latin script. A block in another script is judged by its length
+and links alone, and so are all blocks of a page in Latin script on which no block has stop words. In
+scripts that write whole words in one character, a character counts as three.
+
 Class and id names mark small parts only. A name is a whole token ("ad") or one made of such names
 and words for parts ("social-share", "comment-list"), so that "category-legal" is none. Names do not
 count on an article, nor on an element that holds more than half of the page's good text; an
@@ -41,6 +46,11 @@ from ledgergraph.llm.common import pick, read
 SHORT, LONG = 70, 200              # characters
 FEW_STOP_WORDS, MANY_STOP_WORDS = 0.10, 0.25
 MANY_LINKS = 0.33
+# a notice of rights begins with one of these
+RIGHTS = re.compile(r"\W{0,3}(?:©|\(c\)|copyright\b)", re.I)
+# letters of Latin script; characters that are words or syllables (Chinese, Japanese, Korean)
+LATIN = re.compile("[A-Za-z\u00aa-\u024f\u1e00-\u1eff]")
+DENSE = re.compile("[\u2e80-\u9fff\uac00-\ud7af\uf900-\ufaff\U00020000-\U0003ffff]")
 
 # Stop words (fixed values): the commonest function words of the languages expected.
 STOP_WORDS = frozenset((
@@ -85,6 +95,8 @@ LAYOUT, HARD = 1, 2      # kinds of boilerplate: an article inside a layout part
 
 
 NO_ELEMENT = ("", 0, 0, None)
+# elements that are a block themselves
+TEXT_ELEMENTS = frozenset("p li dd dt span".split())
 
 
 @dataclass(eq=False)
@@ -107,6 +119,8 @@ class Block:
     named: Named | None = None     # innermost element around it that its name makes boilerplate
     label: str = ""
     stops: float | None = None     # share of its words that are stop words
+    parent: int = 0        # number of the element that holds it
+    size: int = 0          # characters, as far as they say how long it is
 
 
 def _names(found: dict[str, str]) -> set[str]:
@@ -150,7 +164,9 @@ def blocks_of(page: str) -> list[Block]:
     """The blocks of a page in order, with what markup tells of them."""
     blocks: list[Block] = []
     stack: list[tuple[str, int, int, Named | None]] = []      # (tag, boilerplate, region, named) of open elements
+    numbers: list[int] = []                      # of the same elements
     opened: Counter[str] = Counter()             # how many of each tag are on it
+    elements = 0
     text: list[str] = []
     links = link_chars = 0
     heading = False
@@ -160,7 +176,9 @@ def blocks_of(page: str) -> list[Block]:
         line = " ".join("".join(text).split())
         if line:
             _, bad, region, named = stack[-1] if stack else NO_ELEMENT
-            blocks.append(Block(line, min(link_chars, len(line)), heading, bad, region, named))
+            holder = next((n for n, e in zip(reversed(numbers), reversed(stack)) if e[0] not in TEXT_ELEMENTS), 0)
+            blocks.append(Block(line, min(link_chars, len(line)), heading, bad, region, named, parent=holder,
+                                size=len(line) + (0 if line.isascii() else 2 * len(DENSE.findall(line)))))
         text.clear()
         link_chars = 0
 
@@ -173,6 +191,9 @@ def blocks_of(page: str) -> list[Block]:
                 link_chars += len(raw.strip())
 
     def push(name: str, bad: int, region: int, named: Named | None) -> None:
+        nonlocal elements
+        elements += 1
+        numbers.append(elements)
         stack.append((name, bad, region, named))
         opened[name] += 1
 
@@ -186,7 +207,7 @@ def blocks_of(page: str) -> list[Block]:
         for i in range(len(stack) - 1, -1, -1):
             if stack[i][0] == name:
                 opened.subtract(t[0] for t in stack[i:])
-                del stack[i:]
+                del stack[i:], numbers[i:]
                 return
             if stack[i][0] in ("article", "main", "body") and name in ("p", "li", "div", "span"):
                 return
@@ -250,23 +271,41 @@ def first_pass(block: Block, region: int) -> str:
     if block.boilerplate:
         return "bad"
     marked = 0 < region <= block.region
-    size = len(block.text)
-    density = block.link_chars / size
+    size = block.size
+    density = block.link_chars / len(block.text)
     if density > MANY_LINKS and not block.heading:
         return "bad" if not marked or density > 0.8 and size < LONG else "near"
     if size < SHORT:
         return "short"
-    if "©" in block.text and size < LONG and not marked:
+    if RIGHTS.match(block.text) and size < LONG and not marked:
         return "bad"
-    if block.stops is None:      # counted once, however often a block is judged
-        words = block.text.lower().split()
-        block.stops = sum(w.strip(".,;:!?()\"'«»„“”") in STOP_WORDS for w in words) / len(words)
-    stops = block.stops
+    stops = stop_share(block)
     if stops >= (FEW_STOP_WORDS if marked else MANY_STOP_WORDS):
         return "good" if size >= LONG or marked else "near"
     return "near" if marked or stops >= FEW_STOP_WORDS else "bad"
 
 
+def stop_share(block: Block) -> float:
+    """The share of a block's words that are stop words; many in a script that has none here. Counted once,
+    however often a block is judged."""
+    if block.stops is None:
+        words = block.text.lower().split()
+        block.stops = sum(w.strip(".,;:!?()\"'«»„“”") in STOP_WORDS for w in words) / len(words)
+        if block.stops < FEW_STOP_WORDS:
+            letters = sum(map(str.isalpha, block.text))
+            if letters and 2 * len(LATIN.findall(block.text)) < letters:
+                block.stops = MANY_STOP_WORDS
+    return block.stops
+
+
+def judge_language(blocks: list[Block]) -> None:
+    """Where no block has stop words the language is none of theirs, and length and links decide."""
+    texts = [b for b in blocks if not b.boilerplate and b.size >= SHORT and b.link_chars <= MANY_LINKS * len(b.text)]
+    if texts and max(map(stop_share, texts)) < FEW_STOP_WORDS:
+        for b in texts:
+            b.stops = MANY_STOP_WORDS
+
+
 def second_pass(blocks: list[Block], region: int) -> None:
     """Ambiguous blocks inherit from their nearest decided neighbours. Inside a marked article only
     blocks of the article are neighbours, and an article without a good block is good but for its
@@ -282,11 +321,15 @@ def second_pass(blocks: list[Block], region: int) -> None:
         last = decided[i] or last
         after[i] = last
     default = "good" if region else "bad"
-    unknown = region and "good" not in decided
+    unknown = "good" not in decided
+    # what stands together with good blocks in one element
+    homes = {b.parent for b, label in zip(inside, decided) if label == "good"}
     for b, left, right in zip(inside, before, after):
         if b.label == "short":
             if b.heading:
                 b.label = right or left or default
+            elif not region and not b.link_chars and not b.boilerplate and b.parent in homes:
+                b.label = "good"
             elif left == right or not left or not right:
                 b.label = left or right or default
             else:
@@ -300,8 +343,12 @@ def classify(blocks: list[Block], region: int) -> int:
     """Labels all blocks, those outside of ``region`` as if nothing were marked; characters found good."""
     for b in blocks:
         b.label = first_pass(b, region)
+    short = [b for b in blocks if b.label == "short" and not b.link_chars]
     inside = [b for b in blocks if b.region >= region]
     second_pass(inside, region)
+    if not region and not any(b.label == "good" for b in blocks):
+        for b in short:
+            b.label = "good"
     if region:
         second_pass([b for b in blocks if b.region < region], 0)
     return sum(len(b.text) for b in inside if b.label == "good")
@@ -361,6 +408,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     blocks = blocks_of(page)
+    judge_language(blocks)
     spare_wrappers(blocks)
     # the innermost kind of region that holds at least half of the good text; 0 is the whole page
     for region in sorted({b.region for b in blocks if not b.boilerplate} | {0}, reverse=True):

@@ -304,3 +304,96 @@ def test_pipeline_runs_and_cleans_up(spark):
     assert out.count() > 0
     assert len(set(scratch_tables(spark)) - set(before)) == 1          # the result alone
     release_scratch(spark, since=before)
+
+
+# ---- op3: pages without a marked article -----------------------------------------------------
+
+NAV, FOOT = "<nav><a href=/>Home</a> <a href=/b>Blog</a></nav>", "<footer><a href=/t>Terms</a></footer>"
+STORY = "This is the story of a man who was in the house with his dog and it was not the first time that they were there. " * 4
+
+
+def _unmarked(*blocks, holder="div"):
+    return f"<body>{NAV}<{holder}>" + "".join(f"<p>{b}</p>" for b in blocks) + f"</{holder}>{FOOT}</body>"
+
+
+@pytest.mark.parametrize("line", [
+    "这是一篇关于城市历史的文章，描述了许多年来人们在这里的生活和工作。",
+    "これは長いあいだこの家で犬と暮らしていた男の話で、だれの邪魔もしませんでした。",
+    "Это рассказ о человеке, который жил в доме со своей собакой много лет подряд и никому не мешал. ",
+    "Był sobie człowiek, który przez wiele lat mieszkał ze swoim psem w starym domu nad rzeką, nikomu nie wadząc. "])
+def test_languages_without_stop_words_are_judged_by_length_and_links(line):
+    from ledgergraph.llm.html_text import main_text
+    text = (line * 6).strip()
+    assert main_text(_unmarked(text, text[:90].strip())) == text + "\n\n" + text[:90].strip()
+    links = "".join(f"<a href=/{i}>{line}</a>" for i in range(6))
+    assert main_text(_unmarked(text, links)) == text
+
+
+def test_short_blocks_of_unmarked_pages():
+    from ledgergraph.llm.html_text import main_text
+    lines = ["First short line.", "Second short line here.", "Third."]
+    assert main_text(_unmarked(*lines)) == "\n\n".join(lines)
+    assert main_text(_unmarked("A short start.", STORY, "The end.")) == f"A short start.\n\n{STORY.strip()}\n\nThe end."
+    sign = "The sign © on the wall is one that they put there to tell us that the work was not to be copied."
+    rights = "<div>© 2020 The Company. All rights reserved by the company and its partners in the trade.</div>"
+    assert main_text(_unmarked(STORY, sign, STORY) + rights) == f"{STORY.strip()}\n\n{sign}\n\n{STORY.strip()}"
+    # a short block of another element goes with its neighbours as before
+    assert main_text(f"<body>{NAV}<div>Menu of the day</div><div><p>{STORY}</p></div>{FOOT}</body>") == STORY.strip()
+    assert main_text(f"<body>{NAV}{FOOT}</body>") == ""
+
+
+def _two_passes_brute(blocks):
+    """Labels of the blocks of a page without marks, by the rules as the module's text states them."""
+    from ledgergraph.llm.html_text import FEW_STOP_WORDS, LONG, MANY_LINKS, MANY_STOP_WORDS, SHORT, STOP_WORDS
+    share = [sum(w.strip(".,") in STOP_WORDS for w in t.lower().split()) / len(t.split()) for t, *_ in blocks]
+    linked = [n / len(t) for t, n, *_ in blocks]
+    able = [i for i, (t, n, bad, _) in enumerate(blocks) if not bad and len(t) >= SHORT and linked[i] <= MANY_LINKS]
+    if able and max(share[i] for i in able) < FEW_STOP_WORDS:
+        for i in able:
+            share[i] = MANY_STOP_WORDS
+    first = []
+    for i, (t, n, bad, _) in enumerate(blocks):
+        if bad or linked[i] > MANY_LINKS:
+            first.append("bad")
+        elif len(t) < SHORT:
+            first.append("short")
+        elif share[i] >= MANY_STOP_WORDS:
+            first.append("good" if len(t) >= LONG else "near")
+        else:
+            first.append("near" if share[i] >= FEW_STOP_WORDS else "bad")
+    out = []
+    for i, label in enumerate(first):
+        if label in ("good", "bad"):
+            out.append(label)
+            continue
+        left = next((x for x in reversed(first[:i]) if x in ("good", "bad")), "")
+        right = next((x for x in first[i + 1:] if x in ("good", "bad")), "")
+        if label == "near":
+            out.append("bad" if left == right == "bad" and "good" in first else "good")
+        elif not blocks[i][1] and any(x == "good" and b[3] == blocks[i][3] for x, b in zip(first, blocks)):
+            out.append("good")
+        elif left == right or not left or not right:
+            out.append(left or right or "bad")
+        else:
+            out.append("bad")
+    if "good" not in out:
+        out = ["good" if x == "short" and not b[1] else y for x, y, b in zip(first, out, blocks)]
+    return out
+
+
+def test_two_passes_against_plain_rules():
+    import random
+
+    from ledgergraph.llm.html_text import Block, classify, judge_language
+    rng = random.Random(6)
+    plain, stops = "lorem ipsum dolor amet tempor labore magna".split(), "the of and to in is was".split()
+    for _ in range(1500):
+        given = []
+        for _ in range(rng.randrange(1, 9)):
+            words = [rng.choice(stops if rng.random() < rng.choice((0, 0.15, 0.4)) else plain) for _ in range(rng.choice((3, 8, 14, 25, 60)))]
+            text = " ".join(words)
+            given.append((text, rng.choice((0, 0, 0, 3, len(text))), rng.random() < 0.15, rng.randrange(3)))
+        blocks = [Block(t, n, False, int(bad), 0, parent=parent, size=len(t)) for t, n, bad, parent in given]
+        judge_language(blocks)
+        classify(blocks, 0)
+        assert [b.label for b in blocks] == _two_passes_brute(given)
