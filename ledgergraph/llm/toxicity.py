@@ -1,17 +1,22 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
 Five transducers read a clause as a string of word classes and are composed into one machine:
-insult (marks insult words), target (an insult or threat aimed at someone near it), threat (a
-violent act, announced or aimed at a target), negation (the next words are denied) and reported
-speech (the rest of the clause is someone else's words). What comes out is a string of marks, one
-per match with all that holds of it, and the clause scores the sum of its marks' weights; a word
-that the grammar does not match scores nothing.
+insult (marks insult words, and a weak one if another stands near it), threat (a violent act, announced
+or aimed at a target), target (an insult or act with someone near it is aimed), negation (the next words
+are denied) and reported speech (the rest of the clause is someone else's words). What comes out is a
+string of marks, one per match with all that holds of it. The marks have weights: a plain insult 1, an
+aimed one and a threat more (learned), a reported or a denied match and a violent word by itself a
+small share (fixed), and all such shares of a document together at most ``MOST_SHARE``. A clause weighs
+the sum of its marks; a word that the grammar does not match weighs nothing. The score is a logistic
+function of the logarithm of the clauses' sum, whose slope and threshold are learned; the threshold is
+never below half a plain match, so labels can't overturn the order aimed >= plain > reported > denied, and
+no denial or report decides a document by itself.
 
 Learned from the labels (rows that are not held out; at most ``max_train`` of them, a uniform hash
-sample, whole texts): the insult lexicon, as full words and word beginnings that toxic rows have
-and others lack, chosen greedily until every toxic row is explained; and the weights that turn
-marks into a probability. A small list of common insults is known from the start. Labels, lang,
-source and doc_id are never inputs of a score.
+sample, whole texts): the insult lexicon, as full words, word beginnings, and weak beginnings (which count
+where two stand near each other), that toxic rows have and others lack, chosen greedily until every
+toxic row is explained; and the weights named above. A small list of common insults is known from the
+start. Labels, lang, source and doc_id are never inputs of a score.
 
 Scoring finds lexicon words with an Aho-Corasick automaton over the whole text and runs the
 machine over the clauses they stand in.
@@ -36,8 +41,8 @@ from pyspark.sql import functions as F
 from ledgergraph.llm.common import held_out, pick, read
 from ledgergraph.session import staged
 
-# Word classes: insult, violent act, target, negation, report, announcement, other.
-INSULT, ACT, TARGET, NEGATION, REPORT, MODAL, OTHER = "IATNRMO"
+# Word classes: insult, weak insult, violent act, target, negation, report, announcement, other.
+INSULT, WEAK, ACT, TARGET, NEGATION, REPORT, MODAL, OTHER = "IWATNRMO"
 
 INSULTS = ("idiot moron stupid dumb loser scum trash clown worthless pathetic disgusting imbecile bastard bitch "
            "asshole fool jerk retard freak pig crétin connard salope abruti arschloch trottel "
@@ -54,6 +59,8 @@ MODALS = "will going gonna shall should must want i'll we'll vais veux werde wil
 
 WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
 CLAUSE_END = ".!?;\n"
+#: words between which a pattern reaches
+NEAR = 4
 NEXT_END = re.compile(f"[{re.escape(CLAUSE_END)}]")
 
 
@@ -87,14 +94,17 @@ class Transducer:
 
 
 def _insult(state, symbol):
-    """An insult word becomes a match."""
-    return state, "I" if symbol == INSULT else symbol
+    """An insult word is a match, and a weak one that has an insult of either kind among the ``NEAR`` words
+    before it."""
+    if symbol in (INSULT, WEAK):
+        return NEAR, "I" if symbol == INSULT or state else OTHER
+    return max(0, state - 1), symbol
 
 
 def _threat(state, symbol):
     """A violent act becomes a match: announced (m) if an announcement stands before it."""
     if symbol == MODAL:
-        return 4, symbol
+        return NEAR, symbol
     left = max(0, state - 1)
     return (left, "Am" if state else "A") if symbol == ACT else (left, symbol)
 
@@ -104,7 +114,7 @@ def _target(state, symbol):
     act aims it as well. State: (words since target, words since act)."""
     near, act = state
     if symbol == TARGET:
-        return (4, 0), "A@" if act else symbol
+        return (NEAR, 0), "A@" if act else symbol
     near, act = max(0, near - 1), max(0, act - 1)
     if symbol[0] in "IA" and len(symbol) < 3 and state[0]:
         symbol += "@"
@@ -114,7 +124,7 @@ def _target(state, symbol):
 def _negation(state, symbol):
     """Matches among the four words after a negation are denied (n)."""
     if symbol == NEGATION:
-        return 4, symbol
+        return NEAR, symbol
     return max(0, state - 1), symbol + "n" if state and symbol[0] in "IA" else symbol
 
 
@@ -125,41 +135,63 @@ def _reported(state, symbol):
     return state, symbol + "r" if state and symbol[0] in "IA" else symbol
 
 
-GRAMMAR = (Transducer(0, _insult).then(Transducer(0, _threat)).then(Transducer((0, 0), _target))
-           .then(Transducer(0, _negation)).then(Transducer(0, _reported)))
-ARCS = GRAMMAR.table(INSULT + ACT + TARGET + NEGATION + REPORT + MODAL + OTHER)
+PARTS = (Transducer(0, _insult), Transducer(0, _threat), Transducer((0, 0), _target), Transducer(0, _negation),
+         Transducer(0, _reported))
+GRAMMAR = PARTS[0].then(PARTS[1]).then(PARTS[2]).then(PARTS[3]).then(PARTS[4])
+ALPHABET = INSULT + WEAK + ACT + TARGET + NEGATION + REPORT + MODAL + OTHER
+ARCS = GRAMMAR.table(ALPHABET)
 CLASSES = {w: c for c, words in ((MODAL, MODALS), (TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS),
                                  (ACT, ACTS)) for w in words}
 
+#: Kinds of marks, whose numbers are a document's features.
+PLAIN, AIMED, THREAT, REPORTED, DENIED, LONE = range(6)
+FEATURES = 6
+#: what a reported or denied match or a violent word by itself weighs, a plain insult being 1, and all of them
+SHARES = {REPORTED: 0.15, DENIED: 0.05, LONE: 0.05}
+MOST_SHARE = 0.3
 
-def weight_of(mark: str) -> float:
-    """Default weight of a match by its marks."""
-    if mark[0] == "A" and "@" not in mark and "m" not in mark:
-        weight = 0.1                         # a violent word alone is no threat
-    else:
-        weight = 1.0 + 0.5 * ("@" in mark) + 0.5 * ("m" in mark)
-    return weight * (0.3 if "n" in mark else 1.0) * (0.4 if "r" in mark else 1.0)
 
+def kind_of(mark: str) -> int:
+    if "n" in mark:
+        return DENIED
+    if "r" in mark:
+        return REPORTED
+    if mark[0] == "A":
+        return THREAT if "@" in mark or "m" in mark else LONE
+    return AIMED if "@" in mark else PLAIN
 
-#: Features of a document: log(1 + sum of weights) over matches that are insults and stand plainly,
-#: aimed insults, threats, denied or reported ones; the heaviest clause; matches per 100 words.
-FEATURES = 6
+
+def weight(features: np.ndarray, aimed: float, threat: float) -> np.ndarray:
+    """The clauses' sum per document (rows of ``features``): ``aimed`` and ``threat`` are what these weigh."""
+    share = sum(w * features[:, k] for k, w in SHARES.items())
+    return features[:, PLAIN] + aimed * features[:, AIMED] + threat * features[:, THREAT] + np.minimum(MOST_SHARE, share)
+
+
+def probability(features: np.ndarray, weights: list[float]) -> np.ndarray:
+    aimed, threat, slope, constant = weights
+    return 1 / (1 + np.exp(-np.clip(constant + slope * np.log1p(weight(features, aimed, threat)), -30, 30)))
 
 
 class Lexicon:
-    """Insults (full words end in ``$``, others are word beginnings) with the automaton that finds them."""
+    """Insults (full words end in ``$``, weak beginnings in ``+``, others are word beginnings) with the
+    automaton that finds them."""
 
     def __init__(self, insults):
         self.insults = set(insults)
-        self.starts = sorted({len(w) for w in self.insults if not w.endswith("$")})
+        self.starts = sorted({len(w.rstrip("+")) for w in self.insults if not w.endswith("$")})
         self.automaton = ahocorasick.Automaton()
-        for w in {w.rstrip("$") for w in self.insults} | set(ACTS):
+        for w in {w.rstrip("$+") for w in self.insults} | set(ACTS):
             self.automaton.add_word(w, len(w))
         self.automaton.make_automaton()
 
     def class_of(self, word: str) -> str:
-        if word + "$" in self.insults or any(word[:n] in self.insults for n in self.starts if n <= len(word)):
+        if word + "$" in self.insults:
             return INSULT
+        heads = [word[:n] for n in self.starts if n <= len(word)]
+        if any(h in self.insults for h in heads):
+            return INSULT
+        if any(h + "+" in self.insults for h in heads):
+            return WEAK
         return CLASSES.get(word, OTHER)
 
     def clauses(self, text: str):
@@ -176,21 +208,15 @@ class Lexicon:
             yield text[start:done]
 
     def features(self, text: str | None) -> list[float]:
-        text = (text or "").lower()
-        sums, heaviest, matches = [0.0] * 4, 0.0, 0
-        for clause in self.clauses(text):
-            state, total = 0, 0.0
+        """Number of marks of each kind."""
+        out = [0.0] * FEATURES
+        for clause in self.clauses((text or "").lower()):
+            state = 0
             for word in WORD.findall(clause):
-                state, out = ARCS[state][self.class_of(word)]
-                if out[0] in "IA":
-                    weight = weight_of(out)
-                    kind = 3 if "n" in out or "r" in out else 2 if out[0] == "A" else 1 if "@" in out else 0
-                    sums[kind] += weight
-                    total += weight
-                    matches += 1
-            heaviest = max(heaviest, total)
-        words = 1 + text.count(" ")
-        return [*np.log1p(sums).tolist(), float(np.log1p(heaviest)), float(np.log1p(100.0 * matches / words))]
+                state, mark = ARCS[state][self.class_of(word)]
+                if mark[0] in "IA":
+                    out[kind_of(mark)] += 1
+        return out
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_train: int, id_col: str = "doc_id",
@@ -206,13 +232,18 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_train: int, id_col: st
 
 
 def _candidates(text: str | None) -> set[str]:
-    """Full words (ending in ``$``) and word beginnings of four to seven letters."""
-    out = set()
-    for w in set(WORD.findall((text or "").lower())):
+    """Full words (ending in ``$``), word beginnings of four to seven letters, and those of two words near each
+    other (ending in ``+``)."""
+    out, last = set(), {}
+    for i, w in enumerate(WORD.findall((text or "").lower())):
         if 3 <= len(w) <= 40:
             out.add(w + "$")
         for n in range(4, min(7, len(w)) + 1):
-            out.add(w[:n])
+            head = w[:n]
+            if i - last.get(head, -NEAR - 1) <= NEAR:
+                out.add(head + "+")
+            last[head] = i
+            out.add(head)
     return out
 
 
@@ -258,20 +289,33 @@ def learn_lexicon(rows: DataFrame, least: int = 3, purity: float = 0.95, max_wor
     return chosen
 
 
-def fit_weights(x: np.ndarray, y: np.ndarray, ridge: float = 0.5, rounds: int = 50) -> np.ndarray:
-    """Logistic regression by Newton steps; the last weight is the constant."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    w, keep = np.zeros(x.shape[1]), np.array([ridge] * (x.shape[1] - 1) + [1e-3])
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(keep), x.T @ (p - y) + keep * w)
-        w = w - step
-        if np.abs(step).max() < 1e-6:
-            break
-    return w
-
-
-DEFAULT_WEIGHTS = [1.5, 2.0, 2.0, 0.3, 1.0, 0.3, -2.5]
+def fit_weights(features: np.ndarray, y: np.ndarray, ridge: float = 0.02, rounds: int = 50) -> list[float]:
+    """(weight of an aimed insult, of a threat, slope, constant): for every pair of weights a logistic
+    regression by Newton steps, the likeliest wins."""
+    best = None
+    for aimed in AIMED_WEIGHTS:
+        for threat in AIMED_WEIGHTS:
+            x = np.stack([np.log1p(weight(features, aimed, threat)), np.ones(len(y))], axis=1)
+            w, keep = np.array([4.0, -2.0]), np.array([ridge, 1e-3])
+            for _ in range(rounds):
+                p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+                step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(keep), x.T @ (p - y) + keep * w)
+                w = w - np.clip(step, -2, 2)
+                if np.abs(step).max() < 1e-6:
+                    break
+            # a match never speaks for a document, and less than half a plain one never decides
+            slope = max(float(w[0]), 0.5)
+            constant = min(float(w[1]), -slope * float(np.log1p(0.5)))
+            p = np.clip(probability(features, [aimed, threat, slope, constant]), 1e-9, 1 - 1e-9)
+            loss = -float((y * np.log(p) + (1 - y) * np.log(1 - p)).sum())
+            if best is None or loss < best[0] - 1e-9:
+                best = loss, [aimed, threat, slope, constant]
+    return best[1]
+
+
+#: what an aimed insult or a threat may weigh, a plain insult being 1
+AIMED_WEIGHTS = (1.5, 1.25, 2.0, 3.0)
+DEFAULT_WEIGHTS = [1.5, 2.0, 4.0, -2.0]
 
 
 def train(docs: DataFrame, labels: DataFrame, max_train: int = 20_000) -> tuple[list[str], list[float]]:
@@ -288,19 +332,18 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = 20_000) -> tuple[
     y = (got["label"] == 1).to_numpy(float)
     if not 0 < y.sum() < len(y):
         return insults, DEFAULT_WEIGHTS
-    return insults, fit_weights(np.stack(got["x"].to_numpy()), y).tolist()
+    return insults, fit_weights(np.stack(got["x"].to_numpy()), y)
 
 
 def score(docs: DataFrame, model: tuple[list[str], list[float]], text_col: str = "text") -> DataFrame:
-    """``docs`` as the struct ``row`` with ``score`` (0 to 1) and ``matches``, the sums behind it."""
+    """``docs`` as the struct ``row`` with ``score`` (0 to 1) and ``features``, the numbers of marks behind it."""
     insults, weights = model
 
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        lexicon, w = Lexicon(insults), np.array(weights)
+        lexicon = Lexicon(insults)
         for texts in batches:
             x = np.array([lexicon.features(t) for t in texts], float).reshape(-1, FEATURES)
-            p = 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30)))
-            yield pd.DataFrame({"score": p, "features": list(x)})
+            yield pd.DataFrame({"score": probability(x, weights), "features": list(x)})
 
     # annotations are texts in this module: the kind of function is named instead
     scored.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
