@@ -6,9 +6,10 @@ length, at most ``capacity`` numbers, is all that packing needs to know. A confi
 multiset of lengths that fits into one sequence. The covering program (fewest sequences so that
 every length's count is covered) is solved by multiplicative weights: lengths carry prices,
 knapsack dynamic programming finds the most valuable configuration, and the prices of the
-lengths it covers fall. The fractional solution is rounded down and what is left of the histogram
-is packed best-fit, longest first, by whole counts of equal sequences, so the driver's work and memory
-depend on the lengths and not on the pieces. No length in the result is dropped or capped.
+lengths it covers fall. The fractional solution is rounded down; what is left of the histogram is rounded
+up, configuration by configuration, each priced by a knapsack on what is left and taken as often as that
+allows, so the driver's work and memory depend on the lengths and not on the pieces. No length in the
+result is dropped or capped.
 
 The packing is a table of slot ranges: for a length, ranks r0 to r1 go to sequences s0, s0 + 1, ...
 at a fixed offset. Pieces are ranked within their length by counts per (length, slice of a hash),
@@ -16,7 +17,8 @@ so a length that holds a third of all pieces is never ordered in one task, and f
 binary search in that table (at most configurations times items, a few thousand rows).
 
 The tokenizer is the byte-level BPE vocabulary file of ``tokenizers``; its ids are computed by
-``tiktoken`` from the same file, over four times faster, and are equal (tested).
+``tiktoken`` from the same file, over four times faster, and are equal (tested), however long a text or
+a run of one character in it is.
 
 Defined results: a null text is empty and packs as the single token 0; null ids pack like others;
 repeated rows each get a place of their own; an empty table gives no rows; extra columns never
@@ -26,6 +28,7 @@ clash.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from functools import lru_cache
 
@@ -39,7 +42,11 @@ from ledgergraph.session import staged
 
 CAPACITY = 2048
 END = 0
-SLICES = 256
+#: at least so many slices of a length, and about so many pieces in one
+SLICES, SLICE_ROWS = 256, 1 << 16
+#: runs of white space (as Unicode defines it) that the tokenizer's pattern would have to go back over
+#: character by character: they are one token piece, and are cut out before the pattern sees them
+LONG_SPACE = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]{2000,}")
 
 
 @lru_cache(maxsize=4)
@@ -57,7 +64,20 @@ def encoder(path: str | None = None):
     ranks = {bytes(spelled[c] for c in token): i for token, i in vocabulary["model"]["vocab"].items()
              if token not in special}
     encoding = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
-    return lambda text: encoding.encode(text, allowed_special="all")
+    marks = re.compile("|".join(map(re.escape, special))) if special else None
+
+    def encode(text: str) -> list[int]:
+        out, at = [], 0
+        for run in LONG_SPACE.finditer(text):
+            stop = run.end()
+            # the last character of a run goes with what follows, unless that is nothing or a special token
+            if stop < len(text) and not (marks and marks.match(text, stop)):
+                stop -= 1
+            out += encoding.encode(text[at:run.start()], allowed_special="all")
+            out += encoding._encode_single_piece(text[run.start():stop].encode("utf-8"))
+            at = stop
+        return out + encoding.encode(text[at:], allowed_special="all")
+    return encode
 
 
 def piece_rows(text: str, encode, capacity: int = CAPACITY) -> list[tuple[int, int, int, int, list[int]]]:
@@ -113,13 +133,14 @@ def price(values: np.ndarray, capacity: int) -> list[int]:
     return out
 
 
-def configurations(counts: np.ndarray, capacity: int, rounds: int = 800, rate: float = 0.06) -> dict[tuple[int, ...], float]:
+def configurations(counts: np.ndarray, capacity: int, rounds: int = 800, rate: float = 0.06,
+                   steep: float = 1.0) -> dict[tuple[int, ...], float]:
     """A fractional cover of ``counts`` (per length 1..capacity) by configurations, by multiplicative
-    weights: a configuration is taken as often as its scarcest length allows in one step."""
+    weights: a configuration is taken as often as its scarcest length allows in one step. ``steep`` above 1
+    lets long pieces start at more than the price of their space."""
     need = counts.astype(np.float64)
     have = need > 0
-    # start at the price of the space a length takes
-    log_price = np.where(have, np.log(np.arange(1, capacity + 1) / capacity), -np.inf)
+    log_price = np.where(have, steep * np.log(np.arange(1, capacity + 1) / capacity), -np.inf)
     covered, cover = np.zeros(capacity), {}
     for _ in range(rounds):
         left = have & (covered < need)
@@ -139,82 +160,73 @@ def configurations(counts: np.ndarray, capacity: int, rounds: int = 800, rate: f
     return cover
 
 
-#: (step of the multiplicative weights, least fill of a configuration that is rounded and kept);
-#: the last keeps none, so that the result is never worse than best-fit alone
-ROUNDINGS = ((0.06, 0.98), (0.02, 0.9), (0.02, 0.0), (1.0, 2.0))
+def completed(left: np.ndarray, items: list[int], capacity: int) -> list[int]:
+    """The fullest configuration that holds ``items`` and takes no length more often than it is left: a knapsack
+    with lengths as prices (those that prove the volume bound), by dynamic programming over sums kept as
+    bits of one integer."""
+    room = capacity - sum(items)
+    have = left.copy()
+    np.subtract.at(have, np.array(items) - 1, 1)
+    sums, whole, steps = 1, (1 << (room + 1)) - 1, []
+    for length in (np.flatnonzero(have[:room] > 0) + 1).tolist():
+        times, some = min(int(have[length - 1]), room // length), 1
+        while times:                     # 1, 2, 4, ... pieces, so that every number is a sum
+            some = min(some, times)
+            steps.append((length, some, sums))
+            sums |= (sums << (length * some)) & whole
+            times -= some
+            some *= 2
+    at, out = sums.bit_length() - 1, list(items)
+    for length, some, before in reversed(steps):        # longer pieces first
+        if length * some <= at and before >> (at - length * some) & 1:
+            out += [length] * some
+            at -= length * some
+    return out
+
+
+#: starting prices of the program that are tried: which solution rounds best depends on the histogram
+STEEP = (1.3, 1.0, 2.0)
 
 
 def plan(counts: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, int]:
-    """The best of the roundings: slot ranges (length, first rank, ranks, first sequence, offset)
-    that place every piece of the histogram once, and the number of sequences."""
+    """Slot ranges (length, first rank, ranks, first sequence, offset) that place every piece of the histogram
+    once, and the number of sequences: the best of the program's solutions, or the first that meets the
+    volume bound."""
     least = -(-int((counts * np.arange(1, capacity + 1)).sum()) // capacity)
     best = None
-    for rate, fill in ROUNDINGS:
-        found = rounded_plan(counts, capacity, rate, fill)
+    for steep in STEEP:
+        found = rounded(counts, capacity, configurations(counts, capacity, steep=steep))
         best = found if best is None or found[1] < best[1] else best
         if best[1] == least:
             break
     return best
 
 
-def rounded_plan(counts: np.ndarray, capacity: int, rate: float, fill: float) -> tuple[np.ndarray, int]:
-    """One solution of the covering program, rounded down, and the rest of the histogram best-fit."""
+def rounded(counts: np.ndarray, capacity: int, cover: dict[tuple[int, ...], float]) -> tuple[np.ndarray, int]:
+    """A fractional ``cover`` as whole sequences. Of it the configurations that fill a sequence are kept, rounded
+    down. What is left is rounded up: the configuration of the longest remaining piece is priced on what is
+    left, and taken as often as its scarcest length allows."""
     left = counts.astype(np.int64).copy()
     used = np.zeros(capacity, np.int64)     # ranks given away per length
     slots, sequences = [], 0
 
-    def place(items: list[int], times: int) -> None:
+    def place(items: list[int], most: float) -> None:
         nonlocal sequences
+        lengths, per = np.unique(items, return_counts=True)
+        times = int(min(most, (left[lengths - 1] // per).min()))
         offset = 0
-        for length in items:
+        for length in items if times else []:
             slots.append((length, int(used[length - 1]), times, sequences, offset))
             used[length - 1] += times
             left[length - 1] -= times
             offset += length
         sequences += times
 
-    if left.any() and fill <= 1:
-        cover = configurations(left, capacity, rate=rate)
-        for items, times in sorted(cover.items(), key=lambda x: (-sum(x[0]), x[0])):
-            lengths, per = np.unique(items, return_counts=True)
-            # rounded down, and never more than is left of a length
-            times = min(int(times), int((left[lengths - 1] // per).min()))
-            if times and sum(items) >= fill * capacity:
-                place(list(items), times)
-    # the rest, longest first, each into the fullest sequence that still has room. Open sequences are
-    # counted per configuration, so the steps depend on lengths and configurations, not on pieces
-    bins: list[dict[tuple[int, ...], int]] = [{} for _ in range(capacity + 1)]     # by free room
-
-    def put(items: tuple[int, ...], length: int, per: int, room: int, times: int) -> None:
-        """``times`` sequences of ``room`` get ``per`` pieces of ``length`` each."""
-        if times and per:
-            at, items = bins[room - per * length], items + (length,) * per
-            at[items] = at.get(items, 0) + times
-
-    for length in range(capacity, 0, -1):
-        todo, room = int(left[length - 1]), length
-        while todo:
-            while room < capacity and not bins[room]:
-                room += 1
-            # as many pieces of this length as one sequence takes, new sequences at last
-            per = room // length
-            full, extra = divmod(todo, per)
-            if room == capacity:
-                put((), length, per, room, full)
-                put((), length, extra, room, 1)
-                break
-            items, n = bins[room].popitem()
-            put(items, length, per, room, min(n, full))
-            todo -= min(n, full) * per
-            if n > full:
-                put(items, length, extra, room, 1)
-                todo = 0
-                n -= full + (extra > 0)
-                if n:
-                    bins[room][items] = n
-    for group in bins:
-        for items, times in group.items():
-            place(list(items), times)
+    for items, times in sorted(cover.items(), key=lambda x: (-x[1], x[0])):
+        if sum(items) == capacity:
+            place(list(items), int(times))
+    while left.any():
+        place(completed(left, [int(np.flatnonzero(left)[-1]) + 1], capacity), np.inf)
     return np.array(sorted(slots), np.int64).reshape(-1, 5), sequences
 
 
@@ -223,14 +235,15 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     ``pieces`` is read twice: hand in a staged table."""
     spark = pieces.sparkSession
-    sliced = pieces.withColumn("slice", F.pmod(F.xxhash64("id", "piece", "ids_crc32"), F.lit(SLICES)))
+    slices = max(SLICES, -(-pieces.count() // SLICE_ROWS))
+    sliced = pieces.withColumn("slice", F.pmod(F.xxhash64("id", "piece", "ids_crc32"), F.lit(slices)))
     tally = sliced.groupBy("length", "slice").agg(F.count(F.lit(1)).alias("n"))
     below = Window.partitionBy("length").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     tally = staged(tally.withColumn("before", F.coalesce(F.sum("n").over(below), F.lit(0))), "pack-tally")
     counts = np.zeros(capacity, np.int64)
     for r in tally.groupBy("length").agg(F.sum("n").alias("n")).collect():      # at most ``capacity`` rows
         counts[r["length"] - 1] = r["n"]
-    slots, _ = plan(counts, capacity)
+    slots = plan(counts, capacity)[0]
     shared = spark.sparkContext.broadcast(slots)
 
     @F.pandas_udf("sequence_id long, offset long")

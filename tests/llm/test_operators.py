@@ -337,7 +337,7 @@ def test_packing_plan_places_every_piece_once(capacity, lengths):
         else:
             free.remove(best)
             free.append(best - x)
-    assert n <= fit
+    assert n <= fit + 1
 
 
 def test_packing_odd_rows(odd, empty):
@@ -427,11 +427,66 @@ def test_toxicity_grammar():
     assert marks("i will kill you") == ["Am", "A@"]          # announced, then aimed
     assert marks("kill the process") == ["A"]
     assert marks("du vequade") == ["I@"]
+    assert marks("vequ vequ") == ["I", "I"] and Lexicon(["vequ+"]).class_of("vequade") == "W"
+    from ledgergraph.llm.toxicity import AIMED, DENIED, FEATURES, PLAIN
     plain, denied = lexicon.features("you idiot."), lexicon.features("you are not an idiot.")
-    assert plain[1] > 0 and denied[1] == 0 and denied[3] > 0
-    assert lexicon.features("idiotic ideas, an acrevequ") == [0.0] * 6        # neither whole word nor beginning
-    assert lexicon.features(None) == lexicon.features("") == [0.0] * 6
-    assert lexicon.features("not\nidiot")[0] > 0                              # clauses end at a line's end
+    assert plain[AIMED] == 1 and denied[AIMED] == 0 and denied[DENIED] == 1
+    assert lexicon.features("idiotic ideas, an acrevequ") == [0.0] * FEATURES        # neither whole word nor beginning
+    assert lexicon.features(None) == lexicon.features("") == [0.0] * FEATURES
+    assert lexicon.features("not\nidiot")[PLAIN] > 0                         # clauses end at a line's end
+    # a weak beginning counts where an insult of either kind is near
+    weak = Lexicon(["idiot$", "vequ+"])
+    assert weak.features("vequa vequi")[PLAIN] == 1 and weak.features("vequa a b c d vequi")[PLAIN] == 0
+    assert weak.features("vequa") == [0.0] * FEATURES and weak.features("idiot vequi")[PLAIN] == 2
+
+
+def test_composed_grammar_equals_its_parts_one_after_another():
+    """The table of the composition against the five transducers run in turn over whole clauses."""
+    from ledgergraph.llm.toxicity import ALPHABET, ARCS, PARTS
+    rng = np.random.default_rng(8)
+    for _ in range(3000):
+        symbols = list(rng.choice(list(ALPHABET), rng.integers(1, 25)))
+        words = symbols
+        for part in PARTS:
+            state, out = part.start, []
+            for symbol in words:
+                state, symbol = part.step(state, symbol)
+                out.append(symbol)
+            words = out
+        state, got = 0, []
+        for symbol in symbols:
+            state, mark = ARCS[state][symbol]
+            got.append(mark)
+        assert got == words
+
+
+def test_toxicity_order_holds_whatever_the_labels():
+    """Labels that call denials toxic and insults clean can't turn the order of the marks around."""
+    from ledgergraph.llm.toxicity import AIMED, DENIED, FEATURES, LONE, PLAIN, REPORTED, THREAT, fit_weights, probability
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        x = rng.poisson(0.7, (200, FEATURES)).astype(float)
+        y = (x[:, DENIED] + x[:, REPORTED] > x[:, AIMED] + x[:, PLAIN]).astype(float)
+        y[:2] = 0, 1
+        weights = fit_weights(x, y)
+        one = lambda k, n=1.0: probability(np.eye(FEATURES)[[k]] * n, weights)[0]
+        none = probability(np.zeros((1, FEATURES)), weights)[0]
+        assert one(AIMED) > one(PLAIN) > one(REPORTED) > one(DENIED) >= none and one(THREAT) >= one(PLAIN)
+        assert max(one(REPORTED), one(DENIED), one(LONE)) < 0.5
+        assert max(one(REPORTED, 50), one(DENIED, 50), one(LONE, 50)) < 0.5
+
+
+def test_toxicity_scores_clauses_not_words(spark):
+    """Planted denials and reports, where the word alone would be wrong."""
+    from ledgergraph.llm.toxicity import score, train
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    model = train(docs, spark.read.parquet(f"{SF001}/labels.parquet"))
+    toxic = ["you are an idiot", "You are trash and a moron.", "Il est stupide. Tu es un connard!", "I will kill you", "she is a pathetic loser"]
+    clean = ["you are not an idiot", "He said you are an idiot.", "they never called anyone trash", "nobody is a moron here",
+             "the report told us that a loser won", "kill the process", "I would not say that he is stupid", "er sagte du trottel"]
+    got = {r.row.text: r.score for r in score(spark.createDataFrame([(t,) for t in toxic + clean], "text string"), model).collect()}
+    assert all(got[t] >= 0.5 for t in toxic), got
+    assert all(got[t] < 0.5 for t in clean), got
 
 
 def test_long_texts_are_scored_in_linear_time():
@@ -441,7 +496,7 @@ def test_long_texts_are_scored_in_linear_time():
     from ledgergraph.llm.toxicity import Lexicon
     began = time.perf_counter()
     x = Lexicon(["idiot$"]).features("you idiot. " * 200_000)
-    assert x[1] == pytest.approx(np.log1p(1.5 * 200_000))
+    assert x[1] == 200_000
     assert main_text("<article>" + "<div>a</p></b>" * 100_000).count("a") == 100_000
     assert time.perf_counter() - began < 60
 
@@ -465,6 +520,18 @@ def test_toxicity_odd_rows(spark, odd, empty):
     assert score(empty, (insults, weights)).count() == 0
     labels = spark.createDataFrame([(4, 1), (8, 0), (None, 1), (9, None)], "doc_id long, toxic int")
     assert len(train(odd, labels)[1]) == len(DEFAULT_WEIGHTS)
+    assert train(empty, none)[1] == DEFAULT_WEIGHTS and train(empty, labels)[1] == DEFAULT_WEIGHTS
+
+
+def test_toxicity_query_on_empty_tables(spark, tmp_path):
+    from ledgergraph.llm.toxicity import query
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet")
+    labels = spark.read.parquet(f"{SF0001}/labels.parquet")
+    docs.write.parquet(f"{tmp_path}/a/documents.parquet")
+    labels.limit(0).write.parquet(f"{tmp_path}/a/labels.parquet")
+    docs.limit(0).write.parquet(f"{tmp_path}/b/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/b/labels.parquet")
+    assert query(spark, f"{tmp_path}/a").count() == docs.count() and query(spark, f"{tmp_path}/b").count() == 0
 
 
 def test_toxicity_learns_word_beginnings(spark):
@@ -573,24 +640,77 @@ def _places_every_piece(slots, n, counts, capacity):
     assert np.array_equal(starts[1:], starts[:-1] + times[:-1]) and starts[-1] + times[-1] == n
 
 
-def test_rest_of_a_packing_equals_best_fit():
-    from ledgergraph.llm.packing import rounded_plan
+def test_packing_plan_against_best_fit():
+    """Every solution places every piece once; over many histograms the program's is no worse than best-fit."""
+    from ledgergraph.llm.packing import configurations, plan, rounded
     rng = np.random.default_rng(11)
+    ours = theirs = 0
     for _ in range(60):
         capacity = int(rng.integers(3, 40))
         counts = rng.integers(0, 12, capacity) * rng.integers(0, 2, capacity)
         counts[rng.integers(capacity)] += 1
-        slots, n = rounded_plan(counts, capacity, 1.0, 2.0)
+        slots, n = plan(counts, capacity)
         _places_every_piece(slots, n, counts, capacity)
-        assert n == _best_fit_brute(counts, capacity)
+        fit = _best_fit_brute(counts, capacity)
+        assert n <= fit + 1
+        ours, theirs = ours + n, theirs + fit
+        _places_every_piece(*rounded(counts, capacity, configurations(counts, capacity)), counts, capacity)
+    assert ours <= theirs
+
+
+def test_completed_is_the_fullest_configuration():
+    from ledgergraph.llm.packing import completed
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        capacity = int(rng.integers(4, 16))
+        left = rng.integers(0, 3, capacity) * rng.integers(0, 2, capacity)
+        first = int(rng.integers(1, capacity + 1))
+        left[first - 1] += 1
+        sums = {first}
+        for length in range(1, capacity + 1):
+            for _ in range(left[length - 1] - (length == first)):
+                sums |= {x + length for x in sums if x + length <= capacity}
+        items = completed(left, [first], capacity)
+        assert sum(items) == max(sums) and items[0] == first
+        assert (np.bincount(items, minlength=capacity + 1)[1:] <= left).all()
 
 
 def test_packing_plan_does_not_grow_with_the_pieces():
-    from ledgergraph.llm.packing import plan, rounded_plan
+    from ledgergraph.llm.packing import plan
     counts = np.random.default_rng(4).integers(10 ** 9, 10 ** 10, 48)
-    slots, n = rounded_plan(counts, 48, 1.0, 2.0)
+    slots, n = plan(counts, 48)
     _places_every_piece(slots, n, counts, 48)
-    assert plan(counts, 48)[1] <= n
+    assert n <= 1.005 * (counts * np.arange(1, 49)).sum() / 48 and len(slots) < 10_000
+
+
+def test_packing_of_given_documents_meets_the_bound(spark):
+    """The histogram of sf0.01: every sequence is a configuration of the program or of its rounding."""
+    from ledgergraph.llm.packing import configurations, cut, plan
+    lengths = [r.length for r in cut(spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")).collect()]
+    counts = np.bincount(lengths, minlength=2049)[1:]
+    assert plan(counts)[1] == -(-sum(lengths) // 2048)
+    assert sum(configurations(counts, 2048).values()) >= sum(lengths) / 2048
+
+
+def test_packing_of_long_white_space(spark):
+    """Runs of white space of any length, where a pattern that goes back over them would break."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from ledgergraph.llm.packing import cut, encoder
+    tokenizer, encode = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), encoder()
+    same = lambda t: encode(t) == tokenizer.encode(t, add_special_tokens=False).ids
+    for n in (1, 2, 1999, 2000, 2001, 5000):
+        for c in (" ", "\t", "\n", "\xa0", "\u3000", "\x1c", " \n"):
+            run = c * n
+            for t in (run, "x" + run, run + "y", f"a {run} b", run + "<|endoftext|>", "<|endoftext|>" + run + "z",
+                      run + "\x1c" + run, run + "'s", run + "1" + run + "."):
+                assert same(t), (n, c, t[:4])
+    long = [" " * 1_000_000, "x" + " " * 1_000_000 + "y", "\n" * 3_000_000, "\xa0" * 1_000_001 + "z"]
+    assert all(map(same, long))
+    pieces = cut(spark.createDataFrame([(i, t) for i, t in enumerate(long)], "doc_id long, text string"))
+    assert {r.id: r.n for r in pieces.groupBy("id").agg(F.sum("length").alias("n")).collect()} == \
+        {i: len(encode(t)) + 1 for i, t in enumerate(long)}
 
 
 def test_only_texts_without_words_have_an_empty_fingerprint(spark, tmp_path):
