@@ -1,0 +1,335 @@
+"""Vector codes, hard negatives and the Jaccard join: brute force, SQL, edge cases."""
+
+import hashlib
+import math
+from collections import defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from conftest import SF0001
+from tools.oracle_check import digest
+
+VEC = "vec_id long, embedding array<float>, label int"
+NAN, INF = float("nan"), float("inf")
+
+
+def _vectors(spark, rows):
+    return spark.createDataFrame(rows, VEC)
+
+
+@pytest.mark.parametrize("name", ["op11_hard_negatives", "op13_vector_codes"])
+def test_query_matches_sql(spark, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{SF0001}/embeddings.parquet')")
+    ours, theirs = entry.queries()[name](spark, SF0001).toPandas(), con.execute(entry.oracle_sql()[name]).df()
+    assert len(ours) == len(theirs) and digest(ours) == digest(theirs)
+
+
+# ---- op13 -----------------------------------------------------------------------------------
+
+def _codes_brute(rows, entries, rounds, parts=4, scale=1024):
+    """{(id, vector): (code, error, label_error)} and the codebooks' digest, by plain loops."""
+    kept = [(i, [math.floor(x * scale) for x in v], y) for i, v, y in rows
+            if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    kept.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    width = -(-max((len(v) for _, v, _ in kept), default=1) // parts)
+    kept = [(i, v + [0] * (width * parts - len(v)), y) for i, v, y in kept]
+    cut = lambda v, p: v[p * width:(p + 1) * width]
+    far = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b))
+    books = [[cut(v, p) for _, v, _ in kept[:entries]] for p in range(parts)]
+
+    def assign():
+        return [[min(range(len(b)), key=lambda e: (far(cut(v, p), b[e]), e)) for p, b in enumerate(books)] for _, v, _ in kept]
+    for _ in range(rounds):
+        codes = assign()
+        for p in range(parts):
+            for e in range(len(books[p])):
+                mine = [cut(v, p) for (_, v, _), c in zip(kept, codes) if c[p] == e]
+                if mine:
+                    books[p][e] = [sum(x) // len(mine) for x in zip(*mine)]
+    codes = assign()
+    error = [sum(far(cut(v, p), books[p][c[p]]) for p in range(parts)) for (_, v, _), c in zip(kept, codes)]
+    by_label = defaultdict(int)
+    for (_, _, y), e in zip(kept, error):
+        by_label[y] += e
+    text = ",".join(str(x) for b in books for e in b for x in e)
+    return sorted((str(i), "".join(f"{e:02x}" for e in c), e_, by_label[y]) for (i, _, y), c, e_ in zip(kept, codes, error)), \
+        hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_codes_against_plain_loops(spark):
+    from ledgergraph.llm.vector_codes import compress
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in np.float32(rng.normal(0, 0.01, 8))], int(rng.integers(3)) if i % 5 else None) for i in range(150)]
+    rows += [(1000 + i, rows[7][1], 1) for i in range(40)]                       # copies
+    rows += [(2000 + i, [0.0, -0.0, 0.001, -0.001] * 2, 2) for i in range(9)]    # ties
+    rows += [(3, rows[3][1], rows[3][2]), (None, rows[4][1], None)]              # a repeated row, a null id
+    rows += [(4000, None, 1), (4001, [1.0, None] * 4, 1), (4002, [NAN] * 8, 1), (4003, [INF] + [0.0] * 7, None), (4004, [-INF] * 8, 1)]
+    rows += [(5000, [0.01, 0.02], 0)]                                            # shorter than the others
+    rng.shuffle(rows)
+    rows = [(r[0], None if r[1] is None else list(r[1]), r[2]) for r in rows]
+    df = _vectors(spark, rows).repartition(3).withColumn("code", F.lit("x")).withColumn("error", F.lit("y")).withColumn("ids", F.lit(1))
+    got = compress(df, entries=16, rounds=3, chunk=32).collect()
+    want, book = _codes_brute(rows, 16, 3)
+    assert sorted((str(r.vec_id), r.code, r.error, r.label_error) for r in got) == want
+    assert {r.codebooks_sha256 for r in got} == {book}
+    assert compress(df.limit(0)).collect() == [] and compress(df.filter("vec_id in (4000, 4002)")).collect() == []
+    few = compress(df.filter("vec_id < 3"), entries=16).collect()              # fewer rows than entries
+    assert len(few) == 3 and all(r.error == 0 for r in few)
+
+
+def test_cover_tree_holds_its_invariants_and_assigns_exactly():
+    from ledgergraph.llm.vector_codes import CoverTree, squared
+    rng = np.random.default_rng(1)
+    for trial in range(12):
+        n, d = int(rng.integers(1, 200)), int(rng.integers(1, 6))
+        centre = rng.integers(-500, 500, (4, d))
+        rows = centre[rng.integers(4, size=n)] + rng.integers(-9, 10, (n, d)) * (trial % 3)
+        tree = CoverTree(rows.astype(np.int64))
+        assert (tree.points[tree.place] == rows).all()
+        far = np.sqrt(squared(tree.points, tree.points).clip(0))
+        below = None
+        for starts, ends, radius in tree.levels:
+            assert starts[0] == 0 and ends[-1] == len(tree.points) and (starts[1:] == ends[:-1]).all()
+            for s, e, r in zip(starts, ends, radius):
+                assert np.isclose(far[s, s:e].max(), r)
+            if below is not None:
+                assert set(below) <= set(starts.tolist())                      # a centre stays one below
+            below = starts.tolist()
+        assert len(tree.levels[-1][0]) == len(tree.points)
+        book = rows[rng.integers(n, size=int(rng.integers(1, 9)))].astype(np.int64)
+        book = np.concatenate((book, book[:1]))                                # a tie goes to the lower entry
+        label, count, total = tree.assign(book)
+        want = squared(rows, book).argmin(axis=1)
+        assert (label[tree.place] == want).all()
+        assert (count == np.bincount(want, minlength=len(book))).all()
+        assert all((total[e] == rows[want == e].sum(axis=0)).all() for e in range(len(book)))
+
+
+def test_cover_tree_assigns_whole_subtrees():
+    """Well separated groups: few nodes are looked at, however many points they hold."""
+    from ledgergraph.llm import vector_codes as V
+    rng = np.random.default_rng(2)
+    centres = np.array([[0, 0], [10_000, 0], [0, 10_000]])
+    rows = np.repeat(centres, 300, axis=0) + rng.integers(-20, 20, (900, 2))
+    tree, seen, plain = V.CoverTree(rows), [], V.squared
+    V.squared = lambda p, c: seen.append(len(p)) or plain(p, c)
+    try:
+        label = tree.assign(centres)[0]
+    finally:
+        V.squared = plain
+    assert sum(seen) < 20 and (np.bincount(label[tree.place]) == 300).all()
+
+
+# ---- op11 -----------------------------------------------------------------------------------
+
+def _negatives_brute(rows, every=100, scale=256, k=5):
+    kept = {}
+    for i, v, y in rows:
+        if i is not None and y is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
+            q = [math.floor(x * scale) for x in v]
+            if i not in kept or (y, q) < kept[i]:
+                kept[i] = (y, q)
+    out = []
+    for a in sorted(i for i in kept if i % every == 0):
+        label, va = kept[a]
+        scored = sorted((-sum(x * y for x, y in zip(va, q)), i, y) for i, (y, q) in kept.items() if i != a)
+        for s, p, _ in [x for x in scored if x[2] == label][:k]:
+            window = [(-t, i) for t, i, y in scored if y != label and 80 * -s <= 100 * -t <= 100 * -s][:k]
+            out += [(a, p, rank, i, -s, t) for rank, (t, i) in enumerate(window, 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed,spread", [(1, 0.3), (2, 0.02), (3, 0.0)])
+def test_hard_negatives_against_brute_force(spark, seed, spread):
+    """Clustered, tied and equal vectors, in tiny cells and blocks."""
+    from ledgergraph.llm.hard_negatives import mine
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(0, 0.3, (6, 8))
+    rows = []
+    for i in range(600):
+        c = int(rng.integers(6))
+        rows.append((i, [float(x) for x in np.float32(centres[c] + rng.normal(0, spread, 8))], int(rng.integers(3)) if rng.random() < 0.5 else c % 3))
+    rows += [(700, None, 1), (800, rows[0][1], None), (None, rows[1][1], 1), (900, [NAN] * 8, 0), (901, [None] * 8, 0)]
+    rows += [(100, rows[100][1], rows[100][2]), (200, rows[5][1], 2)]                # repeated ids
+    df = _vectors(spark, rows).withColumn("anchor", F.lit("x")).withColumn("score", F.lit("y")).withColumn("cell", F.lit(0))
+    got = sorted(tuple(r) for r in mine(df, block=16, sample=200).select(
+        "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score").collect())
+    assert got == _negatives_brute(rows)
+    assert got
+
+
+def test_hard_negatives_odd_tables(spark):
+    from ledgergraph.llm.hard_negatives import mine
+    assert mine(_vectors(spark, [])).collect() == []
+    assert mine(_vectors(spark, [(0, [1.0, 2.0], 1)])).collect() == []
+    one = [(0, [1.0, 0.5, 0.25], 1), (1, [1.0], 1), (2, [0.9], 0), (3, [-1.0], 0), (4, [], 0)]
+    got = [tuple(r) for r in mine(_vectors(spark, one)).collect()]
+    assert got == [(0, 1, 1, 2, 256 * 256, 256 * 230)]
+
+
+def test_cells_come_by_bound_and_bounds_hold():
+    from ledgergraph.llm.hard_negatives import Index, fit, in_order, nearest
+    rng = np.random.default_rng(4)
+    one, two = rng.integers(0, 9, 7).astype(float), rng.integers(0, 9, 5).astype(float)
+    pairs = list(in_order(one, two))
+    assert len({p[1:] for p in pairs}) == 35 and all(a[0] >= b[0] for a, b in zip(pairs, pairs[1:]))
+    assert all(s == one[i] + two[j] for s, i, j in pairs)
+    rows = rng.integers(-200, 200, (300, 8)).astype(float)
+    books = fit(rows[:, :4], 5), fit(rows[:, 4:], 5)
+    (a, da), (b, db) = nearest(rows[:, :4], books[0]), nearest(rows[:, 4:], books[1])
+    radii = [np.array([d[at == e].max(initial=-1) for e in range(5)]) for at, d in ((a, da), (b, db))]
+    cells = defaultdict(list)
+    for r, cell in enumerate((a * 5 + b).tolist()):
+        cells[cell].append(r)
+    index = Index(books, radii, {c: len(m) for c, m in cells.items()})
+    for anchor in rows[:20]:
+        score = rows @ anchor
+        for need in (-10 ** 9, 0, int(np.sort(score)[-10])):
+            seen, done = [], 0
+            while True:                              # a few rows at a time
+                found, done = index.visits(anchor, done, need, 40)
+                if not found:
+                    break
+                seen += found
+            assert len(seen) == len(set(seen))
+            left = [r for c, m in cells.items() if c not in seen for r in m]
+            assert all(score[r] < need for r in left)
+
+
+# ---- op12 -----------------------------------------------------------------------------------
+
+def _jaccard_brute(rows, size=5):
+    """{row number: (set size, component)}; components named by the least id."""
+    sets = []
+    for _, t in rows:
+        w = (t or "").encode().lower().split()
+        sets.append({tuple(w[k:k + size]) for k in range(len(w) - size + 1)} or ({tuple(w)} if w else set()))
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if sets[i] and 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                root[find(i)] = find(j)
+    least = {}
+    for i, (doc, _) in enumerate(rows):
+        r = find(i)
+        ids = [x for x in (doc, least.get(r)) if x is not None]
+        least[r] = min(ids, default=None)
+    return sorted((str(doc), len(sets[i]), str(least[find(i)])) for i, (doc, _) in enumerate(rows))
+
+
+def _texts(seed, n=150):
+    """Texts with near copies around the threshold, chains of them, shared passages, short and odd ones."""
+    rng = np.random.default_rng(seed)
+    words = [f"w{i}" for i in range(400)]
+    passage = " ".join(rng.choice(words, 40))
+    rows = []
+    for i in range(n):
+        kind = rng.integers(6)
+        if kind < 3 and rows:
+            w = (rows[int(rng.integers(len(rows)))][1] or "a b c").split()
+            for _ in range(int(rng.integers(0, 4))):
+                w[int(rng.integers(len(w)))] = str(rng.choice(words))
+            if rng.random() < 0.3:
+                w = w[int(rng.integers(0, 4)):]
+            rows.append((i, " ".join(w) or "x"))
+        elif kind == 3:
+            rows.append((i, " ".join(rng.choice(words, int(rng.integers(1, 9))))))
+        else:
+            text = " ".join(rng.choice(words, int(rng.integers(10, 120))))
+            rows.append((i, text + " " + passage if kind == 4 else text))
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_jaccard_join_against_all_pairs(spark, seed):
+    from ledgergraph.llm.jaccard_join import join
+    rows = _texts(seed)
+    rows += [(900, None), (901, ""), (902, " \t\n"), (903, "A b C d E f"), (904, "a  B c\td e F"), (905, "a b c d e"), (905, "a b c d e"),
+             (None, "no id but words in it"), (906, "no id but words in it"), (None, "nobody else has this text here"), (None, None),
+             (907, "word " * 20_000), (908, "word word word word word"), (909, "İstanbul ÄÖ ß 日本 x"), (910, "istanbul ÄÖ ß 日本 x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for c in ("id", "sid", "key", "role", "root", "n", "th", "n_shingles", "component_id", "a", "b"):
+        df = df.withColumn(c, F.lit("x"))
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in join(df.repartition(4), sample=100).collect())
+    assert got == _jaccard_brute(rows)
+
+
+def test_jaccard_join_of_a_large_near_group(spark):
+    """Hundreds of near copies of one text: one component, and far fewer comparisons than pairs."""
+    from ledgergraph.llm import jaccard_join as J
+    rng = np.random.default_rng(9)
+    base = [f"b{i}" for i in range(150)]
+    rows = []
+    for i in range(300):
+        w = list(base)
+        for _ in range(2):
+            w[int(rng.integers(len(w)))] = f"e{i}"
+        rows.append((i, " ".join(w)))
+    tried = []
+    plain = J.Join.verify
+
+    def counted(self, pairs):
+        plain(self, pairs)
+        tried.append(self.tried.count())
+    J.Join.verify = counted
+    try:
+        got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in
+                     J.join(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    finally:
+        J.Join.verify = plain
+    assert got == _jaccard_brute(rows)
+    assert tried[-1] < 300 * 10
+
+
+def test_jaccard_join_of_empty_tables(spark):
+    from ledgergraph.llm.jaccard_join import join
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert join(none).collect() == []
+    assert [tuple(r) for r in join(spark.createDataFrame([(5, None)], "doc_id long, text string")).collect()] == [(5, 0, 5)]
+
+
+def test_linked_sets_share_a_signature_that_is_probed():
+    """The pigeonhole: for every pair of linked sets some signature of both has roles that meet."""
+    from ledgergraph.llm.jaccard_join import INDEXED, INDEXED_LESS, PROBED, PROBED_LESS, Costs, entries_of, most_apart
+    rng = np.random.default_rng(6)
+    bands, checked = {}, 0
+    random_keys = np.sort(rng.integers(0, 1 << 63, 5000, dtype=np.uint64))
+    costs = Costs([2.0 ** -i for i in range(16)], random_keys, np.ones(5000))
+    for _ in range(3000):
+        x = np.unique(rng.integers(0, 1 << 63, int(rng.integers(1, 150)), dtype=np.uint64) * np.uint64(2))
+        gone, new = int(rng.integers(0, len(x) // 5 + 2)), int(rng.integers(0, len(x) // 4 + 2))
+        y = np.unique(np.concatenate((rng.permutation(x)[min(gone, len(x) - 1):], rng.integers(0, 1 << 63, new, dtype=np.uint64))))
+        both = len(np.intersect1d(x, y))
+        apart = len(x) + len(y) - 2 * both
+        linked = 100 * both >= 80 * (len(x) + len(y) - both)
+        assert linked == (apart <= most_apart(len(x), len(y)))
+        if not linked or not apart:
+            continue
+        checked += 1
+        roles = [defaultdict(int), defaultdict(int)]
+        for which, key, role in zip(*[a.tolist() for a in entries_of([x, y], costs, bands)[:3]]):
+            roles[which][key] |= role
+        meet = lambda p, i: p & PROBED and i & (INDEXED | INDEXED_LESS) or p & PROBED_LESS and i & INDEXED
+        assert any(meet(roles[0][k], roles[1][k]) or meet(roles[1][k], roles[0][k]) for k in roles[0].keys() & roles[1].keys())
+    assert checked > 500
+
+
+def test_signatures_of_many_sets_are_those_of_each():
+    from ledgergraph.llm.jaccard_join import Costs, entries_of
+    rng = np.random.default_rng(7)
+    tokens = [np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2)) for n in (0, 1, 4, 5, 7, 9, 31, 32, 33, 40, 200, 260)]
+    costs, bands = Costs([2.0 ** -i for i in range(16)], np.zeros(0, np.uint64), np.zeros(0)), {}
+    many = sorted(zip(*[a.tolist() for a in entries_of(tokens, costs, bands)]))
+    each = sorted((i, *e[1:]) for i, t in enumerate(tokens) if len(t) for e in zip(*[a.tolist() for a in entries_of([t], costs, bands)]))
+    assert many == each
