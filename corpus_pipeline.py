@@ -38,31 +38,36 @@ def _stage(function):
 
 @_stage
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a recognisable language go."""
+    """Documents without a recognisable language go: null and empty texts and texts without a letter among
+    them. Repeated rows stay or go together."""
     return langid.keep_identified(docs)
 
 
 @_stage
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one with the smallest id stays."""
+    """Of equal texts (white space apart; null counts as empty) the row with the smallest id stays; a null id
+    is larger than any, and of repeated rows one stays."""
     return exact_dedup.keep_distinct(docs)
 
 
 @_stage
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts linked by their SimHash (shingles of 4 words, at most 4 bits) one stays."""
+    """Of texts linked by their SimHash (shingles of 4 words, at most 4 bits) the one with the smallest id
+    stays, null ids last; texts without words link like any other."""
     return simhash.keep_one(docs, shingle=4, radius=4)
 
 
 @_stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources in their target proportions: rows are repeated or left out."""
+    """Sources in their target proportions: rows are repeated or left out. Null is a source of its own, a text
+    without words takes nothing from its source, and reruns agree."""
     return mixing.mixed_rows(docs)
 
 
 @_stage
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of the mix with its place in a sequence."""
+    """Every piece of the mix with its place in a sequence; a repeated row is packed as often as it is there,
+    and an empty text as the end token alone."""
     return packing.packed(docs)
 
 
