@@ -18,16 +18,19 @@ from pyspark.sql import functions as F
 
 from ledgergraph.operators import edges as E
 from ledgergraph.operators import ledger as L
-from ledgergraph.operators.chain import block_drilldown, block_listing, chain_height
+from ledgergraph.operators.chain import block_drilldown, block_listing, chain_height, main_chain
 from ledgergraph.operators.neighbours import graph_elements, neighbourhood
 from ledgergraph.operators.pagerank import graph_counts, graph_vertices, pagerank, top_k
 from ledgergraph.operators.report import address_report, usd_columns
 from ledgergraph.operators.snapshots import snapshot_counts
+from ledgergraph.operators.subgraph import seed_documents
 from ledgergraph.schemas import Ledger
 from ledgergraph.session import bucketed_table, ensure_checkpoint_dir, ship_package, staged
-from ledgergraph.sources.blockfile import flatten, read_block_files
-from ledgergraph.sources.io import read_ledger, write_graph_json
+from ledgergraph.sources.blockfile import blocks_of, flatten
+from ledgergraph.sources.blockranges import scan_blocks
+from ledgergraph.sources.io import LEDGER_TABLES, read_ledger, write_graph_json
 from ledgergraph.sources.star import ledger_buckets, ledger_from_dir
+from ledgergraph.sources.versions import Versions
 
 
 class LedgerGraph:
@@ -43,16 +46,22 @@ class LedgerGraph:
     @classmethod
     def from_block_files(cls, spark: SparkSession, path: str, glob: str = "blk*.dat", on_damage: str = "fail",
                          **kw) -> LedgerGraph:
-        """Parse block files once (staged) and flatten them into the ledger tables."""
+        """Parse block files once (staged, as byte ranges) and flatten them into the ledger tables."""
         ensure_checkpoint_dir(spark)
         ship_package(spark)
-        return cls(flatten(staged(read_block_files(spark, path, glob, on_damage=on_damage), "lg_blocks")), **kw)
+        return cls(flatten(blocks_of(scan_blocks(spark, path, glob, on_damage=on_damage)[0])), **kw)
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str, **kw) -> LedgerGraph:
         """A ledger written by ``io.write_ledger`` / the conversion job (``<out>/ledger``)."""
         return cls(read_ledger(spark, root), **kw)
 
+    @classmethod
+    def from_published(cls, spark: SparkSession, root: str, version: int | None = None, **kw) -> LedgerGraph:
+        """The ledger of the newest (or the given) version that a conversion with ``atomic`` published."""
+        tables = Versions(spark, root)
+        return cls(Ledger(*(tables.read(f"ledger/{t}", version) for t in LEDGER_TABLES)), **kw)
+
     @classmethod
     def from_star(cls, spark: SparkSession, sf_dir: str, **kw) -> LedgerGraph:
         """The ledger derived from the ``orders``/``lineitem`` tables of ``sf_dir``."""
@@ -145,6 +154,10 @@ class LedgerGraph:
     def listing(self) -> DataFrame:
         return block_listing(self.heights)
 
+    def main_chain(self) -> DataFrame:
+        """Heights with the chain of the tip marked, for a ledger with forks."""
+        return main_chain(self.ledger.blocks)
+
     def drilldown(self, k: int = 1) -> DataFrame:
         return block_drilldown(self.heights, self.ledger.transactions, self.outputs, self.inputs, k)
 
@@ -154,6 +167,12 @@ class LedgerGraph:
             seeds = self.ids.addresses.join(seeds.select("address"), "address").select("id")
         return neighbourhood(self.payment_graph, seeds).join(self.ids.addresses, "id")
 
+    def seed_documents(self, seeds: DataFrame, k: int = 50) -> DataFrame:
+        """One bounded viewer document per seed, given as for ``neighbourhood``."""
+        if "id" not in seeds.columns:
+            seeds = self.ids.addresses.join(seeds.select("address"), "address").select("id")
+        return seed_documents(self.payment_graph, seeds, k)
+
     def export_graph(self, path: str, seeds: DataFrame) -> None:
         kept = staged(self.neighbourhood(seeds).select("id"), "lg_api_kept")
         write_graph_json(graph_elements(self.ids.addresses, self.payment_graph, kept), path)

@@ -34,14 +34,19 @@ def double_sha256(c: Column) -> Column:
     return sha256_bytes(sha256_bytes(c))
 
 
+def reverse_bytes(raw: Column) -> Column:
+    """The bytes in reverse order: as Latin-1 text a byte is a character, and texts can be reversed."""
+    return F.encode(F.reverse(F.decode(raw, "ISO-8859-1")), "ISO-8859-1")
+
+
 def reverse_hex(hex_col: Column) -> Column:
-    """Byte-reverse a hex string (F4): split into byte pairs, reverse, join."""
-    return F.array_join(F.reverse(F.regexp_extract_all(hex_col, F.lit("(..)"), 1)), "")
+    """Byte-reverse a hex string."""
+    return F.hex(reverse_bytes(F.unhex(hex_col)))
 
 
 def display_hash(raw: Column) -> Column:
     """Internal (little-endian) hash bytes → the customary byte-reversed upper hex."""
-    return reverse_hex(F.hex(raw))
+    return F.hex(reverse_bytes(raw))
 
 
 # --- RIPEMD-160 (hash160) -------------------------------------------------------------------

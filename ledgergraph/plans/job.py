@@ -37,8 +37,8 @@ from ledgergraph.operators import edges as E
 from ledgergraph.operators.sampling import sample_rows
 from ledgergraph.schemas import Ledger
 from ledgergraph.session import ensure_checkpoint_dir, release_scratch, scratch_tables, ship_package, staged
-from ledgergraph.sources.blockfile import DamagedBlockFile, blocks_of, damage_of, flatten, rejects_of, scan_block_files
-from ledgergraph.sources.blockranges import RANGE_BYTES, reachable, scan_ranges
+from ledgergraph.sources.blockfile import blocks_of, flatten, rejects_of
+from ledgergraph.sources.blockranges import RANGE_BYTES, scan_blocks
 from ledgergraph.sources.io import LEDGER_TABLES, write_ledger, write_table
 from ledgergraph.sources.versions import Versions
 
@@ -75,22 +75,10 @@ TABLES = ("rejects", *(f"ledger/{t}" for t in LEDGER_TABLES), "addresses", "bloc
           "payment_edges")
 
 
-def _scan(spark: SparkSession, input_path: str, glob: str, range_bytes: int) -> DataFrame:
-    """The files' blocks and rejects, as ranges wherever Python reaches the file system."""
-    if reachable(input_path):
-        return scan_ranges(spark, input_path, glob, scripts="outputs", range_bytes=range_bytes)
-    return staged(scan_block_files(spark, input_path, glob), "lg_scan")
-
-
 def _convert(spark: SparkSession, input_path: str, output_dir: str, glob: str, debug: int, direction: str,
              compression: str, edge_files: int | None, table_db: str | None, on_damage: str,
              range_bytes: int) -> dict[str, int]:
-    scan = _scan(spark, input_path, glob, range_bytes)
-    damaged = damage_of(scan).count()
-    if damaged and on_damage != "keep":
-        first = damage_of(scan).orderBy("file", "offset").first()
-        raise DamagedBlockFile(f"{damaged} damaged places, the first in {first.file}: {first.reason}, {first.length} bytes "
-                               f"at {first.offset}; on_damage='keep' converts the blocks around them")
+    scan, damaged = scan_blocks(spark, input_path, glob, range_bytes=range_bytes, on_damage=on_damage)
     write_table(rejects_of(scan), f"{output_dir}/rejects", compression=compression)
     flat = flatten(blocks_of(scan))
     # what the debug report counts is counted while it is written

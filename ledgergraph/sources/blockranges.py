@@ -34,7 +34,8 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from ledgergraph.session import staged
-from ledgergraph.sources.blockfile import MAINNET_MAGIC, SCAN, block_end, gap, holds_block, parse_source
+from ledgergraph.sources.blockfile import (MAINNET_MAGIC, SCAN, DamagedBlockFile, block_end, damage_of, gap, holds_block,
+                                           parse_source, scan_block_files)
 
 RANGE_BYTES = 64 << 20
 READ_BYTES = 8 << 20
@@ -291,3 +292,21 @@ def scan_ranges(spark: SparkSession, path: str, glob: str = "blk*.dat", magic: b
                                     "file string, range long")
         rows = staged(rows.join(out, ["file", "range"], "left_anti").select(*RANGED.names).unionByName(again), "lg_ranges")
     return rows.filter(F.col("reason").isNull() | (F.col("reason") != RANGE)).drop("range")
+
+
+def scan_blocks(spark: SparkSession, path: str, glob: str = "blk*.dat", scripts: str = "outputs",
+                range_bytes: int = RANGE_BYTES, on_damage: str = "fail") -> tuple[DataFrame, int]:
+    """A staged scan with rejects, as ranges wherever Python reaches the file system, and the number of damaged
+    places in it; unless ``on_damage`` is "keep", damage is an error."""
+    if on_damage not in ("fail", "keep"):
+        raise ValueError(f"unknown on_damage {on_damage!r}")
+    if reachable(path):
+        scan = scan_ranges(spark, path, glob, scripts=scripts, range_bytes=range_bytes)
+    else:
+        scan = staged(scan_block_files(spark, path, glob), "lg_scan")
+    damaged = damage_of(scan).count()
+    if damaged and on_damage != "keep":
+        first = damage_of(scan).orderBy("file", "offset").first()
+        raise DamagedBlockFile(f"{damaged} damaged places, the first in {first.file}: {first.reason}, {first.length} bytes "
+                               f"at {first.offset}; on_damage='keep' reads the blocks around them")
+    return scan, damaged

@@ -30,6 +30,19 @@ def test_block_files_to_report(spark):
     g.export_graph(os.path.join(out, "g"), seeds)
     docs = [json.loads(r.value) for r in spark.read.text(os.path.join(out, "g")).collect()]
     assert any("source" in d for d in docs) and any(d.get("color") == "#ec5148" for d in docs)
+    doc = json.loads(g.seed_documents(seeds).first().json)
+    assert doc["nodes"] and {e["source"] for e in doc["edges"]} | {e["target"] for e in doc["edges"]} <= {n["id"] for n in doc["nodes"]}
+    assert [r.main for r in g.main_chain().collect()] == [True] * 3
+
+
+def test_published_conversion_through_the_facade(spark, tmp_path):
+    from ledgergraph.plans.job import convert
+    (tmp_path / "in").mkdir()
+    _fixture(str(tmp_path / "in"))
+    convert(spark, str(tmp_path / "in"), str(tmp_path / "out"), atomic=True)
+    g = LedgerGraph.from_published(spark, str(tmp_path / "out"))
+    assert {r.address: r.balance for r in g.balances().collect()} == {
+        "AB" * 20: 1999, "CD" * 20: 8000, "anyone": 7, "unspendable": 50}
 
 
 def test_facade_matches_registry(spark):
