@@ -36,10 +36,11 @@ from ledgergraph.functions.script import KINDS, with_address
 from ledgergraph.operators import edges as E
 from ledgergraph.operators.sampling import sample_rows
 from ledgergraph.schemas import Ledger
-from ledgergraph.session import ensure_checkpoint_dir, release_scratch, scratch_tables, ship_package, staged
+from ledgergraph.session import bucketed_table, ensure_checkpoint_dir, release_scratch, scratch_tables, ship_package, staged
 from ledgergraph.sources.blockfile import blocks_of, flatten, rejects_of
 from ledgergraph.sources.blockranges import RANGE_BYTES, scan_blocks
 from ledgergraph.sources.io import LEDGER_TABLES, write_ledger, write_table
+from ledgergraph.sources.star import ledger_buckets
 from ledgergraph.sources.versions import Versions
 
 
@@ -90,13 +91,16 @@ def _convert(spark: SparkSession, input_path: str, output_dir: str, glob: str, d
     if table_db:
         write_outpoint_tables(spark, ledger, output_dir, table_db)
 
-    outs = outputs.drop("script")
+    # all graphs match spends: outputs and inputs are shuffled to their outpoint once, not by every match
+    n = ledger_buckets(spark, outputs.count())
+    outs = bucketed_table(outputs.drop("script"), "lg_outputs", ["tx_hash", "ord"], n)[0]
+    ledger = ledger._replace(inputs=bucketed_table(flat.inputs, "lg_inputs", ["ref_hash", "ref_ord"], n)[0])
     ids = E.vertex_ids(ledger, outs)
     write_table(ids.addresses.observe(odd, F.count(F.when(F.col("address").contains("_"), 1)).alias("n")),
                 f"{output_dir}/addresses", compression=compression)
     write_table(ids.blocks, f"{output_dir}/blocks", compression=compression)
     write_table(ids.transactions, f"{output_dir}/transactions", compression=compression)
-    resolved = staged(E.resolve_addresses(outs, ids.addresses), "lg_resolved")
+    resolved = bucketed_table(E.resolve_addresses(outs, ids.addresses, n), "lg_resolved", ["tx_hash", "ord"], n, placed=True)[0]
     write_table(E.edges_indexed(ledger, resolved, ids, direction=direction), f"{output_dir}/edges",
                 compression=compression, num_files=edge_files)
     write_table(_counted(E.edges_named(ledger, outs, direction=direction), edges, "edge_kind", E.EDGE_KINDS),
@@ -121,7 +125,6 @@ def _counted(df: DataFrame, into: Observation, column: str, values: tuple[str, .
 
 
 def write_outpoint_tables(spark: SparkSession, ledger: Ledger, output_dir: str, db: str) -> None:
-    from ledgergraph.sources.star import ledger_buckets
     n = ledger_buckets(spark, ledger.outputs.count())
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
     for name, df, keys in (("ledger_outputs", ledger.outputs, ["tx_hash", "ord"]),
