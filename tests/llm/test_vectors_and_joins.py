@@ -335,3 +335,81 @@ def test_signatures_of_many_sets_are_those_of_each():
     many = sorted(zip(*[a.tolist() for a in entries_of(tokens, costs, bands)]))
     each = sorted((i, *e[1:]) for i, t in enumerate(tokens) if len(t) for e in zip(*[a.tolist() for a in entries_of([t], costs, bands)]))
     assert many == each
+
+
+def test_prefixes_are_few_and_rare_first():
+    """A set has no more signatures than its probing prefix, a fifth of its shingles and three more, frequent ones last."""
+    from ledgergraph.llm.jaccard_join import FREQUENT, INDEXED, Costs, entries_of
+    tokens = [np.arange(1, 101, dtype=np.uint64), np.arange(50, 61, dtype=np.uint64), np.zeros(0, np.uint64)]
+    costs = Costs([], np.arange(1, 61, dtype=np.uint64), np.arange(60, 0, -1).astype(float))
+    where, key, role = entries_of(tokens, costs)
+    assert sorted(key[where == 0].tolist()) == list(range(61, 84)) and not (role[where == 0] & FREQUENT).any()
+    assert sorted(key[where == 1].tolist()) == [56, 57, 58, 59, 60] and (role[where == 1] & FREQUENT).all()
+    assert [int((role[where == k] & INDEXED > 0).sum()) for k in (0, 1)] == [14, 4]
+
+
+def test_links_of_blocks_are_a_forest():
+    """What blocks hand on joins the same sets as all links do, and is never more rows than sets."""
+    from ledgergraph.llm.jaccard_join import forest
+    rng = np.random.default_rng(3)
+    sets = []
+    for _ in range(120):
+        x = set(rng.choice(40, 30, replace=False).tolist()) if len(sets) < 80 else set(rng.integers(0, 10_000, 8).tolist())
+        sets.append(np.array(sorted(x), np.int64))
+    for root, block in ((np.arange(120), np.zeros(120, int)), (np.arange(120) // 3, np.arange(120) % 2), (np.zeros(120, int), np.zeros(120, int))):
+        a, b = forest(np.concatenate(sets), np.array([len(x) for x in sets]), root, block)
+        assert len(a) < 120
+
+        def joined(pairs):
+            name = root.copy()
+            for x, y in pairs:
+                name[name == name[x]] = name[y]
+            return [min(np.flatnonzero(name == k)) for k in name]
+        every = []
+        for x in range(120):
+            for y in range(x):
+                both = len(np.intersect1d(sets[x], sets[y]))
+                if 100 * both >= 80 * (len(sets[x]) + len(sets[y]) - both) and (block.max() == 0 or block[x] != block[y]):
+                    every.append((x, y))
+        assert joined(zip(a, b)) == joined(every)
+        assert set(zip(np.maximum(a, b).tolist(), np.minimum(a, b).tolist())) <= set(every)
+
+
+def test_blocks_of_a_large_near_group(spark, monkeypatch):
+    """Many small blocks, the largest component's apart: the components of all pairs, from fewer rows than sets."""
+    from ledgergraph.llm import jaccard_join as J
+    monkeypatch.setattr(J, "BLOCK", 20)
+    monkeypatch.setattr(J, "BLOCK_SHINGLES", 2500)
+    rng = np.random.default_rng(4)
+    base = [f"b{i}" for i in range(150)]
+    rows = []
+    for i in range(200):
+        w = list(base)
+        for k in rng.integers(0, 150, int(rng.integers(1, 6))):
+            w[int(k)] = f"e{int(rng.integers(40))}"
+        rows.append((i, " ".join(w)))
+    linked, plain = [], J.Join.link
+
+    def counted(self, links):
+        linked.append(links.count())
+        plain(self, links)
+    monkeypatch.setattr(J.Join, "link", counted)
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in J.join(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == _jaccard_brute(rows)
+    assert 0 < linked[-1] < 200 * 199 // 4
+
+
+def test_small_sets_link_at_any_share(spark):
+    """Sets that link by fewer shingles than are usually asked for."""
+    from ledgergraph.llm.jaccard_join import join
+    rows = [(1, "a"), (2, "a b"), (3, "a b c"), (4, "c d e"), (5, "x y"), (6, "x"), (7, "z")]
+    got = {r.doc_id: r.component_id for r in join(spark.createDataFrame(rows, "doc_id long, text string"), size=1, similar=50).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5, 6: 5, 7: 7}
+
+
+def test_linked_sets_are_in_neighbouring_size_classes():
+    from ledgergraph.llm.jaccard_join import size_class
+    for similar in (50, 80, 95):
+        n = np.arange(1, 200_000)
+        least = -(-similar * n // 100)          # the smallest set that links with n
+        assert (size_class(n, similar) - size_class(least, similar) <= 1).all()
