@@ -413,3 +413,73 @@ def test_linked_sets_are_in_neighbouring_size_classes():
         n = np.arange(1, 200_000)
         least = -(-similar * n // 100)          # the smallest set that links with n
         assert (size_class(n, similar) - size_class(least, similar) <= 1).all()
+
+
+def test_parity_sketches_never_part_linked_sets():
+    """Two sketches differ in no more bits than the sets differ in shingles, and in most of them if these are few."""
+    from ledgergraph.llm.jaccard_join import PARITY, parities
+    rng = np.random.default_rng(11)
+    told = 0
+    for n in (1, 2, 5, 80, 700, 6000):
+        x = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+        for share in (0.02, 0.1, 0.2, 0.5, 1):
+            gone = int(len(x) * share)
+            y = np.unique(np.concatenate((rng.permutation(x)[gone:], rng.integers(0, 1 << 63, gone, dtype=np.uint64))))
+            apart = len(np.setxor1d(x, y))
+            p = parities([x, np.zeros(0, np.uint64), y])
+            assert p.shape == (3, PARITY // 64) and not p[1].any()
+            least = int(np.bitwise_count((p[0] ^ p[2]).view(np.uint64)).sum())
+            assert least <= apart and (apart - least) % 2 == 0
+            told += 9 * apart > len(x) + len(y) and 9 * least > len(x) + len(y)
+    assert told >= 8 and parities([]).shape == (0, PARITY // 64)
+
+
+def test_sieve_keeps_every_key(spark, monkeypatch):
+    from ledgergraph.llm import jaccard_join as J
+    rows = spark.range(-10_000, 10_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    keys = spark.createDataFrame([(i * 40,) for i in range(-200, 300)] * 2, "k long")
+    wanted = {i * 40 for i in range(-200, 250)}
+    for most in (J.SIEVE_PARTS, 1):
+        monkeypatch.setattr(J, "SIEVE_PARTS", most)
+        got = J.sifted(rows, keys, "k")
+        assert got.columns == ["k", "v"]
+        got = [tuple(r) for r in got.collect()]
+        assert len(set(got)) == len(got) and all(v == 2 * k for k, v in got)
+        assert wanted <= {k for k, _ in got} and len(got) < 2000
+    # more keys than the sieve is made for: more rows pass, none is lost
+    many = rows.filter("k % 2 = 0").select("k")
+    assert {r.k for r in J.sifted(rows, many, "k").collect()} >= set(range(-10_000, 10_000, 2))
+    assert J.sifted(rows, keys.filter("k > 5000000"), "k").count() == 0
+
+
+def test_few_texts_and_sets_are_shuffled(spark, monkeypatch):
+    """A text goes through one exchange and only past the sieve; pairs that the sketches tell apart need no whole sets."""
+    from ledgergraph.llm import jaccard_join as J
+    rng = np.random.default_rng(12)
+    rows = []
+    for i in range(60):                       # two texts that share most words and don't link, one that does
+        w = [f"t{i}w{k}" for k in range(200)]
+        for copy, edits in ((0, 0), (1, 7), (2, 1)):
+            v = list(w)
+            for k in rng.choice(200, edits, replace=False).tolist():
+                v[k] = f"e{copy}"
+            rows.append((10 * i + copy, " ".join(v)))
+    rows += [(10_000 + i, " ".join(f"u{i}w{k}" for k in range(100))) for i in range(200)]
+    counts, plans, plain = {}, {}, J.staged
+
+    def counted(df, tag, *rest):
+        plans.setdefault(tag, df._jdf.queryExecution().executedPlan().toString())
+        out = plain(df, tag, *rest)
+        counts[tag] = counts.get(tag, 0) + out.count()
+        return out
+    monkeypatch.setattr(J, "staged", counted)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in
+                     J.join(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == _jaccard_brute(rows)
+    assert counts["tokens"] <= 180 and counts["near"] >= 80 and 60 <= counts["pairs"] <= 65
+    text_side = plans["tokens"].split("SortMergeJoin", 1)
+    assert "hashpartitioning" not in text_side[0] and "sieve_bits" in text_side[1].split("hashpartitioning", 1)[1]
