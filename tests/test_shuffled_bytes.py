@@ -96,3 +96,28 @@ def test_graph_on_texts_that_are_no_hex(spark):
     assert got == {("CD", "x y", 1), ("cd", "CD", 1), ("anyone", "CD", 1)}
     assert {(r.address, r.n_tx) for r in L.address_totals(outs, ins).collect()} == {("x y", 2), ("CD", 2), ("cd", 1), ("anyone", 1)}
     assert {(r.address, r.first_seen) for r in L.first_seen(outs, txs).collect()} == {("x y", 1), ("CD", 2), ("cd", 3), ("anyone", 3)}
+
+
+def shuffle_files(spark) -> set[str]:
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {blocks.apply(i).getName() for i in range(blocks.size()) if blocks.apply(i).getName().startswith("shuffle_")}
+
+
+def test_shuffles_are_deleted_with_the_write_that_needed_them(spark, tmp_path):
+    import time
+
+    from ledgergraph.session import bucketed_table, cut_lineage, staged
+    from ledgergraph.sources.io import write_table
+    rows = spark.range(0, 20000).select("id", (F.col("id") % 97).alias("k"))
+    grouped = rows.repartition(4, "k").groupBy("k").agg(F.sum("id").alias("s"))
+    before = shuffle_files(spark)
+    got = [staged(grouped, "lg_x"), bucketed_table(grouped, "lg_y", ["k"], 3)[0], cut_lineage(grouped)]
+    write_table(grouped, str(tmp_path / "t"))
+    until = time.time() + 20                    # deleted in the background
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    expected = sorted((r.k, r.s) for r in grouped.collect())
+    for df in [*got, spark.read.parquet(str(tmp_path / "t"))]:
+        assert sorted((r.k, r.s) for r in df.collect()) == expected
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
