@@ -20,9 +20,10 @@ versions are deleted after the commit, the last ``keep_versions`` stay.
 Damaged block files end the job before a table is written; ``on_damage="keep"`` (fourth argument
 ``keep``) converts every good block and reports the number of rejects.
 
-The parsed blocks are staged once as Parquet (in ``spark.checkpoint.dir``) and every table is derived
+The parsed blocks are staged once as Parquet (in ``spark.checkpoint.dir``) and the ledger tables are derived
 from that copy, reading only the columns it needs: files are never parsed twice and a lost executor
-re-reads the copy instead of re-parsing. Scratch tables are deleted when the job ends.
+re-reads the copy instead of re-parsing. All other tables are derived from the ledger tables as written, when
+the copy is deleted. The other scratch tables are deleted when the job ends.
 """
 
 from __future__ import annotations
@@ -32,11 +33,12 @@ import sys
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ledgergraph.functions.hashing import placed_as_bytes
 from ledgergraph.functions.script import KINDS, with_address
 from ledgergraph.operators import edges as E
 from ledgergraph.operators.sampling import sample_rows
 from ledgergraph.schemas import Ledger
-from ledgergraph.session import bucketed_table, ensure_checkpoint_dir, release_scratch, scratch_tables, ship_package, staged
+from ledgergraph.session import bucketed_table, ensure_checkpoint_dir, release_scratch, scratch_tables, ship_package
 from ledgergraph.sources.blockfile import blocks_of, flatten, rejects_of
 from ledgergraph.sources.blockranges import RANGE_BYTES, scan_blocks
 from ledgergraph.sources.io import LEDGER_TABLES, write_ledger, write_table
@@ -79,22 +81,27 @@ TABLES = ("rejects", *(f"ledger/{t}" for t in LEDGER_TABLES), "addresses", "bloc
 def _convert(spark: SparkSession, input_path: str, output_dir: str, glob: str, debug: int, direction: str,
              compression: str, edge_files: int | None, table_db: str | None, on_damage: str,
              range_bytes: int) -> dict[str, int]:
+    before = scratch_tables(spark)
     scan, damaged = scan_blocks(spark, input_path, glob, range_bytes=range_bytes, on_damage=on_damage)
     write_table(rejects_of(scan), f"{output_dir}/rejects", compression=compression)
     flat = flatten(blocks_of(scan))
     # what the debug report counts is counted while it is written
     kinds, edges, odd = Observation("kinds"), Observation("edges"), Observation("addresses")
-    outputs = staged(_counted(with_address(flat.outputs), kinds, "kind", KINDS), "lg_classified")
-    ledger = Ledger(flat.blocks, flat.transactions, outputs, flat.inputs)
-    write_ledger(ledger, f"{output_dir}/ledger", compression=compression)
+    flat = flat._replace(outputs=with_address(flat.outputs))
+    write_ledger(flat._replace(outputs=_counted(flat.outputs, kinds, "kind", KINDS)), f"{output_dir}/ledger", compression=compression)
+    # from here on the ledger is what was written; the parsed copy goes
+    ledger = Ledger(*(spark.read.schema(df.schema).parquet(f"{output_dir}/ledger/{name}") for name, df in zip(LEDGER_TABLES, flat)))
+    release_scratch(spark, since=before)
 
     if table_db:
         write_outpoint_tables(spark, ledger, output_dir, table_db)
 
     # all graphs match spends: outputs and inputs are shuffled to their outpoint once, not by every match
-    n = ledger_buckets(spark, outputs.count())
-    outs = bucketed_table(outputs.drop("script"), "lg_outputs", ["tx_hash", "ord"], n)[0]
-    ledger = ledger._replace(inputs=bucketed_table(flat.inputs, "lg_inputs", ["ref_hash", "ref_ord"], n)[0])
+    n = ledger_buckets(spark, ledger.outputs.count())
+    outs = bucketed_table(placed_as_bytes(ledger.outputs.drop("script"), n, ["tx_hash", "ord"], ["tx_hash", "address"]),
+                          "lg_outputs", ["tx_hash", "ord"], n, placed=True)[0]
+    ledger = ledger._replace(inputs=bucketed_table(
+        placed_as_bytes(ledger.inputs, n, ["ref_hash", "ref_ord"], ["tx_hash", "ref_hash"]), "lg_inputs", ["ref_hash", "ref_ord"], n, placed=True)[0])
     ids = E.vertex_ids(ledger, outs)
     write_table(ids.addresses.observe(odd, F.count(F.when(F.col("address").contains("_"), 1)).alias("n")),
                 f"{output_dir}/addresses", compression=compression)
@@ -105,7 +112,7 @@ def _convert(spark: SparkSession, input_path: str, output_dir: str, glob: str, d
                 compression=compression, num_files=edge_files)
     write_table(_counted(E.edges_named(ledger, outs, direction=direction), edges, "edge_kind", E.EDGE_KINDS),
                 f"{output_dir}/edges_named", compression=compression, num_files=edge_files)
-    write_table(E.payment_edges_weighted(ledger, resolved), f"{output_dir}/payment_edges",
+    write_table(E.payment_edges_weighted(ledger, resolved, buckets=n), f"{output_dir}/payment_edges",
                 compression=compression)
 
     stats: dict[str, int] = {"damaged": damaged} if damaged else {}

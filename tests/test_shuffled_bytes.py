@@ -121,3 +121,74 @@ def test_shuffles_are_deleted_with_the_write_that_needed_them(spark, tmp_path):
     for df in [*got, spark.read.parquet(str(tmp_path / "t"))]:
         assert sorted((r.k, r.s) for r in df.collect()) == expected
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_payers_in_buckets_give_the_same_payments(spark):
+    from ledgergraph.session import scratch_tables, staged_alone
+    ledger = ledger_from_dir(spark, SF0001)
+    outs = L.classified_outputs(ledger, "sha256")
+    resolved = E.resolve_addresses(outs, E.vertex_ids(ledger, outs).addresses)
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    before = scratch_tables(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = E.payment_edges_weighted(ledger, resolved, buckets=5)
+        assert "lg_payers" in plan(got) and "Bucketed: true" in plan(got)
+        assert rows(got) == rows(E.payment_edges_weighted(ledger, resolved))
+        stored = staged_alone(spark, lambda: E.payment_edges_weighted(ledger, resolved, buckets=5), "lg_alone")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    made = [p for p in scratch_tables(spark) if p not in before]
+    assert sum("lg_payers" in p for p in made) == 1 and sum("lg_alone" in p for p in made) == 1     # the first frame's own, lazily read
+    assert rows(stored) == rows(got)
+
+
+def test_pagerank_leaves_its_ranks_alone(spark):
+    from ledgergraph.operators.pagerank import graph_vertices, pagerank
+    from ledgergraph.session import scratch_tables
+    before = scratch_tables(spark)
+    e = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (3, 1)], "src long, dst long")
+    ranks = pagerank(graph_vertices(e.select(F.col("src").alias("id")), e), e, fold_every=2)
+    assert [("lg_ranks" in p) for p in scratch_tables(spark) if p not in before] == [True]
+    assert sorted((r.id, round(r.rank, 6)) for r in ranks.collect()) == [(1, 1.0), (2, 1.0), (3, 1.0)]
+
+
+def test_a_batch_leaves_the_store_alone(spark, tmp_path):
+    from ledgergraph.operators.incremental import UtxoStore
+    from ledgergraph.session import scratch_tables
+    before = scratch_tables(spark)
+    store = UtxoStore(spark, str(tmp_path / "s"), buckets=4)
+    for b, (made, used) in enumerate([([("t1", 0, 5, "a"), ("t1", 1, 6, "b")], [("none", 0)]), ([("t2", 0, 7, "a")], [("t1", 0)])]):
+        store.apply(f"b{b}", spark.createDataFrame(made, "tx_hash string, ord long, value long, address string"),
+                    spark.createDataFrame(used, "ref_hash string, ref_ord long"))
+        assert scratch_tables(spark) == before
+    assert sorted(map(tuple, store.utxo().collect())) == [("t1", 1, 6, "b"), ("t2", 0, 7, "a")]
+
+
+def test_conversion_keeps_no_parsed_copy_beside_the_ledger(spark, tmp_path, monkeypatch):
+    import ledgergraph.plans.job as job
+    from ledgergraph.session import scratch_tables
+    from test_ingest import _fixture
+    (tmp_path / "in").mkdir()
+    _fixture(str(tmp_path / "in"))
+    before, real, seen = scratch_tables(spark), job.bucketed_table, []
+
+    def spy(df, prefix, *args, **kwargs):
+        if not seen:
+            seen.append([p for p in scratch_tables(spark) if p not in before])
+            p = df._jdf.queryExecution().optimizedPlan().toString()
+            assert "unhex" in p.split("RepartitionByExpression", 1)[1]
+        return real(df, prefix, *args, **kwargs)
+    monkeypatch.setattr(job, "bucketed_table", spy)
+    job.convert(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert seen == [[]] and scratch_tables(spark) == before
+    kinds = {r.kind for r in spark.read.parquet(str(tmp_path / "out" / "ledger" / "outputs")).collect()}
+    assert kinds and spark.read.parquet(str(tmp_path / "out" / "edges")).count() == 13
+
+
+def test_number_of_edge_files_needs_no_table_of_outputs(spark, tmp_path):
+    from ledgergraph.plans.queries import _edge_files
+    orders_of(spark).write.parquet(str(tmp_path / "orders.parquet"))
+    items_of(spark).write.parquet(str(tmp_path / "lineitem.parquet"))
+    assert _edge_files(spark, str(tmp_path)) == 4
+    assert "outputs" not in vars(ledger_from_dir(spark, str(tmp_path)))
