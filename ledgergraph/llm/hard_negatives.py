@@ -84,8 +84,12 @@ def in_order(one: np.ndarray, two: np.ndarray) -> Iterator[tuple[float, int, int
 class Index:
     """What planning a visit needs: codebooks, radii (below zero: no rows) and rows per cell."""
 
-    def __init__(self, books, radii, occupied: dict[int, int]):
-        self.books, self.radii, self.occupied = books, radii, occupied
+    def __init__(self, books, radii, occupied: dict[int, int] | np.ndarray):
+        self.books, self.radii = books, radii
+        if isinstance(occupied, dict):
+            found, occupied = occupied, np.zeros(len(books[0]) * len(books[1]), np.int64)
+            occupied[list(found)] = list(found.values())
+        self.occupied = occupied
 
     def cell(self, one, two):
         return one * len(self.books[1]) + two
@@ -104,20 +108,35 @@ class Index:
         for place, (bound, i, j) in enumerate(in_order(*bounds)):
             if bound < need or rows >= budget:
                 return cells, place if place > done else done
-            if place >= done and (n := self.occupied.get(self.cell(i, j), 0)):
+            if place >= done and (n := int(self.occupied[self.cell(i, j)])):
                 cells.append(self.cell(i, j))
                 rows += n
         return cells, len(self.books[0]) * len(self.books[1])
 
 
+def codebooks(some: DataFrame, entries: int) -> tuple[np.ndarray, np.ndarray]:
+    """The codebooks of both halves, fitted in one task on the vectors ``q`` of a bounded sample: the driver only gets
+    the centres."""
+    def learn(batches):
+        parts = [b.column("q").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1).astype(np.float64) for b in batches if b.num_rows]
+        if parts:
+            fitted = np.concatenate(parts)
+            half = fitted.shape[1] // 2
+            books = [fit(fitted[:, :half], entries), fit(fitted[:, half:], entries)]
+            yield pa.RecordBatch.from_pydict({"width": pa.array([b.shape[1] for b in books], pa.int32()),
+                                              "centres": pa.array([np.ascontiguousarray(b).tobytes() for b in books], pa.binary())})
+    # an ordered sample: one partition, and both rows in order
+    got = some.select("q").mapInArrow(learn, "width int, centres binary").collect()
+    return tuple(np.frombuffer(r["centres"], np.float64).reshape(-1, r["width"]) for r in got) or (np.zeros((1, 1)), np.zeros((1, 1)))
+
+
 def index_rows(rows: DataFrame, sample: int = SAMPLE, block: int = BLOCK) -> tuple[DataFrame, Index]:
     """Blocks (cell, ids, labels, vectors) of all ``rows`` (id, label, q), and the index."""
     n = rows.count()
     entries = min(MOST_ENTRIES, max(1, math.ceil(math.sqrt(n / block))))
     some = rows.filter(F.pmod(F.xxhash64("id"), F.lit(max(1, n // sample))) == 0).orderBy(F.xxhash64("id"), "id").limit(sample)
-    fitted = np.array([r["q"] for r in some.select("q").collect()] or [[0, 0]], np.float64)
-    half = fitted.shape[1] // 2
-    books = fit(fitted[:, :half], entries), fit(fitted[:, half:], entries)
+    books = codebooks(some, entries)
+    half = books[0].shape[1]
 
     def place(batches):
         for batch in batches:
@@ -138,8 +157,10 @@ def index_rows(rows: DataFrame, sample: int = SAMPLE, block: int = BLOCK) -> tup
         radii.append(radius)
     cell = (F.col("one") * len(books[1]) + F.col("two")).cast("int")
     sizes = staged(placed.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n")), "multi-cells")
-    # at most MOST_ENTRIES squared cells
-    occupied = {r["cell"]: r["n"] for r in sizes.collect()}
+    # at most MOST_ENTRIES squared cells, as two columns of numbers
+    found = sizes.toArrow()
+    occupied = np.zeros(len(books[0]) * len(books[1]), np.int64)
+    occupied[found["cell"].to_numpy()] = found["n"].to_numpy()
     sub = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / block))
     blocks = (placed.select(cell.alias("cell"), "id", "label", "v").join(sizes, "cell")
               .groupBy("cell", sub.alias("sub")).agg(F.collect_list(F.struct("id", "label", "v")).alias("rows")))
@@ -220,7 +241,9 @@ def _search(anchors: DataFrame, blocks: DataFrame, index: Index, k: int, windows
         visits = (planned.select(F.explode("cells").alias("cell"), F.struct("anchor", "label", "v", "tops", "need").alias("a"))
                   .groupBy("cell", F.pmod(F.xxhash64("a.anchor"), F.lit(groups)).alias("g"))
                   .agg(F.collect_list("a").alias("anchors")))
-        jobs = visits.join(blocks, "cell").select("anchors", "ids", "labels", "vs")
+        # never broadcast: Spark takes the visits to be as large as ``planned``, and they are as many times larger as an
+        # anchor has cells to visit
+        jobs = visits.hint("merge").join(blocks, "cell").select("anchors", "ids", "labels", "vs")
         with scoped_conf(anchors.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": "32"}):
             more = staged(jobs.repartition(_tasks(state)).mapInPandas(
                 _found(windows, k), "anchor long, slot int, id long, score long"), "multi-candidates")

@@ -483,3 +483,35 @@ def test_few_texts_and_sets_are_shuffled(spark, monkeypatch):
     assert counts["tokens"] <= 180 and counts["near"] >= 80 and 60 <= counts["pairs"] <= 65
     text_side = plans["tokens"].split("SortMergeJoin", 1)
     assert "hashpartitioning" not in text_side[0] and "sieve_bits" in text_side[1].split("hashpartitioning", 1)[1]
+
+
+def test_visits_are_not_broadcast_and_the_driver_gets_centres_only(spark, monkeypatch):
+    """What is exploded to a row per anchor and cell must not pass through the driver, nor the sample's vectors."""
+    import ledgergraph.llm.hard_negatives as H
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(size=4)], int(rng.integers(3))) for i in range(300)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    plans, real, collected, collect = [], H.staged, [], type(vectors).collect
+
+    def spy(df, tag, *args):
+        if tag == "multi-candidates":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, tag, *args)
+
+    def collecting(self):
+        collected.append(self.columns)
+        return collect(self)
+    monkeypatch.setattr(H, "staged", spy)
+    monkeypatch.setattr(type(vectors), "collect", collecting)
+    got = H.mine(vectors, anchor_every=10, sample=100, block=16)
+    assert plans and not any("Broadcast" in p for p in plans) and all("SortMergeJoin" in p for p in plans)
+    assert ["width", "centres"] in collected and ["q"] not in collected
+    monkeypatch.undo()
+    q = {i: np.floor(256 * np.array(v, np.float32).astype(float)) for i, v, _ in rows}
+    label = {i: l for i, _, l in rows}
+    best = {}
+    for a in range(0, 300, 10):
+        score = sorted((-int(q[a] @ q[i]), i) for i in q if i != a and label[i] == label[a])
+        best[a] = {(i, -s) for s, i in score[:5] if s <= 0}
+    for r in got.collect():
+        assert (r.positive_id, r.positive_score) in best[r.anchor_id]
